@@ -39,3 +39,14 @@ def durable(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     watch = Observation()
     kept = df.observe(watch, *[expr.alias(name) for name, expr in measures.items()]).checkpoint()
     return kept, watch.get
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a table in the checkpoint folder and read it from there.
+
+    For wide data: unlike a checkpoint, the table is columnar, so later readers
+    fetch only the columns they need and split it evenly.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1 @@
+"""Batch files in, tables out."""
