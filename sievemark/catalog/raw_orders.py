@@ -1,8 +1,8 @@
 """A dirty, batched all-text input made from the ``orders`` table.
 
 The provided tables are clean, so this view puts known dirt into them: which rows
-get it depends on the order key only. ``seq`` tells the rows of a batch apart and
-serves as their source row number.
+get it depends on the order key only. ``source_row_number`` tells the rows of a batch apart and
+stands for their position in the source.
 """
 
 from __future__ import annotations
@@ -87,8 +87,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     copied = (k % 137 == 0) & (y >= 1996)
     numbers = F.when(copied, F.array(k, k + F.lit(100_000_000))).otherwise(F.array(k))
-    rows = text.withColumn("seq", F.explode(numbers))
-    number = F.col("seq").cast("string")
+    rows = text.withColumn("source_row_number", F.explode(numbers))
+    number = F.col("source_row_number").cast("string")
 
     def every(modulus: int) -> Column:
         return k % modulus == 0
@@ -100,7 +100,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_place = every(127)
     return rows.select(
         y.cast("smallint").alias("batch_year"),
-        "seq",
+        "source_row_number",
         F.when(bad_id(211), "")
         .when(bad_id(223), F.concat(number, F.lit("A")))
         .when(bad_id(227), "9223372036854775808")
@@ -145,7 +145,7 @@ base AS (
   UNION ALL
   SELECT *, k + 100000000 AS seq FROM base WHERE k % 137 = 0 AND y >= 1996
 ), raw_orders AS (
-  SELECT cast(y AS smallint) AS batch_year, cast(seq AS bigint) AS seq,
+  SELECT cast(y AS smallint) AS batch_year, cast(seq AS bigint) AS source_row_number,
     CASE WHEN y = 1995 AND k % 211 = 0 THEN ''
          WHEN y = 1995 AND k % 223 = 0 THEN concat(cast(seq AS varchar), 'A')
          WHEN y = 1995 AND k % 227 = 0 THEN '9223372036854775808'

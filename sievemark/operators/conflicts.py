@@ -57,6 +57,7 @@ def find_conflicts(
 ) -> Conflicts:
     """Groups that share an identifier or a digest. ``df`` carries the identifier helper.
 
+    Without ``compared`` columns only identifiers are looked at.
     The batch column must be SMALLINT: that bounds the number of batches, and with
     it everything that is broadcast per batch.
     """
@@ -65,7 +66,8 @@ def find_conflicts(
     number = F.col(ID_HELPER)
     unsound = number.isNull() | (number < F.lit(minimum))
     gate_entry = F.array(F.lit(_UNSOUND))
-    own_keys = F.array(_identifier_key(number), row_digest(df, list(compared)))
+    digests = [row_digest(df, list(compared))] if compared else []
+    own_keys = F.array(_identifier_key(number), *digests)
     keys = df.select(
         batch,
         F.when(~unsound, number).alias("id"),
@@ -114,10 +116,10 @@ def attach_conflicts(df: DataFrame, conflicts: Conflicts, row_id: str) -> DataFr
     if conflicts.group_count == conflicts.unsound_count:  # nothing but gate entries
         return rows.withColumns({CLASH: F.lit(False), KEPT: F.lit(None).cast("bigint")})
 
-    digest = row_digest(df, list(conflicts.compared))
-    keyed = rows.withColumn(
-        "__key", F.when(F.col(GATED), _identifier_key(number)).otherwise(digest)
-    )
+    key = F.when(F.col(GATED), _identifier_key(number))
+    if conflicts.compared:
+        key = key.otherwise(row_digest(df, list(conflicts.compared)))
+    keyed = rows.withColumn("__key", key)
     joined = lookup.join_groups(
         keyed,
         groups.select(

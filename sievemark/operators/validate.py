@@ -76,6 +76,36 @@ def validate(
     return annotate(df, contract, conflicts, batch=batch, row=row, roles=roles, extra=extra)
 
 
+def identifier_issues(
+    df: DataFrame, contract: Contract, *, batch: str = BATCH, row: str = ROW
+) -> DataFrame:
+    """Issues of the identifier alone; reads no other source column."""
+    key, chain = primary_key(contract), identifier_chain(contract)
+    minimum = contract["columns"][key]["validations"]["minimum"]
+    names = [batch, row, key]
+    rows = with_helpers(df.select(*names), [chain])
+    conflicts = find_conflicts(rows, compared=(), batch=batch, minimum=minimum)
+    attached = attach_conflicts(rows, conflicts, row)
+    full = identifier_chain(contract, F.col(CLASH))
+    found = attached.select(*names, issues_column([full]).alias("issues"))
+    return explode_issues(found, names)
+
+
+def duplicate_gate(df: DataFrame, contract: Contract, *, batch: str = BATCH) -> DataFrame:
+    """Per batch: is duplicate detection skipped because an identifier is not sound."""
+    key, chain = primary_key(contract), identifier_chain(contract)
+    minimum = contract["columns"][key]["validations"]["minimum"]
+    rows = with_helpers(df.select(batch, key), [chain])
+    conflicts = find_conflicts(rows, compared=(), batch=batch, minimum=minimum)
+    flags = conflicts.gated.withColumn(GATED, F.lit(True))
+    return (
+        df.select(batch)
+        .distinct()
+        .join(F.broadcast(flags), batch, "left")
+        .select(batch, F.coalesce(GATED, F.lit(False)).alias("duplicate_detection_skipped"))
+    )
+
+
 def has_error() -> F.Column:
     """The row has a blocking issue (warnings do not block)."""
     return F.array_contains("issues.severity", ERROR)

@@ -300,7 +300,7 @@ def _state_records(
         "curated": {item.year: item for item in stored},
         "quarantine": {item.year: item for item in held},
     }
-    finished = datetime.now(timezone.utc).isoformat(timespec="seconds")
+    finished = f"{datetime.now(timezone.utc):%Y-%m-%dT%H:%M:%SZ}"
     records = []
     for year in years:
         counts, file = summary[year], source[year]

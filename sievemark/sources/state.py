@@ -47,15 +47,16 @@ def read_state(spark: SparkSession, root: str, *, dataset: str) -> DataFrame:
         return spark.createDataFrame([], STATE)
     state = spark.read.schema(STATE).parquet(root).where(F.col("dataset") == dataset)
     state = state.select(*STATE.fieldNames())
-    unknown = state.where(F.col("schema_version") != STATE_VERSION).count()
-    if unknown:
-        raise ValueError(f"state of {dataset} was written by another version: {unknown} rows")
+    unsound = state_violations(state).first()
+    if unsound:
+        raise ValueError(f"state of {dataset} {unsound.batch_year} is unsound: {unsound.problems}")
     return state
 
 
 def state_violations(state: DataFrame) -> DataFrame:
-    """Per batch: the count invariants that a state record does not satisfy."""
+    """Per batch: what is wrong with its state record; sound records are left out."""
     checks = {
+        "unknown schema version": F.col("schema_version") != STATE_VERSION,
         "rows do not add up": F.col("accepted_row_count") + F.col("rejected_record_count")
         != F.col("raw_row_count"),
         "curated rows differ from accepted rows": F.col("curated_row_count")
@@ -65,6 +66,19 @@ def state_violations(state: DataFrame) -> DataFrame:
         "quarantined issues differ from errors": F.col("quarantine_issue_count")
         != F.col("error_count"),
     }
+    for field in STATE.fields:
+        column = F.col(field.name)
+        if field.name.endswith(("_count", "_bytes")):
+            bad = F.coalesce(column < 0, F.lit(True))
+            checks[f"{field.name} is not a count"] = bad
+        elif field.name == "completed_at_utc":
+            zoned = column.rlike(r"(?:Z|[+-][0-9]{2}:[0-9]{2})\z")
+            read = F.try_to_timestamp(column).isNotNull()
+            checks[f"{field.name} is not a time with a zone"] = ~F.coalesce(
+                zoned & read, F.lit(False)
+            )
+        elif isinstance(field.dataType, T.StringType):
+            checks[f"{field.name} is empty"] = F.coalesce(column == "", F.lit(True))
     found = F.concat_ws("; ", *[F.when(bad, F.lit(text)) for text, bad in checks.items()])
     return state.select("dataset", "batch_year", found.alias("problems")).where("problems <> ''")
 
