@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clean, collapse, is_blank, strip, to_bigint, to_date, to_double
 from ..operators.conflicts import find_exact_duplicates, key_clashes
@@ -383,46 +383,38 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scalar_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts, padded with several kinds of whitespace."""
-    padded = F.concat(F.lit(" \t \x1c"), "text", F.lit(" \n "))
+    padded = F.concat(F.lit(" \t \x1c"), "text", F.lit(" \n "))
     texts = table(spark, sf_dir, "documents").select("doc_id", "source", padded.alias("padded"))
-    both = clean(F.col("padded"), ["trim_whitespace", "collapse_internal_whitespace"])
-
-    def digest(column: Column) -> Column:
-        return F.md5(column)
-
-    return texts.select(
+    both = clean("padded", ["trim_whitespace", "collapse_internal_whitespace"])
+    return texts.selectExpr(
         "doc_id",
-        digest(strip(F.col("padded"))).alias("stripped"),
-        digest(collapse(F.col("padded"))).alias("collapsed"),
-        digest(both).alias("cleaned"),
-        clean(F.col("source"), ["uppercase"]).alias("source_upper"),
-        is_blank(F.col("padded")).alias("blank"),
+        f"md5({strip('padded')}) AS stripped",
+        f"md5({collapse('padded')}) AS collapsed",
+        f"md5({both}) AS cleaned",
+        f"{clean('source', ['uppercase'])} AS source_upper",
+        f"{is_blank('padded')} AS blank",
     )
 
 
 def scalar_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers and dates of order lines, written as text and read back."""
-    lines = table(spark, sf_dir, "lineitem")
-    dirty = F.when(F.col("l_partkey") % 7 == 0, F.lit("1d")).otherwise(
-        F.concat(F.lit(" "), F.col("l_partkey").cast("string"))
-    )
-    rate = F.when(F.col("l_suppkey") % 5 == 0, F.lit("1f")).otherwise(
-        F.concat(F.col("l_discount").cast("string"), F.lit(" "))
+    texts = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "cast(l_linenumber AS string) AS line",
+        "CASE WHEN l_partkey % 7 = 0 THEN '1d' ELSE concat(' ', l_partkey) END AS part",
+        "cast(l_suppkey % 4 AS string) AS remainder",
+        "CASE WHEN l_suppkey % 5 = 0 THEN '1f' ELSE concat(l_discount, ' ') END AS rate",
+        "date_format(l_shipdate, CASE WHEN l_suppkey % 3 = 0 THEN 'dd/MM/yyyy' "
+        "ELSE 'yyyy-MM-dd' END) AS shipped",
     )
-    shipped = F.when(F.col("l_suppkey") % 3 == 0, F.date_format("l_shipdate", "dd/MM/yyyy"))
-    shipped = shipped.otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
-    number = to_bigint(F.col("l_linenumber").cast("string"))
-    discount = to_double(rate)
-    return lines.select(
+    return texts.selectExpr(
         "l_orderkey",
-        number.alias("line_number"),
-        to_bigint(dirty).alias("part_key"),
-        F.nullif(to_bigint((F.col("l_suppkey") % 4).cast("string")), F.lit(0).cast("bigint")).alias(
-            "sentinel"
-        ),
-        discount.alias("discount"),
-        to_date(shipped, ["%Y-%m-%d", "%d/%m/%Y"]).alias("ship_date"),
-        F.year(to_date(shipped, ["%Y-%m-%d"])).alias("iso_year"),
+        f"{to_bigint('line')} AS line_number",
+        f"{to_bigint('part')} AS part_key",
+        f"nullif({to_bigint('remainder')}, 0L) AS sentinel",
+        f"{to_double('rate')} AS discount",
+        f"{to_date('shipped', ['%Y-%m-%d', '%d/%m/%Y'])} AS ship_date",
+        f"year({to_date('shipped', ['%Y-%m-%d'])}) AS iso_year",
     )
 
 

@@ -1,4 +1,4 @@
-"""Column expressions: whitespace, casts, dates, digests."""
+"""SQL expressions: whitespace, casts, dates, digests."""
 
 from .casts import date_pattern, is_digits, is_finite, to_bigint, to_date, to_double
 from .digests import md5_number, row_digest

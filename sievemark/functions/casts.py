@@ -6,12 +6,14 @@ each one sits behind a pattern and uses ``try_cast``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
 
+from .sql import text
 from .text import strip
 
-_INTEGER = r"\A[+-]?[0-9]+\z"
-_NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+_DIGITS = text(r"\A[0-9]+\z")
+_INTEGER = text(r"\A[+-]?[0-9]+\z")
+_NUMBER = text(r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z")
 
 # Date directives and the pattern letters that read them.
 _DIRECTIVES = {
@@ -31,23 +33,23 @@ _DIRECTIVES = {
 _ONE_LETTER = {"M", "d", "H", "h", "m", "s"}
 
 
-def is_digits(column: Column) -> Column:
-    return column.rlike(r"\A[0-9]+\z")
+def is_digits(value: str) -> str:
+    return f"({value} RLIKE {_DIGITS})"
 
 
-def to_bigint(column: Column) -> Column:
-    text = strip(column)
-    return F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
+def to_bigint(value: str) -> str:
+    tidy = strip(value)
+    return f"(CASE WHEN {tidy} RLIKE {_INTEGER} THEN try_cast({tidy} AS bigint) END)"
 
 
-def to_double(column: Column) -> Column:
-    text = strip(column)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+def to_double(value: str) -> str:
+    tidy = strip(value)
+    return f"(CASE WHEN {tidy} RLIKE {_NUMBER} THEN try_cast({tidy} AS double) END)"
 
 
-def is_finite(column: Column) -> Column:
+def is_finite(value: str) -> str:
     """False for null, NaN and the infinities."""
-    return F.coalesce(F.abs(column) < F.lit(float("inf")), F.lit(False))
+    return f"coalesce(abs({value}) < double('infinity'), false)"
 
 
 def date_pattern(directives: str) -> str:
@@ -82,6 +84,7 @@ def date_pattern(directives: str) -> str:
     return "".join(pieces)
 
 
-def to_date(column: Column, formats: list[str] | tuple[str, ...]) -> Column:
+def to_date(value: str, formats: Sequence[str]) -> str:
     """First format that reads the value wins; null when none does."""
-    return F.coalesce(*[F.try_to_date(column, date_pattern(item.strip())) for item in formats])
+    tries = [f"try_to_date({value}, {text(date_pattern(item.strip()))})" for item in formats]
+    return f"coalesce({', '.join(tries)})"

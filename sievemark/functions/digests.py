@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Sequence
 
+from pyspark.sql import types as T
 
-def _canonical(df: DataFrame, name: str) -> Column:
+from .sql import name
+
+
+def _canonical(field: T.StructField) -> str:
     """Text of one value, prefixed with its length so that fields cannot run together."""
-    column, kind = F.col(name), df.schema[name].dataType
+    column, kind = name(field.name), field.dataType
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        column = column + F.lit(0.0)  # -0.0 and 0.0 are equal
-    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(column)
+        value = f"cast({column} + 0.0D AS string)"  # -0.0 and 0.0 are equal
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        value = f"to_json({column})"
     elif isinstance(kind, T.BinaryType):
-        text = F.hex(column)
+        value = f"hex({column})"
     else:
-        text = column.cast("string")
-    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+        value = f"cast({column} AS string)"
+    return f"coalesce(concat(cast(octet_length({value}) AS string), ':', {value}), '-')"
 
 
-def row_digest(df: DataFrame, columns: list[str]) -> Column:
+def row_digest(schema: T.StructType, columns: Sequence[str]) -> str:
     """32-byte digest of the listed columns; equal rows (nulls equal) share it."""
-    return F.unhex(F.sha2(F.concat(*[_canonical(df, name) for name in columns]), 256))
+    return f"unhex(sha2(concat({', '.join(_canonical(schema[c]) for c in columns)}), 256))"
 
 
-def md5_number(text: Column) -> Column:
+def md5_number(value: str) -> str:
     """The first 60 bits of the md5 of a string, as a number that sums exactly."""
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return f"cast(conv(substring(md5({value}), 1, 15), 16, 10) AS decimal(38,0))"

@@ -1,101 +1,101 @@
 """String expressions that use the Unicode notion of whitespace.
 
-``F.trim`` removes spaces only, and a plain ``\\s`` is ASCII only, so the
-character class below adds the Unicode flag and the four information
-separators. Every function starts with a cheap byte comparison that settles
-ordinary values; the regular expression runs for the rest.
+``trim`` removes spaces only, and a plain ``\\s`` is ASCII only, so the character
+class below adds the Unicode flag and the four information separators. Every
+function starts with a cheap byte comparison that settles ordinary values; the
+regular expression runs for the rest.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from .sql import text
 
 _SPACE = r"[\s\x1c-\x1f]"
-_INK = r"(?U)[^\s\x1c-\x1f]"
-_LEADING = rf"(?U)\A{_SPACE}+"
-_TRAILING = rf"(?U)(?<!{_SPACE}){_SPACE}+\z"
-_PLAIN = r"\A[ -\[\]-~]*\z"
-_UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
+_INK = text(r"(?U)[^\s\x1c-\x1f]")
+_LEADING = text(rf"(?U)\A{_SPACE}+")
+_TRAILING = text(rf"(?U)(?<!{_SPACE}){_SPACE}+\z")
+_PLAIN = text(r"\A[ -&(-\[\]-~]*\z")
+_UNPRINTABLE = text(r"[\p{C}\p{Z}&&[^ ]]")
 
 
-def as_text(column: Column) -> Column:
+def as_text(value: str) -> str:
     """The value as a string, with null as the empty string."""
-    return F.coalesce(column.cast("string"), F.lit(""))
+    return f"coalesce(cast({value} AS string), '')"
 
 
-def _is_ink(char: Column) -> Column:
-    return (char >= F.lit("!")) & (char < F.lit("\x7f"))
+def _is_ink(char: str) -> str:
+    return f"({char} >= '!' AND {char} < '\x7f')"
 
 
-def is_blank(column: Column) -> Column:
+def is_blank(value: str) -> str:
     """Null, empty or whitespace only."""
-    text = as_text(column)
-    return ~(_is_ink(text) | text.rlike(_INK))
+    return f"(NOT coalesce({_is_ink(value)} OR {value} RLIKE {_INK}, false))"
 
 
-def null_if_blank(column: Column) -> Column:
-    return F.when(~is_blank(column), column)
+def null_if_blank(value: str) -> str:
+    return f"(CASE WHEN NOT {is_blank(value)} THEN {value} END)"
 
 
-def strip(column: Column) -> Column:
+def strip(value: str) -> str:
     """Remove whitespace at both ends."""
-    tidy = _is_ink(column) & _is_ink(F.right(column, F.lit(1)))
-    stripped = F.regexp_replace(F.regexp_replace(column, _LEADING, ""), _TRAILING, "")
-    return F.when(tidy, column).otherwise(stripped)
+    tidy = f"{_is_ink(value)} AND {_is_ink(f'right({value}, 1)')}"
+    stripped = f"regexp_replace(regexp_replace({value}, {_LEADING}, ''), {_TRAILING}, '')"
+    return f"(CASE WHEN {tidy} THEN {value} ELSE {stripped} END)"
 
 
-def collapse(column: Column) -> Column:
+def collapse(value: str) -> str:
     """Turn each run of ASCII whitespace into one space."""
-    return F.regexp_replace(column, r"[\t\n\f\r ]+", " ")
+    return f"regexp_replace({value}, {text(r'[\t\n\f\r ]+')}, ' ')"
+
+
+def upper(value: str) -> str:
+    return f"upper({value})"
 
 
 CLEANERS = {
     "trim_whitespace": strip,
     "collapse_internal_whitespace": collapse,
-    "uppercase": F.upper,
+    "uppercase": upper,
 }
 
 
-def clean(column: Column, operations: tuple[str, ...] | list[str]) -> Column:
+def clean(value: str, operations: Sequence[str]) -> str:
     """Apply the named cleaning steps in order."""
-    unknown = [name for name in operations if name not in CLEANERS]
+    unknown = [operation for operation in operations if operation not in CLEANERS]
     if unknown:
         raise ValueError(f"unsupported cleaning operations: {unknown}")
-    return reduce(lambda value, name: CLEANERS[name](value), operations, column)
+    for operation in operations:
+        value = CLEANERS[operation](value)
+    return value
 
 
-def full_match(column: Column, pattern: str) -> Column:
-    """Whole-value match; ``rlike`` alone searches, and ``$`` allows a final newline."""
+def full_match(value: str, pattern: str) -> str:
+    """Whole-value match; ``RLIKE`` alone searches, and ``$`` allows a final newline."""
     java = pattern.replace("(?P<", "(?<")
-    return column.rlike(rf"\A(?:{java})\z")
+    return f"({value} RLIKE {text(rf'\A(?:{java})\z')})"
 
 
-def quoted(column: Column) -> Column:
+def quoted(value: str) -> str:
     """The value as a quoted literal with escapes, as issue values show it."""
-    code = F.ascii
-    single = ~column.contains("'") | column.contains('"')
-    quote = F.when(single, F.lit("'")).otherwise(F.lit('"'))
-
-    def hex_code(char: Column, prefix: str, width: int) -> Column:
-        return F.concat(F.lit(prefix), F.lpad(F.lower(F.hex(code(char))), width, "0"))
-
-    def escaped(char: Column) -> Column:
-        return (
-            F.when(char == "\\", F.lit("\\\\"))
-            .when((char == "'") & single, F.lit("\\'"))
-            .when(char == "\n", F.lit("\\n"))
-            .when(char == "\r", F.lit("\\r"))
-            .when(char == "\t", F.lit("\\t"))
-            .when(~char.rlike(_UNPRINTABLE), char)
-            .when(code(char) < 0x100, hex_code(char, "\\x", 2))
-            .when(code(char) < 0x10000, hex_code(char, "\\u", 4))
-            .otherwise(hex_code(char, "\\U", 8))
-        )
-
-    body = F.array_join(F.transform(F.split(column, ""), escaped), "")
-    plain = column.rlike(_PLAIN) & ~column.contains("'")
-    return F.when(plain, F.concat(F.lit("'"), column, F.lit("'"))).otherwise(
-        F.concat(quote, body, quote)
+    single = f"(NOT contains({value}, '\\'') OR contains({value}, '\"'))"
+    quote = f"(CASE WHEN {single} THEN '\\'' ELSE '\"' END)"
+
+    def code(prefix: str, width: int) -> str:
+        return f"concat({text(prefix)}, lpad(lower(hex(ascii(c))), {width}, '0'))"
+
+    escapes = " ".join(
+        f"WHEN c = {text(char)} THEN {text(escape)}"
+        for char, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
+    )
+    escaped = (
+        f"CASE {escapes} WHEN c = '\\'' AND {single} THEN {text(chr(92) + chr(39))} "
+        f"WHEN NOT c RLIKE {_UNPRINTABLE} THEN c WHEN ascii(c) < 256 THEN {code(r'\x', 2)} "
+        f"WHEN ascii(c) < 65536 THEN {code(r'\u', 4)} ELSE {code(r'\U', 8)} END"
+    )
+    body = f"array_join(transform(split({value}, ''), c -> {escaped}), '')"
+    return (
+        f"(CASE WHEN {value} RLIKE {_PLAIN} THEN concat('\\'', {value}, '\\'') "
+        f"ELSE concat({quote}, {body}, {quote}) END)"
     )

@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import as_text, is_digits, row_digest
+from ..functions import row_digest
 from ..plans import lookup
 from ..plans.durable import durable
-from .rules import ID_HELPER
+from .rules import ID_HELPER, identifier_rule, with_helpers
 
 CLASH = "__clash"
 KEPT = "__kept"
@@ -66,7 +66,7 @@ def find_conflicts(
     number = F.col(ID_HELPER)
     unsound = number.isNull() | (number < F.lit(minimum))
     gate_entry = F.array(F.lit(_UNSOUND))
-    digests = [row_digest(df, list(compared))] if compared else []
+    digests = [F.expr(row_digest(df.schema, compared))] if compared else []
     own_keys = F.array(_identifier_key(number), *digests)
     keys = df.select(
         batch,
@@ -118,7 +118,7 @@ def attach_conflicts(df: DataFrame, conflicts: Conflicts, row_id: str) -> DataFr
 
     key = F.when(F.col(GATED), _identifier_key(number))
     if conflicts.compared:
-        key = key.otherwise(row_digest(df, list(conflicts.compared)))
+        key = key.otherwise(F.expr(row_digest(df.schema, conflicts.compared)))
     keyed = rows.withColumn("__key", key)
     joined = lookup.join_groups(
         keyed,
@@ -163,8 +163,7 @@ def find_exact_duplicates(
         raise ValueError("at least one column other than the key is required")
 
     by = batch or "__batch"
-    number = F.when(is_digits(as_text(F.col(key))), as_text(F.col(key)).try_cast("bigint"))
-    rows = df.select(*([batch] if batch else []), *names).withColumn(ID_HELPER, number)
+    rows = with_helpers(df.select(*([batch] if batch else []), *names), [identifier_rule(key)])
     if not batch:
         rows = rows.withColumn(by, F.lit(0).cast("smallint"))
     conflicts = find_conflicts(rows, compared=compared, batch=by, minimum=0)

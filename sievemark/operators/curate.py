@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import clean, is_blank, null_if_blank, to_bigint, to_date, to_double
+from ..functions.sql import name as ref, text
 from ..plans.contract import Contract, source_columns
 from .validate import BATCH
 
@@ -30,35 +31,38 @@ def _zero_as_null(name: str, entry: Mapping) -> bool:
     return flag
 
 
-def _text(name: str, entry: Mapping) -> Column:
-    cleaned = clean(F.col(name), _cleaning_steps(name, entry))
+def _text(name: str, entry: Mapping) -> str:
+    cleaned = clean(ref(name), _cleaning_steps(name, entry))
     return null_if_blank(cleaned) if entry["nullable"] else cleaned
 
 
-def _nullable_integer(name: str, entry: Mapping) -> Column:
-    number = to_bigint(F.col(name))
-    return F.nullif(number, F.lit(0).cast("bigint")) if _zero_as_null(name, entry) else number
+def _integer(name: str, entry: Mapping) -> str:
+    return to_bigint(ref(name))
 
 
-def _date(name: str, entry: Mapping) -> Column:
+def _nullable_integer(name: str, entry: Mapping) -> str:
+    number = to_bigint(ref(name))
+    return f"nullif({number}, 0L)" if _zero_as_null(name, entry) else number
+
+
+def _float(name: str, entry: Mapping) -> str:
+    return to_double(ref(name))
+
+
+def _date(name: str, entry: Mapping) -> str:
     if not entry["accepted_formats"]:
         raise ValueError(f"no accepted date format: {name}")
-    return to_date(F.col(name), entry["accepted_formats"])
+    return to_date(ref(name), entry["accepted_formats"])
 
 
 _TARGETS = {
     "string": _text,
-    "int64": lambda name, entry: to_bigint(F.col(name)),
+    "int64": _integer,
     "Int64": _nullable_integer,
-    "float64": lambda name, entry: to_double(F.col(name)),
-    "date": _date,
-}
-_CONVERTED = {
-    "int64": lambda name, entry: to_bigint(F.col(name)),
-    "Int64": lambda name, entry: to_bigint(F.col(name)),
-    "float64": _TARGETS["float64"],
+    "float64": _float,
     "date": _date,
 }
+_CONVERTED = {"int64": _integer, "Int64": _integer, "float64": _float, "date": _date}
 
 
 def _published(contract: Contract) -> list[tuple[str, Mapping]]:
@@ -88,52 +92,45 @@ def curate(
     those beforehand, and nothing is published for a batch that has any.
     """
     targets = [
-        _TARGETS[entry["target_type"]](name, entry).alias(entry["target_name"])
+        F.expr(_TARGETS[entry["target_type"]](name, entry)).alias(entry["target_name"])
         for name, entry in _published(contract)
     ]
     year = F.col(batch).cast("smallint").alias(CURATED_PARTITION)
     return rows.select(*keep, *targets, year)
 
 
-def failure_flags(contract: Contract) -> dict[str, dict[str, Column]]:
+def failure_flags(contract: Contract) -> dict[str, dict[str, str]]:
     """Per source column: is the value blank though required, is it present but unconvertible."""
-    flags: dict[str, dict[str, Column]] = {}
+    flags: dict[str, dict[str, str]] = {}
     for name, entry in _published(contract):
-        raw, kind = F.col(name), entry["target_type"]
+        raw, kind = ref(name), entry["target_type"]
         value = clean(raw, _cleaning_steps(name, entry)) if kind == "string" else raw
         blank = is_blank(value)
         found = {} if entry["nullable"] else {"blank": blank}
         if kind in _CONVERTED:
-            found["invalid"] = ~blank & _CONVERTED[kind](name, entry).isNull()
+            found["invalid"] = f"NOT {blank} AND {_CONVERTED[kind](name, entry)} IS NULL"
         if found:
             flags[name] = found
     return flags
 
 
-def conversion_failures(
-    rows: DataFrame, contract: Contract, *, batch: str = BATCH
-) -> DataFrame:
+def conversion_failures(rows: DataFrame, contract: Contract, *, batch: str = BATCH) -> DataFrame:
     """Per batch and source column: rows that cannot be published, in one aggregate."""
     flags = failure_flags(contract)
     counts = rows.groupBy(batch).agg(
         *[
-            F.count_if(flag).alias(f"{name}:{kind}")
+            F.expr(f"count_if({flag})").alias(f"{name}:{kind}")
             for name, kinds in flags.items()
             for kind, flag in kinds.items()
         ]
     )
-    report = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("source_column"),
-                *[
-                    (F.col(f"`{name}:{kind}`") if kind in kinds else F.lit(0).cast("bigint")).alias(
-                        f"{kind}_rows"
-                    )
-                    for kind in ("blank", "invalid")
-                ],
-            )
-            for name, kinds in flags.items()
-        ]
+
+    def count(name: str, kind: str) -> str:
+        return ref(f"{name}:{kind}") if kind in flags[name] else "0L"
+
+    report = ", ".join(
+        f"named_struct('source_column', {text(name)}, 'blank_rows', {count(name, 'blank')}, "
+        f"'invalid_rows', {count(name, 'invalid')})"
+        for name in flags
     )
-    return counts.select(batch, F.inline(report))
+    return counts.select(batch, F.expr(f"inline(array({report}))"))

@@ -1,4 +1,4 @@
-"""Row rules as Spark columns.
+"""Row rules as SQL expressions.
 
 A rule is a chain of checks; the first failing check of a chain gives the issue
 and chains do not affect one another. A chain compiles to one ``CASE WHEN`` whose
@@ -25,32 +25,33 @@ from ..functions import (
     to_date,
     to_double,
 )
+from ..functions.sql import name as ref, text
 from .wording import ERROR, EXACT_DUPLICATE, SEVERITIES, WARNING, message
 
 ISSUE = "struct<rule_id:string,column:string,value:string,message:string,severity:string>"
-ISSUES = f"array<{ISSUE}>"
 
 ID_HELPER = "__identifier"
 
 
 @dataclass(frozen=True)
 class Check:
-    """One way to fail: the condition and the issue it gives."""
+    """One way to fail: the condition and the issue it gives.
+
+    ``failed``, ``value`` and ``message`` are SQL expressions over the row.
+    """
 
     rule_id: str
-    failed: Column
+    failed: str
     column: str
-    value: Column
-    message: Column
+    value: str
+    message: str
     severity: str = ERROR
 
-    def issue(self) -> Column:
-        return F.struct(
-            F.lit(self.rule_id).alias("rule_id"),
-            F.lit(self.column).alias("column"),
-            self.value.alias("value"),
-            self.message.alias("message"),
-            F.lit(self.severity).alias("severity"),
+    def sql(self) -> str:
+        return (
+            f"WHEN {self.failed} THEN array(named_struct('rule_id', {text(self.rule_id)}, "
+            f"'column', {text(self.column)}, 'value', {self.value}, 'message', {self.message}, "
+            f"'severity', {text(self.severity)}))"
         )
 
 
@@ -60,15 +61,11 @@ class Chain:
 
     checks: tuple[Check, ...]
     reads: tuple[str, ...]
-    helpers: dict[str, Column] = field(default_factory=dict)
+    helpers: dict[str, str] = field(default_factory=dict)
 
-    def issues(self) -> Column:
-        none = F.array().cast(ISSUES)
-        first, *others = self.checks
-        found = F.when(first.failed, F.array(first.issue()))
-        for check in others:
-            found = found.when(check.failed, F.array(check.issue()))
-        return found.otherwise(none)
+    def sql(self) -> str:
+        whens = " ".join(check.sql() for check in self.checks)
+        return f"CASE {whens} ELSE cast(array() AS array<{ISSUE}>) END"
 
 
 def _need(ok: bool, text: str) -> None:
@@ -106,7 +103,7 @@ def _need_bounds(minimum: object, maximum: object, what: str) -> tuple[float, fl
     return float(minimum), float(maximum)
 
 
-def identifier_rule(column: str, minimum: int = 1, clash: Column | None = None) -> Chain:
+def identifier_rule(column: str, minimum: int = 1, clash: str | None = None) -> Chain:
     """Required, digits only, 64-bit, at least ``minimum``; then unique in its batch.
 
     ``clash`` tells whether another row of the batch has the same number. It comes
@@ -117,21 +114,22 @@ def identifier_rule(column: str, minimum: int = 1, clash: Column | None = None)
         isinstance(minimum, int) and not isinstance(minimum, bool) and minimum >= 1,
         f"identifier minimum must be a positive integer: {minimum}",
     )
-    raw, number = as_text(F.col(column)), F.col(ID_HELPER)
-
-    def check(rule_id: str, failed: Column, **values: str | Column) -> Check:
-        return Check(rule_id, failed, column, raw, message(rule_id, **values))
-
-    checks = [
-        check("inspection_id_required", is_blank(raw)),
-        check("inspection_id_format", ~is_digits(raw)),
-        check("inspection_id_int64", number.isNull()),
-        check("inspection_id_minimum", number < F.lit(minimum), minimum=str(minimum)),
-    ]
+    raw, number = as_text(ref(column)), ref(ID_HELPER)
+    failures = {
+        "inspection_id_required": is_blank(raw),
+        "inspection_id_format": f"NOT {is_digits(raw)}",
+        "inspection_id_int64": f"{number} IS NULL",
+        "inspection_id_minimum": f"{number} < {minimum}",
+    }
     if clash is not None:
-        checks.append(check("inspection_id_unique", clash, id=number))
-    helper = F.when(is_digits(raw), raw.try_cast("bigint"))
-    return Chain(tuple(checks), (column,), {ID_HELPER: helper})
+        failures["inspection_id_unique"] = clash
+    settings, row = {"minimum": str(minimum)}, {"id": number}
+    checks = tuple(
+        Check(rule_id, failed, column, raw, message(rule_id, settings=settings, row=row))
+        for rule_id, failed in failures.items()
+    )
+    helper = f"CASE WHEN {is_digits(raw)} THEN try_cast({raw} AS bigint) END"
+    return Chain(checks, (column,), {ID_HELPER: helper})
 
 
 def date_rule(column: str, formats: Sequence[str], batch: str = "batch_year") -> Chain:
@@ -144,37 +142,36 @@ def date_rule(column: str, formats: Sequence[str], batch: str = "batch_year") ->
         and all(isinstance(item, str) and item.strip() for item in formats),
         "accepted date formats must be a sequence of non-empty strings",
     )
-    raw, parsed = as_text(F.col(column)), F.col(f"__date_{column}")
-    year = F.year(parsed)
-    checks = (
-        ("inspection_date_required", is_blank(raw), {}),
-        ("inspection_date_format", parsed.isNull(), {}),
-        (
-            "inspection_year_matches_filename",
-            year != F.col(batch),
-            {"year": year, "batch": F.col(batch)},
-        ),
-    )
-    return Chain(
-        tuple(Check(rid, bad, column, raw, message(rid, **fill)) for rid, bad, fill in checks),
-        (column, batch),
-        {f"__date_{column}": to_date(raw, list(formats))},
+    helper = f"__date_{column}"
+    raw, day, year = as_text(ref(column)), ref(helper), f"year({ref(helper)})"
+    row = {"year": year, "batch": ref(batch)}
+    failures = {
+        "inspection_date_required": is_blank(raw),
+        "inspection_date_format": f"{day} IS NULL",
+        "inspection_year_matches_filename": f"{year} <> {ref(batch)}",
+    }
+    checks = tuple(
+        Check(rule_id, failed, column, raw, message(rule_id, row=row))
+        for rule_id, failed in failures.items()
     )
+    return Chain(checks, (column, batch), {helper: to_date(raw, list(formats))})
+
+
+def _domain(raw: str, values: list[str]) -> str:
+    return f"{raw} NOT IN ({', '.join(text(value) for value in values)})"
 
 
 def result_rule(column: str, allowed: Sequence[str]) -> Chain:
     """Required, and one of the allowed values exactly as written."""
     _need_name(column, "result column")
     domain = _need_domain(allowed, "allowed results")
-    raw = as_text(F.col(column))
+    raw = as_text(ref(column))
+    failures = {
+        "inspection_result_required": is_blank(raw),
+        "inspection_result_allowed_values": _domain(raw, domain),
+    }
     return Chain(
-        tuple(
-            Check(rule_id, failed, column, raw, message(rule_id))
-            for rule_id, failed in (
-                ("inspection_result_required", is_blank(raw)),
-                ("inspection_result_allowed_values", ~raw.isin(domain)),
-            )
-        ),
+        tuple(Check(rid, bad, column, raw, message(rid)) for rid, bad in failures.items()),
         (column,),
     )
 
@@ -184,17 +181,13 @@ def risk_rule(column: str, allowed: Sequence[str], severity: str = WARNING) -> C
     _need_name(column, "risk column")
     _need(severity in SEVERITIES, "severity must be 'error' or 'warning'")
     domain = _need_domain(allowed, "allowed risks")
-    raw = as_text(F.col(column))
-    return Chain(
-        tuple(
-            Check(rule_id, failed, column, raw, message(rule_id, column=column), severity)
-            for rule_id, failed in (
-                ("risk_missing", is_blank(raw)),
-                ("risk_unknown", ~raw.isin(domain)),
-            )
-        ),
-        (column,),
+    raw, settings = as_text(ref(column)), {"column": column}
+    failures = {"risk_missing": is_blank(raw), "risk_unknown": _domain(raw, domain)}
+    checks = tuple(
+        Check(rule_id, failed, column, raw, message(rule_id, settings=settings), severity)
+        for rule_id, failed in failures.items()
     )
+    return Chain(checks, (column,))
 
 
 def pattern_rule(column: str, pattern: str, nullable: bool = True) -> Chain:
@@ -206,21 +199,20 @@ def pattern_rule(column: str, pattern: str, nullable: bool = True) -> Chain:
         re.compile(pattern)
     except re.error as error:
         raise ValueError(f"invalid pattern for {column}: {pattern}") from error
-    raw = as_text(F.col(column))
-    blank = is_blank(raw)
-    checks = [
+    raw = as_text(ref(column))
+    failures = {} if nullable else {"{column}_required": is_blank(raw)}
+    failures["{column}_pattern"] = f"NOT {full_match(raw, pattern)} AND NOT {is_blank(raw)}"
+    checks = tuple(
         Check(
-            f"{column}_pattern",
-            ~blank & ~full_match(raw, pattern),
+            rule.replace("{column}", column),
+            failed,
             column,
             raw,
-            message("{column}_pattern", column=column),
+            message(rule, settings={"column": column}),
         )
-    ]
-    if not nullable:
-        text = message("{column}_required", column=column)
-        checks.insert(0, Check(f"{column}_required", blank, column, raw, text))
-    return Chain(tuple(checks), (column,))
+        for rule, failed in failures.items()
+    )
+    return Chain(checks, (column,))
 
 
 def license_rule(
@@ -234,18 +226,16 @@ def license_rule(
     _need(isinstance(nullable, bool), "nullable must be boolean")
     _need(isinstance(zero_as_null, bool), "zero_as_null must be boolean")
     _need(format_when_present == "digits", "format_when_present must be 'digits'")
-    raw = as_text(F.col(column))
-    blank = is_blank(raw)
-
-    def check(rule_id: str, failed: Column, severity: str = ERROR) -> Check:
-        return Check(rule_id, failed, column, raw, message(rule_id, column=column), severity)
-
-    checks = [check("license_digits", ~blank & ~is_digits(raw))]
-    if not nullable:
-        checks.insert(0, check("license_required", blank))
+    raw = as_text(ref(column))
+    failures = {} if nullable else {"license_required": (is_blank(raw), ERROR)}
+    failures["license_digits"] = (f"NOT {is_digits(raw)} AND NOT {is_blank(raw)}", ERROR)
     if zero_as_null:
-        checks.append(check("license_zero_sentinel", raw.rlike(r"\A0+\z"), WARNING))
-    return Chain(tuple(checks), (column,))
+        failures["license_zero_sentinel"] = (full_match(raw, "0+"), WARNING)
+    checks = tuple(
+        Check(rid, bad, column, raw, message(rid, settings={"column": column}), severity)
+        for rid, (bad, severity) in failures.items()
+    )
+    return Chain(checks, (column,))
 
 
 def coordinate_rules(
@@ -256,71 +246,64 @@ def coordinate_rules(
 ) -> list[Chain]:
     """Both or neither present; each a finite number within its bounds."""
     chains = []
-    for column, name, bounds in (
+    for column, label, bounds in (
         (latitude, "Latitude", latitude_bounds),
         (longitude, "Longitude", longitude_bounds),
     ):
-        _need_name(column, f"{name} column")
-        low, high = _need_bounds(*bounds, name)
-        raw, number = as_text(F.col(column)), F.col(f"__number_{column}")
-        present = ~is_blank(raw)
-        limits = {"minimum": f"{low:g}", "maximum": f"{high:g}"}
-        chains.append(
-            Chain(
-                (
-                    Check(
-                        f"{column}_numeric",
-                        present & ~is_finite(number),
-                        column,
-                        raw,
-                        message("{column}_numeric", name=name),
-                    ),
-                    Check(
-                        f"{column}_range",
-                        present & ~number.between(low, high),
-                        column,
-                        raw,
-                        message("{column}_range", name=name, **limits),
-                    ),
-                ),
-                (column,),
-                {f"__number_{column}": to_double(raw)},
+        _need_name(column, f"{label} column")
+        low, high = _need_bounds(*bounds, label)
+        helper = f"__number_{column}"
+        raw, number = as_text(ref(column)), ref(helper)
+        settings = {"name": label, "minimum": f"{low:g}", "maximum": f"{high:g}"}
+        failures = {
+            "{column}_numeric": f"NOT {is_finite(number)} AND NOT {is_blank(raw)}",
+            "{column}_range": f"{number} NOT BETWEEN double('{low!r}') AND double('{high!r}')",
+        }
+        checks = tuple(
+            Check(
+                rule.replace("{column}", column),
+                failed,
+                column,
+                raw,
+                message(rule, settings=settings),
             )
+            for rule, failed in failures.items()
         )
+        chains.append(Chain(checks, (column,), {helper: to_double(raw)}))
 
-    first, second = as_text(F.col(latitude)), as_text(F.col(longitude))
+    first, second = as_text(ref(latitude)), as_text(ref(longitude))
     pair = Check(
         "coordinate_pair_consistency",
-        is_blank(first) != is_blank(second),
+        f"{is_blank(first)} <> {is_blank(second)}",
         f"{latitude},{longitude}",
-        F.concat(
-            F.lit(f"{latitude}="), quoted(first), F.lit(f"; {longitude}="), quoted(second)
-        ),
+        f"concat({text(latitude + '=')}, {quoted(first)}, "
+        f"{text('; ' + longitude + '=')}, {quoted(second)})",
         message("coordinate_pair_consistency"),
     )
     return [Chain((pair,), (latitude, longitude)), *chains]
 
 
 def duplicate_rule(
-    column: str, kept: Column, severity: str = ERROR, rule_id: str = EXACT_DUPLICATE
+    column: str, kept: str, severity: str = ERROR, rule_id: str = EXACT_DUPLICATE
 ) -> Chain:
     """The row repeats another row that is kept (``kept`` is null when it does not)."""
     _need(severity in SEVERITIES, "severity must be 'error' or 'warning'")
-    number = F.col(ID_HELPER).cast("string")
-    text = message(EXACT_DUPLICATE, key=column, kept=kept)
-    return Chain((Check(rule_id, kept.isNotNull(), column, number, text, severity),), (column,))
+    number = f"cast({ref(ID_HELPER)} AS string)"
+    told = message(EXACT_DUPLICATE, settings={"key": column}, row={"kept": kept})
+    return Chain((Check(rule_id, f"{kept} IS NOT NULL", column, number, told, severity),), (column,))
 
 
 def with_helpers(df: DataFrame, chains: Sequence[Chain]) -> DataFrame:
     """Add the helper columns of all chains; fail early on columns that are missing."""
-    missing = {name for chain in chains for name in chain.reads} - set(df.columns)
+    missing = {column for chain in chains for column in chain.reads} - set(df.columns)
     _need(not missing, f"data is missing columns: {sorted(missing)}")
-    return df.withColumns({name: col for chain in chains for name, col in chain.helpers.items()})
+    helpers = {helper: sql for chain in chains for helper, sql in chain.helpers.items()}
+    return df.selectExpr("*", *[f"{sql} AS {ref(helper)}" for helper, sql in helpers.items()])
 
 
 def issues_column(chains: Sequence[Chain]) -> Column:
     """All issues of a row, ordered by rule, column and value."""
-    return F.sort_array(F.concat(*[chain.issues() for chain in chains]))
+    return F.expr(f"sort_array(concat({', '.join(chain.sql() for chain in chains)}))")
 
 
 def explode_issues(df: DataFrame, keep: Sequence[str], severity: str | None = None) -> DataFrame:

@@ -47,9 +47,9 @@ def annotate(
     """``df`` plus ``issues``, ``duplicate_of`` and ``duplicate_detection_skipped``."""
     key = primary_key(contract)
     chains = [
-        identifier_chain(contract, F.col(CLASH)),
+        identifier_chain(contract, CLASH),
         *row_chains(contract, roles, batch),
-        duplicate_rule(key, F.col(KEPT), duplicate_severity(contract)),
+        duplicate_rule(key, KEPT, duplicate_severity(contract)),
         *extra,
     ]
     rows = attach_conflicts(with_helpers(df, chains), conflicts, row)
@@ -86,7 +86,7 @@ def identifier_issues(
     rows = with_helpers(df.select(*names), [chain])
     conflicts = find_conflicts(rows, compared=(), batch=batch, minimum=minimum)
     attached = attach_conflicts(rows, conflicts, row)
-    full = identifier_chain(contract, F.col(CLASH))
+    full = identifier_chain(contract, CLASH)
     found = attached.select(*names, issues_column([full]).alias("issues"))
     return explode_issues(found, names)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from ..functions.sql import text
 
 ERROR = "error"
 WARNING = "warning"
@@ -41,11 +41,13 @@ MESSAGES = {
 }
 
 
-def message(rule_id: str, **values: str | Column) -> Column:
-    """The rule's message, with settings as literals and row values as columns."""
-    parts = [part for part in re.split(r"(\{\w+\})", MESSAGES[rule_id]) if part]
-    filled = [values[part[1:-1]] if part.startswith("{") else part for part in parts]
-    columns = [
-        part.cast("string") if isinstance(part, Column) else F.lit(part) for part in filled
+def message(rule_id: str, *, settings: dict[str, str] = {}, row: dict[str, str] = {}) -> str:
+    """The rule's message as SQL; ``settings`` are known now, ``row`` are expressions."""
+    template = MESSAGES[rule_id]
+    for key, value in settings.items():
+        template = template.replace("{" + key + "}", value)
+    parts = [part for part in re.split(r"(\{\w+\})", template) if part]
+    pieces = [
+        f"cast({row[part[1:-1]]} AS string)" if part[1:-1] in row else text(part) for part in parts
     ]
-    return columns[0] if len(columns) == 1 else F.concat(*columns)
+    return pieces[0] if len(pieces) == 1 else f"concat({', '.join(pieces)})"

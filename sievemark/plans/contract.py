@@ -10,8 +10,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column
-
 from ..operators.rules import (
     Chain,
     coordinate_rules,
@@ -67,7 +65,7 @@ def check_contract(contract: Contract) -> None:
         raise ValueError(f"primary key {key} is not a source column")
 
 
-def identifier_chain(contract: Contract, clash: Column | None = None) -> Chain:
+def identifier_chain(contract: Contract, clash: str | None = None) -> Chain:
     key = primary_key(contract)
     return identifier_rule(key, contract["columns"][key]["validations"]["minimum"], clash)
 

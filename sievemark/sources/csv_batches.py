@@ -83,7 +83,7 @@ def _parse(
         .option("sep", delimiter)
         .csv([batch.path for batch in batches])
     )
-    filled = F.col(_EXTRA).isNotNull() | F.col(_RECORD).isNull() | ~is_blank(F.col(_RECORD))
+    filled = F.col(_EXTRA).isNotNull() | F.col(_RECORD).isNull() | F.expr(f"NOT {is_blank(_RECORD)}")
     present = records.where(filled)  # blank lines are not records
     header = F.array(*[F.col(name) for name in [*fields, _EXTRA]])
     return present.select(
@@ -93,7 +93,7 @@ def _parse(
         _too_long(len(columns), delimiter).alias("__long"),
         (_left_open(delimiter) if whole else F.lit(False)).alias("__open"),
         header.alias("__values"),
-        *[as_text(F.col(name)).alias(f"__c{index}") for index, name in enumerate(fields)],
+        *[F.expr(as_text(name)).alias(f"__c{index}") for index, name in enumerate(fields)],
     )
 
 
