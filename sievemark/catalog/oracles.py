@@ -402,7 +402,8 @@ SELECT batch_year, CASE WHEN batch_year >= 1998 THEN 'processed' ELSE 'skipped'
 FROM state JOIN files f USING (batch_year) JOIN summary USING (batch_year)""",
     "scalar_cleaning": f"""
 WITH texts AS (
-  SELECT doc_id, source, concat(' ', chr(9), ' ', chr(28), text, ' ', chr(10), ' ') AS padded
+  SELECT doc_id, source, concat(' ', chr(9), chr(160), ' ', chr(28), text, chr(8195), chr(10), ' ')
+    AS padded
   FROM documents
 )
 SELECT doc_id, md5({_STRIPPED}) AS stripped,

@@ -29,6 +29,7 @@ from ..plans.contract import Roles, identifier_chain, row_chains
 from ..plans.durable import durable, scratch_path
 from ..plans.incremental import multi_batch_summary, pending_batches, skipped_batches
 from ..plans.run import run_report
+from ..plans.session import prepare
 from ..sources.batches import batch_year_ranges, content_fingerprint
 from ..sources.csv_batches import batch_row_counts, header_conformance
 from ..sources.publish import (
@@ -45,7 +46,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,7 +384,7 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scalar_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts, padded with several kinds of whitespace."""
-    padded = F.concat(F.lit(" \t \x1c"), "text", F.lit(" \n "))
+    padded = F.concat(F.lit(" \t\u00a0 \x1c"), "text", F.lit("\u2003\n "))
     texts = table(spark, sf_dir, "documents").select("doc_id", "source", padded.alias("padded"))
     both = clean("padded", ["trim_whitespace", "collapse_internal_whitespace"])
     return texts.selectExpr(
@@ -404,8 +405,8 @@ def scalar_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN l_partkey % 7 = 0 THEN '1d' ELSE concat(' ', l_partkey) END AS part",
         "cast(l_suppkey % 4 AS string) AS remainder",
         "CASE WHEN l_suppkey % 5 = 0 THEN '1f' ELSE concat(l_discount, ' ') END AS rate",
-        "date_format(l_shipdate, CASE WHEN l_suppkey % 3 = 0 THEN 'dd/MM/yyyy' "
-        "ELSE 'yyyy-MM-dd' END) AS shipped",
+        "CASE WHEN l_suppkey % 3 = 0 THEN date_format(l_shipdate, 'dd/MM/yyyy') "
+        "ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS shipped",
     )
     return texts.selectExpr(
         "l_orderkey",

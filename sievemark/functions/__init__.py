@@ -1,6 +1,15 @@
 """SQL expressions: whitespace, casts, dates, digests."""
 
-from .casts import date_pattern, is_digits, is_finite, to_bigint, to_date, to_double
+from .casts import (
+    date_pattern,
+    is_digits,
+    is_finite,
+    parse_bigint,
+    parse_double,
+    to_bigint,
+    to_date,
+    to_double,
+)
 from .digests import md5_number, row_digest
 from .text import as_text, clean, collapse, full_match, is_blank, null_if_blank, quoted, strip
 
@@ -15,6 +24,8 @@ __all__ = [
     "is_finite",
     "md5_number",
     "null_if_blank",
+    "parse_bigint",
+    "parse_double",
     "quoted",
     "row_digest",
     "strip",

@@ -47,7 +47,9 @@ def strip(value: str) -> str:
 
 def collapse(value: str) -> str:
     """Turn each run of ASCII whitespace into one space."""
-    return f"regexp_replace({value}, {text(r'[\t\n\f\r ]+')}, ' ')"
+    uneven = " OR ".join(f"contains({value}, '{run}')" for run in ("  ", "\n", "\t", "\r", "\f"))
+    replaced = f"regexp_replace({value}, {text(r'[\t\n\f\r ]+')}, ' ')"
+    return f"(CASE WHEN {uneven} THEN {replaced} ELSE {value} END)"
 
 
 def upper(value: str) -> str:

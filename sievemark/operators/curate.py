@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import clean, is_blank, null_if_blank, to_bigint, to_date, to_double
+from ..functions import (
+    clean,
+    is_blank,
+    null_if_blank,
+    parse_bigint,
+    parse_double,
+    strip,
+    to_date,
+)
 from ..functions.sql import name as ref, text
 from ..plans.contract import Contract, source_columns
 from .validate import BATCH
@@ -31,22 +39,28 @@ def _zero_as_null(name: str, entry: Mapping) -> bool:
     return flag
 
 
+def _prepared(name: str, entry: Mapping) -> str:
+    """The raw value made ready for its target: strings cleaned, numbers stripped."""
+    if entry["target_type"] == "string":
+        return clean(ref(name), _cleaning_steps(name, entry))
+    return ref(name) if entry["target_type"] == "date" else strip(ref(name))
+
+
 def _text(name: str, entry: Mapping) -> str:
-    cleaned = clean(ref(name), _cleaning_steps(name, entry))
-    return null_if_blank(cleaned) if entry["nullable"] else cleaned
+    return null_if_blank(ref(name)) if entry["nullable"] else ref(name)
 
 
 def _integer(name: str, entry: Mapping) -> str:
-    return to_bigint(ref(name))
+    return parse_bigint(ref(name))
 
 
 def _nullable_integer(name: str, entry: Mapping) -> str:
-    number = to_bigint(ref(name))
+    number = _integer(name, entry)
     return f"nullif({number}, 0L)" if _zero_as_null(name, entry) else number
 
 
 def _float(name: str, entry: Mapping) -> str:
-    return to_double(ref(name))
+    return parse_double(ref(name))
 
 
 def _date(name: str, entry: Mapping) -> str:
@@ -55,6 +69,7 @@ def _date(name: str, entry: Mapping) -> str:
     return to_date(ref(name), entry["accepted_formats"])
 
 
+# Target expressions over the prepared values.
 _TARGETS = {
     "string": _text,
     "int64": _integer,
@@ -83,32 +98,38 @@ def _published(contract: Contract) -> list[tuple[str, Mapping]]:
     return chosen
 
 
+def _prepare(rows: DataFrame, contract: Contract, keep: Sequence[str]) -> DataFrame:
+    """A projection of its own, so that prepared values are computed once per row."""
+    prepared = [f"{_prepared(name, e)} AS {ref(name)}" for name, e in _published(contract)]
+    return rows.selectExpr(*[ref(name) for name in keep], *prepared)
+
+
 def curate(
-    rows: DataFrame, contract: Contract, *, batch: str = BATCH, keep: tuple[str, ...] = ()
+    rows: DataFrame, contract: Contract, *, batch: str = BATCH, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Typed target columns plus the year partition; ``keep`` passes columns through.
 
     A value that cannot be converted gives null here. ``conversion_failures`` finds
     those beforehand, and nothing is published for a batch that has any.
     """
+    carried = list(dict.fromkeys([batch, *keep]))
     targets = [
-        F.expr(_TARGETS[entry["target_type"]](name, entry)).alias(entry["target_name"])
+        f"{_TARGETS[entry['target_type']](name, entry)} AS {ref(entry['target_name'])}"
         for name, entry in _published(contract)
     ]
-    year = F.col(batch).cast("smallint").alias(CURATED_PARTITION)
-    return rows.select(*keep, *targets, year)
+    year = f"cast({ref(batch)} AS smallint) AS {ref(CURATED_PARTITION)}"
+    prepared = _prepare(rows, contract, carried)
+    return prepared.selectExpr(*[ref(name) for name in keep], *targets, year)
 
 
 def failure_flags(contract: Contract) -> dict[str, dict[str, str]]:
-    """Per source column: is the value blank though required, is it present but unconvertible."""
+    """Per source column, over prepared values: blank though required, present but unconvertible."""
     flags: dict[str, dict[str, str]] = {}
     for name, entry in _published(contract):
-        raw, kind = ref(name), entry["target_type"]
-        value = clean(raw, _cleaning_steps(name, entry)) if kind == "string" else raw
-        blank = is_blank(value)
+        kind, blank = entry["target_type"], is_blank(ref(name))
         found = {} if entry["nullable"] else {"blank": blank}
         if kind in _CONVERTED:
-            found["invalid"] = f"NOT {blank} AND {_CONVERTED[kind](name, entry)} IS NULL"
+            found["invalid"] = f"{_CONVERTED[kind](name, entry)} IS NULL AND NOT {blank}"
         if found:
             flags[name] = found
     return flags
@@ -117,12 +138,16 @@ def failure_flags(contract: Contract) -> dict[str, dict[str, str]]:
 def conversion_failures(rows: DataFrame, contract: Contract, *, batch: str = BATCH) -> DataFrame:
     """Per batch and source column: rows that cannot be published, in one aggregate."""
     flags = failure_flags(contract)
-    counts = rows.groupBy(batch).agg(
-        *[
-            F.expr(f"count_if({flag})").alias(f"{name}:{kind}")
-            for name, kinds in flags.items()
-            for kind, flag in kinds.items()
-        ]
+    counts = (
+        _prepare(rows, contract, [batch])
+        .groupBy(batch)
+        .agg(
+            *[
+                F.expr(f"count_if({flag})").alias(f"{name}:{kind}")
+                for name, kinds in flags.items()
+                for kind, flag in kinds.items()
+            ]
+        )
     )
 
     def count(name: str, kind: str) -> str:

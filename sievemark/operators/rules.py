@@ -117,7 +117,7 @@ def identifier_rule(column: str, minimum: int = 1, clash: str | None = None) ->
     raw, number = as_text(ref(column)), ref(ID_HELPER)
     failures = {
         "inspection_id_required": is_blank(raw),
-        "inspection_id_format": f"NOT {is_digits(raw)}",
+        "inspection_id_format": f"{number} IS NULL AND NOT {is_digits(raw)}",
         "inspection_id_int64": f"{number} IS NULL",
         "inspection_id_minimum": f"{number} < {minimum}",
     }
@@ -230,7 +230,8 @@ def license_rule(
     failures = {} if nullable else {"license_required": (is_blank(raw), ERROR)}
     failures["license_digits"] = (f"NOT {is_digits(raw)} AND NOT {is_blank(raw)}", ERROR)
     if zero_as_null:
-        failures["license_zero_sentinel"] = (full_match(raw, "0+"), WARNING)
+        zeros = f"startswith({raw}, '0') AND {full_match(raw, '0+')}"
+        failures["license_zero_sentinel"] = (zeros, WARNING)
     checks = tuple(
         Check(rid, bad, column, raw, message(rid, settings={"column": column}), severity)
         for rid, (bad, severity) in failures.items()

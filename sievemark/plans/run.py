@@ -46,6 +46,7 @@ from ..sources.state import (
 )
 from .contract import Contract, Roles, check_contract, primary_key, source_columns
 from .incremental import pending_batches
+from .session import prepare
 
 
 class BatchError(Exception):
@@ -157,6 +158,7 @@ def run_batches(
     *,
     roles: Roles = Roles(),
 ) -> DataFrame:
+    prepare(spark)
     check_contract(contract)
     check_quarantine_source(source_columns(contract), primary_key(contract))
     check_dataset(settings.dataset)

@@ -11,15 +11,34 @@ from . import storage
 
 STATE_VERSION = 1
 
+_TEXT, _COUNT = T.StringType(), T.LongType()
+
 # Fields of a state record, in order.
-STATE = T.StructType.fromDDL(
-    "schema_version int, dataset string, batch_year smallint, completed_at_utc string, "
-    "source_path string, source_size_bytes bigint, checksum_algorithm string, checksum string, "
-    "raw_row_count bigint, accepted_row_count bigint, rejected_record_count bigint, "
-    "quarantine_issue_count bigint, error_count bigint, warning_count bigint, "
-    "curated_path string, curated_row_count bigint, curated_size_bytes bigint, "
-    "curated_compression string, quarantine_path string, quarantine_row_count bigint, "
-    "quarantine_size_bytes bigint, quarantine_compression string"
+STATE = T.StructType(
+    [
+        T.StructField("schema_version", T.IntegerType()),
+        T.StructField("dataset", _TEXT),
+        T.StructField("batch_year", T.ShortType()),
+        T.StructField("completed_at_utc", _TEXT),
+        T.StructField("source_path", _TEXT),
+        T.StructField("source_size_bytes", _COUNT),
+        T.StructField("checksum_algorithm", _TEXT),
+        T.StructField("checksum", _TEXT),
+        T.StructField("raw_row_count", _COUNT),
+        T.StructField("accepted_row_count", _COUNT),
+        T.StructField("rejected_record_count", _COUNT),
+        T.StructField("quarantine_issue_count", _COUNT),
+        T.StructField("error_count", _COUNT),
+        T.StructField("warning_count", _COUNT),
+        T.StructField("curated_path", _TEXT),
+        T.StructField("curated_row_count", _COUNT),
+        T.StructField("curated_size_bytes", _COUNT),
+        T.StructField("curated_compression", _TEXT),
+        T.StructField("quarantine_path", _TEXT),
+        T.StructField("quarantine_row_count", _COUNT),
+        T.StructField("quarantine_size_bytes", _COUNT),
+        T.StructField("quarantine_compression", _TEXT),
+    ]
 )
 
 
