@@ -117,7 +117,10 @@ def _full_width(directives: str) -> str | None:
 
 
 def _try_date(value: str, directives: str) -> str:
+    # Spark reads a year 0, which is no calendar year.
+    none = "DATE'0000-12-31'"
     parsed = f"try_to_date({value}, {text(date_pattern(directives))})"
+    parsed = f"nullif(greatest({parsed}, {none}), {none})"
     padded = _full_width(directives)
     if padded is None:
         return parsed

@@ -19,6 +19,11 @@ HOT_ROWS = 200_000
 _SPREAD = 1 << 16
 
 
+def hot_threshold(grouped_rows: int) -> int:
+    """Size from which a group is hot: no more groups than may be broadcast reach it."""
+    return max(HOT_ROWS, grouped_rows // MAX_BROADCAST_GROUPS)
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,
@@ -37,8 +42,7 @@ def join_groups(
     ``groups`` has one row per ``keys``, with the group's row count in ``size``.
     """
     max_broadcast = MAX_BROADCAST_GROUPS if max_broadcast is None else max_broadcast
-    if hot_rows is None:
-        hot_rows = max(HOT_ROWS, grouped_rows // MAX_BROADCAST_GROUPS)
+    hot_rows = hot_threshold(grouped_rows) if hot_rows is None else hot_rows
     table = groups.select(*keys, *facts)
     if group_count <= max_broadcast:
         return rows.join(F.broadcast(table), keys, "left")
