@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -32,13 +32,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
-    """Compute ``df`` once, keep it reliably, and return it with the measures taken on the way."""
+    """Compute ``df`` once, keep it reliably, and return it with measures of what was kept.
+
+    Measures are taken from the kept rows, so that neither retried tasks nor empty
+    inputs can distort them.
+    """
     checkpoint_dir(df.sparkSession)
+    kept = df.checkpoint()
     if not measures:
-        return df.checkpoint(), {}
-    watch = Observation()
-    kept = df.observe(watch, *[expr.alias(name) for name, expr in measures.items()]).checkpoint()
-    return kept, watch.get
+        return kept, {}
+    row = kept.agg(*[measure.alias(name) for name, measure in measures.items()]).first()
+    return kept, row.asDict()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Publishing tables as year-partitioned Parquet, one folder per batch.
 
 All batches of a run are written by one job into a staging folder next to the
-table. Guards and counts are taken while writing. Only then is each batch's folder
-put in place, which also replaces an old folder by an empty one.
+table. Guards and counts are taken from what was written. Only then is each batch's
+folder put in place, which also replaces an old folder by an empty one.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.curate import CURATED_PARTITION
 from ..operators.quarantine import QUARANTINE_COLUMNS
@@ -58,7 +58,10 @@ def partition_guards(partition: str, years: Sequence[int] | Column) -> dict[str,
     """Counts of rows that may not be stored under the expected years; all must be 0."""
     column = F.col(partition)
     number = column.cast("string").try_cast("double")
-    within = column.isin(list(years)) if not isinstance(years, Column) else number == years
+    if isinstance(years, Column):
+        within = number == years
+    else:
+        within = number.isin([float(year) for year in years])
     whole = number % 1 == 0
     return {
         "null_partitions": F.count_if(column.isNull()),
@@ -112,15 +115,11 @@ def publish(
         check_quarantine_columns(names)
         guards |= severity_guards()
 
-    kind = T.StructType([f for f in df.schema.fields if f.name in names])
-    stored = T.StructType([field for field in kind.fields if field.name != partition])
+    fields = [field for field in df.schema.fields if field.name in names]
+    content = T.StructType([field for field in fields if field.name != partition])
+    layout = T.StructType([*content.fields, T.StructField(partition, T.StringType())])
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    watch = Observation()
-    rows = df.observe(
-        watch, F.count(F.lit(1)).alias("rows"), *[e.alias(n) for n, e in guards.items()]
-    )
-    if rebalance:
-        rows = rows.hint("rebalance", partition)
+    rows = df.hint("rebalance", partition) if rebalance else df
     try:
         (
             rows.sortWithinPartitions(partition, *order)
@@ -129,10 +128,14 @@ def publish(
             .partitionBy(partition)
             .parquet(staging)
         )
-        broken = {name: watch.get[name] for name in guards if watch.get[name]}
-        if broken:
-            raise ValueError(f"rows may not be published to {root}: {broken}")
-        written = _row_counts(spark.read.schema(kind).parquet(staging), partition)
+        # One row per folder written; counts come from file footers.
+        staged = guard_report(spark.read.schema(layout).parquet(staging), guards, by=[partition])
+        folders = staged.collect()
+        broken = {name: sum(row[name] for row in folders) for name in guards}
+        if any(broken.values()):
+            found = {name: count for name, count in broken.items() if count}
+            raise ValueError(f"rows may not be published to {root}: {found}")
+        written = {int(row[partition]): row.row_count for row in folders}
         for year in years:
             if written.get(year, 0) != expected_rows[year]:
                 raise ValueError(
@@ -143,7 +146,7 @@ def publish(
         for year in years:
             fresh, target = f"{staging}/{partition}={year}", f"{root.rstrip('/')}/{partition}={year}"
             if year not in written:
-                empty = spark.createDataFrame([], stored)
+                empty = spark.createDataFrame([], content)
                 empty.write.option("compression", compression).parquet(fresh)
             storage.replace_folder(spark, fresh, target, f"{staging}/_replaced/{year}")
             published.append(
@@ -158,9 +161,3 @@ def publish(
         return published
     finally:
         storage.remove_folder(spark, staging)
-
-
-def _row_counts(df: DataFrame, partition: str) -> dict[int, int]:
-    """Rows per batch, from file footers only."""
-    counts = df.groupBy(partition).agg(F.count(F.lit(1)).alias("rows"))
-    return {row[partition]: row.rows for row in counts.collect()}
