@@ -18,7 +18,7 @@ from ..plans.contract import (
 )
 from .conflicts import CLASH, GATED, KEPT, Conflicts, attach_conflicts, find_conflicts
 from .rules import Chain, duplicate_rule, explode_issues, issues_column, with_helpers
-from .wording import ERROR, WARNING
+from .wording import ERROR, EXACT_DUPLICATE, WARNING
 
 BATCH = "batch_year"
 ROW = "source_row_number"
@@ -130,12 +130,13 @@ def issues(
     """One row per issue, optionally of one severity only."""
     key = primary_key(contract)
     # An exact duplicate is reported under its canonical number, other issues under the raw text.
-    exploded = explode_issues(validated, [batch, row, key, "duplicate_of"], severity)
-    is_copy = F.col("rule_id").startswith("exact_duplicate")
+    exploded = explode_issues(validated, [batch, row, key], severity)
+    is_copy = F.col("rule_id") == EXACT_DUPLICATE
+    raw = F.coalesce(key, F.lit(""))
     return exploded.select(
         batch,
         F.col(row).alias(ROW),
-        F.when(is_copy, F.col("value")).otherwise(F.col(key)).alias("record_id"),
+        F.when(is_copy, F.col("value")).otherwise(raw).alias("record_id"),
         "rule_id",
         "column",
         "value",

@@ -22,9 +22,12 @@ from ..operators.validate import BATCH, ROW, accepted, annotate, batch_conflicts
 from ..sources.batches import (
     BATCHES,
     NAME_PATTERN,
+    WHOLE_FILE_BYTES,
     BatchFile,
     discover_batches,
     inspect_batches,
+    large_files,
+    line_facts,
     locate_batch,
 )
 from ..sources.csv_batches import read_batches
@@ -45,6 +48,7 @@ from ..sources.state import (
     write_state,
 )
 from .contract import Contract, Roles, check_contract, primary_key, source_columns
+from .durable import durable
 from .incremental import pending_batches
 from .session import prepare
 
@@ -73,6 +77,7 @@ class Settings:
     encoding: str = "utf-8"
     delimiter: str = ","
     hash_algorithm: str = "sha256"
+    whole_file_bytes: int = WHOLE_FILE_BYTES
     output_format: str = "parquet"
     compression: str = "snappy"
     partition_by: tuple[str, ...] = (CURATED_PARTITION,)
@@ -167,8 +172,18 @@ def run_batches(
     if not batches:
         return spark.createDataFrame([], REPORT)
 
+    # Large files are scanned line by line once, both for their digest and for how to read them.
+    large, facts = large_files(batches, settings.whole_file_bytes), None
+    if large:
+        facts, _ = durable(line_facts(spark, large, delimiter=settings.delimiter))
     # The lists below have one entry per batch year.
-    found = inspect_batches(spark, batches, algorithm=settings.hash_algorithm).collect()
+    found = inspect_batches(
+        spark,
+        batches,
+        algorithm=settings.hash_algorithm,
+        whole_file_bytes=settings.whole_file_bytes,
+        facts=facts,
+    ).collect()
     inspected = spark.createDataFrame(found, BATCHES)
     state = read_state(spark, settings.state, dataset=settings.dataset)
     known = state.where(F.col("batch_year").isin([batch.year for batch in batches]))
@@ -182,7 +197,9 @@ def run_batches(
     processed = {}
     if years:
         chosen = [batch for batch in batches if batch.year in years]
-        processed = _process(spark, chosen, inspected, contract, settings, codec, roles)
+        processed = _process(
+            spark, chosen, inspected, facts, contract, settings, codec, roles
+        )
 
     gates = spark.createDataFrame(
         list(processed.items()), "batch_year smallint, duplicate_detection_skipped boolean"
@@ -195,6 +212,7 @@ def _process(
     spark: SparkSession,
     batches: Sequence[BatchFile],
     inspected: DataFrame,
+    facts: DataFrame | None,
     contract: Contract,
     settings: Settings,
     codec: str,
@@ -208,6 +226,7 @@ def _process(
         encoding=settings.encoding,
         delimiter=settings.delimiter,
         name_pattern=settings.name_pattern,
+        facts=facts,
     )
     problems = dict(raw.problems)
     usable = [b.year for b in batches if b.year < min(problems, default=1 << 15)]

@@ -167,6 +167,13 @@ def line_facts(
     )
 
 
+def large_files(
+    batches: Sequence[BatchFile], whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> list[str]:
+    """Paths of the files that are hashed line by line."""
+    return [batch.path for batch in batches if batch.size_bytes > whole_file_bytes]
+
+
 def pair_quotes(text: Column) -> Column:
     """Each pair of quotes and what it encloses as one mark; an unpaired quote stays."""
     return F.regexp_replace(text, '"[^"]*"', "\x01")
@@ -184,8 +191,12 @@ def inspect_batches(
     *,
     algorithm: str = "sha256",
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
-    """Size and checksum of every batch file (see ``BATCHES``)."""
+    """Size and checksum of every batch file (see ``BATCHES``).
+
+    ``facts`` are the ``line_facts`` of the large files, if they are known already.
+    """
     name = algorithm.strip().lower() if isinstance(algorithm, str) else ""
     if name not in _WHOLE_FILE_DIGESTS:
         raise ValueError(f"unsupported hash algorithm: {algorithm!r}")
@@ -195,7 +206,7 @@ def inspect_batches(
     )
     # An empty file gives no row in either scan; it counts as the digest of nothing.
     small = [b.path for b in batches if 0 < b.size_bytes <= whole_file_bytes]
-    large = [b.path for b in batches if b.size_bytes > whole_file_bytes]
+    large = large_files(batches, whole_file_bytes)
     parts = [
         listed.where("size_bytes = 0").select(
             "file_name", F.lit(name).alias("checksum_algorithm"),
@@ -213,7 +224,7 @@ def inspect_batches(
         )
     if large:
         parts.append(
-            line_facts(spark, large).select(
+            (line_facts(spark, large) if facts is None else facts).select(
                 "file_name", F.lit(LINE_DIGEST).alias("checksum_algorithm"),
                 F.col("digest").alias("checksum"),
             )

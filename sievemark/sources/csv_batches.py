@@ -142,8 +142,12 @@ def read_batches(
     encoding: str = "utf-8",
     delimiter: str = ",",
     name_pattern: str = NAME_PATTERN,
+    facts: DataFrame | None = None,
 ) -> RawBatches:
-    """All records of the batches as text, with batch year and source row number."""
+    """All records of the batches as text, with batch year and source row number.
+
+    ``facts`` are the ``line_facts`` of some of the files, which are not scanned again.
+    """
     years = [batch.year for batch in batches]
     if len(years) != len(set(years)):
         raise ValueError("there must be one file per batch year")
@@ -153,16 +157,17 @@ def read_batches(
             problems[batch.year].append("file has no header")
 
     full = [batch for batch in batches if batch.size_bytes > 0]
-    facts = {}
-    if full:
-        scan = line_facts(spark, [batch.path for batch in full], delimiter=delimiter)
-        # One row per batch file.
-        facts = {row.file_name: row for row in scan.drop("digest").collect()}
+    # One row per batch file.
+    known = {row.file_name: row for row in facts.drop("digest").collect()} if facts else {}
+    unknown = [batch.path for batch in full if batch.name not in known]
+    if unknown:
+        scan = line_facts(spark, unknown, delimiter=delimiter).drop("digest")
+        known |= {row.file_name: row for row in scan.collect()}
     by_bytes = encoding.lower().replace("_", "-") in {"utf-8", "utf8", "ascii", "us-ascii"}
     ascii_based = not encoding.lower().startswith(("utf-16", "utf16", "utf-32", "utf32"))
     split, whole = [], []
     for batch in full:
-        fact = facts.get(batch.name)
+        fact = known.get(batch.name)
         if by_bytes and fact is not None and not fact.valid_utf8:
             problems[batch.year].append(f"file does not decode as {encoding}")
             continue

@@ -136,6 +136,13 @@ def test_one_file(spark, tmp_path):
     assert ids(spark, tmp_path) == []
 
 
+def test_large_files_are_hashed_by_lines(spark, tmp_path):
+    put(tmp_path, 2019, SEVEN)
+    row = run(spark, tmp_path, whole_file_bytes=10)[2019]
+    assert (row.status, row.checksum_algorithm, row.accepted) == ("processed", "xxhash64-lines", 5)
+    assert run(spark, tmp_path, whole_file_bytes=10)[2019].status == "skipped"
+
+
 def test_nothing_to_do(spark, tmp_path):
     (tmp_path / "incoming").mkdir()
     assert run(spark, tmp_path) == {}
