@@ -14,7 +14,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
