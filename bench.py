@@ -35,7 +35,7 @@ HEADLINE = [
     "publish_curated_roundtrip",
 ]
 RUNS = 3
-SECONDS_PER_QUERY = 20
+SECONDS_PER_QUERY = 10
 
 
 def main() -> None:

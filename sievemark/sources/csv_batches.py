@@ -4,8 +4,9 @@ Every field is a string and blanks stay ``''``. The header is read as data, whic
 gives the header check, the records and their positions in one scan. Two extra
 columns tell records that have too many fields.
 
-Files in which no record spans lines are split among tasks. Others must be read
-one file per task, as Spark does for ``multiLine``. Either way the parsed records
+Files in which no record spans lines are split among tasks. Others are read one
+file per task, as Spark does for ``multiLine``, up to a size limit; beyond it their
+records are assembled from lines (``long_records``). In every case the parsed records
 are stored once as a columnar table, and all later work reads that.
 """
 
@@ -22,11 +23,20 @@ from ..functions import as_text, is_blank
 from ..operators.row_numbers import number_runs
 from ..operators.validate import BATCH, ROW
 from ..plans.durable import stored
-from .batches import NAME_PATTERN, BatchFile, batch_year, line_facts, pair_quotes
+from .batches import (
+    NAME_PATTERN,
+    WHOLE_FILE_BYTES,
+    BatchFile,
+    batch_year,
+    line_facts,
+    pair_quotes,
+)
+from .long_records import long_records
 
 _EXTRA = "__extra"
 _RECORD = "__record"
 _HEADER_ROW = 1
+NOT_CLOSED = "file is malformed: a quoted field is not closed"
 
 
 @dataclass(frozen=True)
@@ -59,6 +69,24 @@ def _left_open(delimiter: str) -> Column:
     return pair_quotes(F.col(_RECORD)).rlike(rf'(?:\A|[{re.escape(delimiter)}\x01\n])"')
 
 
+def _fields(columns: Sequence[str]) -> list[str]:
+    return [f"__f{index}" for index in range(len(columns))]
+
+
+def _options(encoding: str, delimiter: str) -> dict[str, str]:
+    return {
+        "columnNameOfCorruptRecord": _RECORD,
+        "escape": '"',
+        "encoding": encoding,
+        "sep": delimiter,
+    }
+
+
+def _schema(columns: Sequence[str]) -> T.StructType:
+    names = [*_fields(columns), _EXTRA, _RECORD]
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
 def _parse(
     spark: SparkSession,
     batches: Sequence[BatchFile],
@@ -69,30 +97,52 @@ def _parse(
     whole: bool,
     name_pattern: str,
 ) -> DataFrame:
-    fields = [f"__f{index}" for index in range(len(columns))]
-    schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in [*fields, _EXTRA, _RECORD]]
-    )
+    """Records as Spark's reader gives them; ``whole`` files are read in one task each."""
     records = (
-        spark.read.schema(schema)
-        .option("columnNameOfCorruptRecord", _RECORD)
-        .option("header", False)
-        .option("multiLine", whole)
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("sep", delimiter)
+        spark.read.schema(_schema(columns))
+        .options(**_options(encoding, delimiter), header="false", multiLine=str(whole).lower())
         .csv([batch.path for batch in batches])
     )
     filled = F.col(_EXTRA).isNotNull() | F.col(_RECORD).isNull() | F.expr(f"NOT {is_blank(_RECORD)}")
     present = records.where(filled)  # blank lines are not records
-    header = F.array(*[F.col(name) for name in [*fields, _EXTRA]])
-    return present.select(
-        batch_year(F.col("_metadata.file_name"), name_pattern).alias(BATCH),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__position"),
+    return _checked(
+        present.select(
+            "*",
+            batch_year(F.col("_metadata.file_name"), name_pattern).alias(BATCH),
+            F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__position"),
+        ),
+        columns,
+        delimiter,
+        _left_open(delimiter) if whole else F.lit(False),
+    )
+
+
+def _parse_long(
+    records: DataFrame, columns: Sequence[str], *, delimiter: str, name_pattern: str
+) -> DataFrame:
+    """Records that were assembled from lines."""
+    schema = ", ".join(f"{field.name} string" for field in _schema(columns).fields)
+    parsed = F.from_csv("text", schema, _options("utf-8", delimiter))
+    rows = records.select(
+        batch_year(F.col("file_name"), name_pattern).alias(BATCH),
+        F.lit(0).cast("bigint").alias("__block"),
+        F.col("number").alias("__position"),
+        parsed.alias("__parsed"),
+    )
+    flat = rows.select(BATCH, "__block", "__position", "__parsed.*")
+    return _checked(flat, columns, delimiter, F.lit(False))
+
+
+def _checked(records: DataFrame, columns: Sequence[str], delimiter: str, opened: Column) -> DataFrame:
+    fields = _fields(columns)
+    return records.select(
+        BATCH,
+        "__block",
+        "__position",
         _too_long(len(columns), delimiter).alias("__long"),
-        (_left_open(delimiter) if whole else F.lit(False)).alias("__open"),
-        header.alias("__values"),
+        opened.alias("__open"),
+        F.array(*[F.col(name) for name in [*fields, _EXTRA]]).alias("__values"),
         *[F.expr(as_text(name)).alias(f"__c{index}") for index, name in enumerate(fields)],
     )
 
@@ -143,6 +193,7 @@ def read_batches(
     delimiter: str = ",",
     name_pattern: str = NAME_PATTERN,
     facts: DataFrame | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> RawBatches:
     """All records of the batches as text, with batch year and source row number.
 
@@ -163,16 +214,22 @@ def read_batches(
     if unknown:
         scan = line_facts(spark, unknown, delimiter=delimiter).drop("digest")
         known |= {row.file_name: row for row in scan.collect()}
+    latin = encoding.lower().replace("_", "-") in {"iso-8859-1", "latin-1", "latin1"}
     by_bytes = encoding.lower().replace("_", "-") in {"utf-8", "utf8", "ascii", "us-ascii"}
     ascii_based = not encoding.lower().startswith(("utf-16", "utf16", "utf-32", "utf32"))
-    split, whole = [], []
+    split, whole, long = [], [], []
     for batch in full:
         fact = known.get(batch.name)
         if by_bytes and fact is not None and not fact.valid_utf8:
             problems[batch.year].append(f"file does not decode as {encoding}")
             continue
         simple = ascii_based and fact is not None and fact.one_line_records
-        (split if simple else whole).append(batch)
+        if simple:
+            split.append(batch)
+        elif (by_bytes or latin) and batch.size_bytes > whole_file_bytes:
+            long.append(batch)
+        else:
+            whole.append(batch)
 
     parsed = None
     for chosen, one_task in ((split, False), (whole, True)):
@@ -187,6 +244,17 @@ def read_batches(
                 name_pattern=name_pattern,
             )
             parsed = part if parsed is None else parsed.unionByName(part)
+    if long:
+        paths = [batch.path for batch in long]
+        charset = "iso-8859-1" if latin else "utf-8"
+        found = long_records(spark, paths, delimiter=delimiter, encoding=charset)
+        for batch in long:
+            if batch.name in found.unclosed:
+                problems[batch.year].append(NOT_CLOSED)
+        part = _parse_long(
+            found.records, columns, delimiter=delimiter, name_pattern=name_pattern
+        )
+        parsed = part if parsed is None else parsed.unionByName(part)
     if parsed is None:
         schema = ", ".join(f"`{name}` string" for name in columns)
         nothing = spark.createDataFrame([], f"{schema}, {BATCH} smallint, {ROW} bigint")
@@ -212,13 +280,13 @@ def read_batches(
             header.pop()
         found.extend(header_problems(["" if name is None else name for name in header], columns))
         if row.last["__open"]:
-            found.append("file is malformed: a quoted field is not closed")
+            found.append(NOT_CLOSED)
         if row.long_rows:
             found.append(f"file is malformed: {row.long_rows} records have too many fields")
         if row.data_rows == 0:
             found.append("file has no data rows")
-    for batch in split + whole:
-        if batch.year not in counts:
+    for batch in split + whole + long:
+        if batch.year not in counts and not problems[batch.year]:
             problems[batch.year].append("file has no header")
 
     rows = records.where(~is_header).select(

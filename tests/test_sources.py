@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 
@@ -130,6 +131,50 @@ def test_reading_keeps_text_and_positions(spark, tmp_path):
     ]
 
 
+def spanning_text(seed):
+    """Records with quoted delimiters, quotes and line breaks, and quotes inside plain fields."""
+    rng = random.Random(seed)
+    cells = ["x", "", 'a "q" b', 'say ""', "two\nlines", "\n\n", ',\n"', '5" pipe', "a,b", '"', " y"]
+    lines = ["a,b,c"]
+    for number in range(400):
+        row = [str(number), rng.choice(cells), rng.choice(cells)]
+        plain = [c for c in row]
+        for index, cell in enumerate(row):
+            if set(cell) & set(',\n"') and cell != '5" pipe':
+                plain[index] = '"' + cell.replace('"', '""') + '"'
+        lines.append(",".join(plain))
+        if rng.random() < 0.1:
+            lines.append("")
+    return "\n".join(lines) + "\n"
+
+
+def test_long_records_are_found_in_splits(spark, tmp_path):
+    """Large files whose records span lines give the same rows as reading them whole."""
+    folder = write(
+        tmp_path,
+        y2019="\ufeff" + spanning_text(1),
+        y2020=spanning_text(2),
+        y2021=HEAD + '1,"open\n2,3,4\n',
+        y2022=HEAD + '1,"x\ny",3,4\n',
+    )
+    batches = discover(spark, folder)
+    whole = read_batches(spark, batches, ["a", "b", "c"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    expected = [tuple(r) for r in whole.rows.where("batch_year < 2021").collect()]
+    assert len(expected) == 800
+    try:
+        for size in ("700", "2500", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            long = read_batches(spark, batches, ["a", "b", "c"], whole_file_bytes=1)
+            found = [tuple(r) for r in long.rows.where("batch_year < 2021").collect()]
+            assert sorted(found) == sorted(expected)
+            assert sorted(long.problems) == sorted(whole.problems) == [2021, 2022]
+            assert "not closed" in long.problems[2021][0]
+            assert "too many fields" in long.problems[2022][0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @pytest.mark.parametrize(
     ("content", "problem"),
     [
@@ -158,14 +203,19 @@ def test_faulty_files(spark, tmp_path, content, problem):
 
 
 def test_other_encoding_and_delimiter(spark, tmp_path):
-    folder = write(
-        tmp_path, y2019="a;b;c\n1;é;3\n".encode("latin-1"), y2020="a;b;c\n1;ü;3\n".encode("latin-1")
-    )
-    read = read_batches(
-        spark, discover(spark, folder), ["a", "b", "c"], encoding="ISO-8859-1", delimiter=";"
-    )
-    assert read.problems == {}
-    assert sorted(row.b for row in read.rows.collect()) == ["é", "ü"]
+    texts = {"y2019": "a;b;c\n1;é;3\n", "y2020": 'a;b;c\n1;"ü\n;";3\n'}
+    folder = write(tmp_path, **{year: text.encode("latin-1") for year, text in texts.items()})
+    for size in (1000, 1):
+        read = read_batches(
+            spark,
+            discover(spark, folder),
+            ["a", "b", "c"],
+            encoding="ISO-8859-1",
+            delimiter=";",
+            whole_file_bytes=size,
+        )
+        assert read.problems == {}
+        assert sorted(row.b for row in read.rows.collect()) == ["é", "ü\n;"]
 
 
 def test_split_files_keep_their_row_numbers(spark, tmp_path, monkeypatch):
