@@ -101,9 +101,7 @@ def attach_conflicts(df: DataFrame, conflicts: Conflicts, row_id: str) -> DataFr
     batch, number = conflicts.batch, F.col(ID_HELPER)
     if conflicts.unsound_count or conflicts.clash_count:
         flags = conflicts.gated.withColumn(GATED, F.lit(True))
-        rows = df.join(F.broadcast(flags), batch, "left").withColumn(
-            GATED, F.coalesce(GATED, F.lit(False))
-        )
+        rows = df.join(F.broadcast(flags), batch, "left")  # null where not gated
         digest_in_gated = (F.octet_length("key") == _DIGEST_BYTES) & F.col(GATED)
         groups = (
             conflicts.groups.join(F.broadcast(flags), batch, "left")
@@ -114,7 +112,8 @@ def attach_conflicts(df: DataFrame, conflicts: Conflicts, row_id: str) -> DataFr
         rows, groups = df.withColumn(GATED, F.lit(False)), conflicts.groups
 
     if conflicts.group_count == conflicts.unsound_count:  # nothing but gate entries
-        return rows.withColumns({CLASH: F.lit(False), KEPT: F.lit(None).cast("bigint")})
+        nothing = {CLASH: F.lit(False), KEPT: F.lit(None).cast("bigint")}
+        return rows.withColumns({**nothing, GATED: F.coalesce(GATED, F.lit(False))})
 
     key = F.when(F.col(GATED), _identifier_key(number))
     if conflicts.compared:
@@ -135,11 +134,12 @@ def attach_conflicts(df: DataFrame, conflicts: Conflicts, row_id: str) -> DataFr
         group_count=conflicts.group_count,
         grouped_rows=conflicts.grouped_rows,
     )
-    smallest = F.col("__smallest")
+    smallest, gated = F.col("__smallest"), F.coalesce(GATED, F.lit(False))
     return joined.withColumns(
         {
-            CLASH: F.col(GATED) & smallest.isNotNull(),
-            KEPT: F.when(~F.col(GATED) & (smallest < number), smallest),
+            CLASH: gated & smallest.isNotNull(),
+            KEPT: F.when(~gated & (smallest < number), smallest),
+            GATED: gated,
         }
     ).drop("__key", "__smallest")
 
