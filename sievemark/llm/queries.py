@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import winnowing
+from . import decontamination, near_dedup, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +15,65 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    checked = decontamination.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return checked.select(
+        "doc_id",
+        "contamination.n_words",
+        "contamination.n_hit",
+        F.size("contamination.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("contamination.items", ","), 256).alias("items_sha256"),
+        "contamination.contaminated",
+    )
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_fingerprints": op2_fingerprints,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
-ORACLES: dict[str, str] = {}
+_OP1 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item, len(w) < 10 AS short, least(len(w), 10) AS n,
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS content
+  FROM item WHERE len(w) > 0
+), place AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS content
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+), hit AS (
+  SELECT doc_id, i, n, item FROM place JOIN win USING (n, content)
+), word AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": _OP1,
+}
