@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 
 # White space between words, by byte: space, tab, line feed, vertical tab, form feed, return.
-_SPACES = np.zeros(256, bool)
-_SPACES[[32, 9, 10, 11, 12, 13]] = True
+SPACES = np.zeros(256, bool)
+SPACES[[32, 9, 10, 11, 12, 13]] = True
+# All of ASCII but letters and digits.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,14 +51,23 @@ def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, A-Z in lower case, and the number of words before each text."""
+def word_hashes(
+    data: np.ndarray,
+    bounds: np.ndarray,
+    prefix: int | None = None,
+    between: np.ndarray = SPACES,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z in lower case, and the number of words before each text.
+
+    With ``prefix``, only so many bytes of a word count. ``between`` tells by byte what
+    separates words.
+    """
     first_of_text = np.zeros(len(data) + 1, bool)
     first_of_text[bounds] = True
     hashes, starts, at = [], [], 0
     while at < len(data):
-        stop = _next_gap(data, first_of_text, at + PIECE)
-        found, where = _piece(data[at:stop], first_of_text[at:stop])
+        stop = _next_gap(data, first_of_text, at + PIECE, between)
+        found, where = _piece(data[at:stop], first_of_text[at:stop], prefix, between)
         hashes.append(found)
         starts.append(where + at)
         at = stop
@@ -65,28 +76,34 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), bounds)
 
 
-def _next_gap(data: np.ndarray, first_of_text: np.ndarray, at: int) -> int:
+def _next_gap(
+    data: np.ndarray, first_of_text: np.ndarray, at: int, between: np.ndarray
+) -> int:
     """The first place from ``at`` that no word crosses."""
     while at < len(data):
         ahead = slice(at, at + 4096)
-        gaps = np.flatnonzero(_SPACES[data[ahead]] | first_of_text[ahead][: len(data[ahead])])
+        gaps = np.flatnonzero(between[data[ahead]] | first_of_text[ahead][: len(data[ahead])])
         if len(gaps):
             return at + int(gaps[0])
         at += 4096
     return len(data)
 
 
-def _piece(data: np.ndarray, first_of_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece(
+    data: np.ndarray, first_of_text: np.ndarray, prefix: int | None, between: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     low = _LOWER[data]
-    word = ~_SPACES[low]
+    word = ~between[low]
     before = np.empty_like(word)
     before[0] = False
     before[1:] = word[:-1]
     starts = np.flatnonzero(word & (~before | first_of_text))
-    # A word ends where white space or the next text begins.
+    # A word ends where a separator or the next text begins.
     after = np.ones_like(word)
     after[:-1] = ~word[1:] | first_of_text[1:]
     ends = np.flatnonzero(word & after) + 1
+    if prefix is not None:
+        ends = np.minimum(ends, starts + prefix)
     size = 1 << max(20, (len(data) + 1).bit_length())
     up, down = _powers(size)
     sums = np.zeros(len(data) + 1, np.uint64)

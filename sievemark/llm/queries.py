@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, near_dedup, winnowing
+from . import bpe, decontamination, near_dedup, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,30 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = toxicity.judge(docs, _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", "threshold", "rejected")
+
+
+def tokenizer_path() -> str:
+    """Where the public tokenizer file lies; not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, tokenizer_path())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -40,6 +64,8 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_fingerprints": op2_fingerprints,
+    "op6_toxicity": op6_toxicity,
+    "op7_bpe": op7_bpe,
     "op8_near_duplicates": op8_near_duplicates,
 }
 
