@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontamination, near_dedup, toxicity, winnowing
+from . import bpe, chat, decontamination, line_dedup, near_dedup, pseudonyms, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,18 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_runs(docs)
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a setting of the session; the one given here is for these tables only."""
+    key = spark.conf.get("spark.sievemark.pseudonym.key", "public test tables").encode()
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymize(docs, key).withColumn("n_found", F.size("pii"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = toxicity.judge(docs, _table(spark, sf_dir, "labels"))
@@ -61,12 +73,27 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    messages = chat.text_messages(given.unionByName(extra))
+    return chat.read_back(chat.format_turns(messages))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_fingerprints": op2_fingerprints,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_pseudonyms": op4_pseudonyms,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_chat_formatting": op9_chat_formatting,
 }
 
 _OP1 = r"""
@@ -100,6 +127,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# Escaped characters get one more; a turn has 17 characters around its role and text.
+_OP9 = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+    (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(17 + length(role) + length(regexp_replace(role, '[^\\<#>\n]', '', 'g'))
+    + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM given GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_chat_formatting": _OP9,
     "op1_decontamination": _OP1,
 }
