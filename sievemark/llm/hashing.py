@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space between words, by byte: space, tab, line feed, vertical tab, form feed, return.
 SPACES = np.zeros(256, bool)
@@ -51,6 +53,17 @@ def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def slices(texts: pa.Array, most: int = 1 << 22) -> Iterator[pa.Array]:
+    """The texts in order, in runs of about ``most`` bytes, so that arrays stay small."""
+    sizes = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)))
+    at = 0
+    while at < len(texts):
+        done = sizes[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, done + most, "right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def word_hashes(
     data: np.ndarray,
     bounds: np.ndarray,

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.durable import stored
 from .components import components
 from .grouping import per_group
-from .hashing import mix, shingles, text_bytes, word_hashes
+from .hashing import mix, shingles, slices, text_bytes, word_hashes
 
 COORDINATES = 64
 TREES = 3
@@ -60,9 +60,10 @@ def _fingerprint(tokens: np.ndarray) -> bytes:
 
 
 def _sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
-    hashes, firsts = word_hashes(*text_bytes(texts))
-    for i in range(len(firsts) - 1):
-        yield shingles(hashes[firsts[i] : firsts[i + 1]], k)
+    for part in slices(texts):
+        hashes, firsts = word_hashes(*text_bytes(part))
+        for i in range(len(firsts) - 1):
+            yield shingles(hashes[firsts[i] : firsts[i + 1]], k)
 
 
 def describe(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontamination, line_dedup, near_dedup, pseudonyms, toxicity, winnowing
+from . import (
+    bpe,
+    chat,
+    decontamination,
+    html_text,
+    line_dedup,
+    near_dedup,
+    pseudonyms,
+    toxicity,
+    url_rules,
+    winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +55,23 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymize(docs, key).withColumn("n_found", F.size("pii"))
 
 
+LISTED = [
+    url_rules.Listed("block", "net/"),
+    url_rules.Listed("allow", "example.net/en/"),
+    url_rules.Listed("block", "example.com/de/"),
+    url_rules.Listed("allow", "org/fr/"),
+]
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled by the document of its number: bad if of low quality or toxic."""
+    labels = _table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad"),
+    )
+    return url_rules.judge(_table(spark, sf_dir, "pages"), labels, LISTED)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = toxicity.judge(docs, _table(spark, sf_dir, "labels"))
@@ -85,15 +113,21 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(messages))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_fingerprints": op2_fingerprints,
     "op3_line_dedup": op3_line_dedup,
     "op4_pseudonyms": op4_pseudonyms,
+    "op5_url_rules": op5_url_rules,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_html_text": op10_html_text,
 }
 
 _OP1 = r"""

@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .hashing import MARKS, text_bytes, word_hashes
+from .hashing import MARKS, slices, text_bytes, word_hashes
 
 SAMPLE_DOCS = 12_000
 SAMPLE_CHARS = 60_000_000
@@ -323,12 +323,16 @@ def training_sample(
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, stems, firsts = _buckets(batch.column("text"))
-            cut = [slice(a, b) for a, b in zip(firsts[:-1], firsts[1:])]
+            own_words, own_stems = [], []
+            for part in slices(batch.column("text")):
+                words, stems, firsts = _buckets(part)
+                for a, b in zip(firsts[:-1], firsts[1:]):
+                    own_words.append(words[a:b].tobytes())
+                    own_stems.append(stems[a:b].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([words[c].tobytes() for c in cut], pa.binary()),
-                    pa.array([stems[c].tobytes() for c in cut], pa.binary()),
+                    pa.array(own_words, pa.binary()),
+                    pa.array(own_stems, pa.binary()),
                     batch.column("toxic"),
                     batch.column("lang"),
                     batch.column("doc_id"),
@@ -357,7 +361,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.score(batch.column("text"))
+            scores = [shared.value.score(part) for part in slices(batch.column("text"))]
+            scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("kept"), pa.array(scores, pa.float64())], ["kept", "score"]
             )
