@@ -7,23 +7,26 @@ from pyspark.sql import DataFrame, functions as F
 from ..plans.durable import stored
 
 
+EDGES_PER_PART = 100_000
+LEAST_PARTS = 6
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): the smallest node it is connected to.
 
     Each round hangs every node's neighbours on the smallest of them. No node's neighbours
     are ever gathered: minima are aggregated, then joined back, so a node with very many
     edges costs no single task more than its share. Rounds grow with the logarithm of the
-    size; each is written to the checkpoint folder.
+    size; each is written to the checkpoint folder, in as many tasks as its edges call for.
     """
-    current = stored(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct(),
-        "edges",
-    )
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    current = stored(edges, "edges")
     state = _state(current)
+    # The number of edges never grows beyond twice what it was.
+    parts = max(LEAST_PARTS, state[0] // EDGES_PER_PART)
     while state[0]:
-        current = stored(_small_star(_large_star(current)), "edges")
+        large = _large_star(current).coalesce(parts)
+        current = stored(_small_star(large).coalesce(parts), "edges")
         before, state = state, _state(current)
         if state == before:
             break
@@ -46,7 +49,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
         .where("v > u")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
         .where("u <> v")
-        .distinct()
     )
 
 

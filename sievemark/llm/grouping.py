@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame
 
 
 def per_group(
-    df: DataFrame, keys: list[str], use: Callable[[pa.Table], pa.Table | None], schema: str
+    df: DataFrame,
+    keys: list[str],
+    use: Callable[[pa.Table], pa.Table | None],
+    schema: str,
+    parts: int | None = None,
 ) -> DataFrame:
     """``use`` of every group, like ``applyInArrow`` but without its cost per group.
 
-    For many groups of bounded size: a task holds one batch and one group at a time.
+    For many groups of bounded size: a task holds one batch and one group at a time. ``parts``
+    is the most tasks that the rows are worth.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -30,7 +35,10 @@ def per_group(
         if held:
             yield from _made(use, pa.Table.from_batches(held))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    dealt = df.repartition(*keys)
+    if parts is not None:
+        dealt = dealt.coalesce(parts)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def _starts(table: pa.Table, keys: list[str]) -> list[int]:

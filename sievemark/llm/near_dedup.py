@@ -37,10 +37,12 @@ from .hashing import mix, shingles, slices, text_bytes, word_hashes
 
 COORDINATES = 64
 TREES = 3
-SMALL = 256
+SMALL = 1024
 BLOCK = 256
 BLOCK_SHINGLES = 2_000_000
 MAX_BROADCAST = 1_000_000  # rows of about 30 bytes
+ROWS_PER_PART = 20_000  # of signatures or sets, in one task
+LEAST_PARTS = 12
 _A = np.random.default_rng(7).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LINKS = "a bigint, b bigint"
 
@@ -92,6 +94,7 @@ def describe(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "t
 
 def _classes(sets: DataFrame) -> DataFrame:
     """One row per distinct set; ``class`` is the number of one of its rows."""
+    parts = max(LEAST_PARTS, sets.count() // ROWS_PER_PART)
     return stored(
         sets.where("n > 0")
         .groupBy("fingerprint")
@@ -101,7 +104,8 @@ def _classes(sets: DataFrame) -> DataFrame:
             F.count("*").alias("rows"),
             F.first("n").alias("n"),
             F.first("signature").alias("signature"),
-        ),
+        )
+        .coalesce(parts),
         "classes",
     )
 
@@ -212,20 +216,25 @@ def clusters(classes: DataFrame, percent: int) -> DataFrame | None:
     signatures = classes.select("class", "signature")
     members = signatures.select("class", F.explode(_roots()).alias("node"))
     links = []
+    # Few rows are not worth as many tasks as a large shuffle has.
+    parts = max(LEAST_PARTS, classes.count() * 2 * TREES // ROWS_PER_PART)
     while True:
-        members = stored(members, "members")
+        members = stored(members.coalesce(parts), "members")
         counts = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        placed = members.join(counts, "node").join(signatures, "class")
+        placed = stored(
+            members.join(counts, "node").coalesce(parts).join(signatures, "class").coalesce(parts),
+            "placed",
+        )
         small = placed.where(F.col("size") <= SMALL)
         links.append(
             stored(
                 per_group(
-                    small.select("node", "class", "signature"), ["node"], _alike(alike), _LINKS
+                    small.select("node", "class", "signature"), ["node"], _alike(alike), _LINKS, parts
                 ),
                 "links",
             )
         )
-        large = stored(placed.where(F.col("size") > SMALL), "large")
+        large = placed.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
         sample = large.where(
@@ -236,11 +245,13 @@ def clusters(classes: DataFrame, percent: int) -> DataFrame | None:
             ["node"],
             _elect,
             "node bigint, leader bigint, leader_signature binary",
+            parts,
         )
         compared = stored(
             large.join(leaders, "node", "left")
             .where("leader is not null")
             .select("node", "class", "signature", "leader", "leader_signature")
+            .coalesce(parts)
             .mapInArrow(_agreement, "node bigint, class bigint, leader bigint, same int"),
             "compared",
         )
@@ -332,6 +343,7 @@ def _full_sets(
 
 def exact_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links inside clusters, enough of them to connect what is connected."""
+    parts = max(4 * LEAST_PARTS, sets.count() // 200)
     sizes = sets.groupBy("label").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     block = F.greatest(F.lit(BLOCK), F.least(F.lit(8192), F.ceil(F.col("members") / 16)))
     blocks = F.greatest(
@@ -350,7 +362,7 @@ def exact_links(sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("meet", F.explode(meets))
         .select("label", "meet.low", "meet.high", "class", "side", "tokens")
     )
-    return per_group(meeting, ["label", "low", "high"], _exact(percent), _LINKS)
+    return per_group(meeting, ["label", "low", "high"], _exact(percent), _LINKS, parts)
 
 
 def near_duplicates(
