@@ -74,18 +74,22 @@ def describe(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, prints, signatures = [], [], []
-            for tokens in _sets_of(batch.column(1), k):
+            for tokens in _sets_of(batch.column("text"), k):
                 size.append(len(tokens))
                 prints.append(_fingerprint(tokens) if len(tokens) else None)
                 signatures.append(_signature(tokens).tobytes() if len(tokens) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()),
-                 pa.array(signatures, pa.binary())],
-                ["doc_id", "n", "fingerprint", "signature"],
+                [batch.column("doc_id"), batch.column("version"), pa.array(size, pa.int64()),
+                 pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())],
+                ["doc_id", "version", "n", "fingerprint", "signature"],
             )
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id bigint, n bigint, fingerprint binary, signature binary"
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.xxhash64(text_col).alias("version"),
+        F.col(text_col).alias("text"),
+    )
+    schema = "doc_id bigint, version bigint, n bigint, fingerprint binary, signature binary"
     # The numbers are fixed once the table is written.
     return stored(
         rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "sets"
@@ -365,16 +369,13 @@ def exact_links(sets: DataFrame, percent: int) -> DataFrame:
     return per_group(meeting, ["label", "low", "high"], _exact(percent), _LINKS, parts)
 
 
-def near_duplicates(
-    docs: DataFrame,
-    k: int = 5,
-    percent: int = 80,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def grouped(
+    docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: set size, the least id of its component, and whether it has that id.
+    """(row, doc_id, version, n, label) per row; rows of one component share a label.
 
-    ``row`` numbers the rows, so that one of several with the least id can be told apart.
+    ``row`` numbers the rows and ``version`` is a hash of the text; rows that are linked with no
+    other have no label.
     """
     sets = describe(docs, k, id_col, text_col)
     classes = _classes(sets)
@@ -383,26 +384,71 @@ def near_duplicates(
         classes.select("class", F.col("doc_id").alias("id"), "fingerprint"), "class"
     )
     full = stored(
-        _full_sets(docs, wanted, k, id_col, text_col).dropDuplicates(["class"]), "full_sets"
+        _full_sets(docs, stored(wanted, "wanted"), k, id_col, text_col).dropDuplicates(["class"]),
+        "full_sets",
     )
     linked = components(exact_links(full, percent)).withColumnRenamed("node", "class")
-    labelled = (
-        classes.select("class", "fingerprint", "doc_id", "rows")
+    labels = (
+        classes.select("class", "fingerprint", "rows")
         .join(linked, "class", "left")
         .where("rows > 1 or label is not null")
-        .select("fingerprint", "doc_id", F.coalesce("label", "class").alias("label"))
+        .select("fingerprint", F.coalesce("label", "class").alias("label"))
     )
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("least"))
-    groups = labelled.join(least, "label").select("fingerprint", "least", F.lit(True).alias("grouped"))
-    component = F.when(F.col("grouped"), F.col("least")).otherwise(F.col("doc_id"))
-    return (
-        sets.select("row", "doc_id", "n", "fingerprint")
-        .join(groups, "fingerprint", "left")
-        .select(
-            "row",
-            F.col("doc_id").alias(id_col),
-            F.col("n").alias("n_shingles"),
-            component.alias("component_id"),
-            F.col("doc_id").eqNullSafe(component).alias("kept"),
-        )
+    return sets.select("row", "doc_id", "version", "n", "fingerprint").join(
+        labels, "fingerprint", "left"
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    k: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Per row: set size, the least id of its component, and whether it has that id."""
+    rows = stored(grouped(docs, k, percent, id_col, text_col), "grouped")
+    least = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    component = F.when(F.col("label").isNotNull(), F.col("least")).otherwise(F.col("doc_id"))
+    return rows.join(least, "label", "left").select(
+        "row",
+        F.col("doc_id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
+    )
+
+
+def keep_one(
+    docs: DataFrame,
+    k: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, then of the least text hash."""
+    rows = stored(grouped(docs, k, percent, id_col, text_col), "grouped").where("label is not null")
+    key = F.struct("doc_id", "version")
+    first = rows.groupBy("label").agg(F.min(key).alias("first"))
+    marked = rows.join(first, "label").select(
+        "doc_id", "version", key.eqNullSafe(F.col("first")).alias("stays")
+    )
+    keys = stored(
+        marked.groupBy("doc_id", "version", "stays").agg(F.count("*").alias("copies")), "keys"
+    )
+    gone, repeated = keys.where("not stays"), keys.where("stays and copies > 1")
+    rest = _by_key(docs, gone, "left_anti", id_col, text_col)
+    if repeated.isEmpty():
+        return rest
+    once = _by_key(rest, repeated, "left_semi", id_col, text_col).dropDuplicates([id_col, text_col])
+    return _by_key(rest, repeated, "left_anti", id_col, text_col).unionByName(once)
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
+    keys = keys.select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"))
+    if keys.count() <= MAX_BROADCAST:
+        keys = F.broadcast(keys)
+    same = docs[id_col].cast("bigint").eqNullSafe(F.col("__id")) & (
+        F.xxhash64(docs[text_col]) == F.col("__version")
     )
+    return docs.join(keys, same, how)
