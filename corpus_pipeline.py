@@ -1,10 +1,77 @@
-"""A corpus pipeline: documents pass one operator after another, each written and read again."""
+"""A corpus pipeline: documents pass one operator after another, each written and read again.
+
+Every stage takes the documents that the one before it kept, whole, and returns their columns; the last
+returns their tokens. Extra columns of documents are carried along. Empty tables pass through.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sievemark.llm import bpe, decontamination, line_dedup, near_dedup, toxicity
+from sievemark.llm.queries import tokenizer_path
+from sievemark.plans.durable import stored
+
+# A text of which half repeats earlier ones is a copy as a document: near-duplicate removal,
+# which comes next and needs whole texts, decides about it.
+SPARE = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold of their language go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = toxicity.judge(docs, labels)
+    return judged.where(~F.col("rejected")).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines go, and documents of which nothing is left."""
+    cut = line_dedup.drop_repeated_runs(docs, spare=SPARE)
+    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    return left.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: the one with the least id."""
+    return near_dedup.keep_one(docs, k=5, percent=80).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    checked = decontamination.contamination(docs, items)
+    return checked.where(~F.col("contamination.contaminated")).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of each document, and a digest of what they decode to."""
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
+    return encoded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+# Training a classifier and byte-pair encoding are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
