@@ -124,7 +124,9 @@ class Encoder:
                 continue
             own = self.words(part)
             last = goes_on and i == len(parts) - 1
-            words += [self._word(w) for w in (own[:-1] if last else own)]
+            whole = own[:-1] if last else own
+            self._ids(whole)
+            words += [self.known[w] for w in whole]
             if last and own:
                 words.append(self._word(own[-1], ending=False))
         sizes = [len(w) // 4 for w in words]

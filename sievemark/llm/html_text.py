@@ -62,6 +62,10 @@ _IMPLIED = {
     "body": ({"head"}, set()),
 }
 _SCOPES = {"table", "td", "th", "caption", "button", "template", "html"}
+_TABLE_FRAMES = {"table", "thead", "tbody", "tfoot", "tr"}
+_IN_TABLE = set(
+    "caption colgroup col thead tbody tfoot tr td th script style template form input".split()
+)
 _HEAD = set("base link meta title style script noscript template".split())
 _GAP = re.compile(r"[ \t\n\r\f]+")
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
@@ -129,7 +133,20 @@ class TreeBuilder:
             return
         if self.open[-1].name == "head" and raw.strip():
             self.open.pop()
-        self.open[-1].children.append(unescape(raw) if "&" in raw else raw)
+        self._put(unescape(raw) if "&" in raw else raw, bool(raw.strip()))
+
+    def _put(self, child: Element | str, shown: bool) -> None:
+        """Add to the innermost open element; what a table cannot hold goes before the table."""
+        if not shown or self.open[-1].name not in _TABLE_FRAMES:
+            self.open[-1].children.append(child)
+            return
+        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].name == "table"), 0)
+        if at == 0:
+            self.open[-1].children.append(child)
+            return
+        siblings = self.open[at - 1].children
+        place = next(i for i in range(len(siblings) - 1, -1, -1) if siblings[i] is self.open[at])
+        siblings.insert(place, child)
 
     def _close_to(self, names: set[str], scope: set[str]) -> None:
         """End the outermost of the named elements that is open within the scope."""
@@ -156,7 +173,7 @@ class TreeBuilder:
         if name in ("td", "th") and self.open[-1].name in ("table", "tbody", "thead", "tfoot"):
             self.start("tr", {})
         new = Element(name, attributes)
-        self.open[-1].children.append(new)
+        self._put(new, name not in _IN_TABLE)
         if name not in _VOID and len(self.open) < DEEPEST:
             self.open.append(new)
 

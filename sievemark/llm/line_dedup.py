@@ -33,7 +33,6 @@ from .hashing import mix
 
 RUN = 3
 WINDOW = 3
-MAX_BROADCAST = 1_000_000  # rows of some tens of bytes
 _BREAK = re.compile(r"((?<=[.!?])[ \t]+|\n)")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,31 +76,44 @@ def _near(lines: np.ndarray, at: int, step: int, window: int) -> list[int]:
 def fingerprints(
     docs: DataFrame, run: int, window: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(hash, id, version, place, before, after) of all selected runs."""
+    """(hash, id, version, spots): the selected runs of each text, one row per hash.
+
+    A text that repeats itself has many spots of one hash, but a single row. A spot is a place
+    and the lines next to the run on both sides.
+    """
+    spot_type = pa.struct(
+        [("place", pa.int32()), ("before", pa.list_(pa.int64())), ("after", pa.list_(pa.int64()))]
+    )
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, place, hashes, before, after = [], [], [], [], []
+            row, hashes, spots = [], [], []
             for i, text in enumerate(batch.column("text")):
-                lines = line_hashes(text.as_py()).view(np.uint64)
+                lines = line_hashes(text.as_py())
                 places, found = select(lines, run, window)
                 signed = lines.view(np.int64)
-                row += [i] * len(places)
-                place.append(places)
-                hashes.append(found.view(np.int64))
-                before += [_near(signed, p - 1, -1, window) for p in places.tolist()]
-                after += [_near(signed, p + run, 1, window) for p in places.tolist()]
+                own: dict[int, list] = {}
+                for hash_, p in zip(found.view(np.int64).tolist(), places.tolist()):
+                    spot = (p, _near(signed, p - 1, -1, window), _near(signed, p + run, 1, window))
+                    own.setdefault(hash_, []).append(spot)
+                row += [i] * len(own)
+                hashes += own.keys()
+                spots += own.values()
             at = pa.array(row, pa.int64())
+            ends = np.cumsum([0, *map(len, spots)])
+            place, before, after = zip(*(s for one in spots for s in one)) if spots else ((), (), ())
+            flat = pa.StructArray.from_arrays(
+                [pa.array(values, field.type) for values, field in zip((place, before, after), spot_type)],
+                fields=list(spot_type),
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(hashes) if hashes else [], pa.int64()),
+                    pa.array(hashes, pa.int64()),
                     batch.column("id").take(at),
                     batch.column("version").take(at),
-                    pa.array(np.concatenate(place).astype(np.int32) if place else [], pa.int32()),
-                    pa.array(before, pa.list_(pa.int64())),
-                    pa.array(after, pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
                 ],
-                ["hash", "id", "version", "place", "before", "after"],
+                ["hash", "id", "version", "spots"],
             )
 
     rows = docs.select(
@@ -111,7 +123,8 @@ def fingerprints(
     )
     return rows.mapInArrow(
         of,
-        "hash bigint, id bigint, version bigint, place int, before array<bigint>, after array<bigint>",
+        "hash bigint, id bigint, version bigint, "
+        "spots array<struct<place: int, before: array<bigint>, after: array<bigint>>>",
     )
 
 
@@ -133,18 +146,20 @@ def repeated_runs(
 ) -> DataFrame:
     """(id, version, runs): the lines, from start up to stop, that repeat earlier ones."""
     found = stored(fingerprints(docs, run, window, id_col, text_col), "line_prints")
-    again = stored(
-        found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "again"
+    again = found.groupBy("hash").agg(
+        F.count("*").alias("texts"), F.max(F.size("spots")).alias("spots")
     )
-    if again.count() <= MAX_BROADCAST:
-        again = F.broadcast(again)
+    again = again.where("texts > 1 or spots > 1").select("hash")
+    # Both joins are left to Spark: a hash with very many rows is split among tasks.
     shared = stored(found.join(again, "hash"), "shared_prints")
     first = (
         shared.groupBy("hash")
-        .agg(F.min(F.struct("id", "version", "place", "before", "after")).alias("a"))
+        .agg(F.min(F.struct("id", "version", F.col("spots")[0].alias("spot"))).alias("a"))
         .select(
             "hash",
-            *[F.col(f"a.{n}").alias(f"first_{n}") for n in ("id", "version", "place", "before", "after")],
+            F.col("a.id").alias("first_id"),
+            F.col("a.version").alias("first_version"),
+            *[F.col(f"a.spot.{n}").alias(f"first_{n}") for n in ("place", "before", "after")],
         )
     )
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))
@@ -152,6 +167,7 @@ def repeated_runs(
     right = _agree("after", "first_after", window)
     return (
         shared.join(first, "hash")
+        .select("*", F.inline("spots"))
         # Within one document a run must begin after its anchor ends.
         .where(~same | (F.col("place") >= F.col("first_place") + run))
         .select(
@@ -168,7 +184,7 @@ def repeated_runs(
 
 
 def _without(text: str, runs: list[dict], spare: float | None) -> tuple[str, int, int]:
-    """The text without the runs, its lines, and how many of them went."""
+    """The text without the runs, how many lines went, and how many are left."""
     pieces, lines = split_lines(text)
     gone = np.zeros(len(lines) + 1, bool)
     for one in runs:
@@ -177,11 +193,11 @@ def _without(text: str, runs: list[dict], spare: float | None) -> tuple[str, int
     if spare is not None and len(lines):
         size = np.array([len(pieces[i]) for i in lines])
         if size[gone].sum() >= spare * size.sum():
-            return text, len(lines), 0
+            return text, 0, len(lines)
     # What is no line goes with the line before it.
     owner = np.searchsorted(lines, np.arange(len(pieces)), "right") - 1
     kept = [p for p, o in zip(pieces, owner.tolist()) if o < 0 or not gone[o]]
-    return "".join(kept), len(lines), int(gone.sum())
+    return "".join(kept), int(gone.sum()), int((~gone).sum())
 
 
 def drop_repeated_runs(
@@ -192,18 +208,15 @@ def drop_repeated_runs(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` without later repeated runs, and ``n_lines`` and ``n_removed``.
+    """``docs`` without later repeated runs, with ``n_removed`` lines and whether all went.
 
     With ``spare``, a text of which at least that share of characters would go is left whole:
     it is a copy as a document, to be judged as one.
     """
     runs = stored(repeated_runs(docs, run, window, id_col, text_col), "repeated_runs")
-    size = runs.agg(F.sum(F.lit(1) + F.size("runs"))).first()[0] or 0
     marked = runs.select(
         F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("runs").alias("__runs")
     )
-    if size <= MAX_BROADCAST:
-        marked = F.broadcast(marked)
     names = docs.columns
     joined = (
         docs.withColumn("__of", F.xxhash64(text_col))
@@ -221,22 +234,21 @@ def drop_repeated_runs(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lines, removed = [], [], []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
+            texts, removed, emptied = [], [], []
+            for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist()):
+                text, gone, left = text.as_py(), 0, 1
                 if runs:
-                    text, n, gone = _without(text, runs, spare)
-                else:
-                    n, gone = len(split_lines(text or "")[1]), 0
+                    text, gone, left = _without(text, runs, spare)
                 texts.append(text)
-                lines.append(n)
                 removed.append(gone)
+                emptied.append(left == 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("kept"), pa.array(texts, pa.string()), pa.array(lines, pa.int64()),
-                 pa.array(removed, pa.int64())],
-                ["kept", "text", "n_lines", "n_removed"],
+                [batch.column("kept"), pa.array(texts, pa.string()), pa.array(removed, pa.int64()),
+                 pa.array(emptied, pa.bool_())],
+                ["kept", "text", "n_removed", "emptied"],
             )
 
     kind = joined.schema["kept"].dataType.simpleString()
-    done = joined.mapInArrow(cut, f"kept {kind}, text string, n_lines bigint, n_removed bigint")
+    done = joined.mapInArrow(cut, f"kept {kind}, text string, n_removed bigint, emptied boolean")
     columns = [F.col("text").alias(n) if n == text_col else F.col(f"kept.`{n}`").alias(n) for n in names]
-    return done.select(*columns, "n_lines", "n_removed")
+    return done.select(*columns, "n_removed", "emptied")

@@ -11,7 +11,7 @@ with the smoothed log-odds of their bucket as first coordinate. A fifth of the s
 kept back: on it scores are calibrated to probabilities and, per language, the lowest
 threshold is chosen whose rejections are right in ``PRECISION`` of cases.
 
-Scores depend on the text alone. Scoring covers whole texts, in runs of words that overlap.
+Scores depend on the text alone. Scoring covers whole texts, long ones in runs of places.
 
 Defined results: null and empty texts have the score of a text without any known word; without
 training rows of both kinds the score is the share of toxic ones (0 if there are none);
@@ -79,23 +79,35 @@ class Model:
 
     def pooled(self, rows: tuple[np.ndarray, np.ndarray], firsts: np.ndarray) -> np.ndarray:
         """The largest value of every filter in every text; texts stand between empty words."""
-        reach = max(WIDTHS) - 1
         texts = len(firsts) - 1
-        best = np.full((texts, len(WIDTHS) * FILTERS), -np.inf, np.float32)
+        best = np.zeros((texts, len(WIDTHS) * FILTERS), np.float32)
         at = 0
         while at < texts:
-            stop = max(at + 1, int(np.searchsorted(firsts, firsts[at] + _RUN, "right")) - 1)
-            stop = min(stop, texts)
-            for low in range(firsts[at], max(firsts[at] + 1, firsts[stop]), _RUN):
-                high = min(low + _RUN, firsts[stop])
-                # A text longer than a run is seen in runs that share `reach` words.
-                begin = max(firsts[at], low - reach)
-                own = np.clip(firsts[at : stop + 1], begin, high) - begin
-                x, starts = self._padded(rows[0][begin:high], rows[1][begin:high], own)
-                np.maximum(best[at:stop], self._largest(x, starts), out=best[at:stop])
+            stop = int(np.searchsorted(firsts, firsts[at] + _RUN, "right")) - 1
+            if stop > at:
+                part = slice(firsts[at], firsts[stop])
+                x, starts = self._padded(rows[0][part], rows[1][part], firsts[at : stop + 1] - firsts[at])
+                best[at:stop] = self._largest(x, starts)
+            else:
+                stop = at + 1
+                best[at] = self._long(rows[0][firsts[at] : firsts[stop]], rows[1][firsts[at] : firsts[stop]])
             at = stop
         return best
 
+    def _long(self, words: np.ndarray, stems: np.ndarray) -> np.ndarray:
+        """One long text, by runs of places; each place sees the words that it would in one run."""
+        reach = max(WIDTHS) - 1
+        best = np.zeros(len(WIDTHS) * FILTERS, np.float32)
+        for low in range(0, len(words) + reach, _RUN):
+            high = min(low + _RUN, len(words) + reach)
+            first, last = max(0, low - reach), min(len(words), high)
+            x = np.zeros((high - low + reach, DIM), np.float32)
+            x[first + reach - low : last + reach - low] = (
+                self.word_rows[words[first:last]] + self.stem_rows[stems[first:last]]
+            )
+            np.maximum(best, self._largest(x, np.zeros(1, np.int64))[0], out=best)
+        return best
+
     def _padded(
         self, words: np.ndarray, stems: np.ndarray, firsts: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
