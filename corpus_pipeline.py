@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go, and documents of which nothing is left."""
     cut = line_dedup.drop_repeated_runs(docs, spare=SPARE)
-    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    left = cut.where(~F.col("emptied"))
     return left.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
