@@ -185,8 +185,11 @@ def _rules(*rule_ids: str) -> str:
     return f"{_CHECKED} SELECT * FROM issues WHERE rule_id IN ({wanted})"
 
 
-_HASH = "('0x' || substr(md5(concat_ws('|', {columns})), 1, 15))::BIGINT"
-_ROW_HASH = _HASH.format(columns=", ".join(["source_row_number", *COLUMNS]))
+_PREFIXED = ", ".join(
+    f"coalesce(concat(strlen({name}::varchar), ':', {name}), '-')"
+    for name in ["source_row_number", *COLUMNS]
+)
+_ROW_HASH = f"('0x' || substr(md5(concat({_PREFIXED})), 1, 15))::BIGINT"
 
 
 def _files(rows: str) -> str:
@@ -197,11 +200,21 @@ def _files(rows: str) -> str:
   FROM {rows} GROUP BY batch_year"""
 
 
-_UNCHANGED = """
-  SELECT f.*, f.batch_year IN (1995, 1996, 1997) AS is_current
-  FROM files f"""
-
-_INCREMENTAL = f"WITH {RAW_ORDERS_SQL}, files AS ({_files('raw_orders')}), told AS ({_UNCHANGED})"
+# What an earlier run saw, the outputs that are left of it, and whether both still agree.
+_INCREMENTAL = f"""WITH {RAW_ORDERS_SQL}, files AS ({_files('raw_orders')}), earlier AS (
+  SELECT * REPLACE (CASE WHEN batch_year = 1998 THEN upper(name) ELSE name END AS name)
+  FROM raw_orders WHERE batch_year < 2001
+), past AS ({_files('earlier')}), outputs AS (
+  SELECT concat('curated/', batch_year) AS output, size_bytes FROM past WHERE batch_year <> 1999
+  UNION ALL SELECT concat('quarantine/', batch_year), size_bytes + (batch_year = 2000)::INTEGER
+  FROM past
+), told AS (
+  SELECT f.*, coalesce(p.checksum = f.checksum AND p.size_bytes = f.size_bytes
+    AND c.size_bytes = p.size_bytes AND q.size_bytes = p.size_bytes, false) AS is_current
+  FROM files f LEFT JOIN past p USING (batch_year)
+  LEFT JOIN outputs c ON c.output = concat('curated/', f.batch_year)
+  LEFT JOIN outputs q ON q.output = concat('quarantine/', f.batch_year)
+)"""
 
 _STATE = f"""
 {_CHECKED}, files AS ({_files("raw_orders")}), state AS (

@@ -10,7 +10,7 @@ from .casts import (
     to_date,
     to_double,
 )
-from .digests import md5_number, row_digest
+from .digests import canonical_text, md5_number, row_digest
 from .text import as_text, clean, collapse, full_match, is_blank, null_if_blank, quoted, strip
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "is_blank",
     "is_digits",
     "is_finite",
+    "canonical_text",
     "md5_number",
     "null_if_blank",
     "parse_bigint",

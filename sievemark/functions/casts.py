@@ -32,6 +32,15 @@ _DIRECTIVES = {
     "p": "a",
 }
 _ONE_LETTER = {"M", "d", "H", "h", "m", "s"}
+_ANY_WIDTH = {
+    "Y": "(?!0000)[0-9]{4}",
+    "m": "0[1-9]|1[0-2]|[1-9]",
+    "d": "0[1-9]|[12][0-9]|3[01]|[1-9]",
+    "H": "[01][0-9]|2[0-3]|[0-9]",
+    "M": "[0-5][0-9]|[0-9]",
+    "S": "[0-5][0-9]|[0-9]",
+    "f": "[0-9]{1,9}",
+}
 _FULL_WIDTH = {
     "Y": "(?!0000)[0-9]{4}",
     "m": "(?:0[1-9]|1[0-2])",
@@ -102,6 +111,27 @@ def date_pattern(directives: str) -> str:
     return "".join(pieces)
 
 
+def _numeric(directives: str) -> tuple[str, dict[str, int]] | None:
+    """A pattern for fields of one or two digits, and the groups of year, month and day.
+
+    Only for formats of numbers that separators keep apart.
+    """
+    pieces = re.split(r"(%.)", directives)
+    fields = [item[1] for item in pieces[1::2]]
+    between = pieces[2:-1:2]
+    if (
+        len(fields) != len(set(fields))
+        or not {"Y", "m", "d"} <= set(fields) <= set(_ANY_WIDTH)
+        or not all(item and not item[0].isdigit() and not item[-1].isdigit() for item in between)
+    ):
+        return None
+    pattern = "".join(
+        f"({_ANY_WIDTH[piece[1]]})" if index % 2 else re.escape(piece)
+        for index, piece in enumerate(pieces)
+    )
+    return pattern, {name: fields.index(name) + 1 for name in "Ymd"}
+
+
 def _full_width(directives: str) -> str | None:
     """Pattern of fully padded values, for formats that begin with an ISO date."""
     if not directives.startswith("%Y-%m-%d"):
@@ -121,9 +151,19 @@ def _try_date(value: str, directives: str) -> str:
     none = "DATE'0000-12-31'"
     parsed = f"try_to_date({value}, {text(date_pattern(directives))})"
     parsed = f"nullif(greatest({parsed}, {none}), {none})"
+    numeric = _numeric(directives)
+    if numeric is not None:
+        # What fails the pattern is no date, so no parser has to throw for it.
+        pattern, groups = numeric
+        whole = text(rf"\A{pattern}\z")
+        year, month, day = (
+            f"regexp_extract({value}, {whole}, {groups[name]})" for name in "Ymd"
+        )
+        joined = f"concat({year}, '-', lpad({month}, 2, '0'), '-', lpad({day}, 2, '0'))"
+        parsed = f"CASE WHEN {value} RLIKE {whole} THEN try_cast({joined} AS date) END"
     padded = _full_width(directives)
     if padded is None:
-        return parsed
+        return parsed if numeric is None else f"({parsed})"
     # The cast of an ISO date is many times faster than a formatter, and as strict.
     iso = f"try_cast(left({value}, 10) AS date)"
     return f"(CASE WHEN {value} RLIKE {text(rf'\A{padded}\z')} THEN {iso} ELSE {parsed} END)"

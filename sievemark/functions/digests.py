@@ -23,9 +23,14 @@ def _canonical(field: T.StructField) -> str:
     return f"coalesce(concat(cast(octet_length({value}) AS string), ':', {value}), '-')"
 
 
+def canonical_text(schema: T.StructType, columns: Sequence[str]) -> str:
+    """The listed columns as one string that no other values give."""
+    return f"concat({', '.join(_canonical(schema[c]) for c in columns)})"
+
+
 def row_digest(schema: T.StructType, columns: Sequence[str]) -> str:
     """32-byte digest of the listed columns; equal rows (nulls equal) share it."""
-    return f"unhex(sha2(concat({', '.join(_canonical(schema[c]) for c in columns)}), 256))"
+    return f"unhex(sha2({canonical_text(schema, columns)}, 256))"
 
 
 def md5_number(value: str) -> str:

@@ -150,7 +150,7 @@ def find_exact_duplicates(
     """Rows equal to a row with a smaller key on every listed column but the key.
 
     Returns (batch,) ``record_id`` and ``duplicate_of``, the smallest key of the group.
-    Nulls count as equal. Keys must be digits, fit 64 bits and not repeat in a batch.
+    Ordered by (batch and) key. Nulls count as equal. Keys must be digits, fit 64 bits and not repeat in a batch.
     """
     names = list(columns)
     if not names or len(names) != len(set(names)):
@@ -179,6 +179,7 @@ def find_exact_duplicates(
             F.col(ID_HELPER).alias("record_id"),
             F.col(KEPT).alias("duplicate_of"),
         )
+        .orderBy(*([batch] if batch else []), "record_id")
     )
 
 

@@ -5,6 +5,8 @@ The result goes to the shared checkpoint folder, so it outlives any executor.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,9 +21,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        # Only where driver and executors are one process is a folder of this machine shared.
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="checkpoints-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

@@ -185,14 +185,14 @@ def run_batches(
         facts=facts,
     ).collect()
     inspected = spark.createDataFrame(found, BATCHES)
-    state = read_state(spark, settings.state, dataset=settings.dataset)
-    known = state.where(F.col("batch_year").isin([batch.year for batch in batches]))
+    asked = [batch.year for batch in batches]
+    known = read_state(spark, settings.state, dataset=settings.dataset, years=asked)
     paths = [
         path
         for row in known.select("curated_path", "quarantine_path").collect()
         for path in (row.curated_path, row.quarantine_path)
     ]
-    pending = pending_batches(inspected, state, output_sizes(spark, paths))
+    pending = pending_batches(inspected, known, output_sizes(spark, paths))
     years = sorted(row.batch_year for row in pending.select("batch_year").collect())
     processed = {}
     if years:
@@ -204,7 +204,7 @@ def run_batches(
     gates = spark.createDataFrame(
         list(processed.items()), "batch_year smallint, duplicate_detection_skipped boolean"
     )
-    now = read_state(spark, settings.state, dataset=settings.dataset)
+    now = read_state(spark, settings.state, dataset=settings.dataset, years=asked)
     return run_report(inspected, now, gates).orderBy("batch_year")
 
 

@@ -13,8 +13,7 @@ from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import md5_number
-from ..functions.sql import name as ref
+from ..functions import canonical_text, md5_number
 from . import storage
 
 # Fixed value: the naming convention of annual files.
@@ -239,7 +238,7 @@ def inspect_batches(
 
 def content_fingerprint(df: DataFrame, columns: Sequence[str], *, batch: str) -> DataFrame:
     """Row count and content checksum per batch of a table, whatever the row order."""
-    joined = f"concat_ws('|', {', '.join(f'cast({ref(c)} AS string)' for c in columns)})"
+    joined = canonical_text(df.schema, columns)
     return df.groupBy(batch).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.expr(f"cast(sum({md5_number(joined)}) AS string)").alias("checksum"),

@@ -118,7 +118,8 @@ def publish(
     fields = [field for field in df.schema.fields if field.name in names]
     content = T.StructType([field for field in fields if field.name != partition])
     layout = T.StructType([*content.fields, T.StructField(partition, T.StringType())])
-    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    staging, aside = (f"{root.rstrip('/')}/_{kind}-{run}" for kind in ("staging", "replaced"))
     rows = df.hint("rebalance", partition) if rebalance else df
     try:
         (
@@ -148,7 +149,7 @@ def publish(
             if year not in written:
                 empty = spark.createDataFrame([], content)
                 empty.write.option("compression", compression).parquet(fresh)
-            storage.replace_folder(spark, fresh, target, f"{staging}/_replaced/{year}")
+            storage.replace_folder(spark, fresh, target, f"{aside}/{year}")
             published.append(
                 Published(
                     year,
@@ -158,6 +159,8 @@ def publish(
                     compression,
                 )
             )
+        storage.remove_folder(spark, aside)
         return published
     finally:
+        # Old content that could not be put back stays in the folder set aside.
         storage.remove_folder(spark, staging)

@@ -59,12 +59,19 @@ def write_state(records: DataFrame, root: str) -> None:
     )
 
 
-def read_state(spark: SparkSession, root: str, *, dataset: str) -> DataFrame:
-    """State of one dataset; empty when nothing has been published yet."""
+def read_state(
+    spark: SparkSession, root: str, *, dataset: str, years: Sequence[int] | None = None
+) -> DataFrame:
+    """State of one dataset, or of some years of it; empty when nothing has been published yet.
+
+    Only records that are returned must be sound.
+    """
     check_dataset(dataset)
     if not storage.entries(spark, root):
         return spark.createDataFrame([], STATE)
     state = spark.read.schema(STATE).parquet(root).where(F.col("dataset") == dataset)
+    if years is not None:
+        state = state.where(F.col("batch_year").isin(list(years)))
     state = state.select(*STATE.fieldNames())
     unsound = state_violations(state).first()
     if unsound:

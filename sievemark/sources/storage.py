@@ -46,13 +46,16 @@ def file_entry(spark: SparkSession, path: str) -> Entry | None:
 
 
 def data_size(spark: SparkSession, folder: str) -> int | None:
-    """Bytes of the data files directly in a folder; ``None`` when it holds none."""
-    files = [
-        entry
-        for entry in entries(spark, folder) or []
-        if entry.is_file and not entry.name.startswith(("_", "."))
-    ]
-    return sum(entry.size_bytes for entry in files) if files else None
+    """Bytes of an output folder, in few calls whatever the number of files; ``None`` for none.
+
+    The marker that writers leave beside the data does not count.
+    """
+    system, target = _locate(spark, folder)
+    if not system.exists(target):
+        return None
+    marker = spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")
+    beside = system.getFileStatus(marker).getLen() if system.exists(marker) else 0
+    return system.getContentSummary(target).getLength() - beside or None
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -61,17 +64,29 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def replace_folder(spark: SparkSession, new: str, current: str, aside: str) -> None:
-    """Put ``new`` in the place of ``current``; the old content is moved away first."""
+    """Put ``new`` in the place of ``current``.
+
+    The old content is set aside first, put back if the new one does not get into
+    place, and removed once it has.
+    """
     system, target = _locate(spark, current)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system.mkdirs(target.getParent())
     old = path(aside)
-    if system.exists(target):
+    held = bool(system.exists(target))
+    if held:
         system.mkdirs(old.getParent())
         if not system.rename(target, old):
             raise OSError(f"cannot move {current} aside")
-    if not system.rename(path(new), target):
-        raise OSError(f"cannot move {new} to {current}")
+    try:
+        if not system.rename(path(new), target):
+            raise OSError(f"cannot move {new} to {current}")
+    except Exception as error:
+        if held and not system.rename(old, target):
+            raise OSError(f"cannot put {current} back; its content is in {aside}") from error
+        raise
+    if held:
+        system.delete(old, True)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

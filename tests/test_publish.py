@@ -2,6 +2,7 @@ import pytest
 
 from sievemark import multi_batch_summary, pending_batches, publish, skipped_batches
 from sievemark.operators.quarantine import QUARANTINE_COLUMNS
+from sievemark.sources import storage
 from sievemark.sources.publish import check_format, check_partitioning
 from sievemark.sources.state import (
     STATE,
@@ -45,6 +46,35 @@ def test_replaces_only_the_given_batches(spark, tmp_path):
     assert [entry.name for entry in (tmp_path / "out").iterdir() if entry.name[0] == "_"] == []
 
 
+def refuse_renames(monkeypatch, target):
+    """Let the new folder of ``target`` be missing when it is to be moved into place."""
+    replace = storage.replace_folder
+
+    def gone(spark, new, current, aside):
+        replace(spark, new + "-missing" if target in current else new, current, aside)
+
+    monkeypatch.setattr(storage, "replace_folder", gone)
+
+
+def test_old_rows_stay_when_new_ones_cannot_be_moved(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    put(rows(spark, (1, 2019), (2, 2019)), root, {2019: 2})
+    refuse_renames(monkeypatch, "=2019")
+    with pytest.raises(Exception):
+        put(rows(spark, (3, 2019)), root, {2019: 1})
+    assert stored(spark, root) == [(1, 2019), (2, 2019)]
+    assert [e.name for e in (tmp_path / "out").iterdir() if "staging" in e.name] == []
+
+
+def test_a_failure_in_the_second_of_three_years(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    put(rows(spark, (1, 2019), (2, 2020), (3, 2021)), root, {2019: 1, 2020: 1, 2021: 1})
+    refuse_renames(monkeypatch, "=2020")
+    with pytest.raises(Exception):
+        put(rows(spark, (4, 2019), (5, 2020), (6, 2021)), root, {2019: 1, 2020: 1, 2021: 1})
+    assert stored(spark, root) == [(2, 2020), (3, 2021), (4, 2019)]
+
+
 def test_empty_batch_replaces_the_old_one(spark, tmp_path):
     root = str(tmp_path / "out")
     put(rows(spark, (1, 2019)), root, {2019: 1})
@@ -181,6 +211,14 @@ def test_unsound_state(spark, tmp_path, changes, problem):
         read_state(spark, str(tmp_path / "state"), dataset="ds")
 
 
+def test_an_unsound_year_does_not_stop_the_others(spark, tmp_path):
+    root = str(tmp_path / "state")
+    write_state(state(spark).unionByName(state(spark, batch_year=2018, raw_row_count=99)), root)
+    assert read_state(spark, root, dataset="ds", years=[2019]).count() == 1
+    with pytest.raises(ValueError, match="unsound"):
+        read_state(spark, root, dataset="ds", years=[2018, 2019])
+
+
 @pytest.mark.parametrize("name", ["", "-x", "a b", None, "a/b"])
 def test_dataset_names(name):
     with pytest.raises(ValueError, match="dataset"):
