@@ -21,16 +21,16 @@ from ..operators.quarantine import check_quarantine_source, quarantine
 from ..operators.validate import BATCH, ROW, accepted, annotate, batch_conflicts
 from ..sources.batches import (
     BATCHES,
+    LINE_DIGEST,
     NAME_PATTERN,
-    WHOLE_FILE_BYTES,
     BatchFile,
     discover_batches,
     inspect_batches,
-    large_files,
     line_facts,
     locate_batch,
 )
 from ..sources.csv_batches import read_batches
+from ..sources.encodings import find_encoding
 from ..sources.publish import (
     QUARANTINE_PARTITION,
     Published,
@@ -76,8 +76,7 @@ class Settings:
     name_pattern: str = NAME_PATTERN
     encoding: str = "utf-8"
     delimiter: str = ","
-    hash_algorithm: str = "sha256"
-    whole_file_bytes: int = WHOLE_FILE_BYTES
+    hash_algorithm: str = LINE_DIGEST
     output_format: str = "parquet"
     compression: str = "snappy"
     partition_by: tuple[str, ...] = (CURATED_PARTITION,)
@@ -169,19 +168,20 @@ def run_batches(
     check_dataset(settings.dataset)
     check_partitioning(settings.partition_by)
     codec = check_format(settings.output_format, settings.compression)
+    find_encoding(settings.encoding)
     if not batches:
         return spark.createDataFrame([], REPORT)
 
-    # Large files are scanned line by line once, both for their digest and for how to read them.
-    large, facts = large_files(batches, settings.whole_file_bytes), None
-    if large:
-        facts, _ = durable(line_facts(spark, large, delimiter=settings.delimiter))
+    # One scan of the lines serves both for the digests and for how to read the files.
+    facts = None
+    full = [batch.path for batch in batches if batch.size_bytes > 0]
+    if full and settings.hash_algorithm == LINE_DIGEST:
+        facts, _ = durable(line_facts(spark, full, delimiter=settings.delimiter))
     # The lists below have one entry per batch year.
     found = inspect_batches(
         spark,
         batches,
         algorithm=settings.hash_algorithm,
-        whole_file_bytes=settings.whole_file_bytes,
         facts=facts,
     ).collect()
     inspected = spark.createDataFrame(found, BATCHES)
@@ -227,7 +227,6 @@ def _process(
         delimiter=settings.delimiter,
         name_pattern=settings.name_pattern,
         facts=facts,
-        whole_file_bytes=settings.whole_file_bytes,
     )
     problems = dict(raw.problems)
     usable = [b.year for b in batches if b.year < min(problems, default=1 << 15)]

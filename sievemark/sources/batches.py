@@ -19,10 +19,10 @@ from . import storage
 # Fixed value: the naming convention of annual files.
 NAME_PATTERN = r"^food_inspections_([0-9]{4})\.csv$"
 
-# A file up to this size is hashed whole, in one task; a larger one line by line, in splits.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-LINE_DIGEST = "xxhash64-lines"
-
+# The digest of a file of any size: taken line by line, in splits.
+LINE_DIGEST = "sha256-lines"
+# Digests of a file's bytes as a whole; one task reads a file, up to what Spark hands out at once.
+WHOLE_FILE_LIMIT = (1 << 31) - 1
 _WHOLE_FILE_DIGESTS = {
     "sha224": lambda content: F.sha2(content, 224),
     "sha256": lambda content: F.sha2(content, 256),
@@ -120,32 +120,38 @@ def line_facts(
 ) -> DataFrame:
     """Per file, from one scan that splits large files.
 
-    ``digest`` depends on every line and its position. It is a sum over lines of
-    hash times position, so splits are summed apart and shifted by the number of
-    lines before them. ``valid_utf8`` tells whether all bytes decode.
-    ``one_line_records`` tells whether every quote opens at the start of a field and
-    closes at its end on the same line; then no record spans lines.
+    Lines are what line feeds end, byte by byte. ``digest`` depends on every line and its
+    position. It is a sum over lines of SHA-256 times position, so splits are summed apart and
+    shifted by the number of lines before them. ``valid_utf8`` and ``ascii`` tell what the bytes
+    are. ``one_line_records`` tells whether every quote opens at the start of a field
+    and closes at its end on the same line, and carriage returns only end lines; then
+    no record spans lines.
     """
-    lines = spark.read.text(list(paths)).select(
+    read = spark.read.option("lineSep", "\n").text(list(paths))
+    body = F.regexp_replace("value", r"\r\z", "")
+    lines = read.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
-        F.xxhash64("value").alias("hash"),
+        F.sha2("value", 256).alias("hash"),
         F.is_valid_utf8("value").alias("valid"),
-        F.when(~F.contains("value", F.lit('"')), True)
-        .otherwise(_quotes_are_whole_fields(F.col("value"), delimiter))
+        (~F.col("value").rlike(r"[^\x00-\x7F]")).alias("ascii"),
+        F.when(~F.col("value").rlike('["\r]'), True)
+        .otherwise(~F.contains(body, F.lit("\r")) & _quotes_are_whole_fields(body, delimiter))
         .alias("simple"),
     )
-    low = F.col("hash").bitwiseAND(F.lit((1 << 48) - 1)).cast("decimal(15,0)")
+    wide = _hex_number(F.substring("hash", 1, 15), "decimal(20,0)")
+    low = _hex_number(F.substring("hash", 16, 12), "decimal(15,0)")
     # Position in the task, which is below 2**33; the block's own start is taken off afterwards.
     place = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
     blocks = lines.groupBy("file_name", "block").agg(
         F.count(F.lit(1)).alias("lines"),
         F.min(place).alias("first"),
-        F.sum(F.col("hash").cast("decimal(20,0)")).alias("total"),
+        F.sum(wide).alias("total"),
         F.sum(low).cast("decimal(27,0)").alias("low_total"),
         F.sum(low * place.cast("decimal(11,0)")).alias("placed"),
         F.bool_and("valid").alias("valid"),
+        F.bool_and("ascii").alias("ascii"),
         F.bool_and("simple").alias("simple"),
     )
     # One row per input split: at most (bytes read / split size) rows in all.
@@ -162,15 +168,13 @@ def line_facts(
             F.sum(moved.cast("decimal(38,0)")).cast("string"),
         ).alias("digest"),
         F.bool_and("valid").alias("valid_utf8"),
+        F.bool_and("ascii").alias("ascii"),
         F.bool_and("simple").alias("one_line_records"),
     )
 
 
-def large_files(
-    batches: Sequence[BatchFile], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> list[str]:
-    """Paths of the files that are hashed line by line."""
-    return [batch.path for batch in batches if batch.size_bytes > whole_file_bytes]
+def _hex_number(digits: Column, kind: str) -> Column:
+    return F.conv(digits, 16, 10).cast(kind)
 
 
 def pair_quotes(text: Column) -> Column:
@@ -188,32 +192,36 @@ def inspect_batches(
     spark: SparkSession,
     batches: Sequence[BatchFile],
     *,
-    algorithm: str = "sha256",
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    algorithm: str = LINE_DIGEST,
     facts: DataFrame | None = None,
 ) -> DataFrame:
     """Size and checksum of every batch file (see ``BATCHES``).
 
-    ``facts`` are the ``line_facts`` of the large files, if they are known already.
+    ``facts`` are the ``line_facts`` of the files, if they are known already. A digest of the bytes
+    as a whole is refused for files that one task cannot read.
     """
     name = algorithm.strip().lower() if isinstance(algorithm, str) else ""
-    if name not in _WHOLE_FILE_DIGESTS:
+    if name != LINE_DIGEST and name not in _WHOLE_FILE_DIGESTS:
         raise ValueError(f"unsupported hash algorithm: {algorithm!r}")
+    full = [batch for batch in batches if batch.size_bytes > 0]
+    if name != LINE_DIGEST:
+        too_large = [b.name for b in full if b.size_bytes > WHOLE_FILE_LIMIT]
+        if too_large:
+            raise ValueError(f"too large for {name} as a whole, use {LINE_DIGEST}: {too_large}")
     listed = spark.createDataFrame(
         [(batch.year, batch.path, batch.size_bytes, batch.name) for batch in batches],
         "batch_year smallint, path string, size_bytes bigint, file_name string",
     )
     # An empty file gives no row in either scan; it counts as the digest of nothing.
-    small = [b.path for b in batches if 0 < b.size_bytes <= whole_file_bytes]
-    large = large_files(batches, whole_file_bytes)
+    nothing = F.lit("0") if name == LINE_DIGEST else _WHOLE_FILE_DIGESTS[name](F.lit(b""))
     parts = [
         listed.where("size_bytes = 0").select(
-            "file_name", F.lit(name).alias("checksum_algorithm"),
-            _WHOLE_FILE_DIGESTS[name](F.lit(b"")).alias("checksum"),
+            "file_name", F.lit(name).alias("checksum_algorithm"), nothing.alias("checksum")
         )
     ]
-    if small:
-        content = spark.read.format("binaryFile").load(small)
+    paths = [batch.path for batch in full]
+    if paths and name != LINE_DIGEST:
+        content = spark.read.format("binaryFile").load(paths)
         parts.append(
             content.select(
                 F.col("_metadata.file_name").alias("file_name"),
@@ -221,10 +229,10 @@ def inspect_batches(
                 _WHOLE_FILE_DIGESTS[name](F.col("content")).alias("checksum"),
             )
         )
-    if large:
+    if paths and name == LINE_DIGEST:
         parts.append(
-            (line_facts(spark, large) if facts is None else facts).select(
-                "file_name", F.lit(LINE_DIGEST).alias("checksum_algorithm"),
+            (line_facts(spark, paths) if facts is None else facts).select(
+                "file_name", F.lit(name).alias("checksum_algorithm"),
                 F.col("digest").alias("checksum"),
             )
         )

@@ -4,19 +4,21 @@ Every field is a string and blanks stay ``''``. The header is read as data, whic
 gives the header check, the records and their positions in one scan. Two extra
 columns tell records that have too many fields.
 
-Files in which no record spans lines are split among tasks. Others are read one
-file per task, as Spark does for ``multiLine``, up to a size limit; beyond it their
-records are assembled from lines (``long_records``). In every case the parsed records
-are stored once as a columnar table, and all later work reads that.
+All files are split among tasks, whatever their size. Where no record spans lines, Spark reads
+records from the splits; elsewhere they are assembled from lines first (``long_records``).
+Only in encodings whose line breaks are no single bytes (UTF-16, UTF-32) does one task read a
+file, and larger ones than that allows are refused. In every case the parsed records are
+stored once as a columnar table, and all later work reads that.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import as_text, is_blank
@@ -25,17 +27,19 @@ from ..operators.validate import BATCH, ROW
 from ..plans.durable import stored
 from .batches import (
     NAME_PATTERN,
-    WHOLE_FILE_BYTES,
     BatchFile,
     batch_year,
     line_facts,
     pair_quotes,
 )
+from .encodings import Encoding, find_encoding
 from .long_records import long_records
 
 _EXTRA = "__extra"
 _RECORD = "__record"
 _HEADER_ROW = 1
+# Bytes of a file that one task reads at most.
+ONE_TASK_BYTES = 1 << 30
 NOT_CLOSED = "file is malformed: a quoted field is not closed"
 
 
@@ -147,6 +151,31 @@ def _checked(records: DataFrame, columns: Sequence[str], delimiter: str, opened:
     )
 
 
+def _undecodable(spark: SparkSession, paths: Sequence[str], charset: Encoding) -> set[str]:
+    """Names of the files whose bytes are no text in this encoding; a task reads one file."""
+    python = charset.python
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            broken = []
+            for content in batch.column("content"):
+                try:
+                    content.as_py().decode(python)
+                    broken.append(False)
+                except UnicodeDecodeError:
+                    broken.append(True)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("file_name"), pa.array(broken, pa.bool_())], ["file_name", "broken"]
+            )
+
+    if not paths:
+        return set()
+    content = spark.read.format("binaryFile").load(list(paths))
+    named = content.select(F.col("_metadata.file_name").alias("file_name"), "content")
+    found = named.mapInArrow(check, "file_name string, broken boolean").where("broken")
+    return {row.file_name for row in found.collect()}
+
+
 def header_problems(actual: list[str], expected: Sequence[str]) -> list[str]:
     """How a header differs from the contract; names, order and case must be the same."""
     wanted = list(expected)
@@ -193,12 +222,12 @@ def read_batches(
     delimiter: str = ",",
     name_pattern: str = NAME_PATTERN,
     facts: DataFrame | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> RawBatches:
     """All records of the batches as text, with batch year and source row number.
 
     ``facts`` are the ``line_facts`` of some of the files, which are not scanned again.
     """
+    charset = find_encoding(encoding)
     years = [batch.year for batch in batches]
     if len(years) != len(set(years)):
         raise ValueError("there must be one file per batch year")
@@ -208,28 +237,32 @@ def read_batches(
             problems[batch.year].append("file has no header")
 
     full = [batch for batch in batches if batch.size_bytes > 0]
-    # One row per batch file.
-    known = {row.file_name: row for row in facts.drop("digest").collect()} if facts else {}
-    unknown = [batch.path for batch in full if batch.name not in known]
-    if unknown:
-        scan = line_facts(spark, unknown, delimiter=delimiter).drop("digest")
-        known |= {row.file_name: row for row in scan.collect()}
-    latin = encoding.lower().replace("_", "-") in {"iso-8859-1", "latin-1", "latin1"}
-    by_bytes = encoding.lower().replace("_", "-") in {"utf-8", "utf8", "ascii", "us-ascii"}
-    ascii_based = not encoding.lower().startswith(("utf-16", "utf16", "utf-32", "utf32"))
     split, whole, long = [], [], []
-    for batch in full:
-        fact = known.get(batch.name)
-        if by_bytes and fact is not None and not fact.valid_utf8:
-            problems[batch.year].append(f"file does not decode as {encoding}")
-            continue
-        simple = ascii_based and fact is not None and fact.one_line_records
-        if simple:
-            split.append(batch)
-        elif (by_bytes or latin) and batch.size_bytes > whole_file_bytes:
-            long.append(batch)
-        else:
-            whole.append(batch)
+    if charset.by_lines:
+        # One row per batch file.
+        known = {row.file_name: row for row in facts.drop("digest").collect()} if facts else {}
+        unknown = [batch.path for batch in full if batch.name not in known]
+        if unknown:
+            scan = line_facts(spark, unknown, delimiter=delimiter).drop("digest")
+            known |= {row.file_name: row for row in scan.collect()}
+        for batch in full:
+            fact = known[batch.name]
+            if not {"UTF-8": fact.valid_utf8, "US-ASCII": fact.ascii}.get(charset.spark, True):
+                problems[batch.year].append(f"file does not decode as {encoding}")
+            else:
+                (split if fact.one_line_records else long).append(batch)
+    else:
+        fitting = [batch for batch in full if batch.size_bytes <= ONE_TASK_BYTES]
+        broken = _undecodable(spark, [batch.path for batch in fitting], charset)
+        for batch in full:
+            if batch.size_bytes > ONE_TASK_BYTES:
+                problems[batch.year].append(
+                    f"file of {batch.size_bytes} bytes is too large to be read as {encoding}"
+                )
+            elif batch.name in broken:
+                problems[batch.year].append(f"file does not decode as {encoding}")
+            else:
+                whole.append(batch)
 
     parsed = None
     for chosen, one_task in ((split, False), (whole, True)):
@@ -238,7 +271,7 @@ def read_batches(
                 spark,
                 chosen,
                 columns,
-                encoding=encoding,
+                encoding=charset.spark,
                 delimiter=delimiter,
                 whole=one_task,
                 name_pattern=name_pattern,
@@ -246,11 +279,13 @@ def read_batches(
             parsed = part if parsed is None else parsed.unionByName(part)
     if long:
         paths = [batch.path for batch in long]
-        charset = "iso-8859-1" if latin else "utf-8"
-        found = long_records(spark, paths, delimiter=delimiter, encoding=charset)
+        found = long_records(spark, paths, delimiter=delimiter, encoding=charset.spark)
         for batch in long:
             if batch.name in found.unclosed:
                 problems[batch.year].append(NOT_CLOSED)
+            if batch.name in found.too_long:
+                line = found.too_long[batch.name]
+                problems[batch.year].append(f"file is malformed: the record at line {line} is too long")
         part = _parse_long(
             found.records, columns, delimiter=delimiter, name_pattern=name_pattern
         )

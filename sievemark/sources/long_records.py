@@ -1,4 +1,7 @@
-"""Records of large files in which quoted fields span lines, found in splits.
+"""Records of files in which quoted fields span lines, found in splits.
+
+Lines are what line feeds, carriage returns or both end; what ended a line is kept, and
+belongs to the record where the line ends inside a quoted field.
 
 A line alone does not tell whether it begins inside a quoted field. But it tells
 where it ends in either case: a line either ends in one state whatever came before,
@@ -21,14 +24,19 @@ from ..functions.sql import text
 from ..plans.durable import durable, stored
 
 _SPLIT = ["file_name", "block"]
+LONGEST_RECORD = 1 << 30  # characters
 
 
 @dataclass(frozen=True)
 class LongRecords:
-    """``records`` has file_name, number (the header is 1) and text."""
+    """``records`` has file_name, number (the header is 1) and text.
+
+    ``too_long`` gives, by file name, the first record that is longer than a text can be.
+    """
 
     records: DataFrame
     unclosed: frozenset[str]
+    too_long: dict[str, int]
 
 
 def _ends_open(line: str, delimiter: str) -> str:
@@ -68,16 +76,26 @@ def long_records(
     ``encoding`` is one that ``decode`` knows and in which line breaks are single bytes.
     """
     value = F.col("value")
-    if encoding != "utf-8":
+    if encoding == "ISO-8859-1":
         value = F.decode(value.cast("binary"), encoding)
     bom = (F.col("block") == 0) & F.startswith("line", F.lit("﻿"))
+    parts = F.when(F.contains(value, F.lit("\r")), F.split(value, r"(?<=\r)", -1)).otherwise(
+        F.array(value)
+    )
     read = (
-        spark.read.text(list(paths))
+        spark.read.option("lineSep", "\n")
+        .text(list(paths))
         .select(
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("block"),
+            parts.alias("parts"),
+        )
+        .select(*_SPLIT, F.size("parts").alias("parts_in"), F.posexplode("parts").alias("part", "line"))
+        .select(
+            *_SPLIT,
             F.monotonically_increasing_id().alias("position"),
-            value.alias("line"),
+            "line",
+            (F.col("part") == F.col("parts_in") - 1).alias("fed"),
         )
         .withColumn("line", F.when(bom, F.expr("substring(line, 2)")).otherwise(F.col("line")))
     )
@@ -87,12 +105,13 @@ def long_records(
         *_SPLIT,
         "position",
         "line",
+        "fed",
         F.when(F.col("__outside") == F.col("__inside"), F.col("__outside")).alias("fixed"),
         (F.col("__outside") & ~F.col("__inside")).cast("int").alias("turns"),
     )
     lines = _running_turns(stored(steps, "lines"), "position", _SPLIT)
     fixed, odd = _run_state("position", _SPLIT, 0)
-    states = lines.select(*_SPLIT, "position", "line", fixed.alias("fixed"), odd.alias("odd"))
+    states = lines.select(*_SPLIT, "position", "line", "fed", fixed.alias("fixed"), odd.alias("odd"))
 
     # One row per input split.
     last = F.max_by(F.struct("fixed", "odd"), "position")
@@ -115,8 +134,7 @@ def long_records(
     ends = entry.groupBy("file_name").agg(F.max_by("leave", "block").alias("open"))
     unclosed = frozenset(row.file_name for row in ends.where("open").collect())
 
-    # Splits are as many as tasks that read them, so the entry states are a small table.
-    placed = states.join(F.broadcast(entry.drop("leave")), _SPLIT).withColumn(
+    placed = states.join(entry.drop("leave"), _SPLIT).withColumn(
         "open_after", F.coalesce("fixed", "enter") != F.col("odd")
     )
     window = Window.partitionBy(*_SPLIT).orderBy("position")
@@ -128,7 +146,8 @@ def long_records(
     in_split = F.sum((~F.col("open_before")).cast("bigint")).over(running)
     marked = stored(
         flagged.where(~F.col("file_name").isin(list(unclosed))).select(
-            *_SPLIT, "position", "line", "open_before", "open_after", in_split.alias("in_split")
+            *_SPLIT, "position", "line", "fed", "open_before", "open_after",
+            in_split.alias("in_split"),
         ),
         "marked",
     )
@@ -138,16 +157,26 @@ def long_records(
     offsets, _ = durable(
         begun.select(*_SPLIT, F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("offset"))
     )
-    numbered = marked.join(F.broadcast(offsets), _SPLIT).withColumn(
+    numbered = marked.join(offsets, _SPLIT).withColumn(
         "number", F.col("in_split") + F.col("offset")
     )
     alone = ~F.col("open_before") & ~F.col("open_after")
-    whole = numbered.where(alone).select("file_name", "number", F.col("line").alias("text"))
-    # The lines of one record only; its length is that of the record.
-    pieces = F.array_sort(F.collect_list(F.struct("block", "position", "line")))
+    bare = F.regexp_replace("line", r"\r\z", "")
+    whole = numbered.where(alone).select("file_name", "number", bare.alias("text"))
+    # The lines of one record only; their length is measured before they are gathered.
+    spread = numbered.where(~alone).withColumn(
+        "text",
+        F.when(~F.col("open_after"), bare)
+        .when(F.col("fed"), F.concat("line", F.lit("\n")))
+        .otherwise(F.col("line")),
+    )
+    lengths = spread.groupBy("file_name", "number").agg(F.sum(F.length("text")).alias("length"))
+    long = lengths.where(F.col("length") > LONGEST_RECORD).groupBy("file_name")
+    too_long = {row.file_name: row.first for row in long.agg(F.min("number").alias("first")).collect()}
+    pieces = F.array_sort(F.collect_list(F.struct("block", "position", "text")))
     joined = (
-        numbered.where(~alone)
+        spread.where(~F.col("file_name").isin(list(too_long)))
         .groupBy("file_name", "number")
-        .agg(F.array_join(pieces["line"], "\n").alias("text"))
+        .agg(F.array_join(pieces["text"], "").alias("text"))
     )
-    return LongRecords(whole.unionByName(joined), unclosed)
+    return LongRecords(whole.unionByName(joined), unclosed, too_long)

@@ -136,11 +136,20 @@ def test_one_file(spark, tmp_path):
     assert ids(spark, tmp_path) == []
 
 
-def test_large_files_are_hashed_by_lines(spark, tmp_path):
-    put(tmp_path, 2019, SEVEN)
-    row = run(spark, tmp_path, whole_file_bytes=10)[2019]
-    assert (row.status, row.checksum_algorithm, row.accepted) == ("processed", "xxhash64-lines", 5)
-    assert run(spark, tmp_path, whole_file_bytes=10)[2019].status == "skipped"
+def test_the_requested_digest_is_used(spark, tmp_path):
+    path = put(tmp_path, 2019, SEVEN)
+    row = run(spark, tmp_path)[2019]
+    assert (row.status, row.checksum_algorithm, row.accepted) == ("processed", "sha256-lines", 5)
+    assert run(spark, tmp_path)[2019].status == "skipped"
+    # Line breaks of another kind, of the same size, are a change.
+    with open(path, "rb") as file:
+        content = file.read()
+    with open(path, "wb") as file:
+        file.write(content[:-1] + b"\r")
+    assert run(spark, tmp_path)[2019].status == "processed"
+    row = run(spark, tmp_path, hash_algorithm="sha256")[2019]
+    assert (row.status, row.checksum_algorithm) == ("processed", "sha256")
+    assert run(spark, tmp_path, hash_algorithm="sha256")[2019].status == "skipped"
 
 
 def test_nothing_to_do(spark, tmp_path):
@@ -156,6 +165,8 @@ def test_nothing_to_do(spark, tmp_path):
         {"partition_by": ("year",)},
         {"dataset": "a b"},
         {"hash_algorithm": "crc"},
+        {"encoding": "cp1252"},
+        {"encoding": "nonsense"},
     ],
 )
 def test_bad_settings(spark, tmp_path, changes):

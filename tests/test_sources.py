@@ -1,10 +1,13 @@
+import csv
 import hashlib
+import io
 import random
 
 import pytest
 
 from sievemark import discover_batches, inspect_batches, number_rows, read_batches
 from sievemark.plans import lookup
+from sievemark.sources import batches as batches_module, csv_batches, long_records as long_records_module
 from sievemark.sources.batches import LINE_DIGEST, content_fingerprint, line_facts, locate_batch
 
 HEAD = "a,b,c\n"
@@ -78,7 +81,7 @@ def test_line_digest_sees_order_but_not_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     for split in (before, "3000", "7001"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
-        rows = inspect_batches(spark, batches, whole_file_bytes=10).orderBy("batch_year").collect()
+        rows = inspect_batches(spark, batches).orderBy("batch_year").collect()
         seen.append([row.checksum for row in rows])
         assert {row.checksum_algorithm for row in rows} == {LINE_DIGEST}
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -87,6 +90,20 @@ def test_line_digest_sees_order_but_not_splits(spark, tmp_path):
     assert seen[0][0] == seen[0][2]  # the size tells these two apart
 
 
+def test_line_digest_sees_every_byte_of_a_line_break(spark, tmp_path):
+    folder = write(tmp_path, y2019=b'a\n1,"x\ry"\n', y2020=b'a\n1,"x\ny"\n', y2021=b'a\r1,"x\ry"\n')
+    rows = inspect_batches(spark, discover(spark, folder)).collect()
+    assert len({row.checksum for row in rows}) == 3 and len({row.size_bytes for row in rows}) == 1
+
+
+def test_whole_digests_are_refused_not_replaced(spark, tmp_path, monkeypatch):
+    folder = write(tmp_path, y2019="a\n1\n")
+    monkeypatch.setattr(batches_module, "WHOLE_FILE_LIMIT", 2)
+    with pytest.raises(ValueError, match="too large for sha256"):
+        inspect_batches(spark, discover(spark, folder), algorithm="sha256")
+    assert inspect_batches(spark, discover(spark, folder)).count() == 1
+
+
 def test_line_facts(spark, tmp_path):
     folder = write(
         tmp_path,
@@ -95,11 +112,15 @@ def test_line_facts(spark, tmp_path):
         y2003=HEAD + '1,5" and 6" pipes,3\n',
         y2004=HEAD.encode() + b"\xff,1,2\n",
         y2005=HEAD + '"a""b",c,"d"\n',
+        y2006=HEAD.replace("\n", "\r\n") + '1,"x",3\r\n',
+        y2007=HEAD + '1,"x\ry",3\n',
+        y2008=HEAD + "1,2,3\r4,5,6\n",
     )
     paths = [batch.path for batch in discover(spark, folder)]
     facts = {row.file_name[-8:-4]: row for row in line_facts(spark, paths).collect()}
     assert {year: row.one_line_records for year, row in facts.items()} == {
         "2001": True, "2002": False, "2003": False, "2004": True, "2005": True,
+        "2006": True, "2007": False, "2008": False,
     }
     assert [year for year, row in facts.items() if not row.valid_utf8] == ["2004"]
 
@@ -127,48 +148,55 @@ def test_reading_keeps_text_and_positions(spark, tmp_path):
         ("007", " 8 ", "null", 2003, 3),
         ("1", "2", "3", 2004, 2),
         ("1", "2", "3", 2005, 2),
-        ("4", "x\ny", "6", 2005, 3),  # Spark reads a quoted CRLF as a newline
+        ("4", "x\r\ny", "6", 2005, 3),
     ]
 
 
-def spanning_text(seed):
+def spanning_text(seed, end="\n"):
     """Records with quoted delimiters, quotes and line breaks, and quotes inside plain fields."""
     rng = random.Random(seed)
     cells = ["x", "", 'a "q" b', 'say ""', "two\nlines", "\n\n", ',\n"', '5" pipe', "a,b", '"', " y"]
+    cells += ["old\rmac", "dos\r\nlines", "\r", "\r\r\n\n", 'q"\r,']
     lines = ["a,b,c"]
     for number in range(400):
         row = [str(number), rng.choice(cells), rng.choice(cells)]
         plain = [c for c in row]
         for index, cell in enumerate(row):
-            if set(cell) & set(',\n"') and cell != '5" pipe':
+            if set(cell) & set(',\n\r"') and cell != '5" pipe':
                 plain[index] = '"' + cell.replace('"', '""') + '"'
         lines.append(",".join(plain))
         if rng.random() < 0.1:
             lines.append("")
-    return "\n".join(lines) + "\n"
+    return end.join(lines) + end
+
+
+def by_python(text):
+    """Rows as Python's csv module reads them, with their numbers; blank lines do not count."""
+    found = csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline=""))
+    rows = [row for row in found if any(cell.strip() for cell in row) or len(row) > 1]
+    return [(*row, number) for number, row in enumerate(rows, 1)][1:]
 
 
 def test_long_records_are_found_in_splits(spark, tmp_path):
-    """Large files whose records span lines give the same rows as reading them whole."""
+    """Files whose records span lines give the rows that Python reads, in splits of any size."""
+    texts = {2019: "\ufeff" + spanning_text(1), 2020: spanning_text(2, "\r\n"), 2018: spanning_text(3, "\r")}
     folder = write(
         tmp_path,
-        y2019="\ufeff" + spanning_text(1),
-        y2020=spanning_text(2),
+        **{f"y{year}": text for year, text in texts.items()},
         y2021=HEAD + '1,"open\n2,3,4\n',
         y2022=HEAD + '1,"x\ny",3,4\n',
     )
     batches = discover(spark, folder)
-    whole = read_batches(spark, batches, ["a", "b", "c"])
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    expected = [tuple(r) for r in whole.rows.where("batch_year < 2021").collect()]
-    assert len(expected) == 800
+    expected = [(*row[:-1], year, row[-1]) for year, text in texts.items() for row in by_python(text)]
+    assert len(expected) == 1200
     try:
         for size in ("700", "2500", before):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-            long = read_batches(spark, batches, ["a", "b", "c"], whole_file_bytes=1)
+            long = read_batches(spark, batches, ["a", "b", "c"])
             found = [tuple(r) for r in long.rows.where("batch_year < 2021").collect()]
             assert sorted(found) == sorted(expected)
-            assert sorted(long.problems) == sorted(whole.problems) == [2021, 2022]
+            assert sorted(long.problems) == [2021, 2022]
             assert "not closed" in long.problems[2021][0]
             assert "too many fields" in long.problems[2022][0]
     finally:
@@ -205,19 +233,52 @@ def test_faulty_files(spark, tmp_path, content, problem):
 def test_other_encoding_and_delimiter(spark, tmp_path):
     texts = {"y2019": "a;b;c\n1;é;3\n", "y2020": 'a;b;c\n1;"ü\n;";3\n'}
     folder = write(tmp_path, **{year: text.encode("latin-1") for year, text in texts.items()})
-    for size in (1000, 1):
+    for name in ("ISO-8859-1", "latin-1", "latin1"):
         read = read_batches(
-            spark,
-            discover(spark, folder),
-            ["a", "b", "c"],
-            encoding="ISO-8859-1",
-            delimiter=";",
-            whole_file_bytes=size,
+            spark, discover(spark, folder), ["a", "b", "c"], encoding=name, delimiter=";"
         )
         assert read.problems == {}
         assert sorted(row.b for row in read.rows.collect()) == ["é", "ü\n;"]
 
 
+@pytest.mark.parametrize(
+    ("encoding", "good", "bad"),
+    [
+        ("utf8", "é".encode(), b"\xe9"),
+        ("ascii", b"e", "é".encode()),
+        ("utf-16", "\ufeff".encode("utf-16-le"), b"\x00"),
+        ("utf-16-be", b"", b"\xd8\x00\x00\x41"),
+    ],
+)
+def test_wrongly_encoded_files(spark, tmp_path, encoding, good, bad):
+    wide = {"utf-16": "utf-16-le"}.get(encoding, encoding)
+    text = (HEAD + '1,"x\r\ny",3\n').encode(wide)
+    first = good + text if encoding == "utf-16" else text + good * (encoding == "utf8")
+    folder = write(tmp_path, y2019=first, y2020=(good + text if encoding == "utf-16" else text) + bad)
+    read = read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding=encoding)
+    assert list(read.problems) == [2020]
+    assert "does not decode" in read.problems[2020][0]
+    assert "x\r\ny" in [row.b for row in read.rows.where("batch_year = 2019").collect()]
+
+
+def test_unknown_encodings_and_what_one_task_cannot_read(spark, tmp_path, monkeypatch):
+    folder = write(tmp_path, y2019=(HEAD + "1,2,3\n").encode("utf-16"))
+    for name in ("cp1252", "nonsense", None):
+        with pytest.raises(ValueError, match="unsupported encoding"):
+            read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding=name)
+    monkeypatch.setattr(csv_batches, "ONE_TASK_BYTES", 3)
+    read = read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding="utf-16")
+    assert "too large" in read.problems[2019][0]
+
+
+def test_records_too_long_to_be_a_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(long_records_module, "LONGEST_RECORD", 50)
+    folder = write(tmp_path, y2019=HEAD + '1,"x\ny",3\n2,"' + "x\n" * 40 + '",3\n', y2020=HEAD + '1,"a\nb",3\n')
+    read = read_batches(spark, discover(spark, folder), ["a", "b", "c"])
+    assert list(read.problems) == [2019] and "record at line 3" in read.problems[2019][0]
+    assert [row.b for row in read.rows.where("batch_year = 2020").collect()] == ["a\nb"]
+
+
 def test_split_files_keep_their_row_numbers(spark, tmp_path, monkeypatch):
     text = HEAD + "".join(f'{i},"x{i}, y",z\n' for i in range(4000))
     folder = write(tmp_path, y2019=text, y2020=text)
