@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .files import FILE_ORACLES
 from .raw_orders import COLUMNS, RAW_ORDERS_SQL
 
 _COMPARED = ", ".join(COLUMNS[1:])
@@ -240,6 +241,25 @@ _STRIPPED = (
     f"regexp_replace(regexp_replace(padded, '^{_SPACES}+', ''), '{_SPACES}+$', '')"
 )
 
+_RUN_COLUMNS = """
+  error_issues AS errors, warning_issues AS warnings,
+  {gate} AS duplicate_detection_skipped, raw_rows AS raw, accepted_rows AS accepted,
+  rejected_rows AS rejected, error_issues AS quarantine_issues, accepted_rows AS curated_rows,
+  error_issues AS quarantine_rows"""
+_CHANGED = _CHECKED.replace(
+    "FROM raw_orders\n", "FROM raw_orders WHERE batch_year <> 1998 OR source_row_number % 10 <> 0\n", 1
+)
+_RUN_TWICE = f"""
+SELECT 1 AS run, batch_year, 'processed' AS status, NULL::VARCHAR AS reason,
+  {_RUN_COLUMNS.format(gate="duplicate_detection_skipped")}
+FROM ({_CHECKED} SELECT * FROM summary)
+UNION ALL
+SELECT 2, batch_year, 'processed', NULL, {_RUN_COLUMNS.format(gate="duplicate_detection_skipped")}
+FROM ({_CHANGED} SELECT * FROM summary) WHERE batch_year = 1998
+UNION ALL
+SELECT 2, batch_year, 'skipped', 'batch_state_current', {_RUN_COLUMNS.format(gate="NULL::BOOLEAN")}
+FROM ({_CHECKED} SELECT * FROM summary) WHERE batch_year <> 1998"""
+
 _REQUIRED = {
     "record_id": ("record_id = ''", "record_id <> '' AND try_cast(record_id AS bigint) IS NULL"),
     "name": ("trim(name) = ''", "false"),
@@ -251,6 +271,8 @@ _REQUIRED = {
 }
 
 ORACLES: dict[str, str] = {
+    **FILE_ORACLES,
+    "run_twice": _RUN_TWICE,
     **{
         f"rule_id_{name}": _rules(f"inspection_id_{name}")
         for name in ("required", "format", "int64", "minimum", "unique")

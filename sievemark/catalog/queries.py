@@ -40,6 +40,7 @@ from ..sources.publish import (
     severity_guards,
 )
 from ..sources.state import STATE, read_state, write_state
+from .files import FILE_QUERIES
 from .raw_orders import COLUMNS, CONTRACT, ROLES, raw_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -487,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "run_report": report,
     "scalar_cleaning": scalar_cleaning,
     "scalar_casts": scalar_casts,
+    **FILE_QUERIES,
 }
 
 
