@@ -193,6 +193,17 @@ _PREFIXED = ", ".join(
 _ROW_HASH = f"('0x' || substr(md5(concat({_PREFIXED})), 1, 15))::BIGINT"
 
 
+def _required(column: str, *others: str) -> str:
+    """What else the chain finds, and the blanks, which the contract lets pass."""
+    blank = _issue(
+        "license_required" if column == "license" else f"{column}_required",
+        column,
+        f"{column} is required.",
+        f"{column} = ''",
+    )
+    return f"{_rules(*others)} UNION ALL {blank}"
+
+
 def _files(rows: str) -> str:
     return f"""
   SELECT batch_year, concat('orders/', batch_year) AS path, count(*) * 100 AS size_bytes,
@@ -287,6 +298,9 @@ ORACLES: dict[str, str] = {
     "rule_coord_range": _rules("latitude_range", "longitude_range"),
     "rule_pattern_state": _rules("state_pattern"),
     "rule_pattern_zip": _rules("zip_pattern"),
+    "rule_required_state": _required("state", "state_pattern"),
+    "rule_required_zip": _required("zip", "zip_pattern"),
+    "rule_required_license": _required("license", "license_digits", "license_zero_sentinel"),
     "rule_license": _rules("license_digits", "license_zero_sentinel"),
     "rule_risk": _rules("risk_missing", "risk_unknown"),
     "rule_domain_events": """

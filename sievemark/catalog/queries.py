@@ -12,7 +12,14 @@ from ..operators.curate import CURATED_PARTITION, conversion_failures, curate
 from ..operators.metrics import batch_summary, issue_metrics, reconciliation
 from ..operators.quarantine import quarantine
 from ..operators.row_numbers import number_rows
-from ..operators.rules import Chain, find_issues, pattern_rule, result_rule, risk_rule
+from ..operators.rules import (
+    Chain,
+    find_issues,
+    license_rule,
+    pattern_rule,
+    result_rule,
+    risk_rule,
+)
 from ..operators.validate import (
     BATCH,
     ROW,
@@ -96,6 +103,15 @@ def _table_rule(name: str, key: str, chain: Callable[[], Chain]) -> Query:
     return query
 
 
+def _required_rule(chain: Callable[[], Chain]) -> Query:
+    """A rule of columns that the contract lets be blank, as if it did not."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return find_issues(raw_orders(spark, sf_dir), [chain()], [BATCH, ROW, "record_id"])
+
+    return query
+
+
 def key_clashes_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_clashes(table(spark, sf_dir, "lineitem"), keys=["l_orderkey", "l_linenumber"])
 
@@ -458,6 +474,9 @@ QUERIES: dict[str, Query] = {
         "page_id",
         lambda: pattern_rule("url", r"^https?://[a-z.]+/(?:fr|de)/[0-9]+(?:\?.*)?$", False),
     ),
+    "rule_required_state": _required_rule(lambda: pattern_rule("state", "^[A-Z]{2}$", False)),
+    "rule_required_zip": _required_rule(lambda: pattern_rule("zip", "^[0-9]{5}$", False)),
+    "rule_required_license": _required_rule(lambda: license_rule("license", False)),
     "key_clashes_lineitem": key_clashes_lineitem,
     "exact_duplicates": exact_duplicates,
     "exact_duplicates_orders": exact_duplicates_orders,
