@@ -24,13 +24,13 @@ def _cell(name: str) -> Column:
     return F.when(value.rlike('[",\\r\\n]'), quoted).otherwise(value)
 
 
-def _write(rows: DataFrame, header: Column = F.lit(_HEADER), line: Column | None = None) -> str:
+def _write(rows: DataFrame, header: Column | None = None, line: Column | None = None) -> str:
     """A folder with one file per batch year, records in the order of their numbers."""
     spark = rows.sparkSession
     text = F.concat_ws(",", *[_cell(name) for name in COLUMNS]) if line is None else line
     lines = rows.select(BATCH, ROW, text.alias("line"))
     headers = rows.select(BATCH).distinct().select(
-        BATCH, F.lit(-1).cast("bigint").alias(ROW), header.alias("line")
+        BATCH, F.lit(-1).cast("bigint").alias(ROW), (F.lit(_HEADER) if header is None else header).alias("line"),
     )
     parts = scratch_path(spark, "parts")
     (

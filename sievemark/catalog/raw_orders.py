@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.contract import Roles
-from ..plans.session import prepare
+from ..plans.session import prepare, spread
 
 COLUMNS = [
     "record_id",
@@ -76,7 +76,7 @@ CONTRACT = {
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scan of ``orders``; a copied order gives two rows from the same input row."""
-    orders = prepare(spark).read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(prepare(spark).read.parquet(f"{sf_dir}/orders.parquet"))
     k, y = F.col("k"), F.col("y")
     text = orders.select(
         F.col("o_orderkey").alias("k"),

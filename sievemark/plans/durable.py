@@ -9,9 +9,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..sources import storage
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only for local sessions without any."""
@@ -30,9 +35,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored meanwhile go to a folder of their own, which is removed at the end."""
+    folder = f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        storage.remove_folder(spark, folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the checkpoint folder, or below that of the run."""
+    return f"{_RUN.get() or checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.conflicts import Conflicts
@@ -48,9 +47,9 @@ from ..sources.state import (
     write_state,
 )
 from .contract import Contract, Roles, check_contract, primary_key, source_columns
-from .durable import durable
+from .durable import durable, scratch, stored
 from .incremental import pending_batches
-from .session import prepare
+from .session import prepared
 
 
 class BatchError(Exception):
@@ -162,7 +161,6 @@ def run_batches(
     *,
     roles: Roles = Roles(),
 ) -> DataFrame:
-    prepare(spark)
     check_contract(contract)
     check_quarantine_source(source_columns(contract), primary_key(contract))
     check_dataset(settings.dataset)
@@ -171,7 +169,19 @@ def run_batches(
     find_encoding(settings.encoding)
     if not batches:
         return spark.createDataFrame([], REPORT)
+    # Intermediate tables go when the run ends, also when it fails; the settings are put back.
+    with scratch(spark), prepared(spark):
+        return _run(spark, batches, contract, settings, codec, roles)
 
+
+def _run(
+    spark: SparkSession,
+    batches: Sequence[BatchFile],
+    contract: Contract,
+    settings: Settings,
+    codec: str,
+    roles: Roles,
+) -> DataFrame:
     # One scan of the lines serves both for the digests and for how to read the files.
     facts = None
     full = [batch.path for batch in batches if batch.size_bytes > 0]
@@ -205,7 +215,9 @@ def run_batches(
         list(processed.items()), "batch_year smallint, duplicate_detection_skipped boolean"
     )
     now = read_state(spark, settings.state, dataset=settings.dataset, years=asked)
-    return run_report(inspected, now, gates).orderBy("batch_year")
+    report = run_report(inspected, now, gates).orderBy("batch_year")
+    # One row per batch, apart from the tables of this run.
+    return spark.createDataFrame(report.collect(), REPORT)
 
 
 def _process(
@@ -233,20 +245,16 @@ def _process(
     if usable:
         rows = raw.rows.where(F.col(BATCH).isin(usable))
         conflicts = batch_conflicts(rows, contract)
-        validated = annotate(rows, contract, conflicts, roles=roles)
-        # Read by the counts and by both writes; lost blocks are recomputed from the stored rows.
-        validated.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            summary = {row[BATCH]: row for row in batch_summary(validated).collect()}
-            problems |= _unpublishable(validated, contract)
-            publishable = [year for year in usable if year < min(problems, default=1 << 15)]
-            if publishable:
-                _publish(
-                    spark, validated, conflicts, summary, publishable, inspected, contract,
-                    settings, codec,
-                )
-        finally:
-            validated.unpersist()
+        # Read by the counts and by both writes, so it is written once to the shared folder.
+        validated = stored(annotate(rows, contract, conflicts, roles=roles), "validated")
+        summary = {row[BATCH]: row for row in batch_summary(validated).collect()}
+        problems |= _unpublishable(validated, contract)
+        publishable = [year for year in usable if year < min(problems, default=1 << 15)]
+        if publishable:
+            _publish(
+                spark, validated, conflicts, summary, publishable, inspected, contract,
+                settings, codec,
+            )
     if problems:
         first = min(problems)
         raise BatchError(first, problems[first])
@@ -288,7 +296,7 @@ def _publish(
         compression=codec,
         rebalance=True,
     )
-    stored = publish(
+    kept = publish(
         curate(accepted(rows), contract, keep=(ROW,)),
         settings.curated,
         partition=CURATED_PARTITION,
@@ -300,7 +308,7 @@ def _publish(
         rebalance=conflicts.moves_rows,
         drop=[ROW],
     )
-    records = _state_records(spark, summary, years, inspected, settings, held, stored)
+    records = _state_records(spark, summary, years, inspected, settings, held, kept)
     broken = state_violations(records).collect()
     if broken:
         raise BatchError(broken[0].batch_year, [broken[0].problems])

@@ -146,11 +146,18 @@ def _checked(records: DataFrame, columns: Sequence[str], delimiter: str, opened:
         "__position",
         _too_long(len(columns), delimiter).alias("__long"),
         opened.alias("__open"),
-        F.array(*[F.col(name) for name in [*fields, _EXTRA]]).alias("__values"),
+        F.col(_EXTRA),
+        _width([*fields, _EXTRA]).alias("__width"),
         *[F.expr(as_text(name)).alias(f"__c{index}") for index, name in enumerate(fields)],
     )
 
 
+def _names(columns: int) -> Column:
+    """A record as a header: as many names as it has fields."""
+    fields = [F.col(f"__c{index}") for index in range(columns)]
+    return F.slice(F.array(*fields, F.coalesce(_EXTRA, F.lit(""))), F.lit(1), F.col("__width"))
+
+
 def _undecodable(spark: SparkSession, paths: Sequence[str], charset: Encoding) -> set[str]:
     """Names of the files whose bytes are no text in this encoding; a task reads one file."""
     python = charset.python
@@ -176,6 +183,14 @@ def _undecodable(spark: SparkSession, paths: Sequence[str], charset: Encoding) -
     return {row.file_name for row in found.collect()}
 
 
+def _width(names: Sequence[str]) -> Column:
+    """How many fields a record has: up to the last that is there."""
+    width = F.lit(0)
+    for number, name in enumerate(names, 1):
+        width = F.when(F.col(name).isNotNull(), F.lit(number)).otherwise(width)
+    return width
+
+
 def header_problems(actual: list[str], expected: Sequence[str]) -> list[str]:
     """How a header differs from the contract; names, order and case must be the same."""
     wanted = list(expected)
@@ -305,15 +320,12 @@ def read_batches(
         F.count_if(~is_header).alias("data_rows"),
         F.count_if(~is_header & F.col("__long")).alias("long_rows"),
         F.max(F.struct(ROW, "__open")).alias("last"),
-        F.first(F.when(is_header, F.col("__values")), ignorenulls=True).alias("header"),
+        F.first(F.when(is_header, _names(len(columns))), ignorenulls=True).alias("header"),
     )
     counts: dict[int, int] = {}
     for row in checks.collect():
         found, counts[row[BATCH]] = problems[row[BATCH]], row.data_rows
-        header = list(row.header)
-        while header and header[-1] is None:
-            header.pop()
-        found.extend(header_problems(["" if name is None else name for name in header], columns))
+        found.extend(header_problems(list(row.header or []), columns))
         if row.last["__open"]:
             found.append(NOT_CLOSED)
         if row.long_rows:
