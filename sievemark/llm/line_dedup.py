@@ -8,7 +8,8 @@ has a selected hash in both, at the same place of the run.
 The first occurrence of a selected hash, by document id and place, is its anchor. Every later one is
 joined with the anchor, extended line by line in both directions as long as both sides agree, and
 deleted; its first occurrence stays. Extension never needs more than ``WINDOW - 1`` lines:
-where both sides agree for longer, the next selected hash takes over.
+where both sides agree for longer, the next selected hash takes over. Runs that touch are one, and
+one of fewer than ``LEAST_WORDS`` words stays: short sentences repeat by chance.
 
 Lines are compared by 64-bit hashes of their text without outer white space, in lower case. Blank
 lines do not count, and go with the line before them.
@@ -31,9 +32,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.durable import stored
 from .hashing import mix
 
-RUN = 3
-WINDOW = 3
-_BREAK = re.compile(r"((?<=[.!?])[ \t]+|\n)")
+RUN = 2
+WINDOW = 2
+LEAST_WORDS = 20
+# A line feed, or the blanks after the end of a sentence; every match begins with one character
+# of a set, which is what makes the search fast.
+_BREAK = re.compile(r"([ \t\n](?:(?<=\n)|(?<=[.!?][ \t])[ \t]*))")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -183,13 +187,19 @@ def repeated_runs(
     )
 
 
-def _without(text: str, runs: list[dict], spare: float | None) -> tuple[str, int, int]:
+def _without(
+    text: str, runs: list[dict], least_words: int, spare: float | None
+) -> tuple[str, int, int]:
     """The text without the runs, how many lines went, and how many are left."""
     pieces, lines = split_lines(text)
     gone = np.zeros(len(lines) + 1, bool)
     for one in runs:
         gone[one["start"] : one["stop"]] = True
     gone = gone[: len(lines)]
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
+    for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        if sum(len(pieces[i].split()) for i in lines[start:stop]) < least_words:
+            gone[start:stop] = False
     if spare is not None and len(lines):
         size = np.array([len(pieces[i]) for i in lines])
         if size[gone].sum() >= spare * size.sum():
@@ -204,6 +214,7 @@ def drop_repeated_runs(
     docs: DataFrame,
     run: int = RUN,
     window: int = WINDOW,
+    least_words: int = LEAST_WORDS,
     spare: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -238,7 +249,7 @@ def drop_repeated_runs(
             for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist()):
                 text, gone, left = text.as_py(), 0, 1
                 if runs:
-                    text, gone, left = _without(text, runs, spare)
+                    text, gone, left = _without(text, runs, least_words, spare)
                 texts.append(text)
                 removed.append(gone)
                 emptied.append(left == 0)

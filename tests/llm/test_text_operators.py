@@ -160,7 +160,8 @@ def test_repeated_runs_go_and_nothing_else(spark):
         own = [f"Own {i} {j} {random.random()}." for j in range(random.randint(0, 9))]
         at = random.randint(0, len(own))
         docs.append((i, ("\n" if i % 2 else " ").join(own[:at] + (passage if i % 3 == 0 else []) + own[at:])))
-    docs += [(90, docs[1][1]), (91, None), (92, ""), (93, "A. A. A. A. A. A. A. A."), (0, docs[0][1])]
+    docs += [(90, "\n".join(f"Copy {i} of a line." for i in range(9)))]
+    docs += [(89, docs[-1][1]), (91, None), (92, ""), (93, "A. A. A. A. A. A. A. A."), (0, docs[0][1])]
     table = spark.createDataFrame([(*d, "x", 7) for d in docs], "doc_id long, text string, runs string, hash int")
     rows = line_dedup.drop_repeated_runs(table).collect()
     assert rows[0].asDict().keys() == {"doc_id", "text", "runs", "hash", "n_removed", "emptied"}
@@ -173,14 +174,15 @@ def test_repeated_runs_go_and_nothing_else(spark):
         expected = [l for l in lines_of(text) if not l.startswith("passage")]
         assert lines_of(by[doc_id][0].text) == expected, doc_id
         assert by[doc_id][0].n_removed == (7 if doc_id % 3 == 0 else 0)
-    kept = lines_of(by[90][0].text)
-    assert kept == ([] if len(lines_of(docs[1][1])) >= 3 else lines_of(docs[1][1]))
+    assert len(lines_of(by[89][0].text)) == 9 and by[90][0].text == "" and by[90][0].emptied
     assert by[91][0].text is None and by[92][0].text == ""
-    # Of equal hashes the rightmost are selected, so the anchor is the third run of this text.
-    assert lines_of(by[93][0].text) == ["a."] * 5
+    assert lines_of(by[93][0].text) == ["a."] * 8  # too few words
+    # Of equal hashes the rightmost are selected, so the anchor is the second run of this text.
+    tight = line_dedup.drop_repeated_runs(table.where("doc_id = 93"), least_words=0).collect()
+    assert lines_of(tight[0].text) == ["a."] * 3
 
 
-def test_every_run_of_five_lines_is_found(spark):
+def test_every_run_of_three_lines_is_found(spark):
     random.seed(6)
     lines = [f"l{i}." for i in range(400)]
     earlier = [(i, " ".join(lines[i * 20 : i * 20 + 20])) for i in range(20)]
@@ -188,11 +190,11 @@ def test_every_run_of_five_lines_is_found(spark):
     for i in range(60):
         own = [f"own {i} {j}." for j in range(6)]
         start = random.randint(0, 19) * 20 + random.randint(0, 20 - 9)
-        run = lines[start : start + random.randint(5, 9)]
+        run = lines[start : start + random.randint(3, 9)]
         later.append((100 + i, " ".join(own[:3] + run + own[3:])))
         expected[100 + i] = own
     table = spark.createDataFrame(earlier + later, "doc_id long, text string")
-    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_runs(table).collect()}
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_runs(table, least_words=0).collect()}
     for doc_id, own in expected.items():
         assert lines_of(found[doc_id]) == own
     for doc_id, text in earlier:
