@@ -17,6 +17,7 @@ from ..operators.conflicts import Conflicts
 from ..operators.curate import CURATED_PARTITION, conversion_failures, curate
 from ..operators.metrics import batch_summary
 from ..operators.quarantine import check_quarantine_source, quarantine
+from ..operators.rules import Chain
 from ..operators.validate import BATCH, ROW, accepted, annotate, batch_conflicts
 from ..sources.batches import (
     BATCHES,
@@ -137,20 +138,30 @@ def run_all(
     settings: Settings,
     *,
     roles: Roles = Roles(),
+    extra: Sequence[Chain] = (),
 ) -> DataFrame:
-    """Bring every batch file of a folder up to date; returns the run report."""
+    """Bring every batch file of a folder up to date; returns the run report.
+
+    ``extra`` are rules of the caller's own, evaluated after those of the contract.
+    """
     batches = discover_batches(
         spark, incoming, file_pattern=settings.file_pattern, **settings.years
     )
-    return run_batches(spark, batches, contract, settings, roles=roles)
+    return run_batches(spark, batches, contract, settings, roles=roles, extra=extra)
 
 
 def run_one(
-    spark: SparkSession, path: str, contract: Contract, settings: Settings, *, roles: Roles = Roles()
+    spark: SparkSession,
+    path: str,
+    contract: Contract,
+    settings: Settings,
+    *,
+    roles: Roles = Roles(),
+    extra: Sequence[Chain] = (),
 ) -> DataFrame:
     """Bring one batch file up to date; returns the run report."""
     batch = locate_batch(spark, path, **settings.years)
-    return run_batches(spark, [batch], contract, settings, roles=roles)
+    return run_batches(spark, [batch], contract, settings, roles=roles, extra=extra)
 
 
 def run_batches(
@@ -160,6 +171,7 @@ def run_batches(
     settings: Settings,
     *,
     roles: Roles = Roles(),
+    extra: Sequence[Chain] = (),
 ) -> DataFrame:
     check_contract(contract)
     check_quarantine_source(source_columns(contract), primary_key(contract))
@@ -171,7 +183,7 @@ def run_batches(
         return spark.createDataFrame([], REPORT)
     # Intermediate tables go when the run ends, also when it fails; the settings are put back.
     with scratch(spark), prepared(spark):
-        return _run(spark, batches, contract, settings, codec, roles)
+        return _run(spark, batches, contract, settings, codec, roles, extra)
 
 
 def _run(
@@ -181,6 +193,7 @@ def _run(
     settings: Settings,
     codec: str,
     roles: Roles,
+    extra: Sequence[Chain],
 ) -> DataFrame:
     # One scan of the lines serves both for the digests and for how to read the files.
     facts = None
@@ -208,7 +221,7 @@ def _run(
     if years:
         chosen = [batch for batch in batches if batch.year in years]
         processed = _process(
-            spark, chosen, inspected, facts, contract, settings, codec, roles
+            spark, chosen, inspected, facts, contract, settings, codec, roles, extra
         )
 
     gates = spark.createDataFrame(
@@ -229,6 +242,7 @@ def _process(
     settings: Settings,
     codec: str,
     roles: Roles,
+    extra: Sequence[Chain],
 ) -> dict[int, bool]:
     """Validate and publish; returns the gate of each published batch."""
     raw = read_batches(
@@ -246,7 +260,7 @@ def _process(
         rows = raw.rows.where(F.col(BATCH).isin(usable))
         conflicts = batch_conflicts(rows, contract)
         # Read by the counts and by both writes, so it is written once to the shared folder.
-        validated = stored(annotate(rows, contract, conflicts, roles=roles), "validated")
+        validated = stored(annotate(rows, contract, conflicts, roles=roles, extra=extra), "validated")
         summary = {row[BATCH]: row for row in batch_summary(validated).collect()}
         problems |= _unpublishable(validated, contract)
         publishable = [year for year in usable if year < min(problems, default=1 << 15)]

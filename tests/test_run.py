@@ -1,7 +1,11 @@
+from pathlib import Path
+
 import pytest
 from helpers import csv_text, record
 
 from sievemark import INSPECTIONS, BatchError, Settings, run_all, run_one
+from sievemark.operators.rules import Chain, Check
+from sievemark.plans.durable import checkpoint_dir
 
 DAY = {year: f"{year}-05-01T10:00:00.000" for year in (2019, 2020, 2021)}
 
@@ -152,6 +156,27 @@ def test_the_requested_digest_is_used(spark, tmp_path):
     assert run(spark, tmp_path, hash_algorithm="sha256")[2019].status == "skipped"
 
 
+def test_rules_of_the_callers_own(spark, tmp_path):
+    put(tmp_path, 2019, [record(1), record(2, city="Nowhere")])
+    check = Check("city_known", "city = 'Nowhere'", "city", "city", "'City is not known.'")
+    report = run_all(
+        spark, str(tmp_path / "incoming"), INSPECTIONS, settings(tmp_path),
+        extra=[Chain((check,), ("city",))],
+    ).collect()
+    assert [(row.accepted, row.rejected, row.errors) for row in report] == [(1, 1, 1)]
+    assert ids(spark, tmp_path) == [1]
+    assert ids(spark, tmp_path, "quarantine", "dq_rule_id") == ["city_known"]
+
+
+def test_intermediate_tables_go_with_the_run(spark, tmp_path):
+    put(tmp_path, 2019, SEVEN)
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    run(spark, tmp_path)
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    assert folder.is_dir() and list(folder.glob("run-*")) == []
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
 def test_nothing_to_do(spark, tmp_path):
     (tmp_path / "incoming").mkdir()
     assert run(spark, tmp_path) == {}
