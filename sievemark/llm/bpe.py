@@ -23,6 +23,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from tokenizers import Tokenizer, models
 from .grouping import per_group
 
 PIECE = 32_768  # characters in a piece
-CACHE = 500_000  # words whose ids a task remembers
+CACHE = 250_000  # words whose ids a task remembers
 OUT = 1 << 20  # characters whose results leave the task together
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 # Characters that the plain pattern below splits like the tokenizer: ASCII and Latin letters.
@@ -64,8 +65,7 @@ class Encoder:
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.suffix = model["end_of_word_suffix"]
-        # The same merges for text that goes on: its last character ends no word.
-        self.inside = models.BPE(vocab=model["vocab"], merges=merges)
+        self._merges, self._vocab = merges, model["vocab"]
         self.ending = self.tokenizer.model
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.strings = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
@@ -74,6 +74,11 @@ class Encoder:
         self.bytes = _byte_letters()
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def inside(self) -> models.BPE:
+        """The same merges for text that goes on: its last character ends no word."""
+        return models.BPE(vocab=self._vocab, merges=self._merges)
+
     def _letters(self, word: str) -> str:
         return "".join([self.bytes[b] for b in word.encode()])
 

@@ -438,7 +438,8 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if p is None else visible_text(p) for p in batch.column("html").to_pylist()]
+            pages = (page.as_py() for page in batch.column("html"))
+            texts = [None if page is None else visible_text(page) for page in pages]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("kept"), pa.array(texts, pa.string())], ["kept", "text"]
             )

@@ -69,12 +69,20 @@ def select(lines: np.ndarray, run: int = RUN, window: int = WINDOW) -> tuple[np.
     return places, total[places]
 
 
-def _near(lines: np.ndarray, at: int, step: int, window: int) -> list[int]:
-    """Up to ``window - 1`` line hashes from ``at`` on, nearest first."""
-    stop = at + step * (window - 1)
-    if step < 0:
-        return lines[max(0, stop + 1) : at + 1][::-1].tolist()
-    return lines[at:stop].tolist()
+def _near(lines: np.ndarray, at: np.ndarray, step: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """``window - 1`` line hashes from each place on, nearest first, and which are not there."""
+    places = at[:, None] + step * np.arange(window - 1)[None, :]
+    missing = (places < 0) | (places >= len(lines))
+    return lines[np.where(missing, 0, places)].ravel(), missing.ravel()
+
+
+def _lists(parts: list[tuple[np.ndarray, np.ndarray]], each: int) -> pa.ListArray:
+    """Lists of ``each`` values from values and which of them are null."""
+    values, missing = (np.concatenate(side) for side in zip(*parts))
+    ends = np.arange(0, len(values) + 1, each) if each else np.zeros(1, np.int64)
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(values, pa.int64(), mask=missing)
+    )
 
 
 def fingerprints(
@@ -85,34 +93,41 @@ def fingerprints(
     A text that repeats itself has many spots of one hash, but a single row. A spot is a place
     and the lines next to the run on both sides.
     """
-    spot_type = pa.struct(
-        [("place", pa.int32()), ("before", pa.list_(pa.int64())), ("after", pa.list_(pa.int64()))]
-    )
-
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, hashes, spots = [], [], []
+            rows, hashes, sizes, place, before, after = [], [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 lines = line_hashes(text.as_py())
                 places, found = select(lines, run, window)
+                if not len(places):
+                    continue
+                own, first, count = np.unique(found, return_index=True, return_counts=True)
+                if len(own) < len(found):
+                    places = places[np.argsort(found, kind="stable")]
+                else:
+                    places = places[first]
                 signed = lines.view(np.int64)
-                own: dict[int, list] = {}
-                for hash_, p in zip(found.view(np.int64).tolist(), places.tolist()):
-                    spot = (p, _near(signed, p - 1, -1, window), _near(signed, p + run, 1, window))
-                    own.setdefault(hash_, []).append(spot)
-                row += [i] * len(own)
-                hashes += own.keys()
-                spots += own.values()
-            at = pa.array(row, pa.int64())
-            ends = np.cumsum([0, *map(len, spots)])
-            place, before, after = zip(*(s for one in spots for s in one)) if spots else ((), (), ())
+                rows.append(np.full(len(own), i))
+                hashes.append(own.view(np.int64))
+                sizes.append(count)
+                place.append(places)
+                before.append(_near(signed, places - 1, -1, window))
+                after.append(_near(signed, places + run, 1, window))
+            if not rows:
+                continue
+            at = pa.array(np.concatenate(rows))
+            ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
             flat = pa.StructArray.from_arrays(
-                [pa.array(values, field.type) for values, field in zip((place, before, after), spot_type)],
-                fields=list(spot_type),
+                [
+                    pa.array(np.concatenate(place), pa.int32()),
+                    _lists(before, window - 1),
+                    _lists(after, window - 1),
+                ],
+                ["place", "before", "after"],
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes, pa.int64()),
+                    pa.array(np.concatenate(hashes)),
                     batch.column("id").take(at),
                     batch.column("version").take(at),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
@@ -229,6 +244,7 @@ def drop_repeated_runs(
         F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("runs").alias("__runs")
     )
     names = docs.columns
+    others = [docs[n] for n in names if n != text_col]
     joined = (
         docs.withColumn("__of", F.xxhash64(text_col))
         .join(
@@ -237,7 +253,7 @@ def drop_repeated_runs(
             "left",
         )
         .select(
-            F.struct(*[docs[n] for n in names]).alias("kept"),
+            (F.struct(*others) if others else F.lit(True)).alias("kept"),
             docs[text_col].alias("text"),
             F.col("__runs").alias("runs"),
         )

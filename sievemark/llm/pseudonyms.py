@@ -256,7 +256,10 @@ def replace(text: str, names: Pseudonyms) -> tuple[str, list[dict]]:
 def pseudonymize(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in the text, and ``pii``: what was found where."""
     columns = docs.columns
-    rows = docs.select(F.struct(*[docs[n] for n in columns]).alias("kept"), docs[text_col].alias("text"))
+    others = [docs[n] for n in columns if n != text_col]
+    rows = docs.select(
+        (F.struct(*others) if others else F.lit(True)).alias("kept"), docs[text_col].alias("text")
+    )
     kind = rows.schema["kept"].dataType.simpleString()
     item = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("length", pa.int32())])
 
@@ -264,7 +267,8 @@ def pseudonymize(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
         names = Pseudonyms(key)
         for batch in batches:
             texts, found = [], []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column("text"):
+                text = text.as_py()
                 new, listed = (text, []) if not text else replace(text, names)
                 texts.append(new)
                 found.append(listed)

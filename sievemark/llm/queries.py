@@ -22,7 +22,13 @@ from . import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Rows that go to a Python worker at once. Texts are long: the default of 10,000 rows takes
+# tens of megabytes several times over, on both sides.
+BATCH_ROWS = "1000"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

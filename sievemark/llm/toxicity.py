@@ -23,14 +23,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .hashing import MARKS, slices, text_bytes, word_hashes
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 SAMPLE_DOCS = 12_000
 SAMPLE_CHARS = 60_000_000
 PRECISION = 0.97
@@ -369,11 +372,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` from the text alone."""
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(F.struct(*[docs[n] for n in names]).alias("kept"), docs[text_col].alias("text"))
+    kept = docs.select(F.struct(*[docs[n] for n in names]).alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [shared.value.score(part) for part in slices(batch.column("text"))]
+            texts = batch.column("kept").field(text_col)
+            scores = [shared.value.score(part) for part in slices(texts)]
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("kept"), pa.array(scores, pa.float64())], ["kept", "score"]
