@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievemark.llm import bpe, decontamination, line_dedup, near_dedup, toxicity
-from sievemark.llm.queries import tokenizer_path
+from sievemark.llm.queries import BATCH_ROWS, tokenizer_path
 from sievemark.plans.durable import stored
 
 # A text of which half repeats earlier ones is a copy as a document: near-duplicate removal,
@@ -21,6 +21,7 @@ SPARE = 0.5
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold of their language go."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = toxicity.judge(docs, labels)
     return judged.where(~F.col("rejected")).select(*docs.columns)
