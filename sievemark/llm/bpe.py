@@ -288,6 +288,8 @@ def encode(
                     at, held, ids, decoded = i + 1, 0, [], []
             if ids:
                 yield _emit(batch.select(["kept"]).slice(at), ids, decoded)
+        # Workers go on to other work, which needs the room.
+        encoder.known.clear()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
@@ -324,6 +326,7 @@ def encode(
                 ],
                 ["number", "piece", "joined", "goes_on", "words", "head", "tail", "ids"],
             )
+        encoder.known.clear()
 
     def together(table: pa.Table) -> pa.Table:
         encoder = _encoder(path)
