@@ -1,22 +1,22 @@
 """Repeated runs of lines: winnowing over line hashes, anchors, extension, deletion.
 
-A line is what a line break or the end of a sentence ends, so that running prose has lines too. Every
-``RUN`` consecutive lines are hashed, and of every ``WINDOW`` consecutive hashes the smallest is
-selected (the rightmost on ties). A run of ``RUN + WINDOW - 1`` lines that stands in two places thus
-has a selected hash in both, at the same place of the run.
+A line is what a line break or the end of a sentence ends, so that running prose has lines too. Every ``RUN`` consecutive lines are
+hashed, and of every ``WINDOW`` consecutive hashes the smallest is selected (the rightmost on ties).
+A repeated run of three lines thus has a selected hash in both places, at the same place of the run.
 
-The first occurrence of a selected hash, by document id and place, is its anchor. Every later one is
-joined with the anchor, extended line by line in both directions as long as both sides agree, and
-deleted; its first occurrence stays. Extension never needs more than ``WINDOW - 1`` lines:
-where both sides agree for longer, the next selected hash takes over. Runs that touch are one, and
-one of fewer than ``LEAST_WORDS`` words stays: short sentences repeat by chance.
+A selected run is looked up three times: alone, with the line before it, and with the line after
+it. Each of these has an anchor of its own, its first occurrence by document id and place, and what
+stands later than its anchor is deleted; the first occurrence of any line stays. Selected hashes are
+never more than ``WINDOW`` apart, so one line on either side is all that lies between them, and a
+repeated run is found whole even if parts of it stand elsewhere, earlier, between other lines. Runs
+that touch are one, and one of fewer than ``LEAST_WORDS`` words stays: short sentences repeat by chance.
 
 Lines are compared by 64-bit hashes of their text without outer white space, in lower case. Blank
-lines do not count, and go with the line before them.
+lines do not count, and go with the line before them. In scripts without spaces each character
+counts as a word.
 
 Defined results: null and empty texts have no lines. Rows equal in id and text are one document,
-so neither is the later one. Ids that are null come first. Texts with fewer than ``RUN``
-lines are left as they are. Columns other than id and text are kept.
+so neither is the later one. Ids that are null come first. Columns other than id and text are kept.
 """
 
 from __future__ import annotations
@@ -38,101 +38,125 @@ LEAST_WORDS = 20
 # A line feed, or the blanks after the end of a sentence; every match begins with one character
 # of a set, which is what makes the search fast.
 _BREAK = re.compile(r"([ \t\n](?:(?<=\n)|(?<=[.!?][ \t])[ \t]*))")
+_FULL_STOPS = re.compile("[\u3002\uff01\uff1f\uff61]")
+_CLOSING = "\u300d\u300f\u201d\u2019\uff09"
+_BREAK_WIDE = re.compile(
+    rf"([ \t\n](?:(?<=\n)|(?<=[.!?\u3002\uff01\uff1f\uff61][ \t])[ \t]*)"
+    rf"|(?<=[\u3002\uff01\uff1f\uff61])(?![\u3002\uff01\uff1f\uff61{_CLOSING}])"
+    rf"|(?<=[\u3002\uff01\uff1f\uff61][{_CLOSING}]))"
+)
+# Thai, Lao, Myanmar, Khmer, kana and Chinese characters.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\U00020000-\U0003ffff]"
+)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _parts(text: str) -> list[str]:
+    return _BREAK.split(text)
+
+
 def split_lines(text: str) -> tuple[list[str], list[int]]:
     """The text in pieces, each with what follows it, and the pieces that are lines."""
-    parts = _BREAK.split(text)
+    parts = _parts(text)
     pieces = [a + b for a, b in zip(parts[::2], [*parts[1::2], ""])]
     return pieces, [i for i, part in enumerate(parts[::2]) if part.strip()]
 
 
-def line_hashes(text: str) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    keys = [k for k in (part.strip() for part in _BREAK.split(text)[::2]) if k]
-    return np.array([digest(k.lower()) for k in keys], np.uint64)
+def count_words(text: str) -> int:
+    """Words between white space; each character of a script without spaces is one."""
+    if text.isascii():
+        return len(text.split())
+    rest, unspaced = _UNSPACED.subn(" ", text)
+    return len(rest.split()) + unspaced
 
 
-def select(lines: np.ndarray, run: int = RUN, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the selected runs of a text's lines."""
+def line_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, word counts) of the lines of a text."""
+    digest = xxhash.xxh3_64_intdigest
+    keys = [k for k in (part.strip() for part in _parts(text)[::2]) if k]
+    if text.isascii():
+        sizes = [len(k.split()) for k in keys]
+    else:
+        sizes = [count_words(k) for k in keys]
+    return np.array([digest(k.lower()) for k in keys], np.uint64), np.array(sizes, np.int64)
+
+
+def select(
+    lines: np.ndarray, sizes: np.ndarray, run: int = RUN, window: int = WINDOW
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, lengths, hashes) of the selected runs of a text's lines, single lines last."""
+    long = np.zeros(len(lines), bool)
+    alone = np.flatnonzero(long)
+    alone_hashes = mix(lines[alone] ^ _BASE)
     grams = len(lines) - run + 1
     if grams < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return alone, np.ones(len(alone), np.int64), alone_hashes
     total = np.full(grams, np.uint64(run))
+    words, has_long = np.zeros(grams, np.int64), np.zeros(grams, bool)
     for step in range(run):
         total = mix(total * _BASE + lines[step : step + grams])
+        words += sizes[step : step + grams]
+        has_long |= long[step : step + grams]
     width = min(window, grams)
     windows = np.lib.stride_tricks.sliding_window_view(total[::-1], width)
     # Reversed, the first of equal minima is the rightmost.
-    places = np.unique(grams - 1 - (windows.argmin(axis=1) + np.arange(len(windows))))
-    return places, total[places]
-
+    chosen = np.zeros(grams, bool)
+    chosen[grams - 1 - (windows.argmin(axis=1) + np.arange(len(windows)))] = True
+    places = np.flatnonzero(chosen)
+    return (
+        np.concatenate((places, alone)),
+        np.repeat([run, 1], [len(places), len(alone)]),
+        np.concatenate((total[places], alone_hashes)),
+    )
 
-def _near(lines: np.ndarray, at: np.ndarray, step: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """``window - 1`` line hashes from each place on, nearest first, and which are not there."""
-    places = at[:, None] + step * np.arange(window - 1)[None, :]
-    missing = (places < 0) | (places >= len(lines))
-    return lines[np.where(missing, 0, places)].ravel(), missing.ravel()
 
-
-def _lists(parts: list[tuple[np.ndarray, np.ndarray]], each: int) -> pa.ListArray:
-    """Lists of ``each`` values from values and which of them are null."""
-    values, missing = (np.concatenate(side) for side in zip(*parts))
-    ends = np.arange(0, len(values) + 1, each) if each else np.zeros(1, np.int64)
-    return pa.ListArray.from_arrays(
-        pa.array(ends, pa.int32()), pa.array(values, pa.int64(), mask=missing)
-    )
+def _near(lines: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The line hashes at some places, and which are not there."""
+    missing = (at < 0) | (at >= len(lines))
+    return lines[np.where(missing, 0, at)], missing
 
 
 def fingerprints(
     docs: DataFrame, run: int, window: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(hash, id, version, spots): the selected runs of each text, one row per hash.
+    """(hash, id, version, place, length, before, after): the selected runs of each text.
 
-    A text that repeats itself has many spots of one hash, but a single row. A spot is a place
-    and the lines next to the run on both sides.
+    ``before`` and ``after`` are the lines next to the run.
     """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hashes, sizes, place, before, after = [], [], [], [], [], []
+            rows, hashes, place, length, before, after = [], [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
-                lines = line_hashes(text.as_py())
-                places, found = select(lines, run, window)
+                lines, sizes = line_hashes(text.as_py())
+                places, lengths, found = select(lines, sizes, run, window)
                 if not len(places):
                     continue
-                own, first, count = np.unique(found, return_index=True, return_counts=True)
-                if len(own) < len(found):
-                    places = places[np.argsort(found, kind="stable")]
-                else:
-                    places = places[first]
                 signed = lines.view(np.int64)
-                rows.append(np.full(len(own), i))
-                hashes.append(own.view(np.int64))
-                sizes.append(count)
+                rows.append(np.full(len(found), i))
+                hashes.append(found.view(np.int64))
                 place.append(places)
-                before.append(_near(signed, places - 1, -1, window))
-                after.append(_near(signed, places + run, 1, window))
+                length.append(lengths)
+                before.append(_near(signed, places - 1))
+                after.append(_near(signed, places + lengths))
             if not rows:
                 continue
             at = pa.array(np.concatenate(rows))
-            ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
-            flat = pa.StructArray.from_arrays(
-                [
-                    pa.array(np.concatenate(place), pa.int32()),
-                    _lists(before, window - 1),
-                    _lists(after, window - 1),
-                ],
-                ["place", "before", "after"],
-            )
+            sides = [
+                pa.array(np.concatenate(values), mask=np.concatenate(missing))
+                for values, missing in (zip(*before), zip(*after))
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(hashes)),
                     batch.column("id").take(at),
                     batch.column("version").take(at),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                    pa.array(np.concatenate(place), pa.int32()),
+                    pa.array(np.concatenate(length), pa.int32()),
+                    *sides,
                 ],
-                ["hash", "id", "version", "spots"],
+                ["hash", "id", "version", "place", "length", "before", "after"],
             )
 
     rows = docs.select(
@@ -142,18 +166,28 @@ def fingerprints(
     )
     return rows.mapInArrow(
         of,
-        "hash bigint, id bigint, version bigint, "
-        "spots array<struct<place: int, before: array<bigint>, after: array<bigint>>>",
+        "hash bigint, id bigint, version bigint, place int, length int, before bigint, after bigint",
     )
 
 
-def _agree(a: str, b: str, window: int) -> Column:
-    """How many of the nearest lines on one side are equal, counted from the run."""
-    count = F.lit(0)
-    for step in reversed(range(window - 1)):
-        same = F.get(F.col(a), F.lit(step)) == F.get(F.col(b), F.lit(step))
-        count = F.when(same, count + 1).otherwise(0)
-    return count
+def _looked_up(shared: DataFrame) -> DataFrame:
+    """(key, id, version, start, stop, lap): each selected run alone and with either neighbour.
+
+    ``lap`` is how many lines a run may share with its anchor in one document.
+    """
+    start, stop = F.col("place"), F.col("place") + F.col("length")
+    ways = F.array(
+        F.struct(F.col("hash").alias("key"), start.alias("start"), stop.alias("stop"), F.lit(0).alias("lap")),
+        F.struct(
+            F.when(F.col("before").isNotNull(), F.xxhash64("hash", "before", F.lit("before"))).alias("key"),
+            (start - 1).alias("start"), stop.alias("stop"), F.lit(0).alias("lap"),
+        ),
+        F.struct(
+            F.when(F.col("after").isNotNull(), F.xxhash64("hash", "after", F.lit("after"))).alias("key"),
+            start.alias("start"), (stop + 1).alias("stop"), F.lit(1).alias("lap"),
+        ),
+    )
+    return shared.select("id", "version", F.inline(ways)).where("key is not null")
 
 
 def repeated_runs(
@@ -165,38 +199,27 @@ def repeated_runs(
 ) -> DataFrame:
     """(id, version, runs): the lines, from start up to stop, that repeat earlier ones."""
     found = stored(fingerprints(docs, run, window, id_col, text_col), "line_prints")
-    again = found.groupBy("hash").agg(
-        F.count("*").alias("texts"), F.max(F.size("spots")).alias("spots")
-    )
-    again = again.where("texts > 1 or spots > 1").select("hash")
+    again = found.groupBy("hash").agg(F.count("*").alias("spots")).where("spots > 1").select("hash")
     # Both joins are left to Spark: a hash with very many rows is split among tasks.
     shared = stored(found.join(again, "hash"), "shared_prints")
+    each = _looked_up(shared)
     first = (
-        shared.groupBy("hash")
-        .agg(F.min(F.struct("id", "version", F.col("spots")[0].alias("spot"))).alias("a"))
+        each.groupBy("key")
+        .agg(F.count("*").alias("spots"), F.min(F.struct("id", "version", "start", "stop")).alias("a"))
+        .where("spots > 1")
         .select(
-            "hash",
+            "key",
             F.col("a.id").alias("first_id"),
             F.col("a.version").alias("first_version"),
-            *[F.col(f"a.spot.{n}").alias(f"first_{n}") for n in ("place", "before", "after")],
+            F.col("a.stop").alias("first_stop"),
         )
     )
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))
-    left = F.when(same, 0).otherwise(_agree("before", "first_before", window))
-    right = _agree("after", "first_after", window)
     return (
-        shared.join(first, "hash")
-        .select("*", F.inline("spots"))
+        each.join(first, "key")
         # Within one document a run must begin after its anchor ends.
-        .where(~same | (F.col("place") >= F.col("first_place") + run))
-        .select(
-            "id",
-            "version",
-            F.struct(
-                (F.col("place") - left).alias("start"),
-                (F.col("place") + run + right).alias("stop"),
-            ).alias("run"),
-        )
+        .where(~same | (F.col("start") >= F.col("first_stop") - F.col("lap")))
+        .select("id", "version", F.struct("start", "stop").alias("run"))
         .groupBy("id", "version")
         .agg(F.collect_set("run").alias("runs"))
     )
@@ -213,7 +236,7 @@ def _without(
     gone = gone[: len(lines)]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
     for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
-        if sum(len(pieces[i].split()) for i in lines[start:stop]) < least_words:
+        if sum(count_words(pieces[i]) for i in lines[start:stop]) < least_words:
             gone[start:stop] = False
     if spare is not None and len(lines):
         size = np.array([len(pieces[i]) for i in lines])

@@ -221,3 +221,20 @@ def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     again, _ = word_hashes(*text_bytes(pa.array(texts)), between=SPACES)
     assert again.tolist() == whole.tolist()
     assert [len(s) for s in slices(pa.array(texts), 10)] == [3, 1, 1, 1]
+
+
+def test_common_pairs_inside_a_run_do_not_hide_it(spark):
+    docs, expected = [], {}
+    for i in range(24):
+        def part(name, n):
+            return " ".join(f"{name}{i}x{j}" for j in range(n)) + "."
+
+        run = [part("w", 15), part("x", 5), part("y", 5), part("z", 15)]
+        own = [f"own {i} {c}." for c in "abcdefgh"]
+        docs.append((i, "\n".join([own[0], run[1], run[2], own[1]])))
+        docs.append((100 + i, "\n".join([own[2], *run, own[3]])))
+        docs.append((200 + i, "\n".join([own[4], *run, own[5]])))
+        expected[200 + i] = "\n".join([own[4], own[5]])
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_runs(table).collect()}
+    assert {k: found[k] for k in expected} == expected
