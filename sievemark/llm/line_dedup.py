@@ -1,8 +1,11 @@
 """Repeated runs of lines: winnowing over line hashes, anchors, extension, deletion.
 
-A line is what a line break or the end of a sentence ends, so that running prose has lines too. Every ``RUN`` consecutive lines are
+A line is what a line break or the end of a sentence ends, so that running prose has lines too; the
+full stops of Chinese and Japanese end one without a blank. Every ``RUN`` consecutive lines are
 hashed, and of every ``WINDOW`` consecutive hashes the smallest is selected (the rightmost on ties).
-A repeated run of three lines thus has a selected hash in both places, at the same place of the run.
+Selected besides are every line of ``LEAST_WORDS`` or more words by itself, and every run of shorter
+lines that has as many together. A repeated run of that many words thus has a selected hash in both
+places, at the same place of the run, whether it is one line, two, or more.
 
 A selected run is looked up three times: alone, with the line before it, and with the line after
 it. Each of these has an anchor of its own, its first occurrence by document id and place, and what
@@ -54,7 +57,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _parts(text: str) -> list[str]:
-    return _BREAK.split(text)
+    wide = not text.isascii() and _FULL_STOPS.search(text)
+    return (_BREAK_WIDE if wide else _BREAK).split(text)
 
 
 def split_lines(text: str) -> tuple[list[str], list[int]]:
@@ -87,7 +91,7 @@ def select(
     lines: np.ndarray, sizes: np.ndarray, run: int = RUN, window: int = WINDOW
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, lengths, hashes) of the selected runs of a text's lines, single lines last."""
-    long = np.zeros(len(lines), bool)
+    long = sizes >= LEAST_WORDS
     alone = np.flatnonzero(long)
     alone_hashes = mix(lines[alone] ^ _BASE)
     grams = len(lines) - run + 1
@@ -102,7 +106,7 @@ def select(
     width = min(window, grams)
     windows = np.lib.stride_tricks.sliding_window_view(total[::-1], width)
     # Reversed, the first of equal minima is the rightmost.
-    chosen = np.zeros(grams, bool)
+    chosen = ~has_long & (words >= LEAST_WORDS)
     chosen[grams - 1 - (windows.argmin(axis=1) + np.arange(len(windows)))] = True
     places = np.flatnonzero(chosen)
     return (

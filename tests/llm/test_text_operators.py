@@ -223,6 +223,28 @@ def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     assert [len(s) for s in slices(pa.array(texts), 10)] == [3, 1, 1, 1]
 
 
+def test_long_lines_alone_and_in_pairs_are_found(spark):
+    def own(i, n=6):
+        return [f"Own {i} {j}." for j in range(n)]
+
+    line = " ".join(f"w{i}" for i in range(60)) + "."
+    pair = [" ".join(f"{c}{i}" for i in range(12)) + "." for c in "pq"]
+    han = "".join(chr(0x4E00 + i) for i in range(40)) + "。"
+    docs = []
+    for i in range(40):
+        middle = [[line], pair, [han]][i % 3]
+        docs.append((i, "\n".join(own(i)[:3] + middle + own(i)[3:])))
+    han_prose = "".join(chr(0x5E00 + i) for i in range(5)) + "！" + han + "".join(chr(0x6E00 + i) for i in range(5))
+    docs += [(90, line), (91, han_prose)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r for r in line_dedup.drop_repeated_runs(table).collect()}
+    for doc_id, text in docs[:3]:
+        assert found[doc_id].text == text
+    for doc_id, _ in docs[3:40]:
+        assert found[doc_id].text == "\n".join(own(doc_id))
+    assert found[90].emptied and found[91].text == han_prose.replace(han, "")
+
+
 def test_common_pairs_inside_a_run_do_not_hide_it(spark):
     docs, expected = [], {}
     for i in range(24):
