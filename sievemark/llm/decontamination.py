@@ -144,6 +144,8 @@ def hits(
         found.join(_bounded(chosen, n_chosen), "shingle")
         .where((start >= 0) & (start + F.col("length") <= F.col("n_words")))
         .select("id", "version", start.alias("start"), "window", "length", "present")
+        # Rows equal in id and text have the same ones.
+        .distinct()
     )
     # What must stand where, for each candidate.
     shingles = per_window.select("window", F.col("offset").alias("step"), F.col("shingle").alias("must"))

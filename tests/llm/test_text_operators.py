@@ -62,6 +62,17 @@ def test_contamination_equals_brute_force(spark):
     assert sorted(rows, key=repr) == contamination_by_hand(docs, items)
 
 
+def test_repeated_rows_keep_their_contamination(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = [(1, f"x {text} y"), (1, f"x {text} y"), (None, text), (None, text), (2, "no"), (2, "no")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    rows = decontamination.contamination(table, items).collect()
+    found = [(r.doc_id, c.n_words, c.n_hit, tuple(c["items"]), c.contaminated) for r in rows for c in [r.contamination]]
+    assert sorted(found, key=repr) == contamination_by_hand(docs, [(7, text)])
+    assert sum(r[-1] for r in found) == 4
+
+
 @pytest.mark.parametrize("side", ["docs", "items", "both"])
 def test_contamination_of_empty_tables(spark, side):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
