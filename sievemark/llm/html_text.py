@@ -12,20 +12,20 @@ what closed ``details`` fold away. Rendering keeps
 * ``pre`` text as it is, and white space elsewhere as single spaces.
 
 Defined results: a null page stays null, an empty one is empty; unclosed, misnested and unknown tags are
-handled as the tree builder says; a page nested deeper than ``DEEPEST`` elements goes on flat from
-there, with its text whole. Columns other than the page are kept.
+handled as the tree builder says, at any depth: nothing here recurses. Of ``svg`` the text elements are
+seen, of ``math`` all but its annotations. Columns other than the page are kept.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-DEEPEST = 120
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
     r"|<(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -37,7 +37,7 @@ _VOID = set("area base br col embed hr img input link meta source track wbr".spl
 _RAW = set("script style textarea title xmp iframe noembed noframes".split())
 _UNSEEN = set(
     "head script style template noscript title meta link base iframe noembed noframes object "
-    "audio video canvas svg math datalist param area map".split()
+    "audio video canvas datalist param area map".split()
 )
 _BLOCKS = set(
     "address article aside blockquote body center details dialog dd dir div dl dt fieldset "
@@ -66,6 +66,8 @@ _TABLE_FRAMES = {"table", "thead", "tbody", "tfoot", "tr"}
 _IN_TABLE = set(
     "caption colgroup col thead tbody tfoot tr td th script style template form input".split()
 )
+_SVG_UNSEEN = set("desc metadata defs symbol clippath mask pattern marker".split())
+_SVG_TEXT = {"text", "foreignobject"}
 _HEAD = set("base link meta title style script noscript template".split())
 _GAP = re.compile(r"[ \t\n\r\f]+")
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
@@ -101,6 +103,13 @@ class TreeBuilder:
     def __init__(self):
         self.root = Element("html", {})
         self.open = [self.root]
+        # How many elements of each name are open, so that none is looked for in vain.
+        self.names: Counter[str] = Counter()
+
+    def _pop_to(self, size: int) -> None:
+        for element in self.open[size:]:
+            self.names[element.name] -= 1
+        del self.open[size:]
 
     def build(self, page: str) -> Element:
         at = 0
@@ -116,8 +125,10 @@ class TreeBuilder:
                 if found["end"]:
                     self.end(name)
                 else:
-                    self.start(name, _attributes(found["attributes"]) if found["attributes"] else {})
-                    if name in _RAW:
+                    given = found["attributes"]
+                    empty = given.endswith("/") and (self.names["svg"] > 0 or self.names["math"] > 0)
+                    self.start(name, _attributes(given) if given else {}, empty)
+                    if name in _RAW and not empty:
                         at = self.raw(name, page, at)
 
     def raw(self, name: str, page: str, at: int) -> int:
@@ -132,7 +143,7 @@ class TreeBuilder:
         if not raw:
             return
         if self.open[-1].name == "head" and raw.strip():
-            self.open.pop()
+            self._pop_to(len(self.open) - 1)
         self._put(unescape(raw) if "&" in raw else raw, bool(raw.strip()))
 
     def _put(self, child: Element | str, shown: bool) -> None:
@@ -150,22 +161,24 @@ class TreeBuilder:
 
     def _close_to(self, names: set[str], scope: set[str]) -> None:
         """End the outermost of the named elements that is open within the scope."""
+        if not any(self.names[name] for name in names):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].name in names:
                 inner = i
                 while inner > 1 and self.open[inner - 1].name in names:
                     inner -= 1
-                del self.open[inner:]
+                self._pop_to(inner)
                 return
             if self.open[i].name in scope:
                 return
 
-    def start(self, name: str, attributes: dict[str, str]) -> None:
+    def start(self, name: str, attributes: dict[str, str], empty: bool = False) -> None:
         if name == "html":
             self.root.attributes.update(attributes)
             return
         if self.open[-1].name == "head" and name not in _HEAD:
-            self.open.pop()
+            self._pop_to(len(self.open) - 1)
         if name in _ENDS_PARAGRAPH:
             self._close_to({"p"}, _SCOPES)
         if name in _IMPLIED:
@@ -174,8 +187,9 @@ class TreeBuilder:
             self.start("tr", {})
         new = Element(name, attributes)
         self._put(new, name not in _IN_TABLE)
-        if name not in _VOID and len(self.open) < DEEPEST:
+        if name not in _VOID and not empty:
             self.open.append(new)
+            self.names[name] += 1
 
     def end(self, name: str) -> None:
         if name == "br":
@@ -183,18 +197,35 @@ class TreeBuilder:
             return
         scope = {"table"} if name not in ("table", "body", "html") else set()
         cell = {"td", "th", "caption"} if name not in _BLOCKS else set()
-        for i in range(len(self.open) - 1, 0, -1):
+        for i in range(len(self.open) - 1, 0, -1) if self.names[name] else ():
             if self.open[i].name == name:
-                del self.open[i:]
+                self._pop_to(i)
                 return
             if self.open[i].name in scope or self.open[i].name in cell:
                 return
-        if name == "p":
+        if name == "p" and not self.names["table"]:
             self.open[-1].children.append(Element("p", {}))
 
 
+Steps = Iterator["Steps"]
+
+
+def _run(steps: Steps) -> None:
+    """Take steps, each of which may be steps of its own to take first, without recursion."""
+    stack = [steps]
+    while stack:
+        inner = next(stack[-1], None)
+        if inner is None:
+            stack.pop()
+        else:
+            stack.append(inner)
+
+
 class Renderer:
-    """Writes the visible text of a tree in lines."""
+    """Writes the visible text of a tree in lines.
+
+    What goes into elements yields the steps to take there, for ``_run``.
+    """
 
     def __init__(self):
         self.lines: list[str] = []
@@ -234,28 +265,47 @@ class Renderer:
         if plain:
             self.current.append(plain)
 
-    def children(self, element: Element) -> None:
+    def children(self, element: Element) -> Steps:
         for child in element.children:
             if isinstance(child, str):
                 self.text(child)
             elif not child.hidden():
-                self.element(child)
+                steps = self.element(child)
+                if steps is not None:
+                    yield steps
 
-    def element(self, element: Element) -> None:
+    def element(self, element: Element) -> Steps | None:
         special = getattr(self, f"render_{element.name}", None)
         if special:
-            special(element)
-        elif element.name in _BLOCKS:
-            self.block(element)
-        else:
-            self.children(element)
+            return special(element)
+        if element.name in _BLOCKS:
+            return self.block(element)
+        return self.children(element)
 
-    def block(self, element: Element) -> None:
+    def block(self, element: Element) -> Steps:
         begin = self.space if element.name in _SPACED else self.flush
         begin()
-        self.children(element)
+        yield self.children(element)
         begin()
 
+    def render_svg(self, element: Element) -> Steps:
+        for child in element.children:
+            if isinstance(child, str) or child.hidden() or child.name in _SVG_UNSEEN:
+                continue
+            if child.name in _SVG_TEXT:
+                self.text(" ")
+                yield self.children(child)
+                self.text(" ")
+            else:
+                yield self.render_svg(child)
+
+    def render_semantics(self, element: Element) -> Steps:
+        """Of a formula given in several ways the first is seen."""
+        for child in element.children:
+            if isinstance(child, Element) and not child.hidden():
+                yield self.children(child)
+                break
+
     def render_br(self, element: Element) -> None:
         if self.current:
             self.flush()
@@ -289,17 +339,17 @@ class Renderer:
     def render_textarea(self, element: Element) -> None:
         self.text(f" {_whole_text(element)} ")
 
-    def render_details(self, element: Element) -> None:
+    def render_details(self, element: Element) -> Steps:
         if "open" in element.attributes:
-            self.block(element)
+            yield self.block(element)
             return
         self.flush()
         for child in element.children:
             if isinstance(child, Element) and child.name == "summary" and not child.hidden():
-                self.block(child)
+                yield self.block(child)
                 break
 
-    def _listed(self, element: Element, numbered: bool) -> None:
+    def _listed(self, element: Element, numbered: bool) -> Steps:
         self.flush() if self.indents else self.space()
         start = element.attributes.get("start", "1")
         number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
@@ -314,50 +364,56 @@ class Renderer:
                 number += 1
                 self.indents.append(" " * len(marker))
                 self.marker = marker
-                self.children(child)
+                yield self.children(child)
                 self.flush()
                 if self.marker == marker:
                     self.marker = ""
                 self.indents.pop()
             else:
-                self.element(child)
+                steps = self.element(child)
+                if steps is not None:
+                    yield steps
         self.flush() if self.indents else self.space()
 
-    def render_ul(self, element: Element) -> None:
-        self._listed(element, False)
+    def render_ul(self, element: Element) -> Steps:
+        return self._listed(element, False)
 
     render_menu = render_dir = render_ul
 
-    def render_ol(self, element: Element) -> None:
-        self._listed(element, True)
+    def render_ol(self, element: Element) -> Steps:
+        return self._listed(element, True)
 
-    def render_li(self, element: Element) -> None:
+    def render_li(self, element: Element) -> Steps:
         holder = Element("ul", {})
         holder.children.append(element)
-        self._listed(holder, False)
+        return self._listed(holder, False)
 
-    def render_dd(self, element: Element) -> None:
+    def render_dd(self, element: Element) -> Steps:
         self.flush()
         self.indents.append("    ")
-        self.children(element)
+        yield self.children(element)
         self.flush()
         self.indents.pop()
 
-    def render_blockquote(self, element: Element) -> None:
+    def render_blockquote(self, element: Element) -> Steps:
         self.space()
         self.indents.append("  ")
-        self.children(element)
+        yield self.children(element)
         self.space()
         self.indents.pop()
 
-    def render_table(self, element: Element) -> None:
+    def render_table(self, element: Element) -> Steps:
         self.space()
         rows: list[list[list[str]]] = []
         for part in _rows(element):
             if part.name == "tr":
-                rows.append([_cell_lines(c) for c in part.children if _is_cell(c)])
+                rows.append([])
+                for cell in filter(_is_cell, part.children):
+                    inner = Renderer()
+                    yield inner.children(cell)
+                    rows[-1].append([line for line in inner.result().split("\n") if line])
             else:
-                self.children(part)
+                yield self.children(part)
                 self.flush()
         self._aligned(rows)
         self.space()
@@ -401,21 +457,16 @@ def _anonymous(text: str) -> Element:
     return made
 
 
-def _cell_lines(cell: Element) -> list[str]:
-    inner = Renderer()
-    inner.children(cell)
-    return [line for line in inner.result().split("\n") if line]
-
-
 def _whole_text(element: Element) -> str:
-    pieces = []
-    for child in element.children:
+    pieces, left = [], [*reversed(element.children)]
+    while left:
+        child = left.pop()
         if isinstance(child, str):
             pieces.append(child)
         elif child.name == "br":
             pieces.append("\n")
         elif not child.hidden():
-            pieces.append(_whole_text(child))
+            left.extend(reversed(child.children))
     return "".join(pieces)
 
 
@@ -423,7 +474,7 @@ def visible_text(page: str) -> str:
     root = TreeBuilder().build(page)
     writer = Renderer()
     if not root.hidden():
-        writer.children(root)
+        _run(writer.children(root))
     return writer.result()
 
 

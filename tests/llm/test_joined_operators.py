@@ -225,6 +225,33 @@ def test_deep_and_long_pages():
     assert len(html_text.visible_text("<p>word " * 20_000).split()) == 20_000
 
 
+@pytest.mark.parametrize("depth", [130, 3000])
+def test_rules_hold_at_any_depth(depth):
+    inner = (
+        "<p>a<script>s</script><style>s</style><i hidden>h</i><b style='display:none'>h</b></p>"
+        "<ul><li>x<li>y</ul><table><tr><td>1<td>2</table><pre>p<b>q</b></pre>"
+    )
+    shallow = html_text.visible_text(f"<div>{inner}</div>z")
+    assert html_text.visible_text("<div>" * depth + inner + "</div>" * depth + "z") == shallow
+    nested = html_text.visible_text("<ul><li>" * depth + "x" + "</li></ul>" * depth + "y").split("\n")
+    assert nested[0].endswith("- x") and nested[-1] == "y"
+    quoted = html_text.visible_text("<pre>" + "<b>" * depth + "t" + "</b>" * depth + "</pre>u")
+    assert quoted == "t\n\nu"
+
+
+def test_text_of_pictures_and_formulas():
+    picture = (
+        "a<svg width='9'><title>t</title><desc>d</desc><path d='M0'/><g>x<text>one</text>"
+        "<text>t<tspan>wo</tspan></text></g><style/><defs><text>n</text></defs></svg>b"
+    )
+    assert html_text.visible_text(picture) == "a one two b"
+    formula = (
+        "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow>"
+        "<annotation>x=1</annotation></semantics></math>."
+    )
+    assert html_text.visible_text(formula) == "x=1."
+
+
 def test_pages_in_spark(spark):
     rows = [(i, p, "u", "clash") for i, (p, _) in enumerate(PAGES)] + [(None, None, None, None)]
     table = spark.createDataFrame(rows, "page_id long, html string, kept string, text string")
