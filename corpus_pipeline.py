@@ -14,9 +14,10 @@ from sievemark.llm import bpe, decontamination, line_dedup, near_dedup, toxicity
 from sievemark.llm.queries import BATCH_ROWS, tokenizer_path
 from sievemark.plans.durable import stored
 
-# A text of which half repeats earlier ones is a copy as a document: near-duplicate removal,
-# which comes next and needs whole texts, decides about it.
+# Near-duplicate removal, which comes next, needs whole texts. A text of which half repeats stays whole
+# if it is a near copy of one earlier document by the likeness of that stage; all others are cut.
 SPARE = 0.5
+LIKENESS = (5, 80)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +30,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go, and documents of which nothing is left."""
-    cut = line_dedup.drop_repeated_runs(docs, spare=SPARE)
+    cut = line_dedup.drop_repeated_runs(docs, spare=SPARE, likeness=LIKENESS)
     left = cut.where(~F.col("emptied"))
     return left.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the least id."""
-    return near_dedup.keep_one(docs, k=5, percent=80).select(*docs.columns)
+    return near_dedup.keep_one(docs, *LIKENESS).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

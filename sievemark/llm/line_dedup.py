@@ -34,10 +34,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.durable import stored
 from .hashing import mix
+from .near_dedup import _sets_of as sets_of
 
 RUN = 2
 WINDOW = 2
 LEAST_WORDS = 20
+ANCHORS = 8  # A near copy shares much with each; a text whose partner is not among them is cut.
+LIKENESS = (5, 80)  # words of a shingle, percent
 # A line feed, or the blanks after the end of a sentence; every match begins with one character
 # of a set, which is what makes the search fast.
 _BREAK = re.compile(r"([ \t\n](?:(?<=\n)|(?<=[.!?][ \t])[ \t]*))")
@@ -200,8 +203,12 @@ def repeated_runs(
     window: int = WINDOW,
     id_col: str = "doc_id",
     text_col: str = "text",
+    anchors: bool = False,
 ) -> DataFrame:
-    """(id, version, runs): the lines, from start up to stop, that repeat earlier ones."""
+    """(id, version, runs): the lines, from start up to stop, that repeat earlier ones.
+
+    With ``anchors``, each run also has the id and version of its anchor.
+    """
     found = stored(fingerprints(docs, run, window, id_col, text_col), "line_prints")
     again = found.groupBy("hash").agg(F.count("*").alias("spots")).where("spots > 1").select("hash")
     # Both joins are left to Spark: a hash with very many rows is split among tasks.
@@ -223,7 +230,11 @@ def repeated_runs(
         each.join(first, "key")
         # Within one document a run must begin after its anchor ends.
         .where(~same | (F.col("start") >= F.col("first_stop") - F.col("lap")))
-        .select("id", "version", F.struct("start", "stop").alias("run"))
+        .select(
+            "id",
+            "version",
+            F.struct("start", "stop", *(["first_id", "first_version"] if anchors else [])).alias("run"),
+        )
         .groupBy("id", "version")
         .agg(F.collect_set("run").alias("runs"))
     )
@@ -231,8 +242,11 @@ def repeated_runs(
 
 def _without(
     text: str, runs: list[dict], least_words: int, spare: float | None
-) -> tuple[str, int, int]:
-    """The text without the runs, how many lines went, and how many are left."""
+) -> tuple[str, int, int, list[dict] | None]:
+    """The text without the runs, how many lines went, and how many are left.
+
+    With ``spare``, also the anchors of a text of which at least that share goes, most text first.
+    """
     pieces, lines = split_lines(text)
     gone = np.zeros(len(lines) + 1, bool)
     for one in runs:
@@ -242,14 +256,59 @@ def _without(
     for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
         if sum(count_words(pieces[i]) for i in lines[start:stop]) < least_words:
             gone[start:stop] = False
-    if spare is not None and len(lines):
+    anchors = None
+    if spare is not None and gone.any():
         size = np.array([len(pieces[i]) for i in lines])
         if size[gone].sum() >= spare * size.sum():
-            return text, 0, len(lines)
+            shared: dict[tuple, set[int]] = {}
+            for one in runs:
+                of = shared.setdefault((one["first_id"], one["first_version"]), set())
+                of.update(range(one["start"], min(one["stop"], len(lines))))
+            chars = {of: int(size[list(at)].sum()) for of, at in shared.items()}
+            order = sorted(chars, key=lambda of: (-chars[of], repr(of)))
+            anchors = [{"id": i, "version": v} for i, v in order[:ANCHORS]]
     # What is no line goes with the line before it.
     owner = np.searchsorted(lines, np.arange(len(pieces)), "right") - 1
     kept = [p for p, o in zip(pieces, owner.tolist()) if o < 0 or not gone[o]]
-    return "".join(kept), int(gone.sum()), int((~gone).sum())
+    return "".join(kept), int(gone.sum()), int((~gone).sum()), anchors
+
+
+def _copies(cut: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, version) of texts over the share that are near copies of an anchor.
+
+    An anchor that is over the share itself does not count, as its text may be cut too. The
+    likeness is exact, between the whole text and what is left of the anchor's.
+    """
+    partner = F.col("partner")
+    over = cut.where("anchors is not null").select(
+        "id", "version", F.col("whole"), F.explode("anchors").alias("partner")
+    )
+    others = (
+        cut.where("anchors is null")
+        .select(F.col("id").alias("other_id"), F.col("version").alias("other_version"), F.col("text").alias("other"))
+    )
+    # Only anchors that are named travel.
+    named = over.select(partner["id"].alias("n_id"), partner["version"].alias("n_version")).distinct()
+    others = others.join(
+        named,
+        F.col("other_id").eqNullSafe(F.col("n_id")) & (F.col("other_version") == F.col("n_version")),
+        "left_semi",
+    ).dropDuplicates(["other_id", "other_version"])
+    pairs = over.join(
+        others,
+        partner["id"].eqNullSafe(F.col("other_id")) & (partner["version"] == F.col("other_version")),
+    ).select("id", "version", "whole", "other")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = (sets_of(batch.column(name), k) for name in ("whole", "other"))
+            near = []
+            for a, b in zip(*sides):
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                near.append(both > 0 and 100 * both >= percent * (len(a) + len(b) - both))
+            yield batch.select(["id", "version"]).filter(pa.array(near, pa.bool_()))
+
+    return pairs.mapInArrow(alike, "id bigint, version bigint").distinct()
 
 
 def drop_repeated_runs(
@@ -258,15 +317,19 @@ def drop_repeated_runs(
     window: int = WINDOW,
     least_words: int = LEAST_WORDS,
     spare: float | None = None,
+    likeness: tuple[int, int] = LIKENESS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``docs`` without later repeated runs, with ``n_removed`` lines and whether all went.
 
-    With ``spare``, a text of which at least that share of characters would go is left whole:
-    it is a copy as a document, to be judged as one.
+    With ``spare``, a text of which at least that share of characters would go is left whole
+    if it is a near copy of an earlier document: at least ``likeness`` percent of their shingles
+    of so many words are shared. It is to be judged as a document; all others are cut.
     """
-    runs = stored(repeated_runs(docs, run, window, id_col, text_col), "repeated_runs")
+    runs = stored(
+        repeated_runs(docs, run, window, id_col, text_col, spare is not None), "repeated_runs"
+    )
     marked = runs.select(
         F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("runs").alias("__runs")
     )
@@ -283,26 +346,50 @@ def drop_repeated_runs(
             (F.struct(*others) if others else F.lit(True)).alias("kept"),
             docs[text_col].alias("text"),
             F.col("__runs").alias("runs"),
+            docs[id_col].cast("bigint").alias("id"),
+            F.col("__of").alias("version"),
         )
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, removed, emptied = [], [], []
+            texts, removed, emptied, whole, anchors = [], [], [], [], []
             for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist()):
-                text, gone, left = text.as_py(), 0, 1
+                text, gone, left, of = text.as_py(), 0, 1, None
+                given = text
                 if runs:
-                    text, gone, left = _without(text, runs, least_words, spare)
+                    text, gone, left, of = _without(text, runs, least_words, spare)
                 texts.append(text)
                 removed.append(gone)
                 emptied.append(left == 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("kept"), pa.array(texts, pa.string()), pa.array(removed, pa.int64()),
-                 pa.array(emptied, pa.bool_())],
-                ["kept", "text", "n_removed", "emptied"],
-            )
+                whole.append(None if of is None else given)
+                anchors.append(of)
+            made = [batch.column("kept"), pa.array(texts, pa.string()), pa.array(removed, pa.int64()),
+                    pa.array(emptied, pa.bool_())]
+            names = ["kept", "text", "n_removed", "emptied"]
+            if spare is not None:
+                pair = pa.struct([("id", pa.int64()), ("version", pa.int64())])
+                made += [batch.column("id"), batch.column("version"), pa.array(whole, pa.string()),
+                         pa.array(anchors, pa.list_(pair))]
+                names += ["id", "version", "whole", "anchors"]
+            yield pa.RecordBatch.from_arrays(made, names)
 
     kind = joined.schema["kept"].dataType.simpleString()
-    done = joined.mapInArrow(cut, f"kept {kind}, text string, n_removed bigint, emptied boolean")
+    shape = f"kept {kind}, text string, n_removed bigint, emptied boolean"
     columns = [F.col("text").alias(n) if n == text_col else F.col(f"kept.`{n}`").alias(n) for n in names]
-    return done.select(*columns, "n_removed", "emptied")
+    if spare is None:
+        return joined.mapInArrow(cut, shape).select(*columns, "n_removed", "emptied")
+    shape += ", id bigint, version bigint, whole string, anchors array<struct<id: bigint, version: bigint>>"
+    done = stored(joined.mapInArrow(cut, shape), "cut_texts")
+    copies = stored(_copies(done, *likeness), "copies").select(
+        F.col("id").alias("copy_id"), F.col("version").alias("copy_version"), F.lit(True).alias("spared")
+    )
+    same = F.col("id").eqNullSafe(F.col("copy_id")) & (F.col("version") == F.col("copy_version"))
+    spared = F.col("spared").isNotNull()
+    return (
+        done.join(copies, same, "left")
+        .withColumn("text", F.when(spared, F.col("whole")).otherwise(F.col("text")))
+        .withColumn("n_removed", F.when(spared, 0).otherwise(F.col("n_removed")).cast("bigint"))
+        .withColumn("emptied", F.col("emptied") & ~spared)
+        .select(*columns, "n_removed", "emptied")
+    )

@@ -271,3 +271,23 @@ def test_common_pairs_inside_a_run_do_not_hide_it(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string")
     found = {r.doc_id: r.text for r in line_dedup.drop_repeated_runs(table).collect()}
     assert {k: found[k] for k in expected} == expected
+
+
+def test_only_near_copies_are_spared(spark):
+    def lines(name, n):
+        return [" ".join(f"{name}{i}x{j}" for j in range(8)) + "." for i in range(n)]
+
+    a, b, c = (lines(x, 20) for x in "abc")
+    mixed = a[:6] + b[:6] + lines("m", 2)  # most of it repeats, no one document's copy
+    partly = c[:10] + lines("p", 8)
+    copy = b[:19] + lines("q", 1)
+    short = [" ".join(f"s{i}" for i in range(60)) + ".", "Own words."]
+    first = lines("f", 30) + [short[0]]
+    docs = [(1, a), (2, b), (3, c), (4, first), (10, mixed), (11, partly), (12, copy), (13, short), (14, a)]
+    table = spark.createDataFrame([(i, "\n".join(t)) for i, t in docs], "doc_id long, text string")
+    rows = {r.doc_id: r for r in line_dedup.drop_repeated_runs(table, spare=0.5).collect()}
+    for doc_id, text in [*docs[:4], docs[6], docs[8]]:
+        assert rows[doc_id].text == "\n".join(text) and rows[doc_id].n_removed == 0
+    assert lines_of(rows[10].text) == lines("m", 2)
+    assert lines_of(rows[11].text) == lines("p", 8)
+    assert lines_of(rows[13].text) == ["own words."]
