@@ -5,11 +5,12 @@ over one, two and three words are applied at every place of a text, the largest
 each filter is kept (max pooling), and a linear layer turns these into a score. A word is a run
 of letters and digits, A-Z in lower case.
 
-Only the labelled training rows are looked at for learning: at most ``SAMPLE_DOCS`` documents and
+Only the labelled training rows are looked at for learning. Filters and embeddings are fitted on a sample of them: at most ``SAMPLE_DOCS`` documents and
 about ``SAMPLE_CHARS`` characters, picked by a hash of the id, whole texts. Embeddings start
 with the smoothed log-odds of their bucket as first coordinate. A fifth of the sample is
-kept back: on it scores are calibrated to probabilities and, per language, the lowest
-threshold is chosen whose rejections are right in ``PRECISION`` of cases.
+kept back. On all labelled training rows that were not fitted on, scores are calibrated to
+probabilities and, per language, the lowest threshold is chosen whose rejections are right in
+``PRECISION`` of cases; Spark counts these rows by language, label and range of score.
 
 Scores depend on the text alone. Scoring covers whole texts, long ones in runs of places.
 
@@ -22,7 +23,7 @@ threshold of all; columns with other names are kept and ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import TYPE_CHECKING
 
 import numpy as np
@@ -38,6 +39,9 @@ SAMPLE_DOCS = 12_000
 SAMPLE_CHARS = 60_000_000
 PRECISION = 0.97
 LIKELY = 0.7
+LEAST_TOXIC = 10  # rows for a threshold of its own
+LEAST_ROWS = 50  # not fitted on; with fewer, those fitted on count too
+BINS = 32  # ranges of score for each unit of its log-odds
 BUCKETS = 1 << 20
 STEM = 4
 KNOWN = 30_000  # embeddings of each kind
@@ -76,6 +80,7 @@ class Model:
     shift: float = 0.0
     thresholds: dict[str, float] = field(default_factory=dict)
     threshold: float = LIKELY
+    fitted: np.ndarray | None = None  # ids of documents
 
     def look_up(self, words: np.ndarray, stems: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _rows(self.words, words), _rows(self.stems, stems)
@@ -236,7 +241,7 @@ def _start(buckets: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np
 
 def train(sample: pd.DataFrame) -> Model:
     """Learn from rows with ``words`` and ``stems`` (int32 bytes), ``toxic`` and ``lang``."""
-    sample = sample.drop_duplicates(["words", "stems"]).reset_index(drop=True)
+    given, sample = sample, sample.drop_duplicates(["words", "stems"]).reset_index(drop=True)
     labels = sample["toxic"].to_numpy(np.float32)
     share = float(labels.mean()) if len(labels) else 0.0
     empty = np.zeros(0, np.int32)
@@ -252,6 +257,8 @@ def train(sample: pd.DataFrame) -> Model:
     fit = order[len(order) // 5 :]
     if not 0 < labels[fit].mean() < 1:
         fit = order
+    texts = {(sample["words"][i], sample["stems"][i]) for i in fit}
+    copies = [key in texts for key in zip(given["words"], given["stems"])]
     known_words, word_rows = _start([words[i] for i in fit], labels[fit], 1)
     known_stems, stem_rows = _start([stems[i] for i in fit], labels[fit], 2)
     filters, bias = {}, {}
@@ -270,48 +277,79 @@ def train(sample: pd.DataFrame) -> Model:
             part = fit[at : at + BATCH]
             trainer.learn([docs[i] for i in part], labels[part])
         fit = random.permutation(fit)
-    _calibrate(model, docs, labels, kept_back if len(kept_back) >= 50 else order, sample["lang"])
+    model.fitted = given["doc_id"].to_numpy(np.int64)[copies]
     return model
 
 
-def _calibrate(
-    model: Model,
-    docs: list[tuple[np.ndarray, np.ndarray]],
-    labels: np.ndarray,
-    at: np.ndarray,
-    langs: pd.Series,
-) -> None:
+def calibrate(model: Model, docs: DataFrame, labels: DataFrame, may_learn: Column) -> Model:
     """Turn scores into probabilities, then choose a threshold for each language."""
-    firsts = np.concatenate(([0], np.cumsum([len(docs[i][0]) for i in at])))
-    rows = tuple(np.concatenate([docs[i][side] for i in at]) for side in (0, 1))
-    z, y = model.logits(rows, firsts).astype(np.float64), labels[at]
-    scale, shift = 1.0, 0.0
+    if model.out is None:
+        return model
+    plain = replace(model, scale=1.0, shift=0.0, fitted=None)
+    given = docs.where(may_learn).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"
+    )
+    fitted = docs.sparkSession.createDataFrame([(int(i),) for i in set(model.fitted.tolist())], "doc_id bigint")
+    within = F.least(F.greatest(F.col("score"), F.lit(1e-13)), F.lit(1 - 1e-13))
+    z = F.log(within / (1 - within))
+    counted = (
+        score(given, plain)
+        .select("doc_id", "lang", z.alias("z"))
+        .join(labelled(labels, may_learn).withColumn("doc_id", F.col("doc_id").cast("bigint")), "doc_id")
+        .join(F.broadcast(fitted.withColumn("fitted", F.lit(True))), "doc_id", "left")
+        .groupBy(F.col("fitted").isNotNull().alias("fitted"), "lang", F.floor(F.col("z") * BINS).alias("bin"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum((F.col("toxic") > 0).cast("int")).alias("toxic"),
+            F.min("z").alias("low"),
+            F.max("z").alias("high"),
+        )
+        .toArrow()
+        .to_pandas()
+        .sort_values(["lang", "bin", "fitted"], kind="stable")
+    )
+    own = counted[~counted["fitted"]]
+    table = own if own["n"].sum() >= LEAST_ROWS else counted
+    if not len(table):
+        return model
+    z = ((table["low"] + table["high"]) / 2).to_numpy(np.float64)
+    n, toxic = table["n"].to_numpy(np.float64), table["toxic"].to_numpy(np.float64)
+    scale, shift, total = 1.0, 0.0, n.sum()
     for _ in range(500):
-        error = _sigmoid(scale * z + shift) - y
+        error = n * _sigmoid(scale * z + shift) - toxic
         # Held near the identity, as few rows or perfect separation would let it run away.
-        scale -= 0.1 * (np.mean(error * z) / (1 + np.mean(z**2)) + 0.001 * (scale - 1))
-        shift -= 0.1 * (np.mean(error) + 0.001 * shift)
+        scale -= 0.1 * ((error * z).sum() / total / (1 + (n * z**2).sum() / total) + 0.001 * (scale - 1))
+        shift -= 0.1 * (error.sum() / total + 0.001 * shift)
     model.scale, model.shift = max(0.1, scale), shift
-    score = _sigmoid(model.scale * z + model.shift)
-    model.threshold = _threshold(score, y)
-    names = langs.to_numpy()[at]
-    for name in sorted({n for n in names if n is not None}):
-        own = names == name
-        if y[own].sum() >= 10:
-            model.thresholds[name] = _threshold(score[own], y[own])
-
-
-def _threshold(score: np.ndarray, y: np.ndarray) -> float:
-    """The lowest threshold above all places where too many rejections would be wrong."""
-    order = np.argsort(-score, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    fine = np.flatnonzero(right >= PRECISION)
+    model.threshold = _threshold(model, table)
+    for name, part in table.groupby("lang"):
+        if part["toxic"].sum() >= LEAST_TOXIC:
+            model.thresholds[name] = _threshold(model, part)
+    return model
+
+
+def _threshold(model: Model, table: pd.DataFrame) -> float:
+    """The lowest threshold above all ranges where too many rejections would be wrong."""
+    bins = table.groupby("bin").agg(
+        n=("n", "sum"), toxic=("toxic", "sum"), low=("low", "min"), high=("high", "max")
+    ).sort_index(ascending=False)
+    low, high = (_sigmoid(model.scale * bins[c].to_numpy() + model.shift) for c in ("low", "high"))
+    fine = np.flatnonzero((bins["toxic"].cumsum() / bins["n"].cumsum()).to_numpy() >= PRECISION)
     if not len(fine):
         return LIKELY
     last = fine[-1]
     # Halfway to the next score below, for what lies between.
-    below = score[order[last + 1]] if last + 1 < len(order) else 0.0
-    return float(np.clip((score[order[last]] + below) / 2, 0.3, 0.95))
+    below = high[last + 1] if last + 1 < len(bins) else 0.0
+    return float(np.clip((low[last] + below) / 2, 0.3, 0.95))
+
+
+def labelled(labels: DataFrame, may_learn: Column) -> DataFrame:
+    """(doc_id, toxic) of the rows that may be learnt from, one per document."""
+    return (
+        labels.where(may_learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max("toxic").alias("toxic"))
+    )
 
 
 def training_sample(
@@ -322,11 +360,7 @@ def training_sample(
     sample_chars: int = SAMPLE_CHARS,
 ) -> pd.DataFrame:
     """Hashed words of a bounded number of labelled documents, picked by hash of the id."""
-    one = (
-        labels.where(may_learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
-    )
+    one = labelled(labels, may_learn)
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
     rows = max(1, one.count())
     share = min(1.0, sample_docs / rows)
@@ -397,6 +431,7 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``held_out``, ``score``, ``predicted``, ``threshold`` and ``rejected``."""
     model = train(training_sample(docs, labels, ~is_held_out()))
+    model = replace(calibrate(model, docs, labels, ~is_held_out()), fitted=None)
     threshold = F.lit(model.threshold)
     for name, value in sorted(model.thresholds.items()):
         threshold = F.when(F.col("lang") == name, F.lit(value)).otherwise(threshold)

@@ -60,6 +60,24 @@ def test_labels_of_held_out_rows_are_never_read(spark):
         toxicity.is_held_out().alias("held_out")).collect()} == {False}
 
 
+def test_thresholds_come_from_all_labelled_rows(spark):
+    rows = [(i, f"{GOOD[i % 7]} " + ("awful" if i % 4 == 0 else "fine"), "rare" if i % 20 < 2 else "en")
+            for i in range(1200)]
+    # In the rare language the telling word is as often used of clean documents.
+    labels = [(i, int(i % 4 == 0 and (lang == "en" or i % 40 == 0))) for i, _, lang in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    may_learn = ~toxicity.is_held_out()
+    sample = toxicity.training_sample(docs, labels, may_learn, sample_docs=150)
+    model = toxicity.calibrate(toxicity.train(sample), docs, labels, may_learn)
+    assert len(sample) < 300 and len(set(model.fitted)) <= len(sample)
+    assert set(model.thresholds) == {"rare", "en"}
+    judged = toxicity.score(docs, model).join(labels, "doc_id").where(may_learn).collect()
+    unseen = [r for r in judged if r.doc_id not in set(model.fitted.tolist())]
+    over = [r.toxic for r in unseen if r.lang == "en" and r.score >= model.thresholds["en"]]
+    assert over and sum(over) / len(over) >= toxicity.PRECISION
+
+
 def test_scores_without_labels_and_of_empty_tables(spark):
     docs, labels = toxic_tables(spark, 30)
     assert {r.score for r in toxicity.judge(docs, labels.where("false")).collect()} == {0.0}
