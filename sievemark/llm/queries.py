@@ -10,6 +10,7 @@ from . import (
     bpe,
     chat,
     decontamination,
+    divergence,
     html_text,
     line_dedup,
     near_dedup,
@@ -123,6 +124,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_fingerprints": op2_fingerprints,
@@ -134,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_html_text": op10_html_text,
+    "op12_divergence_audit": op12_divergence_audit,
 }
 
 _OP1 = r"""
@@ -183,7 +189,46 @@ SELECT conv_id, count(*) AS n_turns,
 FROM given GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), word AS (
+  SELECT id, lang, source, unnest(w) AS term FROM doc
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), mine AS (
+  SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+  SELECT g.lang, g.source, coalesce(max(l.v), 0) AS v, coalesce(sum(m.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM doc) AS g LEFT JOIN langs AS l ON g.lang = l.lang
+  LEFT JOIN mine AS m ON g.lang = m.lang AND g.source = m.source GROUP BY g.lang, g.source
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(m.n, 0) AS n,
+    1 + 1000000000 * (coalesce(m.n, 0) + 5)::HUGEINT // (g.n + 5 * g.v)::HUGEINT AS p,
+    1 + 1000000000 * (k.n + 5)::HUGEINT // (l.n + 5 * l.v)::HUGEINT AS q
+  FROM groups AS g JOIN kept AS k ON g.lang = k.lang JOIN langs AS l ON g.lang = l.lang
+  LEFT JOIN mine AS m ON g.lang = m.lang AND g.source = m.source AND k.term = m.term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce((SELECT sum(abs(x.p - y.p)) FROM cells AS x JOIN cells AS y ON x.lang = y.lang AND x.term = y.term
+      WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM cells WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op9_chat_formatting": _OP9,
     "op1_decontamination": _OP1,
+    "op12_divergence_audit": _OP12,
 }
