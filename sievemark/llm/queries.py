@@ -14,6 +14,7 @@ from . import (
     html_text,
     line_dedup,
     near_dedup,
+    prefix_trie,
     pseudonyms,
     toxicity,
     url_rules,
@@ -128,6 +129,11 @@ def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.with_group_heads(prefix_trie.sequences(turns)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_fingerprints": op2_fingerprints,
@@ -140,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_html_text": op10_html_text,
     "op12_divergence_audit": op12_divergence_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _OP1 = r"""
@@ -227,8 +234,48 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
+# The CRC goes bit by bit; a node is named by the digests of its turns.
+_OP13 = r"""
+WITH given AS (
+  SELECT conv_id, turn, sha256(concat(strlen(coalesce(role, '')), ':', role, text)) AS id,
+    strlen(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT conv_id, list({'id': id, 'size': size} ORDER BY turn NULLS FIRST, id) AS turns FROM given GROUP BY conv_id
+), headed AS (
+  SELECT c.conv_id, c.turns, f.turns AS head,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c.conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+  FROM conv AS c LEFT JOIN conv AS f ON f.conv_id = c.conv_id - c.conv_id % 5
+), rebuilt AS (
+  SELECT conv_id, list_concat(CASE WHEN head IS NULL THEN [] ELSE head[1:h] END, turns[h + 1:]) AS turns FROM headed
+), step AS (
+  SELECT conv_id, len(turns) AS length, depth, coalesce(turns[depth].size, 0) AS size,
+    sha256(array_to_string(list_transform(turns[1:depth], lambda t: t.id), '')) AS node,
+    CASE WHEN depth > 0 THEN sha256(array_to_string(list_transform(turns[1:depth - 1], lambda t: t.id), '')) END AS parent
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), node AS (
+  SELECT node, depth, any_value(parent) AS parent, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+  FROM step GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM node WHERE depth > 0 GROUP BY parent
+), below AS (
+  SELECT DISTINCT a.node AS top, u.node FROM step AS a JOIN step AS u USING (conv_id) WHERE a.depth <= u.depth
+), sums AS (
+  SELECT top, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+  FROM below AS b JOIN node AS n USING (node) LEFT JOIN children AS c USING (node) GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node AS n JOIN sums AS s ON s.top = n.node LEFT JOIN node AS p ON p.node = n.parent
+LEFT JOIN children AS c ON c.node = n.node
+"""
+
 ORACLES: dict[str, str] = {
     "op9_chat_formatting": _OP9,
     "op1_decontamination": _OP1,
     "op12_divergence_audit": _OP12,
+    "op13_prefix_trie": _OP13,
 }
