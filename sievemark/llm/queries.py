@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..plans.durable import scratch_path
 from . import (
     bpe,
     chat,
@@ -18,6 +19,7 @@ from . import (
     pseudonyms,
     toxicity,
     url_rules,
+    warc,
     winnowing,
 )
 
@@ -125,6 +127,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = scratch_path(spark, "archives")
+    warc.write_archives(warc.decided(pages), archives)
+    found = warc.captures(warc.read_records(spark, archives))
+    return found.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
 def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -145,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_html_text": op10_html_text,
+    "op11_warc": op11_warc,
     "op12_divergence_audit": op12_divergence_audit,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -196,6 +207,20 @@ SELECT conv_id, count(*) AS n_turns,
 FROM given GROUP BY conv_id
 """
 
+_OP11 = """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), least AS (
+  SELECT digest, min(page_id) AS first FROM page WHERE n >= 100 GROUP BY digest HAVING count(*) > 1
+), judged AS (
+  SELECT page.*, first IS NOT NULL AND page_id IS DISTINCT FROM first AS again, first
+  FROM page LEFT JOIN least USING (digest)
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+FROM judged
+"""
+
 _OP12 = r"""
 WITH doc AS (
   SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -276,6 +301,7 @@ LEFT JOIN children AS c ON c.node = n.node
 ORACLES: dict[str, str] = {
     "op9_chat_formatting": _OP9,
     "op1_decontamination": _OP1,
+    "op11_warc": _OP11,
     "op12_divergence_audit": _OP12,
     "op13_prefix_trie": _OP13,
 }
