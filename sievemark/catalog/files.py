@@ -110,6 +110,35 @@ SELECT batch_year, concat('food_inspections_', batch_year, '.csv') AS path,
 FROM content"""
 
 
+def batch_line_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash tree over the lines of every file."""
+    found = inspect_batches(spark, _discover(spark, _write(_spanning(raw_orders(spark, sf_dir)))))
+    return found.select("batch_year", "checksum_algorithm", "checksum")
+
+
+# Three levels of nodes, for files of up to 1024 * 1024 * 1024 lines.
+_NODES = ", ".join(
+    f"""level{level} AS (
+  SELECT batch_year, n // 1024 AS n, sha256(concat('1:', string_agg(hash, '' ORDER BY n))) AS hash
+  FROM level{level - 1} GROUP BY batch_year, n // 1024
+), root{level} AS (
+  SELECT batch_year, any_value(hash) AS hash FROM level{level} GROUP BY batch_year HAVING count(*) = 1
+)"""
+    for level in (1, 2, 3)
+)
+_BATCH_LINE_DIGEST = f"""{_SPANNING_SQL}, content AS (
+  SELECT batch_year, string_split(concat('{_HEADER}', chr(10),
+    string_agg(concat_ws(',', {_QUOTED}), chr(10) ORDER BY source_row_number)), chr(10)) AS lines
+  FROM spanning GROUP BY batch_year
+), level0 AS (
+  SELECT batch_year, n, sha256(concat('0:', lines[n + 1])) AS hash
+  FROM (SELECT batch_year, lines, unnest(range(len(lines))) AS n FROM content)
+), {_NODES}
+SELECT batch_year, 'sha256-lines' AS checksum_algorithm,
+  concat(len(lines), '-', coalesce(root1.hash, root2.hash, root3.hash)) AS checksum
+FROM content LEFT JOIN root1 USING (batch_year) LEFT JOIN root2 USING (batch_year) LEFT JOIN root3 USING (batch_year)"""
+
+
 def csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is wrong with files that are faulty in a different way each year, by encoding."""
     rows, year = raw_orders(spark, sf_dir), F.col(BATCH)
@@ -174,11 +203,13 @@ def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_rows": csv_rows,
     "batch_listing": batch_listing,
+    "batch_line_digest": batch_line_digest,
     "csv_problems": csv_problems,
     "run_twice": run_twice,
 }
 FILE_ORACLES = {
     "csv_rows": _CSV_ROWS,
     "batch_listing": _BATCH_LISTING,
+    "batch_line_digest": _BATCH_LINE_DIGEST,
     "csv_problems": _CSV_PROBLEMS,
 }

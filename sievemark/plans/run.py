@@ -24,6 +24,7 @@ from ..sources.batches import (
     LINE_DIGEST,
     NAME_PATTERN,
     BatchFile,
+    check_algorithm,
     discover_batches,
     inspect_batches,
     line_facts,
@@ -48,7 +49,7 @@ from ..sources.state import (
     write_state,
 )
 from .contract import Contract, Roles, check_contract, primary_key, source_columns
-from .durable import durable, scratch, stored
+from .durable import scratch, stored
 from .incremental import pending_batches
 from .session import prepared
 
@@ -198,8 +199,8 @@ def _run(
     # One scan of the lines serves both for the digests and for how to read the files.
     facts = None
     full = [batch.path for batch in batches if batch.size_bytes > 0]
-    if full and settings.hash_algorithm == LINE_DIGEST:
-        facts, _ = durable(line_facts(spark, full, delimiter=settings.delimiter))
+    if full and check_algorithm(settings.hash_algorithm) == LINE_DIGEST:
+        facts = stored(line_facts(spark, full, delimiter=settings.delimiter), "line_facts")
     # The lists below have one entry per batch year.
     found = inspect_batches(
         spark,

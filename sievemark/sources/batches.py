@@ -6,31 +6,27 @@ lists of batches are short and may live on the driver; file content never does.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import canonical_text, md5_number
+from ..plans.durable import stored
 from . import storage
 
 # Fixed value: the naming convention of annual files.
 NAME_PATTERN = r"^food_inspections_([0-9]{4})\.csv$"
 
-# The digest of a file of any size: taken line by line, in splits.
+# The digest of a file of any size that is taken in splits: a hash tree over its lines.
 LINE_DIGEST = "sha256-lines"
-# Digests of a file's bytes as a whole; one task reads a file, up to what Spark hands out at once.
-WHOLE_FILE_LIMIT = (1 << 31) - 1
-_WHOLE_FILE_DIGESTS = {
-    "sha224": lambda content: F.sha2(content, 224),
-    "sha256": lambda content: F.sha2(content, 256),
-    "sha384": lambda content: F.sha2(content, 384),
-    "sha512": lambda content: F.sha2(content, 512),
-    "sha1": F.sha1,
-    "md5": F.md5,
-}
+# Children of a node of the tree.
+FAN = 1024
 
 BATCHES = (
     "batch_year smallint, path string, size_bytes bigint, checksum_algorithm string, checksum string"
@@ -120,12 +116,11 @@ def line_facts(
 ) -> DataFrame:
     """Per file, from one scan that splits large files.
 
-    Lines are what line feeds end, byte by byte. ``digest`` depends on every line and its
-    position. It is a sum over lines of SHA-256 times position, so splits are summed apart and
-    shifted by the number of lines before them. ``valid_utf8`` and ``ascii`` tell what the bytes
-    are. ``one_line_records`` tells whether every quote opens at the start of a field
-    and closes at its end on the same line, and carriage returns only end lines; then
-    no record spans lines.
+    Lines are what line feeds end, byte by byte. ``digest`` is the number of lines and the root of a
+    hash tree over them, so it depends on every line and its position, but not on splits. ``valid_utf8``
+    and ``ascii`` tell what the bytes are. ``one_line_records`` tells whether every quote
+    opens at the start of a field and closes at its end on the same line, and carriage
+    returns only end lines; then no record spans lines.
     """
     read = spark.read.option("lineSep", "\n").text(list(paths))
     body = F.regexp_replace("value", r"\r\z", "")
@@ -133,48 +128,71 @@ def line_facts(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
-        F.sha2("value", 256).alias("hash"),
+        F.unhex(F.sha2(F.concat(F.lit("0:"), F.col("value")), 256)).alias("hash"),
         F.is_valid_utf8("value").alias("valid"),
         (~F.col("value").rlike(r"[^\x00-\x7F]")).alias("ascii"),
         F.when(~F.col("value").rlike('["\r]'), True)
         .otherwise(~F.contains(body, F.lit("\r")) & _quotes_are_whole_fields(body, delimiter))
         .alias("simple"),
     )
-    wide = _hex_number(F.substring("hash", 1, 15), "decimal(20,0)")
-    low = _hex_number(F.substring("hash", 16, 12), "decimal(15,0)")
-    # Position in the task, which is below 2**33; the block's own start is taken off afterwards.
-    place = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    # 32 bytes a line: the tree needs the number of a line, which only a whole scan tells.
+    lines = stored(lines, "line_hashes")
     blocks = lines.groupBy("file_name", "block").agg(
         F.count(F.lit(1)).alias("lines"),
-        F.min(place).alias("first"),
-        F.sum(wide).alias("total"),
-        F.sum(low).cast("decimal(27,0)").alias("low_total"),
-        F.sum(low * place.cast("decimal(11,0)")).alias("placed"),
+        F.min("id").alias("first"),
         F.bool_and("valid").alias("valid"),
         F.bool_and("ascii").alias("ascii"),
         F.bool_and("simple").alias("simple"),
     )
     # One row per input split: at most (bytes read / split size) rows in all.
     before = "sum(lines) OVER (PARTITION BY file_name ORDER BY block) - lines"
-    shifted = blocks.withColumn("before", F.expr(before).cast("decimal(11,0)"))
-    moved = F.col("placed") + F.col("low_total") * (
-        F.col("before") - F.col("first").cast("decimal(11,0)")
+    blocks = stored(blocks.withColumn("before", F.expr(before)), "line_blocks")
+    numbered = lines.join(blocks.select("file_name", "block", "first", "before"), ["file_name", "block"])
+    leaves = numbered.select(
+        "file_name", (F.col("id") - F.col("first") + F.col("before")).alias("number"), "hash"
     )
-    return shifted.groupBy("file_name").agg(
-        F.concat_ws(
-            "-",
-            F.sum("lines").cast("string"),
-            F.sum("total").cast("string"),
-            F.sum(moved.cast("decimal(38,0)")).cast("string"),
-        ).alias("digest"),
+    files = blocks.groupBy("file_name").agg(
+        F.sum("lines").alias("lines"),
         F.bool_and("valid").alias("valid_utf8"),
         F.bool_and("ascii").alias("ascii"),
         F.bool_and("simple").alias("one_line_records"),
     )
+    roots = hash_tree(
+        leaves.join(files.select("file_name", "lines"), "file_name"), files.agg(F.max("lines").alias("n")).first().n or 0
+    )
+    return files.join(roots, "file_name").select(
+        "file_name",
+        F.concat_ws("-", F.col("lines").cast("string"), F.lower(F.hex("hash"))).alias("digest"),
+        "valid_utf8",
+        "ascii",
+        "one_line_records",
+    )
+
 
+def hash_tree(leaves: DataFrame, most: int) -> DataFrame:
+    """(file_name, hash): the root of the tree over each file's (number, hash) of ``lines``, numbers from 0.
 
-def _hex_number(digits: Column, kind: str) -> Column:
-    return F.conv(digits, 16, 10).cast(kind)
+    A node is the SHA-256 of ``FAN`` consecutive children, written in hexadecimal after a mark that no leaf has.
+    ``most`` is the number of leaves of the largest file. Each level is one aggregation of bounded groups;
+    the root of a file that is done stays as it is.
+    """
+    level = leaves.withColumn("done", F.lit(False))
+    while True:
+        children = F.array_sort(F.collect_list(F.struct("number", "hash")))
+        texts = F.transform(children, lambda child: F.lower(F.hex(child["hash"])))
+        node = F.unhex(F.sha2(F.concat(F.lit("1:"), F.array_join(texts, "")), 256))
+        level = (
+            level.groupBy("file_name", F.expr(f"number DIV {FAN}").alias("node"))
+            .agg(
+                F.when(F.first("done"), F.first("hash")).otherwise(node).alias("hash"),
+                F.ceil(F.first("lines") / FAN).alias("lines"),
+            )
+            .withColumn("done", F.col("lines") == 1)
+            .withColumnRenamed("node", "number")
+        )
+        most = -(-most // FAN)
+        if most <= 1:
+            return level.select("file_name", "hash")
 
 
 def pair_quotes(text: Column) -> Column:
@@ -188,6 +206,85 @@ def _quotes_are_whole_fields(line: Column, delimiter: str) -> Column:
     return ~paired.contains('"') & ~paired.rlike(inside)
 
 
+def check_algorithm(algorithm: object) -> str:
+    """The name of a digest: ``sha256-lines``, or any that hashlib knows and that has a fixed length."""
+    name = algorithm.strip().lower() if isinstance(algorithm, str) else ""
+    if name != LINE_DIGEST:
+        try:
+            hashlib.new(name).hexdigest()
+        except (ValueError, TypeError):
+            raise ValueError(f"unsupported hash algorithm: {algorithm!r}") from None
+    return name
+
+
+@contextmanager
+def _unsplit(spark: SparkSession) -> Iterator[None]:
+    """Scans that are run meanwhile have one split for each file, and one task for each split."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    try:
+        for key in keys:
+            spark.conf.set(key, str(1 << 60))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def whole_digests(
+    spark: SparkSession, batches: Sequence[BatchFile], algorithm: str
+) -> dict[str, str]:
+    """Digest of the bytes of every file, by name; no file is empty.
+
+    Such a digest needs all bytes in order, so a task reads a file, but as a stream of its lines: it
+    holds one batch of them and the state of the hash, whatever the size.
+    """
+    sizes = {batch.name: batch.size_bytes for batch in batches}
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, state, seen, done = None, None, 0, []
+
+        def finish() -> None:
+            # The bytes tell whether a line feed ends the last line.
+            if sizes[name] == seen + 1:
+                state.update(b"\n")
+            elif sizes[name] != seen:
+                raise RuntimeError(f"{name} changed while it was read")
+            done.append((name, state.hexdigest()))
+
+        for part in parts:
+            blocks = part.column("block").to_pylist()
+            for at, (file_name, line) in enumerate(zip(part.column("file_name").to_pylist(), part.column("line"))):
+                if file_name != name:
+                    if name is not None:
+                        finish()
+                    if blocks[at]:
+                        raise RuntimeError(f"{file_name} was split")
+                    name, state, seen = file_name, hashlib.new(algorithm), 0
+                else:
+                    state.update(b"\n")
+                    seen += 1
+                content = line.as_py()
+                state.update(content)
+                seen += len(content)
+        if name is not None:
+            finish()
+        names, digests = zip(*done) if done else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(digests, pa.string())], ["file_name", "checksum"]
+        )
+
+    with _unsplit(spark):
+        lines = spark.read.option("lineSep", "\n").text([batch.path for batch in batches])
+        named = lines.select(
+            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.col("value").cast("binary").alias("line"),
+        )
+        found = named.mapInArrow(run, "file_name string, checksum string").collect()
+    return {row.file_name: row.checksum for row in found}  # one row per batch
+
+
 def inspect_batches(
     spark: SparkSession,
     batches: Sequence[BatchFile],
@@ -197,50 +294,25 @@ def inspect_batches(
 ) -> DataFrame:
     """Size and checksum of every batch file (see ``BATCHES``).
 
-    ``facts`` are the ``line_facts`` of the files, if they are known already. A digest of the bytes
-    as a whole is refused for files that one task cannot read.
+    ``facts`` are the ``line_facts`` of the files, if they are known already. An empty file counts as
+    the digest of nothing.
     """
-    name = algorithm.strip().lower() if isinstance(algorithm, str) else ""
-    if name != LINE_DIGEST and name not in _WHOLE_FILE_DIGESTS:
-        raise ValueError(f"unsupported hash algorithm: {algorithm!r}")
+    name = check_algorithm(algorithm)
     full = [batch for batch in batches if batch.size_bytes > 0]
     if name != LINE_DIGEST:
-        too_large = [b.name for b in full if b.size_bytes > WHOLE_FILE_LIMIT]
-        if too_large:
-            raise ValueError(f"too large for {name} as a whole, use {LINE_DIGEST}: {too_large}")
-    listed = spark.createDataFrame(
-        [(batch.year, batch.path, batch.size_bytes, batch.name) for batch in batches],
-        "batch_year smallint, path string, size_bytes bigint, file_name string",
-    )
-    # An empty file gives no row in either scan; it counts as the digest of nothing.
-    nothing = F.lit("0") if name == LINE_DIGEST else _WHOLE_FILE_DIGESTS[name](F.lit(b""))
-    parts = [
-        listed.where("size_bytes = 0").select(
-            "file_name", F.lit(name).alias("checksum_algorithm"), nothing.alias("checksum")
-        )
-    ]
-    paths = [batch.path for batch in full]
-    if paths and name != LINE_DIGEST:
-        content = spark.read.format("binaryFile").load(paths)
-        parts.append(
-            content.select(
-                F.col("_metadata.file_name").alias("file_name"),
-                F.lit(name).alias("checksum_algorithm"),
-                _WHOLE_FILE_DIGESTS[name](F.col("content")).alias("checksum"),
-            )
-        )
-    if paths and name == LINE_DIGEST:
-        parts.append(
-            (line_facts(spark, paths) if facts is None else facts).select(
-                "file_name", F.lit(name).alias("checksum_algorithm"),
-                F.col("digest").alias("checksum"),
-            )
-        )
-    digests = parts[0]
-    for part in parts[1:]:
-        digests = digests.unionByName(part)
-    return listed.join(F.broadcast(digests), "file_name").select(
-        "batch_year", "path", "size_bytes", "checksum_algorithm", "checksum"
+        digests = whole_digests(spark, full, name) if full else {}
+        nothing = hashlib.new(name).hexdigest()
+    else:
+        if full and facts is None:
+            facts = line_facts(spark, [batch.path for batch in full])
+        digests = {row.file_name: row.digest for row in facts.collect()} if full else {}
+        nothing = "0"
+    return spark.createDataFrame(
+        [
+            (batch.year, batch.path, batch.size_bytes, name, digests[batch.name] if batch.size_bytes else nothing)
+            for batch in batches
+        ],
+        BATCHES,
     )
 
 

@@ -59,7 +59,7 @@ def test_checksums_are_those_of_the_bytes(spark, tmp_path):
     content = b"a,b,c\r\n1,\xff,3\n"
     folder = write(tmp_path, y2019=content, y2020=b"")
     batches = discover(spark, folder)
-    for name in ("sha256", " SHA512 ", "md5", "sha1", "sha384", "sha224"):
+    for name in ("sha256", " SHA512 ", "md5", "sha1", "sha384", "sha224", "blake2b", "sha3_256"):
         rows = inspect_batches(spark, batches, algorithm=name).orderBy("batch_year").collect()
         plain = name.strip().lower()
         digests = [hashlib.new(plain, data).hexdigest() for data in (content, b"")]
@@ -96,12 +96,66 @@ def test_line_digest_sees_every_byte_of_a_line_break(spark, tmp_path):
     assert len({row.checksum for row in rows}) == 3 and len({row.size_bytes for row in rows}) == 1
 
 
-def test_whole_digests_are_refused_not_replaced(spark, tmp_path, monkeypatch):
-    folder = write(tmp_path, y2019="a\n1\n")
-    monkeypatch.setattr(batches_module, "WHOLE_FILE_LIMIT", 2)
-    with pytest.raises(ValueError, match="too large for sha256"):
-        inspect_batches(spark, discover(spark, folder), algorithm="sha256")
-    assert inspect_batches(spark, discover(spark, folder)).count() == 1
+def test_whole_digests_of_files_larger_than_a_split(spark, tmp_path):
+    """A digest of all bytes is taken as a stream, in one task a file, and never of a whole file at once."""
+    rng = random.Random(5)
+    contents = {
+        2019: b"".join(bytes(rng.randrange(256) for _ in range(rng.randrange(60))) + b"\n" for _ in range(4000)),
+        2020: b"\n" * 3000,
+        2021: b"\r\n".join(b"x" * i for i in range(300)),
+        2022: b"no line feed" * 5000,
+        2023: b"\xff\xfe\x00\n\n",
+    }
+    folder = write(tmp_path, **{f"y{year}": content for year, content in contents.items()})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        for name in ("sha256", "blake2b", "sha3_512", "md5"):
+            found = inspect_batches(spark, discover(spark, folder), algorithm=name).collect()
+            assert {r.batch_year: r.checksum for r in found} == {
+                year: hashlib.new(name, content).hexdigest() for year, content in contents.items()
+            }
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "700"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name in ("shake_128", "", None, "crc32"):
+        with pytest.raises(ValueError, match="unsupported hash"):
+            inspect_batches(spark, discover(spark, folder), algorithm=name)
+
+
+def tree_by_hand(content, fan):
+    lines = content.removesuffix(b"\n").split(b"\n")
+    level = [hashlib.sha256(b"0:" + line).hexdigest() for line in lines]
+    while True:
+        joined = ["".join(level[at : at + fan]) for at in range(0, len(level), fan)]
+        level = [hashlib.sha256(b"1:" + text.encode()).hexdigest() for text in joined]
+        if len(level) == 1:
+            return f"{len(lines)}-{level[0]}"
+
+
+@pytest.mark.parametrize("fan", [2, 7, 1024])
+def test_line_digest_is_the_root_of_a_hash_tree(spark, tmp_path, monkeypatch, fan):
+    monkeypatch.setattr(batches_module, "FAN", fan)
+    rng = random.Random(fan)
+    text = b"".join(bytes(rng.randrange(14, 256) for _ in range(rng.randrange(30))) + b"\n" for _ in range(1500))
+    at = len(text) // 2
+    contents = {
+        2001: text,
+        2002: text[:at] + bytes([text[at] ^ 1 or 14]) + text[at + 1 :],  # one byte is another
+        2003: b"one line",
+        2004: b"\n",
+        2005: text[: at // 2],
+    }
+    folder = write(tmp_path, **{f"y{year}": content for year, content in contents.items()})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("999", "4096", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            found = {r.batch_year: r.checksum for r in inspect_batches(spark, discover(spark, folder)).collect()}
+            assert found == {year: tree_by_hand(content, fan) for year, content in contents.items()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(set(found.values())) == 5
 
 
 def test_line_facts(spark, tmp_path):
