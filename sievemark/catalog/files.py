@@ -24,11 +24,21 @@ def _cell(name: str) -> Column:
     return F.when(value.rlike('[",\\r\\n]'), quoted).otherwise(value)
 
 
-def _write(rows: DataFrame, header: Column | None = None, line: Column | None = None) -> str:
-    """A folder with one file per batch year, records in the order of their numbers."""
+def _write(
+    rows: DataFrame,
+    header: Column | None = None,
+    line: Column | None = None,
+    encode: Callable[[Column], Column] = lambda text: text,
+    line_feed: str = "\n",
+) -> str:
+    """A folder with one file per batch year, records in the order of their numbers.
+
+    ``encode`` gives the bytes of a line, and ``line_feed`` those of its end, as characters up to 127.
+    """
     spark = rows.sparkSession
     text = F.concat_ws(",", *[_cell(name) for name in COLUMNS]) if line is None else line
     lines = rows.select(BATCH, ROW, text.alias("line"))
+    lines = lines.where("line is not null")
     headers = rows.select(BATCH).distinct().select(
         BATCH, F.lit(-1).cast("bigint").alias(ROW), (F.lit(_HEADER) if header is None else header).alias("line"),
     )
@@ -37,8 +47,9 @@ def _write(rows: DataFrame, header: Column | None = None, line: Column | None =
         headers.unionByName(lines)
         .repartition(BATCH)
         .sortWithinPartitions(BATCH, ROW)
-        .select(BATCH, "line")
-        .write.partitionBy(BATCH)
+        .select(BATCH, encode(F.col("line")).cast("string").alias("line"))
+        .write.option("lineSep", line_feed)
+        .partitionBy(BATCH)
         .text(parts)
     )
     folder = scratch_path(spark, "incoming")
@@ -171,6 +182,85 @@ SELECT encoding, batch_year, concat('columns do not match the contract; missing:
 FROM encodings, (SELECT DISTINCT batch_year FROM raw_orders WHERE batch_year = 1999)"""
 
 
+# Files in two other encodings: as code units with a byte order mark, and a code page with € at 0x80.
+_WIDE = {"encode": lambda text: F.encode(text, "UTF-16LE"), "line_feed": "\n\0"}
+_ENCODED = {
+    "utf-16": _WIDE,
+    "cp1252": {"encode": lambda text: F.encode(F.replace(text, F.lit("€"), F.lit("\x80")), "ISO-8859-1")},
+}
+
+
+def _marked(header: str, encoding: str) -> Column:
+    return F.lit("\ufeff" + header if encoding == "utf-16" else header)
+
+
+def csv_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of files in other encodings, whose names span lines and have letters beyond ASCII."""
+    rows = _spanning(raw_orders(spark, sf_dir)).withColumn("name", F.concat("name", F.lit(" é€")))
+    found = None
+    for encoding, how in _ENCODED.items():
+        folder = _write(rows, _marked(_HEADER, encoding), **how)
+        read = read_batches(spark, _discover(spark, folder), COLUMNS, encoding=encoding)
+        if read.problems:
+            raise ValueError(f"files could not be read: {read.problems}")
+        part = read.rows.withColumn("encoding", F.lit(encoding))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+_CSV_ENCODINGS = f"""{_SPANNING_SQL}
+SELECT encoding, {", ".join("concat(name, ' é€') AS name" if n == "name" else n for n in COLUMNS)}, batch_year,
+  row_number() OVER (PARTITION BY encoding, batch_year ORDER BY source_row_number) + 1 AS source_row_number
+FROM spanning, (SELECT unnest(['utf-16', 'cp1252']) AS encoding)"""
+
+
+_ODD = "\ue000"  # stands for bytes that are no text
+_FAULTY = {
+    "utf8": ({"encode": lambda text: text.cast("binary")}, b"\xff"),
+    "utf-16": (_WIDE, b"\x00\xd8"),
+    "cp1252": (_ENCODED["cp1252"], b"\x81"),
+}
+
+
+def csv_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with files of no bytes, of a header alone, with an open quote or with bytes that are no text."""
+    rows, year = raw_orders(spark, sf_dir), F.col(BATCH)
+    given = F.concat_ws(",", *[_cell(name) for name in COLUMNS])
+    tenth = F.col(ROW) % 10 == 0
+    line = (
+        F.when(year == 1996, None)
+        .when((year == 1997) & (F.col(ROW) == 10), F.concat(F.lit('"'), F.replace(given, F.lit('"'), F.lit(""))))
+        .when(year == 1997, F.replace(given, F.lit('"'), F.lit("")))
+        .when((year == 1998) & tenth, F.concat(given, F.lit(_ODD)))
+        .otherwise(given)
+    )
+    found = []
+    for encoding, (how, odd) in _FAULTY.items():
+
+        def encode(text: Column, known: Callable[[Column], Column] = how["encode"], odd: bytes = odd) -> Column:
+            good = known(F.replace(text, F.lit(_ODD), F.lit("")))
+            return F.when(F.endswith(text, F.lit(_ODD)), F.concat(good, F.lit(odd))).otherwise(good)
+
+        folder = _write(rows, _marked(_HEADER, encoding), line, encode, how.get("line_feed", "\n"))
+        storage.empty_file(spark, f"{folder}/food_inspections_2002.csv")
+        problems = read_batches(spark, _discover(spark, folder), COLUMNS, encoding=encoding).problems
+        found += [(encoding, y, text) for y, texts in problems.items() for text in texts]
+    return spark.createDataFrame(found, "encoding string, batch_year smallint, problem string")
+
+
+_CSV_FAULTS = f"""WITH {RAW_ORDERS_SQL}, encodings AS (SELECT unnest(['utf8', 'utf-16', 'cp1252']) AS encoding)
+SELECT encoding, CAST(2002 AS SMALLINT) AS batch_year, 'file has no header' AS problem FROM encodings
+UNION ALL
+SELECT encoding, batch_year, 'file has no data rows' FROM encodings, raw_orders WHERE batch_year = 1996
+GROUP BY encoding, batch_year
+UNION ALL
+SELECT encoding, batch_year, concat('file does not decode as ', encoding) FROM encodings, raw_orders
+WHERE batch_year = 1998 AND source_row_number % 10 = 0 GROUP BY encoding, batch_year
+UNION ALL
+SELECT encoding, batch_year, 'file is malformed: a quoted field is not closed' FROM encodings, raw_orders
+WHERE batch_year = 1997 AND source_row_number = 10 GROUP BY encoding, batch_year"""
+
+
 def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports of two runs; between them the file of 1998 loses its last records."""
     rows = raw_orders(spark, sf_dir)
@@ -204,12 +294,16 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_rows": csv_rows,
     "batch_listing": batch_listing,
     "batch_line_digest": batch_line_digest,
+    "csv_encodings": csv_encodings,
     "csv_problems": csv_problems,
+    "csv_faults": csv_faults,
     "run_twice": run_twice,
 }
 FILE_ORACLES = {
     "csv_rows": _CSV_ROWS,
     "batch_listing": _BATCH_LISTING,
     "batch_line_digest": _BATCH_LINE_DIGEST,
+    "csv_encodings": _CSV_ENCODINGS,
     "csv_problems": _CSV_PROBLEMS,
+    "csv_faults": _CSV_FAULTS,
 }

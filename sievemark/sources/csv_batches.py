@@ -4,21 +4,19 @@ Every field is a string and blanks stay ``''``. The header is read as data, whic
 gives the header check, the records and their positions in one scan. Two extra
 columns tell records that have too many fields.
 
-All files are split among tasks, whatever their size. Where no record spans lines, Spark reads
-records from the splits; elsewhere they are assembled from lines first (``long_records``).
-Only in encodings whose line breaks are no single bytes (UTF-16, UTF-32) does one task read a
-file, and larger ones than that allows are refused. In every case the parsed records are
-stored once as a columnar table, and all later work reads that.
+All files are split among tasks, whatever their size and encoding. Where no record spans lines, Spark
+reads records from the splits; elsewhere they are assembled from lines first (``long_records``).
+Lines in encodings that Spark does not read are decoded before that (``decoding``). In every case the
+parsed records are stored once as a columnar table, and all later work reads that.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import as_text, is_blank
@@ -30,16 +28,14 @@ from .batches import (
     BatchFile,
     batch_year,
     line_facts,
-    pair_quotes,
 )
-from .encodings import Encoding, find_encoding
-from .long_records import long_records
+from .decoding import decoded_lines
+from .encodings import find_encoding
+from .long_records import long_records, text_lines
 
 _EXTRA = "__extra"
 _RECORD = "__record"
 _HEADER_ROW = 1
-# Bytes of a file that one task reads at most.
-ONE_TASK_BYTES = 1 << 30
 NOT_CLOSED = "file is malformed: a quoted field is not closed"
 
 
@@ -68,11 +64,6 @@ def _too_long(columns: int, delimiter: str) -> Column:
     return one_too_many | many | ((delimiters > columns - 1) & (outside > columns - 1))
 
 
-def _left_open(delimiter: str) -> Column:
-    """A quote that starts a field is never closed, so the record ran to the end of the file."""
-    return pair_quotes(F.col(_RECORD)).rlike(rf'(?:\A|[{re.escape(delimiter)}\x01\n])"')
-
-
 def _fields(columns: Sequence[str]) -> list[str]:
     return [f"__f{index}" for index in range(len(columns))]
 
@@ -98,13 +89,12 @@ def _parse(
     *,
     encoding: str,
     delimiter: str,
-    whole: bool,
     name_pattern: str,
 ) -> DataFrame:
-    """Records as Spark's reader gives them; ``whole`` files are read in one task each."""
+    """Records as Spark's reader gives them, one a line."""
     records = (
         spark.read.schema(_schema(columns))
-        .options(**_options(encoding, delimiter), header="false", multiLine=str(whole).lower())
+        .options(**_options(encoding, delimiter), header="false")
         .csv([batch.path for batch in batches])
     )
     filled = F.col(_EXTRA).isNotNull() | F.col(_RECORD).isNull() | F.expr(f"NOT {is_blank(_RECORD)}")
@@ -118,7 +108,6 @@ def _parse(
         ),
         columns,
         delimiter,
-        _left_open(delimiter) if whole else F.lit(False),
     )
 
 
@@ -135,17 +124,16 @@ def _parse_long(
         parsed.alias("__parsed"),
     )
     flat = rows.select(BATCH, "__block", "__position", "__parsed.*")
-    return _checked(flat, columns, delimiter, F.lit(False))
+    return _checked(flat, columns, delimiter)
 
 
-def _checked(records: DataFrame, columns: Sequence[str], delimiter: str, opened: Column) -> DataFrame:
+def _checked(records: DataFrame, columns: Sequence[str], delimiter: str) -> DataFrame:
     fields = _fields(columns)
     return records.select(
         BATCH,
         "__block",
         "__position",
         _too_long(len(columns), delimiter).alias("__long"),
-        opened.alias("__open"),
         F.col(_EXTRA),
         _width([*fields, _EXTRA]).alias("__width"),
         *[F.expr(as_text(name)).alias(f"__c{index}") for index, name in enumerate(fields)],
@@ -158,31 +146,6 @@ def _names(columns: int) -> Column:
     return F.slice(F.array(*fields, F.coalesce(_EXTRA, F.lit(""))), F.lit(1), F.col("__width"))
 
 
-def _undecodable(spark: SparkSession, paths: Sequence[str], charset: Encoding) -> set[str]:
-    """Names of the files whose bytes are no text in this encoding; a task reads one file."""
-    python = charset.python
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            broken = []
-            for content in batch.column("content"):
-                try:
-                    content.as_py().decode(python)
-                    broken.append(False)
-                except UnicodeDecodeError:
-                    broken.append(True)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("file_name"), pa.array(broken, pa.bool_())], ["file_name", "broken"]
-            )
-
-    if not paths:
-        return set()
-    content = spark.read.format("binaryFile").load(list(paths))
-    named = content.select(F.col("_metadata.file_name").alias("file_name"), "content")
-    found = named.mapInArrow(check, "file_name string, broken boolean").where("broken")
-    return {row.file_name for row in found.collect()}
-
-
 def _width(names: Sequence[str]) -> Column:
     """How many fields a record has: up to the last that is there."""
     width = F.lit(0)
@@ -252,8 +215,16 @@ def read_batches(
             problems[batch.year].append("file has no header")
 
     full = [batch for batch in batches if batch.size_bytes > 0]
-    split, whole, long = [], [], []
-    if charset.by_lines:
+    split, long, lines = [], [], None
+    if charset.spark is None:
+        if full:
+            lines, broken = decoded_lines(spark, full, charset)
+            for batch in full:
+                if batch.name in broken:
+                    problems[batch.year].append(f"file does not decode as {encoding}")
+                else:
+                    long.append(batch)
+    else:
         # One row per batch file.
         known = {row.file_name: row for row in facts.drop("digest").collect()} if facts else {}
         unknown = [batch.path for batch in full if batch.name not in known]
@@ -266,41 +237,22 @@ def read_batches(
                 problems[batch.year].append(f"file does not decode as {encoding}")
             else:
                 (split if fact.one_line_records else long).append(batch)
-    else:
-        fitting = [batch for batch in full if batch.size_bytes <= ONE_TASK_BYTES]
-        broken = _undecodable(spark, [batch.path for batch in fitting], charset)
-        for batch in full:
-            if batch.size_bytes > ONE_TASK_BYTES:
-                problems[batch.year].append(
-                    f"file of {batch.size_bytes} bytes is too large to be read as {encoding}"
-                )
-            elif batch.name in broken:
-                problems[batch.year].append(f"file does not decode as {encoding}")
-            else:
-                whole.append(batch)
+        if long:
+            lines = text_lines(spark, [batch.path for batch in long], charset.spark)
 
     parsed = None
-    for chosen, one_task in ((split, False), (whole, True)):
-        if chosen:
-            part = _parse(
-                spark,
-                chosen,
-                columns,
-                encoding=charset.spark,
-                delimiter=delimiter,
-                whole=one_task,
-                name_pattern=name_pattern,
-            )
-            parsed = part if parsed is None else parsed.unionByName(part)
+    if split:
+        parsed = _parse(
+            spark, split, columns, encoding=charset.spark, delimiter=delimiter, name_pattern=name_pattern
+        )
     if long:
-        paths = [batch.path for batch in long]
-        found = long_records(spark, paths, delimiter=delimiter, encoding=charset.spark)
+        found = long_records(lines, delimiter=delimiter)
         for batch in long:
             if batch.name in found.unclosed:
                 problems[batch.year].append(NOT_CLOSED)
             if batch.name in found.too_long:
-                line = found.too_long[batch.name]
-                problems[batch.year].append(f"file is malformed: the record at line {line} is too long")
+                number = found.too_long[batch.name]
+                problems[batch.year].append(f"file is malformed: record {number} is too long")
         part = _parse_long(
             found.records, columns, delimiter=delimiter, name_pattern=name_pattern
         )
@@ -319,20 +271,17 @@ def read_batches(
     checks = records.groupBy(BATCH).agg(
         F.count_if(~is_header).alias("data_rows"),
         F.count_if(~is_header & F.col("__long")).alias("long_rows"),
-        F.max(F.struct(ROW, "__open")).alias("last"),
         F.first(F.when(is_header, _names(len(columns))), ignorenulls=True).alias("header"),
     )
     counts: dict[int, int] = {}
     for row in checks.collect():
         found, counts[row[BATCH]] = problems[row[BATCH]], row.data_rows
         found.extend(header_problems(list(row.header or []), columns))
-        if row.last["__open"]:
-            found.append(NOT_CLOSED)
         if row.long_rows:
             found.append(f"file is malformed: {row.long_rows} records have too many fields")
         if row.data_rows == 0:
             found.append("file has no data rows")
-    for batch in split + whole + long:
+    for batch in split + long:
         if batch.year not in counts and not problems[batch.year]:
             problems[batch.year].append("file has no header")
 

@@ -68,10 +68,8 @@ def _running_turns(rows: DataFrame, order: str, keys: Sequence[str]) -> DataFram
     return rows.withColumn("turned", F.sum("turns").over(frame))
 
 
-def long_records(
-    spark: SparkSession, paths: Sequence[str], *, delimiter: str = ",", encoding: str = "utf-8"
-) -> LongRecords:
-    """Assemble the records of the files. Windows run over one input split each.
+def text_lines(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """(file_name, block, position, line, fed): the lines of files, ``fed`` if a line feed ends them.
 
     ``encoding`` is one that ``decode`` knows and in which line breaks are single bytes.
     """
@@ -82,7 +80,7 @@ def long_records(
     parts = F.when(F.contains(value, F.lit("\r")), F.split(value, r"(?<=\r)", -1)).otherwise(
         F.array(value)
     )
-    read = (
+    return (
         spark.read.option("lineSep", "\n")
         .text(list(paths))
         .select(
@@ -99,6 +97,10 @@ def long_records(
         )
         .withColumn("line", F.when(bom, F.expr("substring(line, 2)")).otherwise(F.col("line")))
     )
+
+
+def long_records(read: DataFrame, *, delimiter: str = ",") -> LongRecords:
+    """Assemble records from lines, see ``text_lines``. Windows run over one input split each."""
     outside = F.expr(_ends_open("line", delimiter))
     inside = F.expr(_ends_open("concat('\"', line)", delimiter))
     steps = read.withColumns({"__outside": outside, "__inside": inside}).select(

@@ -45,6 +45,23 @@ def file_entry(spark: SparkSession, path: str) -> Entry | None:
     return Entry(found.getName(), found.toString(), status.getLen(), status.isFile())
 
 
+def empty_file(spark: SparkSession, path: str) -> None:
+    """A new file of no bytes; an error if there is one already."""
+    system, target = _locate(spark, path)
+    system.create(target, False).close()
+
+
+def first_bytes(spark: SparkSession, path: str, count: int) -> bytes:
+    """The first bytes of a file, fewer if it is shorter."""
+    system, target = _locate(spark, path)
+    stream = system.open(target)
+    try:
+        read = [stream.read() for _ in range(count)]
+    finally:
+        stream.close()
+    return bytes(byte for byte in read if byte >= 0)
+
+
 def data_size(spark: SparkSession, folder: str) -> int | None:
     """Bytes of an output folder, in few calls whatever the number of files; ``None`` for none.
 

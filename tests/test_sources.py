@@ -7,7 +7,7 @@ import pytest
 
 from sievemark import discover_batches, inspect_batches, number_rows, read_batches
 from sievemark.plans import lookup
-from sievemark.sources import batches as batches_module, csv_batches, long_records as long_records_module
+from sievemark.sources import batches as batches_module, long_records as long_records_module
 from sievemark.sources.batches import LINE_DIGEST, content_fingerprint, line_facts, locate_batch
 
 HEAD = "a,b,c\n"
@@ -315,21 +315,86 @@ def test_wrongly_encoded_files(spark, tmp_path, encoding, good, bad):
     assert "x\r\ny" in [row.b for row in read.rows.where("batch_year = 2019").collect()]
 
 
-def test_unknown_encodings_and_what_one_task_cannot_read(spark, tmp_path, monkeypatch):
-    folder = write(tmp_path, y2019=(HEAD + "1,2,3\n").encode("utf-16"))
-    for name in ("cp1252", "nonsense", None):
+def test_unknown_encodings(spark, tmp_path):
+    folder = write(tmp_path, y2019=HEAD + "1,2,3\n")
+    for name in ("nonsense", None, "utf-7", "iso2022_jp", "hz", "rot13", "base64", "unicode_escape", "idna"):
         with pytest.raises(ValueError, match="unsupported encoding"):
             read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding=name)
-    monkeypatch.setattr(csv_batches, "ONE_TASK_BYTES", 3)
-    read = read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding="utf-16")
-    assert "too large" in read.problems[2019][0]
+
+
+ODD = "\u0a41\u0041\u0a00\u000b\u0a0a\u0d0d\u0a0d\u0d0a\u2028\u0a00\u0a41"  # bytes of line feeds across code units
+
+
+@pytest.mark.parametrize(
+    ("encoding", "letters", "size"),
+    [
+        ("utf-16", ODD + "é\U0001f389", "700"),
+        ("utf-16-be", ODD, "2500"),
+        ("utf-32", ODD, None),
+        ("utf-32-be", ODD, "2500"),
+        ("cp1252", "€é’", "2500"),
+        ("cp437", "é░", None),
+        ("iso8859-15", "€é", None),
+        ("gb18030", "漢€\u0a41\U0001f389", "2500"),
+        ("shift_jis", "漢字カ", None),
+        ("cp037", "é", None),
+    ],
+)
+def test_other_encodings_are_read_in_splits(spark, tmp_path, encoding, letters, size):
+    """The rows that Python reads, also where the bytes of a line feed stand inside characters."""
+    rng = random.Random(encoding)
+
+    def salted(seed, end):
+        text = spanning_text(seed, end)
+        return "".join(c + (rng.choice(letters) if c in "xyz4" else "") for c in text)
+
+    texts = {2019: salted(1, "\n"), 2020: salted(2, "\r\n"), 2018: salted(3, "\r"), 2017: HEAD + letters * 900 + ",1,2"}
+    contents = {f"y{year}": text.encode(encoding) for year, text in texts.items()}
+    if encoding == "utf-16":
+        contents["y2020"] = ("\ufeff" + texts[2020]).encode("utf-16-be")
+    folder = write(tmp_path, **contents, y2021=(HEAD + '1,"open\n2,3,4\n').encode(encoding))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size or before)
+    try:
+        read = read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding=encoding)
+        assert list(read.problems) == [2021] and "not closed" in read.problems[2021][0]
+        expected = [(*row[:-1], year, row[-1]) for year, text in texts.items() for row in by_python(text)]
+        assert len(expected) == 1201
+        assert sorted(tuple(r) for r in read.rows.where("batch_year <> 2021").collect()) == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize(
+    ("encoding", "bad"),
+    [
+        ("cp1252", b"\x81"), ("gb18030", b"\xff"), ("utf-16-le", b"\x00\xd8"), ("utf-32-le", b"\x00\x00\x11"),
+        ("utf-16-le", b"\n"), ("shift_jis", b"\x81"),
+    ],
+)
+def test_bytes_that_are_no_text_in_other_encodings(spark, tmp_path, encoding, bad):
+    text = "".join(f"{i},x{i},y\n" for i in range(300))
+    content = (HEAD + text).encode(encoding)
+    at = len(HEAD.encode(encoding)) + len("0,x".encode(encoding))
+    with pytest.raises(UnicodeDecodeError):
+        (content[:at] + bad + content[at:]).decode(encoding)
+    folder = write(tmp_path, y2019=content, y2020=content[:at] + bad + content[at:], y2021=content + bad)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        read = read_batches(spark, discover(spark, folder), ["a", "b", "c"], encoding=encoding)
+        assert sorted(read.problems) == [2020, 2021]
+        assert all("does not decode" in texts[0] for texts in read.problems.values())
+        assert read.rows.where("batch_year = 2019").count() == 300
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_records_too_long_to_be_a_text(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(long_records_module, "LONGEST_RECORD", 50)
     folder = write(tmp_path, y2019=HEAD + '1,"x\ny",3\n2,"' + "x\n" * 40 + '",3\n', y2020=HEAD + '1,"a\nb",3\n')
     read = read_batches(spark, discover(spark, folder), ["a", "b", "c"])
-    assert list(read.problems) == [2019] and "record at line 3" in read.problems[2019][0]
+    assert list(read.problems) == [2019] and "record 3 is too long" in read.problems[2019][0]
     assert [row.b for row in read.rows.where("batch_year = 2020").collect()] == ["a\nb"]
 
 
