@@ -77,4 +77,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._stored_path = path
+    return kept
+
+
+def dropped(kept: DataFrame) -> None:
+    """Remove a ``stored`` table that nothing will read again."""
+    storage.remove_folder(kept.sparkSession, kept._stored_path)
