@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, models
 
-from .grouping import per_group
+from ..plans.durable import stored
+from .grouping import beside, per_group, quoted
 
 PIECE = 32_768  # characters in a piece
 CACHE = 250_000  # words whose ids a task remembers
@@ -265,13 +266,13 @@ def _emit(kept: pa.RecordBatch | pa.Table, ids: list[np.ndarray], texts: list[st
 def encode(
     docs: DataFrame, path: str, text_col: str = "text", piece: int = PIECE
 ) -> DataFrame:
-    """``docs`` without its text, with ``ids`` and the ``decoded`` text of the ids."""
+    """``docs`` without its text, with ``ids`` and the ``decoded`` text of the ids; these names are replaced."""
+    docs = docs.drop("ids", "decoded")
     kept = [name for name in docs.columns if name != text_col]
     rows = docs.select(
-        F.struct(*[docs[name] for name in kept]).alias("kept") if kept else F.lit(True).alias("kept"),
+        F.struct(*[F.col(quoted(name)) for name in kept]).alias("kept") if kept else F.lit(True).alias("kept"),
         F.coalesce(docs[text_col], F.lit("")).alias("text"),
     )
-    kept_type = rows.schema["kept"].dataType.simpleString()
     short, long = (rows.where(F.char_length("text") <= piece), rows.where(F.char_length("text") > piece))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,8 +341,9 @@ def encode(
         made = _emit(table.select(["number"]).slice(0, 1), [ids], [encoder.decode(ids)])
         return pa.Table.from_batches([made])
 
-    done = short.mapInArrow(whole, f"kept {kept_type}, {_RESULT}")
-    numbered = long.withColumn("number", F.monotonically_increasing_id())
+    done = short.mapInArrow(whole, beside(rows, "kept", _RESULT))
+    # Read twice, so the numbers are written down.
+    numbered = stored(long.withColumn("number", F.monotonically_increasing_id()), "long_texts")
     cut_rows = numbered.select("number", "text").mapInArrow(
         cut, "number bigint, piece int, text string, joined boolean, goes_on boolean"
     )
@@ -352,4 +354,4 @@ def encode(
     joined = per_group(encoded, ["number"], together, f"number bigint, {_RESULT}")
     of_long = numbered.select("number", "kept").join(joined, "number").select("kept", "ids", "decoded")
     result = done.unionByName(of_long)
-    return result.select(*([F.col(f"kept.`{name}`") for name in kept] if kept else []), "ids", "decoded")
+    return result.select(*([F.col(f"kept.{quoted(name)}") for name in kept] if kept else []), "ids", "decoded")

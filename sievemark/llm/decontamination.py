@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.durable import stored
+from .grouping import quoted
 
 WINDOW = 10
 SHINGLE = 3
@@ -183,8 +184,10 @@ def contamination(
 ) -> DataFrame:
     """Per document: its words, words inside windows of items, and those items.
 
-    All columns of ``docs`` are kept; the results follow them in a struct ``contamination``.
+    All columns of ``docs`` are kept; the results follow them in a struct ``contamination``, which replaces a
+    column of that name.
     """
+    docs = docs.drop("contamination")
     found, of_items = hits(docs, items, size, id_col, text_col, item_col, item_text_col)
     found = stored(found, "hits")
     order = Window.partitionBy("id", "version").orderBy("start", "end")
@@ -209,15 +212,16 @@ def contamination(
     ).select(F.struct("id", "version").alias("__of"), "n_hit", "items")
     per_doc = stored(
         joined.select(
-            F.col("__of.id").alias("__id"), F.col("__of.version").alias("__version"), "n_hit", "items"
+            F.col("__of.id").alias("__id"), F.col("__of.version").alias("__version"),
+            F.col("n_hit").alias("__n_hit"), F.col("items").alias("__items"),
         ),
         "contaminated",
     )
     # Both the rows and the ids they list are counted.
-    size_of = per_doc.agg(F.sum(F.lit(1) + F.size("items"))).first()[0] or 0
+    size_of = per_doc.agg(F.sum(F.lit(1) + F.size("__items"))).first()[0] or 0
     per_doc = _bounded(per_doc, size_of)
-    items_of = F.coalesce("items", F.array().cast("array<string>"))
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
+    items_of = F.coalesce("__items", F.array().cast("array<string>"))
+    n_hit = F.coalesce("__n_hit", F.lit(0)).cast("bigint")
     return (
         docs.withColumn("__version_of", F.xxhash64(text_col))
         .join(
@@ -226,7 +230,7 @@ def contamination(
             "left",
         )
         .select(
-            *[docs[name] for name in docs.columns],
+            *[docs[quoted(name)] for name in docs.columns],
             F.struct(
                 count_words(docs[text_col]).alias("n_words"),
                 n_hit.alias("n_hit"),

@@ -294,6 +294,7 @@ def audit(
     )
     kept = stored(kept, "kept_terms")
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("in_lang").alias("lang_total"))
+    langs = stored(langs, "langs")  # so that its size is known, and terms need not move to their language
     bucket = F.pmod(F.xxhash64("term"), F.ceil(F.col("terms") / _BUCKET))
     order = Window.partitionBy("lang", "bucket").orderBy(F.desc("in_lang"), "term")
     placed = kept.join(langs, "lang").withColumn("bucket", bucket)

@@ -6,7 +6,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
+
+
+def beside(frame: DataFrame, name: str, more: str) -> T.StructType:
+    """The schema of one column of ``frame``, whatever its fields are called, and of ``more`` columns."""
+    return T.StructType([frame.schema[name], *T.StructType.fromDDL(more).fields])
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark parses it."""
+    return f"`{name.replace('`', '``')}`"
 
 
 def per_group(

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .grouping import beside, quoted
 from .hashing import MARKS, slices, text_bytes, word_hashes
 
 if TYPE_CHECKING:
@@ -406,7 +407,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` from the text alone."""
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(F.struct(*[docs[n] for n in names]).alias("kept"))
+    kept = docs.select(F.struct(*[F.col(quoted(n)) for n in names]).alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -417,9 +418,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 [batch.column("kept"), pa.array(scores, pa.float64())], ["kept", "score"]
             )
 
-    kind = kept.schema["kept"].dataType.simpleString()
-    scored = kept.mapInArrow(run, f"kept {kind}, score double")
-    return scored.select(*[F.col(f"kept.`{n}`") for n in names], "score")
+    scored = kept.mapInArrow(run, beside(kept, "kept", "score double"))
+    return scored.select(*[F.col(f"kept.{quoted(n)}") for n in names], "score")
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
@@ -429,7 +429,11 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with ``held_out``, ``score``, ``predicted``, ``threshold`` and ``rejected``."""
+    """``docs`` with ``held_out``, ``score``, ``predicted``, ``threshold`` and ``rejected``.
+
+    Columns of these names are replaced.
+    """
+    docs = docs.drop("held_out", "score", "predicted", "threshold", "rejected")
     model = train(training_sample(docs, labels, ~is_held_out()))
     model = replace(calibrate(model, docs, labels, ~is_held_out()), fitted=None)
     threshold = F.lit(model.threshold)

@@ -9,6 +9,7 @@ from compare import connect, differences
 import corpus_pipeline
 from sievemark.llm import near_dedup
 from sievemark.llm.queries import ORACLES, QUERIES, tokenizer_path
+from sievemark.plans.durable import stored
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -62,7 +63,7 @@ def test_pipeline_keeps_its_promises(spark):
         "toxicity", "line_dedup", "near_dedup", "decontamination", "bpe"]
     inputs = [docs]
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        inputs.append(corpus_pipeline.stored(stage(spark, inputs[-1], SF_DIR), "stage"))
+        inputs.append(stored(stage(spark, inputs[-1], SF_DIR), "stage"))
         assert inputs[-1].columns == docs.columns
     ids = [{r.doc_id for r in table.select("doc_id").collect()} for table in inputs]
     assert all(later < earlier or later == earlier for earlier, later in zip(ids, ids[1:]))
