@@ -90,12 +90,12 @@ def count_words(text: str) -> int:
 def line_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, word counts) of the lines of a text."""
     digest = xxhash.xxh3_64_intdigest
-    keys = [k for k in (part.strip() for part in _parts(text)[::2]) if k]
-    if text.isascii():
+    keys = [k for k in map(str.strip, _parts(text.lower())[::2]) if k]
+    if text.isascii() or not _UNSPACED.search(text):
         sizes = [len(k.split()) for k in keys]
     else:
         sizes = [count_words(k) for k in keys]
-    return np.array([digest(k.lower()) for k in keys], np.uint64), np.array(sizes, np.int64)
+    return np.array([digest(k) for k in keys], np.uint64), np.array(sizes, np.int64)
 
 
 def select(
@@ -115,10 +115,14 @@ def select(
         words += sizes[step : step + grams]
         has_long |= long[step : step + grams]
     width = min(window, grams)
-    windows = np.lib.stride_tricks.sliding_window_view(total[::-1], width)
     # Reversed, the first of equal minima is the rightmost.
+    back = total[::-1]
+    least = np.arange(grams - width + 1)
+    for step in range(1, width):
+        other = np.arange(step, step + len(least))
+        least = np.where(back[other] < back[least], other, least)
     chosen = ~has_long & (words >= LEAST_WORDS)
-    chosen[grams - 1 - (windows.argmin(axis=1) + np.arange(len(windows)))] = True
+    chosen[grams - 1 - least] = True
     places = np.flatnonzero(chosen)
     return (
         np.concatenate((places, alone)),
