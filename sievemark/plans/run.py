@@ -180,6 +180,7 @@ def run_batches(
     check_partitioning(settings.partition_by)
     codec = check_format(settings.output_format, settings.compression)
     find_encoding(settings.encoding)
+    check_algorithm(settings.hash_algorithm)
     if not batches:
         return spark.createDataFrame([], REPORT)
     # Intermediate tables go when the run ends, also when it fails; the settings are put back.

@@ -190,7 +190,7 @@ def test_nothing_to_do(spark, tmp_path):
         {"partition_by": ("year",)},
         {"dataset": "a b"},
         {"hash_algorithm": "crc"},
-        {"encoding": "cp1252"},
+        {"encoding": "utf-7"},
         {"encoding": "nonsense"},
     ],
 )
