@@ -9,7 +9,7 @@ from .operators.validate import accepted, issues, validate
 from .plans.contract import Roles
 from .plans.incremental import multi_batch_summary, pending_batches, skipped_batches
 from .plans.inspections import INSPECTIONS
-from .plans.run import BatchError, Settings, run_all, run_one
+from .plans.run import BatchError, Settings, run_all, run_one, run_totals
 from .sources.batches import discover_batches, inspect_batches
 from .sources.csv_batches import read_batches
 from .sources.publish import publish
@@ -37,6 +37,7 @@ __all__ = [
     "reconciliation",
     "run_all",
     "run_one",
+    "run_totals",
     "skipped_batches",
     "validate",
 ]

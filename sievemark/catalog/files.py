@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.validate import BATCH, ROW
 from ..plans.durable import scratch_path
-from ..plans.run import Settings, run_all
+from ..plans.run import Settings, run_all, run_totals
 from ..sources import storage
 from ..sources.batches import BatchFile, discover_batches, inspect_batches
 from ..sources.csv_batches import read_batches
@@ -290,6 +290,25 @@ def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def totals_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the two runs found, processed and skipped."""
+    return run_totals(run_twice(spark, sf_dir), by=["run"])
+
+
+def run_issue_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issue counts that a run over files has stored."""
+    root = scratch_path(spark, "outputs")
+    settings = Settings(
+        curated=f"{root}/curated", quarantine=f"{root}/quarantine", state=f"{root}/state",
+        metrics=f"{root}/metrics", dataset="raw_orders", **_YEARS,
+    )
+    run_all(spark, _write(raw_orders(spark, sf_dir)), CONTRACT, settings, roles=ROLES)
+    shape = f"rule_id string, column string, severity string, issue_count bigint, {BATCH} smallint"
+    return spark.read.schema(shape).parquet(settings.metrics).select(
+        BATCH, "rule_id", "column", "severity", "issue_count"
+    )
+
+
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_rows": csv_rows,
     "batch_listing": batch_listing,
@@ -298,6 +317,8 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_problems": csv_problems,
     "csv_faults": csv_faults,
     "run_twice": run_twice,
+    "run_totals": totals_of_runs,
+    "run_issue_metrics": run_issue_metrics,
 }
 FILE_ORACLES = {
     "csv_rows": _CSV_ROWS,

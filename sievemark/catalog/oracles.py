@@ -284,6 +284,8 @@ _REQUIRED = {
 ORACLES: dict[str, str] = {
     **FILE_ORACLES,
     "run_twice": _RUN_TWICE,
+    "run_totals": f"""SELECT run, count(*) AS discovered, count(*) FILTER (status = 'processed') AS processed,
+  count(*) FILTER (status = 'skipped') AS skipped FROM ({_RUN_TWICE}) GROUP BY run""",
     **{
         f"rule_id_{name}": _rules(f"inspection_id_{name}")
         for name in ("required", "format", "int64", "minimum", "unique")
@@ -366,6 +368,9 @@ JOIN (SELECT dq_batch_year AS batch_year, count(*) AS n FROM quarantined GROUP B
   USING (batch_year)""",
     "issue_metrics": f"""{_CHECKED}
 SELECT batch_year, rule_id, "column", severity, count(*) AS issue_count
+FROM issues GROUP BY ALL""",
+    "run_issue_metrics": f"""{_CHECKED}
+SELECT batch_year, rule_id, "column", severity, count(*) AS issue_count
 FROM issues GROUP BY ALL""",
     "schema_conformance": """
 SELECT event_type, conforms, missing, unexpected, count(*) AS row_count FROM (

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.conflicts import Conflicts
 from ..operators.curate import CURATED_PARTITION, conversion_failures, curate
-from ..operators.metrics import batch_summary
+from ..operators.metrics import batch_summary, issue_metrics
 from ..operators.quarantine import check_quarantine_source, quarantine
 from ..operators.rules import Chain
 from ..operators.validate import BATCH, ROW, accepted, annotate, batch_conflicts
@@ -65,7 +65,10 @@ class BatchError(Exception):
 
 @dataclass(frozen=True)
 class Settings:
-    """Where a dataset lives and how it is read and written."""
+    """Where a dataset lives and how it is read and written.
+
+    ``metrics`` is where issues are counted by batch, rule, column and severity, if that is wanted.
+    """
 
     curated: str
     quarantine: str
@@ -81,6 +84,7 @@ class Settings:
     output_format: str = "parquet"
     compression: str = "snappy"
     partition_by: tuple[str, ...] = (CURATED_PARTITION,)
+    metrics: str | None = None
 
     @property
     def years(self) -> dict:
@@ -132,6 +136,15 @@ def run_report(batches: DataFrame, state: DataFrame, processed: DataFrame) -> Da
     ).select(*[field.split()[0] for field in REPORT.split(", ")])
 
 
+def run_totals(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How many batches a run found, processed and skipped, from its report; ``by`` tells runs apart."""
+    return report.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("discovered"),
+        F.count_if(F.col("status") == "processed").alias("processed"),
+        F.count_if(F.col("status") == "skipped").alias("skipped"),
+    )
+
+
 def run_all(
     spark: SparkSession,
     incoming: str,
@@ -300,7 +313,7 @@ def _publish(
     settings: Settings,
     codec: str,
 ) -> None:
-    """Quarantine first, then curated, then state: a batch counts only once its state is there."""
+    """Quarantine first, then curated and metrics, then state: a batch counts only once its state is there."""
     rows = validated.where(F.col(BATCH).isin(list(years)))
     held = publish(
         quarantine(rows, contract),
@@ -324,6 +337,8 @@ def _publish(
         rebalance=conflicts.moves_rows,
         drop=[ROW],
     )
+    if settings.metrics:
+        _publish_metrics(rows, settings.metrics, years, codec)
     records = _state_records(spark, summary, years, inspected, settings, held, kept)
     broken = state_violations(records).collect()
     if broken:
@@ -331,6 +346,22 @@ def _publish(
     write_state(records, settings.state)
 
 
+def _publish_metrics(rows: DataFrame, root: str, years: Sequence[int], codec: str) -> None:
+    """Replace the counts of these batches, also by none. A batch has few: as many as rules meet columns."""
+    counts = stored(issue_metrics(rows), "issue_metrics")
+    expected = {row[BATCH]: row.n for row in counts.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n")).collect()}
+    publish(
+        counts,
+        root,
+        partition=BATCH,
+        years=years,
+        expected_rows={year: expected.get(year, 0) for year in years},
+        order=["rule_id", "column", "severity"],
+        compression=codec,
+        rebalance=True,
+    )
+
+
 def _state_records(
     spark: SparkSession,
     summary: dict,
