@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 from helpers import csv_text, record
 
-from sievemark import INSPECTIONS, BatchError, Settings, run_all, run_one
+from sievemark import INSPECTIONS, BatchError, Settings, run_all, run_one, run_totals
 from sievemark.operators.rules import Chain, Check
 from sievemark.plans.durable import checkpoint_dir
 
@@ -198,3 +198,42 @@ def test_bad_settings(spark, tmp_path, changes):
     put(tmp_path, 2019, [record(1)])
     with pytest.raises(ValueError):
         run(spark, tmp_path, **changes)
+
+
+def test_totals_and_stored_metrics_follow_the_files(spark, tmp_path):
+    """Counts of a batch are replaced with it, also by none; a batch that is skipped keeps its own."""
+    place = str(tmp_path / "metrics")
+
+    def both():
+        incoming = str(tmp_path / "incoming")
+        report = run_all(spark, incoming, INSPECTIONS, settings(tmp_path, metrics=place))
+        stored = spark.read.parquet(place).collect()
+        return tuple(run_totals(report).first()), {
+            (r.batch_year, r.rule_id, r.severity): r.issue_count for r in stored
+        }
+
+    put(tmp_path, 2019, SEVEN)
+    put(tmp_path, 2020, [record(1, risk=""), record(2, risk=""), record(3)])
+    totals, counts = both()
+    assert totals == (2, 2, 0)
+    assert counts == {
+        (2019, "coordinate_pair_consistency", "error"): 1,
+        (2019, "exact_duplicate_record", "error"): 1,
+        (2019, "license_zero_sentinel", "warning"): 1,
+        (2019, "risk_missing", "warning"): 1,
+        (2020, "risk_missing", "warning"): 2,
+    }
+    put(tmp_path, 2019, [record(1)])
+    totals, counts = both()
+    assert totals == (2, 1, 1)
+    assert counts == {(2020, "risk_missing", "warning"): 2}
+    assert tuple(run_totals(spark.createDataFrame([], "status string")).first()) == (0, 0, 0)
+
+
+def test_a_run_over_another_code_page(spark, tmp_path):
+    path = put(tmp_path, 2019, [record(1, dba_name="Café € 1"), record(2, dba_name="Two\nlines é")])
+    Path(path).write_bytes(Path(path).read_text().encode("cp1252"))
+    assert run(spark, tmp_path, encoding="cp1252", hash_algorithm="blake2b")[2019].accepted == 2
+    names = {r.dba_name for r in spark.read.parquet(str(tmp_path / "curated")).collect()}
+    assert names == {"Café € 1", "Two lines é"}
+    assert run(spark, tmp_path, encoding="cp1252", hash_algorithm="blake2b")[2019].status == "skipped"
