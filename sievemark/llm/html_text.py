@@ -13,24 +13,28 @@ what closed ``details`` fold away. Rendering keeps
 
 Defined results: a null page stays null, an empty one is empty; unclosed, misnested and unknown tags are
 handled as the tree builder says, at any depth: nothing here recurses. Of ``svg`` the text elements are
-seen, of ``math`` all but its annotations. Columns other than the page are kept.
+seen, of ``math`` all but its annotations. Columns other than the page are kept. Reading takes time in
+proportion to the page, however broken it is; so does rendering, but for tables of several columns inside
+one another, whose lines are laid out again at each level. Indents grow to ``WIDEST_INDENT`` columns; what
+is nested deeper keeps that indent.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
-from html import unescape
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from html import unescape as html_unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
+WIDEST_INDENT = 128
+_BEGIN = re.compile(r"<(?:(?P<mark>[!?])|(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*+))")
+_MARK = re.compile("<[!?]")
+_LIMITS = re.compile("[>\"']")
+_LONG_NUMBER = re.compile(r"&#0*+(?:[0-9]{9,}|[xX]0*+[0-9a-fA-F]{8,});?")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # Elements as the HTML standard groups them.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -74,11 +78,13 @@ _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?
 
 
 class Element:
-    __slots__ = ("name", "attributes", "children")
+    __slots__ = ("name", "attributes", "children", "before")
 
     def __init__(self, name: str, attributes: dict[str, str]):
         self.name, self.attributes = name, attributes
         self.children: list[Element | str] = []
+        # What a table cannot hold, which stands before it.
+        self.before: list[Element | str] = []
 
     def hidden(self) -> bool:
         given = self.attributes
@@ -90,6 +96,11 @@ class Element:
         )
 
 
+def unescape(text: str) -> str:
+    """Character references read; numbers far beyond all characters are the replacement character."""
+    return html_unescape(_LONG_NUMBER.sub("\ufffd", text) if "&#" in text else text)
+
+
 def _attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for name, *values in _ATTRIBUTE.findall(text):
@@ -97,47 +108,97 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+class _TagEnds:
+    """Finds where tags end, past quoted values, in time that all tags of a page share.
+
+    A search that fails remembers the limits it passed outside quotes: whatever reaches one of them
+    fails too.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.limits = [found.start() for found in _LIMITS.finditer(page)]
+        self.failed: set[int] = set()
+
+    def find(self, at: int) -> int:
+        """The place of the ``>`` that ends a tag whose attributes begin at ``at``, or -1."""
+        passed: list[int] = []
+        while True:
+            index = bisect_left(self.limits, at)
+            if index == len(self.limits):
+                break
+            limit = self.limits[index]
+            if limit in self.failed:
+                break
+            if self.page[limit] == ">":
+                return limit
+            passed.append(limit)
+            closing = self.page.find(self.page[limit], limit + 1)
+            if closing < 0:
+                break
+            at = closing + 1
+        self.failed.update(passed)
+        return -1
+
+
 class TreeBuilder:
     """Builds the tree of a page from its tags and texts, in order."""
 
     def __init__(self):
         self.root = Element("html", {})
         self.open = [self.root]
-        # How many elements of each name are open, so that none is looked for in vain.
-        self.names: Counter[str] = Counter()
+        # Where the open elements of each name are, so that none is looked for one by one.
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+
+    def _innermost(self, names: Iterable[str]) -> int:
+        """The place of the innermost open element of these names; 0 if there is none."""
+        return max((self.places[name][-1] for name in names if self.places[name]), default=0)
 
     def _pop_to(self, size: int) -> None:
         for element in self.open[size:]:
-            self.names[element.name] -= 1
+            self.places[element.name].pop()
         del self.open[size:]
 
     def build(self, page: str) -> Element:
-        at = 0
-        while True:
-            found = _TOKEN.search(page, at)
-            if not found:
-                self.text(page[at:])
-                return self.root
-            self.text(page[at : found.start()])
-            at = found.end()
-            if found["name"]:
-                name = found["name"].lower()
-                if found["end"]:
-                    self.end(name)
-                else:
-                    given = found["attributes"]
-                    empty = given.endswith("/") and (self.names["svg"] > 0 or self.names["math"] > 0)
-                    self.start(name, _attributes(given) if given else {}, empty)
-                    if name in _RAW and not empty:
-                        at = self.raw(name, page, at)
+        ends = _TagEnds(page)
+        done = at = 0
+        while found := _BEGIN.search(page, at):
+            begin, at = found.span()
+            if found["mark"]:
+                comment = page.startswith("<!--", begin)
+                closing = page.find("-->" if comment else ">", begin + 4 if comment else at)
+                at = len(page) if closing < 0 else closing + (3 if comment else 1)
+                self.text(page[done:begin])
+                done = at
+                continue
+            closing = ends.find(at)
+            if closing < 0:
+                # No tag; nor are the tags that seem to begin inside its name, which end where it does.
+                mark = _MARK.search(page, begin + 1, at)
+                at = mark.start() if mark else at
+                continue
+            self.text(page[done:begin])
+            name, given = found["name"].lower(), page[at:closing]
+            at = closing + 1
+            if found["end"]:
+                self.end(name)
+            else:
+                empty = given.endswith("/") and bool(self.places["svg"] or self.places["math"])
+                self.start(name, _attributes(given) if given else {}, empty)
+                if name in _RAW and not empty:
+                    at = self.raw(name, page, at)
+            done = at
+        self.text(page[done:])
+        return _settled(self.root)
 
     def raw(self, name: str, page: str, at: int) -> int:
         """The text of an element that holds no tags, up to its end tag."""
-        found = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-        body = page[at : found.start()] if found else page[at:]
+        found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+        closing = page.find(">", found.end()) if found else -1
+        body = page[at : found.start()] if closing >= 0 else page[at:]
         self.open[-1].children.append(unescape(body) if name in ("textarea", "title") else body)
         self.end(name)
-        return found.end() if found else len(page)
+        return closing + 1 if closing >= 0 else len(page)
 
     def text(self, raw: str) -> None:
         if not raw:
@@ -151,27 +212,18 @@ class TreeBuilder:
         if not shown or self.open[-1].name not in _TABLE_FRAMES:
             self.open[-1].children.append(child)
             return
-        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].name == "table"), 0)
-        if at == 0:
-            self.open[-1].children.append(child)
-            return
-        siblings = self.open[at - 1].children
-        place = next(i for i in range(len(siblings) - 1, -1, -1) if siblings[i] is self.open[at])
-        siblings.insert(place, child)
+        at = self._innermost(("table",))
+        holder = self.open[at].before if at else self.open[-1].children
+        holder.append(child)
 
     def _close_to(self, names: set[str], scope: set[str]) -> None:
         """End the outermost of the named elements that is open within the scope."""
-        if not any(self.names[name] for name in names):
+        inner = self._innermost(names)
+        if inner == 0 or self._innermost(scope) > inner:
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name in names:
-                inner = i
-                while inner > 1 and self.open[inner - 1].name in names:
-                    inner -= 1
-                self._pop_to(inner)
-                return
-            if self.open[i].name in scope:
-                return
+        while inner > 1 and self.open[inner - 1].name in names:
+            inner -= 1
+        self._pop_to(inner)
 
     def start(self, name: str, attributes: dict[str, str], empty: bool = False) -> None:
         if name == "html":
@@ -188,8 +240,8 @@ class TreeBuilder:
         new = Element(name, attributes)
         self._put(new, name not in _IN_TABLE)
         if name not in _VOID and not empty:
+            self.places[name].append(len(self.open))
             self.open.append(new)
-            self.names[name] += 1
 
     def end(self, name: str) -> None:
         if name == "br":
@@ -197,16 +249,34 @@ class TreeBuilder:
             return
         scope = {"table"} if name not in ("table", "body", "html") else set()
         cell = {"td", "th", "caption"} if name not in _BLOCKS else set()
-        for i in range(len(self.open) - 1, 0, -1) if self.names[name] else ():
-            if self.open[i].name == name:
-                self._pop_to(i)
-                return
-            if self.open[i].name in scope or self.open[i].name in cell:
-                return
-        if name == "p" and not self.names["table"]:
+        if self.places[name]:
+            at = self.places[name][-1]
+            if self._innermost(scope | cell) < at or name in cell:
+                self._pop_to(at)
+        elif name == "p" and not self.places["table"]:
             self.open[-1].children.append(Element("p", {}))
 
 
+def _settled(root: Element) -> Element:
+    """The tree with what stands before tables in its place."""
+    left = [root]
+    while left:
+        element = left.pop()
+        if any(isinstance(child, Element) and child.before for child in element.children):
+            placed, waiting = [], [*reversed(element.children)]
+            while waiting:
+                child = waiting.pop()
+                if isinstance(child, Element) and child.before:
+                    waiting.append(child)
+                    waiting.extend(reversed(child.before))
+                    child.before = []
+                else:
+                    placed.append(child)
+            element.children = placed
+        left.extend(child for child in element.children if isinstance(child, Element))
+    return root
+
+
 Steps = Iterator["Steps"]
 
 
@@ -231,8 +301,16 @@ class Renderer:
         self.lines: list[str] = []
         self.current: list[str] = []
         self.blank_due = False
+        # Each entry is the whole indent of its level.
         self.indents: list[str] = []
         self.marker = ""
+        # Inside how many cells of tables of one column. No blank lines are there but before the first line.
+        self.cells = 0
+        self.blank_before = False
+
+    def indent(self, more: str) -> None:
+        whole = self.indents[-1] if self.indents else ""
+        self.indents.append(whole + more if len(whole) + len(more) <= WIDEST_INDENT else whole)
 
     def result(self) -> str:
         self.flush()
@@ -245,10 +323,12 @@ class Renderer:
             self._line(line)
 
     def _line(self, line: str) -> None:
-        if self.blank_due and self.lines:
+        if self.cells and not self.marker and not line.strip():
+            return
+        if (self.blank_before if self.cells else self.blank_due) and self.lines:
             self.lines.append("")
-        self.blank_due = False
-        indent = "".join(self.indents)
+        self.blank_due = self.blank_before = False
+        indent = self.indents[-1] if self.indents else ""
         if self.marker:
             indent = indent[: len(indent) - len(self.marker)] + self.marker
             self.marker = ""
@@ -333,7 +413,10 @@ class Renderer:
         while lines and not lines[-1].strip():
             lines.pop()
         for line in lines:
-            self._line(line.rstrip()) if line.strip() else self.lines.append("")
+            if line.strip():
+                self._line(line.rstrip())
+            elif not self.cells:
+                self.lines.append("")
         self.space()
 
     def render_textarea(self, element: Element) -> None:
@@ -362,7 +445,7 @@ class Renderer:
                 self.flush()
                 marker = f"{number}. " if numbered else "- "
                 number += 1
-                self.indents.append(" " * len(marker))
+                self.indent(" " * len(marker))
                 self.marker = marker
                 yield self.children(child)
                 self.flush()
@@ -390,32 +473,44 @@ class Renderer:
 
     def render_dd(self, element: Element) -> Steps:
         self.flush()
-        self.indents.append("    ")
+        self.indent("    ")
         yield self.children(element)
         self.flush()
         self.indents.pop()
 
     def render_blockquote(self, element: Element) -> Steps:
         self.space()
-        self.indents.append("  ")
+        self.indent("  ")
         yield self.children(element)
         self.space()
         self.indents.pop()
 
     def render_table(self, element: Element) -> Steps:
         self.space()
-        rows: list[list[list[str]]] = []
-        for part in _rows(element):
-            if part.name == "tr":
+        parts = list(_rows(element))
+        for part in parts:
+            if part.name != "tr":
+                yield self.children(part)
+                self.flush()
+        cells = [[*filter(_is_cell, part.children)] for part in parts if part.name == "tr"]
+        if all(len(row) <= 1 for row in cells) and not self.marker:
+            # Nothing to align: the cells are blocks.
+            if self.cells == 0:
+                self.blank_before = self.blank_due
+            self.cells += 1
+            for cell in (cell for row in cells for cell in row):
+                yield self.children(cell)
+                self.flush()
+            self.cells -= 1
+        else:
+            rows: list[list[list[str]]] = []
+            for row in cells:
                 rows.append([])
-                for cell in filter(_is_cell, part.children):
+                for cell in row:
                     inner = Renderer()
                     yield inner.children(cell)
                     rows[-1].append([line for line in inner.result().split("\n") if line])
-            else:
-                yield self.children(part)
-                self.flush()
-        self._aligned(rows)
+            self._aligned(rows)
         self.space()
 
     def _aligned(self, rows: list[list[list[str]]]) -> None:
