@@ -104,7 +104,7 @@ def _classes(sets: DataFrame) -> DataFrame:
         .groupBy("fingerprint")
         .agg(
             F.min("row").alias("class"),
-            F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "version")).alias("stands"),
             F.count("*").alias("rows"),
             F.first("n").alias("n"),
             F.first("signature").alias("signature"),
@@ -334,14 +334,18 @@ def _full_sets(
                 ["class", "label", "n", "tokens"],
             )
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.xxhash64(text_col).alias("own"),
+        F.col(text_col).alias("text"),
+    )
     if wanted.count() <= MAX_BROADCAST:
         wanted = F.broadcast(wanted)
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"])).select(
-        "text", "class", "label", "fingerprint"
-    )
+    # Any number of rows may share an id, so a text is named by its hash too.
+    same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["own"] == wanted["version"])
+    texts = rows.join(wanted, same).select("text", "class", "label", "fingerprint")
     schema = "class bigint, label bigint, n bigint, tokens binary"
-    # Rows may share an id and a set; one of them stands for the class.
+    # Rows that repeat share both; one of them stands for the class.
     return texts.mapInArrow(run, schema)
 
 
@@ -381,7 +385,7 @@ def grouped(
     classes = _classes(sets)
     looked = clusters(classes, percent)
     wanted = looked.withColumnRenamed("node", "class").join(
-        classes.select("class", F.col("doc_id").alias("id"), "fingerprint"), "class"
+        classes.select("class", F.col("stands.doc_id").alias("id"), "stands.version", "fingerprint"), "class"
     )
     full = stored(
         _full_sets(docs, stored(wanted, "wanted"), k, id_col, text_col).dropDuplicates(["class"]),

@@ -128,6 +128,31 @@ def test_one_document_of_each_group_stays(spark):
     assert near_dedup.near_duplicates(table.where("false")).collect() == []
 
 
+def test_texts_that_share_an_id_are_read_once(spark, monkeypatch):
+    rows = [(None if i % 3 else 7, f"w{i // 2} " + " ".join(f"x{i // 2}y{j}" for j in range(30))) for i in range(400)]
+    rows += rows[:10]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    read = []
+    whole = near_dedup._full_sets
+
+    def counted(docs, wanted, *given):
+        read.append((docs, wanted))
+        return whole(docs, wanted, *given)
+
+    monkeypatch.setattr(near_dedup, "_full_sets", counted)
+    # Variants of one text, all of which are linked.
+    long = " ".join(f"z{j}" for j in range(200))
+    table = table.unionByName(
+        spark.createDataFrame([(None, f"{long} end{i}") for i in range(50)], "doc_id long, text string")
+    )
+    found = near_dedup.near_duplicates(table, 3, 85).collect()
+    assert len(found) == 460
+    kept = near_dedup.keep_one(table, 3, 85)
+    assert kept.count() == 201
+    docs, wanted = read[0]
+    assert wanted.select("id", "version").distinct().count() == wanted.count() == 50
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     random.seed(13)
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 50)] + [(7, 7)]
