@@ -46,6 +46,7 @@ BINS = 32  # ranges of score for each unit of its log-odds
 BUCKETS = 1 << 20
 STEM = 4
 KNOWN = 30_000  # embeddings of each kind
+MAX_BROADCAST = 1_000_000  # labels, of about 30 bytes
 LEAST_DOCS = 2  # a bucket in fewer sample documents has no embedding
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -291,12 +292,14 @@ def calibrate(model: Model, docs: DataFrame, labels: DataFrame, may_learn: Colum
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"
     )
     fitted = docs.sparkSession.createDataFrame([(int(i),) for i in set(model.fitted.tolist())], "doc_id bigint")
+    known = labelled(labels, may_learn).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    if known.count() <= MAX_BROADCAST:
+        known = F.broadcast(known)
     within = F.least(F.greatest(F.col("score"), F.lit(1e-13)), F.lit(1 - 1e-13))
     z = F.log(within / (1 - within))
     counted = (
-        score(given, plain)
-        .select("doc_id", "lang", z.alias("z"))
-        .join(labelled(labels, may_learn).withColumn("doc_id", F.col("doc_id").cast("bigint")), "doc_id")
+        score(given.join(known, "doc_id"), plain)
+        .select("doc_id", "lang", "toxic", z.alias("z"))
         .join(F.broadcast(fitted.withColumn("fitted", F.lit(True))), "doc_id", "left")
         .groupBy(F.col("fitted").isNotNull().alias("fitted"), "lang", F.floor(F.col("z") * BINS).alias("bin"))
         .agg(
@@ -366,10 +369,18 @@ def training_sample(
     rows = max(1, one.count())
     share = min(1.0, sample_docs / rows)
     drawn = one.where(draw < int(share * 1_000_000))
-    texts = docs.select("doc_id", "text", "lang").join(F.broadcast(drawn), "doc_id")
-    chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 1
-    if chars > sample_chars:
+    # Rows that repeat under one id say the same; they count once, and texts of one id have a bound too.
+    texts = (
+        docs.select("doc_id", "text", "lang")
+        .join(F.broadcast(drawn), "doc_id")
+        .dropDuplicates(["doc_id", "text"])
+    )
+    found, chars = texts.agg(F.count("*"), F.sum(F.char_length("text"))).first()
+    if (chars or 0) > sample_chars:
         texts = texts.where(draw < int(share * sample_chars / chars * 1_000_000))
+    if found > 2 * sample_docs:
+        by_text = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
+        texts = texts.where(by_text < int(sample_docs / found * 1_000_000))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
