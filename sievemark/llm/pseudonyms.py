@@ -8,28 +8,42 @@ kind and the format alone, so equal values get equal pseudonyms in all documents
 values different ones. With the key, `Pseudonyms.reveal` finds the value again.
 
 Kinds, in the order in which they claim text: secret (access keys, passwords, tokens), e-mail, IBAN,
-card, IP address, social security number, phone, date.
+card, IP address (version 4 and 6), social security number, phone, date.
+
+Digits of any script count as digits: a value is permuted as the number it is and written in its
+own script again, so it stays linked to the same value in other digits. A date keeps the form it is
+written in: its order, the width of day and month, the language and length of the month's name. Day
+before month is taken where both readings are dates.
 
 Defined results: null stays null; empty texts stay empty; text without such values is unchanged; columns
 other than the text are kept, and ``pii`` lists what was found (kind, start and length in the new
-text, which has the length of the old one).
+text, which has the length of the old one). An empty key is refused; one above 64 bytes is hashed.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
 from hashlib import blake2b
+from ipaddress import AddressValueError, IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 ROUNDS = 10
+LONG_VALUE = 256  # symbols that are permuted together; longer values block by block
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
+# Letters of other scripts in names of mail boxes, each permuted within its own row.
+LETTERS = tuple(
+    "".join(c for c in map(chr, range(first, last + 1)) if c.isalpha() and c.islower() == low)
+    for first, last in ((0xC0, 0xFF), (0x100, 0x17F), (0x391, 0x3C9), (0x400, 0x45F))
+    for low in (True, False)
+)
 _FIRST_DAY, _DAYS = date(1900, 1, 1), 73_049  # 1900 to 2099
 
 
@@ -53,8 +67,13 @@ class Pseudonyms:
     """The permutations of one key."""
 
     def __init__(self, key: bytes):
-        self.key = key
-        self.of = lru_cache(maxsize=100_000)(self._of)
+        if not key:
+            raise ValueError("pseudonyms need a key")
+        self.key = key if len(key) <= 64 else blake2b(key).digest()
+        self._seen = lru_cache(maxsize=100_000)(self._of)
+
+    def of(self, kind: str, value: str) -> str:
+        return self._seen(kind, value) if len(value) <= LONG_VALUE else self._of(kind, value)
 
     # The network works on a row of symbols, each with a number of possible values.
 
@@ -100,10 +119,18 @@ class Pseudonyms:
                     own.append(alphabet)
                     break
         radices = [len(a) for a in own]
-        tweak = kind + "|" + "".join("." if i in set(spots) else c for i, c in enumerate(value))
+        outline = list(value)
+        for i in spots:
+            outline[i] = "."
+        tweak = kind + "|" + "".join(outline[:LONG_VALUE])
         symbols = [a.index(value[i]) for i, a in zip(spots, own)]
+        blocks = [slice(i, i + LONG_VALUE) for i in range(0, len(symbols), LONG_VALUE)]
         while True:
-            symbols = self.permute(symbols, radices, tweak, back)
+            symbols = [
+                symbol
+                for at, block in enumerate(blocks)
+                for symbol in self.permute(symbols[block], radices[block], f"{tweak}|{at}" if at else tweak, back)
+            ]
             made = list(value)
             for i, a, s in zip(spots, own, symbols):
                 made[i] = a[s]
@@ -123,7 +150,7 @@ class Pseudonyms:
 
     def _email(self, value: str, back: bool) -> str:
         name, end = value.rsplit(".", 1)
-        return self._walk(name, "email", back=back) + "." + end
+        return self._walk(name, "email", back=back, alphabets=(DIGITS, LOWER, UPPER, *LETTERS)) + "." + end
 
     def _iban(self, value: str, back: bool) -> str:
         plain = value.replace(" ", "")
@@ -137,6 +164,8 @@ class Pseudonyms:
         return _fill(value, body + luhn_digit(body))
 
     def _ip(self, value: str, back: bool) -> str:
+        if ":" in value:
+            return self._walk(value, "ipv6", back=back, alphabets=(DIGITS, "abcdef", "ABCDEF"))
         # Octets of one width keep the length of the text.
         octets = value.split(".")
         low = [0 if len(o) == 1 else 10 ** (len(o) - 1) for o in octets]
@@ -148,29 +177,32 @@ class Pseudonyms:
         return self._walk(value, "ssn", is_ssn, back)
 
     def _phone(self, value: str, back: bool) -> str:
-        found = re.match(r"\+\d{1,3}[ .-]", value)
+        found = re.match(r"\+\d{1,3}[ .-]", value) or re.match(rf"\+(?:{_COUNTRY})", value)
         code = found[0] if found else ""
         rest = value[len(code) :]
         digits = re.sub(r"\D", "", rest)
         local = is_local_phone(digits)
+        bare = value.isdigit() and not local
         made = self._walk(
-            digits, "phone" + code.strip(" .-"), lambda v: is_local_phone(v) == local, back
+            digits,
+            "phone" + code.strip(" .-"),
+            lambda v: is_local_phone(v) == local and (not bare or v[0] >= "2"),
+            back,
         )
         return code + _fill(rest, made)
 
     def _date(self, value: str, back: bool) -> str:
-        order, marks = _date_parts(value)
-        days = (_as_date(value) - _FIRST_DAY).days
+        form = DateForm.of(value)
+        days = (form.day - _FIRST_DAY).days
         while True:
             # A radix of two and a larger one: 1 day in 150,000 or less is walked over.
             two, rest = divmod(days, 36_525)
             two, rest = self.permute([two, rest], [2, 36_525], "date", back)
             days = two * 36_525 + rest
             if days < _DAYS:
-                break
-        day = _FIRST_DAY + timedelta(days=days)
-        numbers = {"y": f"{day.year:04d}", "m": f"{day.month:02d}", "d": f"{day.day:02d}"}
-        return marks.join(numbers[o] for o in order)
+                made = form.write(_FIRST_DAY + timedelta(days=days))
+                if made is not None:
+                    return made
 
 
 def _fill(pattern: str, symbols: str) -> str:
@@ -188,66 +220,177 @@ def is_local_phone(digits: str) -> bool:
     return len(digits) == 10 and digits[0] >= "2" and digits[3] >= "2"
 
 
-def _date_parts(value: str) -> tuple[str, str]:
-    mark = next(c for c in value if not c.isdigit())
-    return ("ymd" if value.index(mark) == 4 else "dmy"), mark
-
+# The names of months; a name of several languages is of the first.
+_MONTHS = [
+    "January February March April May June July August September October November December".split(),
+    "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split(),
+    "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split(),
+    "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split(),
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split(),
+]
+_MONTH_OF = {
+    name.lower(): (names, number)
+    for names in reversed(_MONTHS)
+    for number, name in enumerate(names, 1)
+}
+# The codes of countries, of one, two or three digits.
+_COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2}"
+
+
+class DateForm:
+    """A date, and the way in which it is written."""
+
+    def __init__(self, pieces: list[str], order: str, day: date):
+        # Every second piece is a field, in the order of the letters of ``order``.
+        self.pieces, self.order, self.day = pieces, order, day
+
+    @classmethod
+    def of(cls, value: str) -> DateForm | None:
+        """None if the value is no date from 1900 to 2099."""
+        pieces = re.split(r"(\d+|[^\W\d_]{3,})", value)
+        fields = pieces[1::2]
+        if len(fields) != 3:
+            return None
+        for order in ("ymd",) if len(fields[0]) == 4 else ("dmy", "mdy"):
+            numbers = dict(zip(order, fields))
+            if not numbers["m"].isdigit():
+                numbers["m"] = _MONTH_OF.get(numbers["m"].lower(), (None, "0"))[1]
+            try:
+                day = date(int(numbers["y"]), int(numbers["m"]), int(numbers["d"]))
+            except ValueError:
+                continue
+            if 0 <= (day - _FIRST_DAY).days < _DAYS:
+                return cls(pieces, order, day)
+        return None
 
-def _as_date(value: str) -> date | None:
-    order, mark = _date_parts(value)
-    numbers = dict(zip(order, map(int, value.split(mark))))
+    def _shape(self) -> list:
+        """What a pseudonym has in common with the date."""
+        fields = dict(zip(self.order, self.pieces[1::2]))
+        month = fields["m"]
+        if not month.isdigit():
+            # Days below ten may be written with one digit or two; that stays.
+            names = _MONTH_OF[month.lower()][0]
+            return [self.order, len(fields["d"]), fields["d"][0] == "0", id(names), len(month)]
+        widths = [len(fields["d"]), len(month)]
+        if widths == [2, 2]:
+            return [self.order, *widths]
+        return [self.order, *widths, fields["d"][0] == "0", month[0] == "0"]
+
+    def write(self, day: date) -> str | None:
+        """Another date in this form; None if it has no such form."""
+        pieces = list(self.pieces)
+        for i, letter in enumerate(self.order):
+            old = pieces[2 * i + 1]
+            if not old.isdigit():
+                new = _MONTH_OF[old.lower()][0][day.month - 1]
+                new = new.upper() if old.isupper() else new.lower() if old.islower() else new.title()
+            else:
+                number = {"y": day.year, "m": day.month, "d": day.day}[letter]
+                new = f"{number:0{len(old)}d}"
+            pieces[2 * i + 1] = new
+        made = DateForm.of("".join(pieces))
+        # Read back, it must be the same date in the same form.
+        return "".join(pieces) if made and made.day == day and made._shape() == self._shape() else None
+
+
+def is_ipv6(value: str) -> bool:
+    if len(re.findall("[0-9A-Fa-f]+", value)) < 3:
+        return False
     try:
-        found = date(numbers["y"], numbers["m"], numbers["d"])
-    except ValueError:
-        return None
-    return found if 0 <= (found - _FIRST_DAY).days < _DAYS else None
+        IPv6Address(value)
+    except AddressValueError:
+        return False
+    return True
 
 
+# How secrets of well-known services begin.
 _SECRET = re.compile(
-    r"(?<![A-Za-z0-9])AKIA(?P<a>[A-Z0-9]{16})(?![A-Za-z0-9])"
+    r"(?<![A-Za-z0-9])(?:"
+    r"AKIA(?P<a>[A-Z0-9]{16})(?![A-Za-z0-9])"
+    r"|gh[opsru]_(?P<c>[A-Za-z0-9]{36,})"
+    r"|github_pat_(?P<d>[A-Za-z0-9_]{22,})"
+    r"|glpat-(?P<e>[A-Za-z0-9_-]{20,})"
+    r"|xox[abprs]-(?P<f>[A-Za-z0-9-]{10,})"
+    r"|AIza(?P<g>[A-Za-z0-9_-]{35})"
+    r"|sk-(?P<h>[A-Za-z0-9_-]{20,})"
+    r")"
     r"|(?i:\b(?:password|passwd|secret|token|api[_-]?key)\b)[\"']?\s*[=:]\s*[\"']?(?P<b>[A-Za-z0-9+/_.-]{8,})"
 )
+_SECRET_MARKS = ("AKIA", "_", "-", "AIza", "password", "passwd", "secret", "token", "key")
+_MONTH_NAME = "|".join(sorted(_MONTH_OF, key=len, reverse=True))
 _FINDERS: list[tuple[str, str, re.Pattern, Callable[[str], bool]]] = [
-    ("email", "@", re.compile(r"(?<![\w.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w])"),
+    ("email", "@", re.compile(r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}(?![\w])"),
      lambda v: True),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
      lambda v: 15 <= len(v.replace(" ", "")) <= 34 and iban_number(v.replace(" ", "")) % 97 == 1),
-    ("card", "", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
+    ("card", "", re.compile(r"(?<![\w.-])(?!(?<=\+)\d{7,15}(?!\d))\d(?:[ -]?\d){12,18}(?![\w-])"),
      lambda v: luhn(re.sub(r"\D", "", v))),
     ("ip", "", re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w])(?!\.\d)"),
      lambda v: all(int(o) < 256 and (o == "0" or o[0] != "0") for o in v.split("."))),
+    ("ip", ":", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}|:(?=:))(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])(?!\.\d)"), is_ipv6),
     ("ssn", "", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), is_ssn),
     ("phone", "", re.compile(
         r"(?<![\w+(])(?:\+\d{1,3}[ .-](?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
+        r"|\+[1-9]\d{7,14}"
         r"|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?![\w-])"),
      lambda v: 7 <= len(re.sub(r"\D", "", v)) <= 15),
-    ("date", "", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![\w/-])(?!\.\d)"),
-     lambda v: _as_date(v) is not None),
+    ("phone", "", re.compile(r"(?<![\w.,/+-])\d{10}(?![\w/-])(?![.,]\d)"), lambda v: v[0] >= "2"),
+    ("date", "", re.compile(
+        r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\w/-])(?!\.\d)"),
+     lambda v: DateForm.of(v) is not None),
+    ("date", "", re.compile(
+        rf"(?i)(?<![\w./-])(?:\d{{1,2}}\.? (?:{_MONTH_NAME}),? \d{{4}}"
+        rf"|(?:{_MONTH_NAME}) \d{{1,2}},? \d{{4}})(?![\w/-])(?!\.\d)"),
+     lambda v: DateForm.of(v) is not None),
 ]
 _ANY_DIGIT = re.compile("[0-9]")
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
+
+
+def plain_digits(text: str) -> str:
+    """The text with the digits of all scripts as 0 to 9; every character stays one."""
+    return text if text.isascii() else _OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m[0])), text)
+
+
+def in_script(made: str, old: str) -> str:
+    """The pseudonym with its digits in the script of the digits they replace."""
+    if old.isascii():
+        return made
+    return "".join(
+        chr(ord(o) - unicodedata.decimal(o) + int(m)) if o not in DIGITS and o.isdecimal() and m in DIGITS else m
+        for m, o in zip(made, old)
+    )
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, stop, kind) of valid values, none within another."""
+    """(start, stop, kind) of valid values, none within another; other digits must be made plain before."""
     digits = _ANY_DIGIT.search(text) is not None
     found: list[tuple[int, int, str]] = []
+    claimed = bytearray(len(text))
+
+    def claim(start: int, stop: int, kind: str) -> None:
+        if claimed.find(1, start, stop) < 0:
+            claimed[start:stop] = b"\1" * (stop - start)
+            found.append((start, stop, kind))
+
     low = text.lower()
-    if "akia" in low or "password" in low or "passwd" in low or "secret" in low or "token" in low or "key" in low:
+    if any(mark in text or mark in low for mark in _SECRET_MARKS):
         for m in _SECRET.finditer(text):
-            found.append((*m.span("a" if m["a"] else "b"), "secret"))
+            claim(*m.span(m.lastgroup), "secret")
     for kind, mark, pattern, valid in _FINDERS:
         if mark not in text if mark else not digits:
             continue
         for m in pattern.finditer(text):
-            if valid(m[0]) and all(m.end() <= a or b <= m.start() for a, b, _ in found):
-                found.append((*m.span(), kind))
+            if valid(m[0]):
+                claim(*m.span(), kind)
     return sorted(found)
 
 
 def replace(text: str, names: Pseudonyms) -> tuple[str, list[dict]]:
     pieces, at, listed = [], 0, []
-    for start, stop, kind in find(text):
-        pieces += [text[at:start], names.of(kind, text[start:stop])]
+    plain = plain_digits(text)
+    for start, stop, kind in find(plain):
+        pieces += [text[at:start], in_script(names.of(kind, plain[start:stop]), text[start:stop])]
         listed.append({"kind": kind, "start": start, "length": stop - start})
         at = stop
     return "".join([*pieces, text[at:]]), listed

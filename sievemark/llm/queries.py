@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -59,8 +60,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key is a setting of the session; the one given here is for these tables only."""
-    key = spark.conf.get("spark.sievemark.pseudonym.key", "public test tables").encode()
+    """The key is a setting of the session; the one given here is public, for test tables only."""
+    key = spark.conf.get("spark.sievemark.pseudonym.key", "")
+    if not key:
+        warnings.warn("spark.sievemark.pseudonym.key is not set: anyone can reveal these pseudonyms", stacklevel=2)
+        key = "public test tables"
+    key = key.encode()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymize(docs, key).withColumn("n_found", F.size("pii"))
 
