@@ -79,12 +79,8 @@ LISTED = [
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page is labelled by the document of its number: bad if of low quality or toxic."""
-    labels = _table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("page_id"),
-        (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad"),
-    )
-    return url_rules.judge(_table(spark, sf_dir, "pages"), labels, LISTED)
+    """The pages that listed rules decide are the labels: those of the tables are of documents, not of URLs."""
+    return url_rules.judge(_table(spark, sf_dir, "pages"), None, LISTED)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
