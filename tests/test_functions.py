@@ -1,5 +1,6 @@
 import datetime
 import hashlib
+import random
 import re
 
 import pytest
@@ -130,6 +131,51 @@ def test_dates(spark):
         date_pattern("%Q")
 
 
+FORMATS = [
+    "%Y-%m-%d", "%d/%m/%Y", "%m/%d/%y", "%Y%m%d", "%d%b%Y", "%d %B %Y", "%B %d, %Y", "%b %d %Y %I:%M %p", "%Y-%j",
+    "%y%j", "%A, %d. %B %Y", "%a %d %b %Y %H:%M:%S %z", "%Y-%m-%dT%H:%M:%S.%f%z", "%Y-%m-%d %H:%M:%S %Z", "%c", "%x",
+    "%Y week %U day %w", "%Y-W%W-%u", "%a %U %Y", "%G-W%V-%u", "%d.%m.", "%B %Y", "%Y", "%H:%M", "%Y-%m-%d %%", "%m-%d-%Y %X",
+    "%Y-%m-%d %j", "%w %Y", "%U %Y", "%A",
+]
+
+
+@pytest.mark.parametrize("directives", FORMATS)
+def test_dates_equal_strptime(spark, directives):
+    rng = random.Random(directives)
+    values = []
+    for _ in range(250):
+        moment = datetime.datetime(
+            rng.choice([1000, 1899, 1968, 1969, 2000, 2023, 2024, 9998, rng.randint(1000, 9998)]), 1, 1, tzinfo=datetime.timezone.utc
+        ) + datetime.timedelta(seconds=rng.randint(0, 366 * 86_400))
+        value = moment.strftime(directives)
+        change = rng.random()
+        if change < 0.5 and value:
+            at = rng.randrange(len(value))
+            value = value[:at] + rng.choice(["", "0", "9", " ", "x", value[at].swapcase()]) + value[at + (change < 0.35) :]
+        elif change < 0.6:
+            value = re.sub(r"\b0", "", value)
+        elif change < 0.65:
+            value = re.sub(r"\b0", " ", value)
+        values.append(value)
+    expected = []
+    for value in values:
+        try:
+            # strptime reads six digits of a second, we read nine.
+            known = re.sub(r"(\.[0-9]{6})[0-9]{1,3}(?![0-9])", r"\1", value)
+            expected.append(datetime.datetime.strptime(known, directives).date())
+        except (ValueError, OverflowError):
+            expected.append(None)
+    found = column(spark, values, to_date("v", [directives]))
+    assert [x for x in zip(values, found, expected) if x[1] != x[2]] == []
+    assert any(expected)
+
+
+def test_date_formats_that_say_too_little_or_too_much():
+    for directives in ("%Q", "%Y %", "%Y-%Y", "%Y %y", "%G-%m", "%V", "%G %V", "%U %W"):
+        with pytest.raises(ValueError):
+            to_date("v", [directives])
+
+
 def test_row_digest_separates_fields_and_nulls(spark):
     schema = "a string, b string, d double"
     rows = [
