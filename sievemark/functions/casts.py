@@ -73,11 +73,17 @@ def parse_double(stripped: str) -> str:
 
 
 def to_bigint(value: str) -> str:
-    return parse_bigint(strip(value))
+    return _unless_spaced(value, _INTEGER, "bigint", parse_bigint(strip(value)))
 
 
 def to_double(value: str) -> str:
-    return parse_double(strip(value))
+    return _unless_spaced(value, _NUMBER, "double", parse_double(strip(value)))
+
+
+def _unless_spaced(value: str, pattern: str, kind: str, parsed: str) -> str:
+    """One match for a number among plain spaces; only the rest is stripped and matched again."""
+    among = pattern.replace(r"\\A", r"\\A *").replace(r"\\z", r" *\\z")
+    return f"(CASE WHEN {value} RLIKE {among} THEN try_cast(trim({value}) AS {kind}) ELSE {parsed} END)"
 
 
 def is_finite(value: str) -> str:
