@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.validate import BATCH, ROW
-from ..plans.durable import scratch_path
+from ..plans.durable import dropped, scratch_path, stored
 from ..plans.run import Settings, run_all, run_totals
 from ..sources import storage
 from ..sources.batches import BatchFile, discover_batches, inspect_batches
@@ -21,33 +21,44 @@ _HEADER = ",".join(COLUMNS)
 def _cell(name: str) -> Column:
     value = F.col(name)
     quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.when(value.rlike('[",\\r\\n]'), quoted).otherwise(value)
+    special = F.contains(value, F.lit('"'))
+    for char in ",\r\n":
+        special = special | F.contains(value, F.lit(char))
+    return F.when(special, quoted).otherwise(value)
+
+
+def _lines(rows: DataFrame, line: Column | None = None) -> DataFrame:
+    """The text of every record, null for none, made once for all the files that are written of it."""
+    text = F.concat_ws(",", *[_cell(name) for name in COLUMNS]) if line is None else line
+    return stored(rows.select(BATCH, ROW, text.alias("line")), "file_lines")
+
+
+# A file has one writer. So many partitions that two years seldom share one; most have none.
+_WRITERS = 200
 
 
 def _write(
-    rows: DataFrame,
+    lines: DataFrame,
     header: Column | None = None,
-    line: Column | None = None,
     encode: Callable[[Column], Column] = lambda text: text,
     line_feed: str = "\n",
 ) -> str:
     """A folder with one file per batch year, records in the order of their numbers.
 
-    ``encode`` gives the bytes of a line, and ``line_feed`` those of its end, as characters up to 127.
+    ``encode`` gives the bytes of a line, and ``line_feed`` those of its end, as characters up to 127. All
+    but the order and the writing is done before rows go to the one task that writes their file.
     """
-    spark = rows.sparkSession
-    text = F.concat_ws(",", *[_cell(name) for name in COLUMNS]) if line is None else line
-    lines = rows.select(BATCH, ROW, text.alias("line"))
-    lines = lines.where("line is not null")
-    headers = rows.select(BATCH).distinct().select(
+    spark = lines.sparkSession
+    headers = lines.select(BATCH).distinct().select(
         BATCH, F.lit(-1).cast("bigint").alias(ROW), (F.lit(_HEADER) if header is None else header).alias("line"),
     )
     parts = scratch_path(spark, "parts")
     (
-        headers.unionByName(lines)
-        .repartition(BATCH)
+        headers.unionByName(lines.where("line is not null"))
+        .select(BATCH, ROW, encode(F.col("line")).cast("string").alias("line"))
+        .repartition(_WRITERS, BATCH)
         .sortWithinPartitions(BATCH, ROW)
-        .select(BATCH, encode(F.col("line")).cast("string").alias("line"))
+        .select(BATCH, "line")
         .write.option("lineSep", line_feed)
         .partitionBy(BATCH)
         .text(parts)
@@ -87,7 +98,7 @@ _SPANNING_SQL = f"""WITH {RAW_ORDERS_SQL}, spanning AS (
 
 def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of all files, with their numbers."""
-    folder = _write(_spanning(raw_orders(spark, sf_dir)))
+    folder = _write(_lines(_spanning(raw_orders(spark, sf_dir))))
     read = read_batches(spark, _discover(spark, folder), COLUMNS)
     if read.problems:
         raise ValueError(f"files could not be read: {read.problems}")
@@ -102,7 +113,7 @@ FROM spanning"""
 
 def batch_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name, size and SHA-256 of every file."""
-    batches = _discover(spark, _write(_spanning(raw_orders(spark, sf_dir))))
+    batches = _discover(spark, _write(_lines(_spanning(raw_orders(spark, sf_dir)))))
     found = inspect_batches(spark, batches, algorithm="sha256")
     return found.withColumn("path", F.regexp_extract("path", "[^/]*$", 0))
 
@@ -123,7 +134,7 @@ FROM content"""
 
 def batch_line_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hash tree over the lines of every file."""
-    found = inspect_batches(spark, _discover(spark, _write(_spanning(raw_orders(spark, sf_dir)))))
+    found = inspect_batches(spark, _discover(spark, _write(_lines(_spanning(raw_orders(spark, sf_dir))))))
     return found.select("batch_year", "checksum_algorithm", "checksum")
 
 
@@ -160,7 +171,7 @@ def csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(given)
     )
     header = F.when(year == 1999, F.replace(F.lit(_HEADER), F.lit("zip"), F.lit("ZIP"))).otherwise(_HEADER)
-    batches = _discover(spark, _write(rows, header, line))
+    batches = _discover(spark, _write(_lines(rows, line), header))
     found = []
     for encoding in ("utf8", "us-ascii"):
         problems = read_batches(spark, batches, COLUMNS, encoding=encoding).problems
@@ -197,14 +208,16 @@ def _marked(header: str, encoding: str) -> Column:
 def csv_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of files in other encodings, whose names span lines and have letters beyond ASCII."""
     rows = _spanning(raw_orders(spark, sf_dir)).withColumn("name", F.concat("name", F.lit(" é€")))
+    lines = _lines(rows)
     found = None
     for encoding, how in _ENCODED.items():
-        folder = _write(rows, _marked(_HEADER, encoding), **how)
+        folder = _write(lines, _marked(_HEADER, encoding), **how)
         read = read_batches(spark, _discover(spark, folder), COLUMNS, encoding=encoding)
         if read.problems:
             raise ValueError(f"files could not be read: {read.problems}")
         part = read.rows.withColumn("encoding", F.lit(encoding))
         found = part if found is None else found.unionByName(part)
+    dropped(lines)
     return found
 
 
@@ -234,6 +247,7 @@ def csv_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((year == 1998) & tenth, F.concat(given, F.lit(_ODD)))
         .otherwise(given)
     )
+    lines = _lines(rows, line)
     found = []
     for encoding, (how, odd) in _FAULTY.items():
 
@@ -241,7 +255,7 @@ def csv_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
             good = known(F.replace(text, F.lit(_ODD), F.lit("")))
             return F.when(F.endswith(text, F.lit(_ODD)), F.concat(good, F.lit(odd))).otherwise(good)
 
-        folder = _write(rows, _marked(_HEADER, encoding), line, encode, how.get("line_feed", "\n"))
+        folder = _write(lines, _marked(_HEADER, encoding), encode, how.get("line_feed", "\n"))
         storage.empty_file(spark, f"{folder}/food_inspections_2002.csv")
         problems = read_batches(spark, _discover(spark, folder), COLUMNS, encoding=encoding).problems
         found += [(encoding, y, text) for y, texts in problems.items() for text in texts]
@@ -263,8 +277,8 @@ WHERE batch_year = 1997 AND source_row_number = 10 GROUP BY encoding, batch_year
 
 def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports of two runs; between them the file of 1998 loses its last records."""
-    rows = raw_orders(spark, sf_dir)
-    first = _write(rows)
+    lines = _lines(raw_orders(spark, sf_dir))
+    first = _write(lines)
     root = scratch_path(spark, "outputs")
     settings = Settings(
         curated=f"{root}/curated", quarantine=f"{root}/quarantine", state=f"{root}/state",
@@ -280,7 +294,7 @@ def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         return [(number, *row) for row in found.select(*wanted).collect()]  # one row per batch
 
     rows_of_both = report(first, 1)
-    changed = _write(rows.where((F.col(BATCH) != 1998) | (F.col(ROW) % 10 != 0)))
+    changed = _write(lines.where((F.col(BATCH) != 1998) | (F.col(ROW) % 10 != 0)))
     rows_of_both += report(changed, 2)
     return spark.createDataFrame(
         rows_of_both,
@@ -302,7 +316,7 @@ def run_issue_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         curated=f"{root}/curated", quarantine=f"{root}/quarantine", state=f"{root}/state",
         metrics=f"{root}/metrics", dataset="raw_orders", **_YEARS,
     )
-    run_all(spark, _write(raw_orders(spark, sf_dir)), CONTRACT, settings, roles=ROLES)
+    run_all(spark, _write(_lines(raw_orders(spark, sf_dir))), CONTRACT, settings, roles=ROLES)
     shape = f"rule_id string, column string, severity string, issue_count bigint, {BATCH} smallint"
     return spark.read.schema(shape).parquet(settings.metrics).select(
         BATCH, "rule_id", "column", "severity", "issue_count"

@@ -111,6 +111,34 @@ def locate_batch(
     return _batch_file(entry, start_year, end_year, name_pattern)
 
 
+def _line_kinds(delimiter: str) -> list[Column]:
+    """Of a line ``value``: is it UTF-8, is it ASCII, is it whole records."""
+    value = F.col("value")
+    body = F.regexp_replace(value, r"\r\z", "")
+    valid = F.is_valid_utf8(value)
+    plain = ~F.contains(value, F.lit('"')) & ~F.contains(value, F.lit("\r"))
+    return [
+        valid.alias("valid"),
+        (valid & (F.octet_length(value) == F.char_length(value))).alias("ascii"),
+        F.when(plain, True)
+        .otherwise(~F.contains(body, F.lit("\r")) & _quotes_are_whole_fields(body, delimiter))
+        .alias("simple"),
+    ]
+
+
+_FILE_KINDS = {"valid_utf8": "valid", "ascii": "ascii", "one_line_records": "simple"}
+
+
+def file_kinds(
+    spark: SparkSession, paths: Sequence[str], *, delimiter: str = ","
+) -> DataFrame:
+    """The ``line_facts`` of files but their digests, so no line is kept or hashed."""
+    read = spark.read.option("lineSep", "\n").text(list(paths))
+    lines = read.select(F.col("_metadata.file_name").alias("file_name"), *_line_kinds(delimiter))
+    kinds = [F.bool_and(of).alias(name) for name, of in _FILE_KINDS.items()]
+    return lines.groupBy("file_name").agg(*kinds)
+
+
 def line_facts(
     spark: SparkSession, paths: Sequence[str], *, delimiter: str = ","
 ) -> DataFrame:
@@ -123,17 +151,12 @@ def line_facts(
     returns only end lines; then no record spans lines.
     """
     read = spark.read.option("lineSep", "\n").text(list(paths))
-    body = F.regexp_replace("value", r"\r\z", "")
     lines = read.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
         F.unhex(F.sha2(F.concat(F.lit("0:"), F.col("value")), 256)).alias("hash"),
-        F.is_valid_utf8("value").alias("valid"),
-        (~F.col("value").rlike(r"[^\x00-\x7F]")).alias("ascii"),
-        F.when(~F.col("value").rlike('["\r]'), True)
-        .otherwise(~F.contains(body, F.lit("\r")) & _quotes_are_whole_fields(body, delimiter))
-        .alias("simple"),
+        *_line_kinds(delimiter),
     )
     # 32 bytes a line: the tree needs the number of a line, which only a whole scan tells.
     lines = stored(lines, "line_hashes")
@@ -153,9 +176,7 @@ def line_facts(
     )
     files = blocks.groupBy("file_name").agg(
         F.sum("lines").alias("lines"),
-        F.bool_and("valid").alias("valid_utf8"),
-        F.bool_and("ascii").alias("ascii"),
-        F.bool_and("simple").alias("one_line_records"),
+        *[F.bool_and(of).alias(name) for name, of in _FILE_KINDS.items()],
     )
     roots = hash_tree(
         leaves.join(files.select("file_name", "lines"), "file_name"), files.agg(F.max("lines").alias("n")).first().n or 0

@@ -27,7 +27,7 @@ from .batches import (
     NAME_PATTERN,
     BatchFile,
     batch_year,
-    line_facts,
+    file_kinds,
 )
 from .decoding import decoded_lines
 from .encodings import find_encoding
@@ -229,7 +229,7 @@ def read_batches(
         known = {row.file_name: row for row in facts.drop("digest").collect()} if facts else {}
         unknown = [batch.path for batch in full if batch.name not in known]
         if unknown:
-            scan = line_facts(spark, unknown, delimiter=delimiter).drop("digest")
+            scan = file_kinds(spark, unknown, delimiter=delimiter)
             known |= {row.file_name: row for row in scan.collect()}
         for batch in full:
             fact = known[batch.name]
@@ -267,16 +267,16 @@ def read_batches(
         first=_HEADER_ROW,
     )
     is_header = F.col(ROW) == _HEADER_ROW
-    # One row per batch: counts and the header.
+    # One row per batch: counts and the header. A list keeps it a hash aggregation; there is one header.
     checks = records.groupBy(BATCH).agg(
         F.count_if(~is_header).alias("data_rows"),
         F.count_if(~is_header & F.col("__long")).alias("long_rows"),
-        F.first(F.when(is_header, _names(len(columns))), ignorenulls=True).alias("header"),
+        F.collect_list(F.when(is_header, _names(len(columns)))).alias("headers"),
     )
     counts: dict[int, int] = {}
     for row in checks.collect():
         found, counts[row[BATCH]] = problems[row[BATCH]], row.data_rows
-        found.extend(header_problems(list(row.header or []), columns))
+        found.extend(header_problems(list(row.headers[0]) if row.headers else [], columns))
         if row.long_rows:
             found.append(f"file is malformed: {row.long_rows} records have too many fields")
         if row.data_rows == 0:

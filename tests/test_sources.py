@@ -7,7 +7,7 @@ import pytest
 
 from sievemark import discover_batches, inspect_batches, number_rows, read_batches
 from sievemark.plans import lookup
-from sievemark.sources import batches as batches_module, long_records as long_records_module
+from sievemark.sources import batches as batches_module, csv_batches, long_records as long_records_module
 from sievemark.sources.batches import LINE_DIGEST, content_fingerprint, line_facts, locate_batch
 
 HEAD = "a,b,c\n"
@@ -433,3 +433,21 @@ def test_content_fingerprint_ignores_row_order(spark):
     again = content_fingerprint(frame.orderBy("t").repartition(3), ["id", "t"], batch="y").collect()
     other = content_fingerprint(frame.where("id <> 5"), ["id", "t"], batch="y").collect()
     assert once == again != other
+
+
+def _stored_names(monkeypatch, *modules):
+    """The names of the tables that modules store from now on."""
+    names = []
+    for module in modules:
+        kept = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, name, kept=kept: (names.append(name), kept(df, name))[1])
+    return names
+
+
+def test_reading_hashes_no_lines(spark, tmp_path, monkeypatch):
+    (tmp_path / "food_inspections_2020.csv").write_bytes(b'a,b\n1,"x"\n2,y\r\n')
+    batch = locate_batch(spark, str(tmp_path / "food_inspections_2020.csv"), start_year=2020, end_year=2020)
+    names = _stored_names(monkeypatch, batches_module, csv_batches)
+    read = csv_batches.read_batches(spark, [batch], ["a", "b"])
+    assert [tuple(row)[:2] for row in read.rows.orderBy("source_row_number").collect()] == [("1", "x"), ("2", "y")]
+    assert names == ["records"]
