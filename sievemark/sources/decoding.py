@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -66,12 +67,64 @@ class _Made:
     def full(self) -> bool:
         return len(self.columns[0]) >= 1000
 
+    def any(self) -> bool:
+        return bool(self.columns[0])
+
     def take(self) -> pa.RecordBatch:
         arrays = [pa.array(column, field.type) for column, field in zip(self.columns, _ROWS)]
         self.columns = [[] for _ in _ROWS]
         return pa.RecordBatch.from_arrays(arrays, schema=_ROWS)
 
 
+def _by_split(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], list[bytes]]]:
+    """The pieces of a batch, those of a split together."""
+    names, blocks = batch.column("file_name"), batch.column("block")
+    contents, last = batch.column("content").to_pylist(), batch.num_rows - 1
+    if last >= 0 and (names[0], blocks[0]) == (names[last], blocks[last]):  # a task reads splits one after another
+        yield (names[0].as_py(), blocks[0].as_py()), contents
+        return
+    rows = zip(zip(names.to_pylist(), blocks.to_pylist()), contents)
+    for split, group in groupby(rows, lambda row: row[0]):
+        yield split, [content for _, content in group]
+
+
+def _whole_lines(contents: list[bytes], charset: Encoding) -> list[str] | None:
+    """The pieces as lines, decoded as one; ``None`` if a cut is false or something does not decode."""
+    if charset.unit > 1 and any(len(content) % charset.unit for content in contents):
+        return None
+    try:
+        lines = charset.line_feed.join(contents).decode(charset.python).split("\n")
+    except UnicodeDecodeError:
+        return None
+    return lines if len(lines) == len(contents) else None
+
+
+def _many(split: tuple[str, int], lines: list[str]) -> pa.RecordBatch:
+    """Rows of lines of a split, cut after each carriage return as these end lines too."""
+    parts, fed = [0] * len(lines), [True] * len(lines)
+    if any("\r" in line for line in lines):
+        whole, lines, parts, fed = lines, [], [], []
+        for line in whole:
+            pieces = line.split("\r") if "\r" in line else (line,)
+            last = len(pieces) - 1
+            lines += [piece + "\r" for piece in pieces[:last]]
+            lines.append(pieces[last])
+            parts += range(last + 1)
+            fed += [False] * last
+            fed.append(True)
+    count = len(lines)
+    values = {
+        "file_name": pa.repeat(pa.scalar(split[0], pa.string()), count),
+        "block": pa.repeat(pa.scalar(split[1], pa.int64()), count),
+        "part": pa.array(parts, pa.int32()),
+        "line": pa.array(lines, pa.string()),
+        "fed": pa.array(fed, pa.bool_()),
+        "broken": pa.repeat(pa.scalar(False), count),
+    }
+    arrays = [values[field.name] if field.name in values else pa.nulls(count, field.type) for field in _ROWS]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ROWS)
+
+
 def _decode(charset: Encoding, starts: dict[tuple[str, int], int]):
     """``starts`` tells, for splits that begin inside a code unit, how many bytes of it are before."""
     python, unit, feed = charset.python, charset.unit, charset.line_feed
@@ -85,24 +138,33 @@ def _decode(charset: Encoding, starts: dict[tuple[str, int], int]):
                 made.add(*split, None, None, None, False, feed.join(held), begins)
 
         for batch in batches:
-            columns = (batch.column("file_name").to_pylist(), batch.column("block").to_pylist(), batch.column("content"))
-            for file_name, block, content in zip(*columns):
-                if (file_name, block) != split:
+            for now, contents in _by_split(batch):
+                if now != split:
                     leave()
-                    split, held = (file_name, block), []
+                    split, held = now, []
                     over = starts.get(split, 0)
-                    begins, at_start = over == 0, block == 0
-                held.append(content.as_py())
-                over = (over + len(held[-1]) + len(feed)) % unit
-                if over:
+                    begins, at_start = over == 0, split[1] == 0
+                lines = None if held or over else _whole_lines(contents, charset)
+                if lines is not None:
+                    if made.any():
+                        yield made.take()
+                    if at_start:
+                        lines[0] = lines[0].removeprefix("\ufeff")
+                    yield _many(split, lines)
+                    at_start = False
                     continue
-                if begins:
-                    made.line(*split, feed.join(held), python, at_start)
-                else:
-                    made.add(*split, None, None, None, False, feed.join(held), False)
-                held, begins, at_start = [], True, False
-                if made.full():
-                    yield made.take()
+                for content in contents:
+                    held.append(content)
+                    over = (over + len(content) + len(feed)) % unit
+                    if over:
+                        continue
+                    if begins:
+                        made.line(*split, feed.join(held), python, at_start)
+                    else:
+                        made.add(*split, None, None, None, False, feed.join(held), False)
+                    held, begins, at_start = [], True, False
+                    if made.full():
+                        yield made.take()
         leave()
         yield made.take()
 
@@ -150,15 +212,15 @@ def _lines_of(spark: SparkSession, paths: Sequence[str], charset: Encoding) -> D
         # Few: at most two for every split.
         order = Window.partitionBy("file_name").orderBy("block", "id")
         fragments = rows.where("fragment is not null").withColumn("run", F.sum(F.col("begins").cast("int")).over(order))
-        earliest = rows.groupBy("file_name").agg(F.min(F.struct("block", "id")).alias("least"))
+        earliest = rows.where("block = 0").groupBy("file_name").agg(F.min("id").alias("least"))
         runs = fragments.groupBy("file_name", "run").agg(
             F.array_sort(F.collect_list(F.struct("block", "id", "fragment"))).alias("fragments")
         )
-        runs = runs.join(earliest, "file_name").select(
+        runs = runs.join(earliest, "file_name", "left").select(
             "file_name", F.col("fragments")[0]["block"].alias("block"), F.col("fragments")[0]["id"].alias("id"),
-            "fragments", (F.col("fragments")[0]["id"] == F.col("least.id")).alias("first"),
+            "fragments", F.coalesce(F.col("fragments")[0]["id"] == F.col("least"), F.lit(False)).alias("first"),
         )
-        made = runs.mapInArrow(_joined(charset), _ROW_TYPES)
+        made = stored(runs.mapInArrow(_joined(charset), _ROW_TYPES), "joined")
         number = F.conv(F.hex("fragment"), 16, 10).cast("bigint")
         whole = whole.unionByName(made.withColumn("id", number).select(*wanted))
     return whole.select(
@@ -178,6 +240,5 @@ def decoded_lines(
     for one, paths in by_order.items():
         part = _lines_of(spark, paths, one)
         lines = part if lines is None else lines.unionByName(part)
-    lines = stored(lines, "decoded_lines")
     broken = {row.file_name for row in lines.where("broken").select("file_name").distinct().collect()}
     return lines.where(~F.col("file_name").isin(list(broken))).drop("broken"), broken

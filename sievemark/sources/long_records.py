@@ -101,8 +101,10 @@ def text_lines(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8
 
 def long_records(read: DataFrame, *, delimiter: str = ",") -> LongRecords:
     """Assemble records from lines, see ``text_lines``. Windows run over one input split each."""
-    outside = F.expr(_ends_open("line", delimiter))
-    inside = F.expr(_ends_open("concat('\"', line)", delimiter))
+    # A line without quotes neither opens nor closes a field.
+    quoted = F.contains("line", F.lit('"'))
+    outside = quoted & F.expr(_ends_open("line", delimiter))
+    inside = ~quoted | F.expr(_ends_open("concat('\"', line)", delimiter))
     steps = read.withColumns({"__outside": outside, "__inside": inside}).select(
         *_SPLIT,
         "position",
@@ -136,7 +138,8 @@ def long_records(read: DataFrame, *, delimiter: str = ",") -> LongRecords:
     ends = entry.groupBy("file_name").agg(F.max_by("leave", "block").alias("open"))
     unclosed = frozenset(row.file_name for row in ends.where("open").collect())
 
-    placed = states.join(entry.drop("leave"), _SPLIT).withColumn(
+    # Told to be broadcast, as Spark does not know how small checkpoints are.
+    placed = states.join(F.broadcast(entry.drop("leave")), _SPLIT).withColumn(
         "open_after", F.coalesce("fixed", "enter") != F.col("odd")
     )
     window = Window.partitionBy(*_SPLIT).orderBy("position")
@@ -159,11 +162,12 @@ def long_records(read: DataFrame, *, delimiter: str = ",") -> LongRecords:
     offsets, _ = durable(
         begun.select(*_SPLIT, F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("offset"))
     )
-    numbered = marked.join(offsets, _SPLIT).withColumn(
+    numbered = marked.join(F.broadcast(offsets), _SPLIT).withColumn(
         "number", F.col("in_split") + F.col("offset")
     )
     alone = ~F.col("open_before") & ~F.col("open_after")
-    bare = F.regexp_replace("line", r"\r\z", "")
+    ended = F.endswith("line", F.lit("\r"))
+    bare = F.when(ended, F.regexp_replace("line", r"\r\z", "")).otherwise(F.col("line"))
     whole = numbered.where(alone).select("file_name", "number", bare.alias("text"))
     # The lines of one record only; their length is measured before they are gathered.
     spread = numbered.where(~alone).withColumn(

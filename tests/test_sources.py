@@ -7,8 +7,9 @@ import pytest
 
 from sievemark import discover_batches, inspect_batches, number_rows, read_batches
 from sievemark.plans import lookup
-from sievemark.sources import batches as batches_module, csv_batches, long_records as long_records_module
+from sievemark.sources import batches as batches_module, csv_batches, decoding, long_records as long_records_module
 from sievemark.sources.batches import LINE_DIGEST, content_fingerprint, line_facts, locate_batch
+from sievemark.sources.encodings import find_encoding
 
 HEAD = "a,b,c\n"
 YEARS = {"start_year": 2000, "end_year": 2030}
@@ -451,3 +452,25 @@ def test_reading_hashes_no_lines(spark, tmp_path, monkeypatch):
     read = csv_batches.read_batches(spark, [batch], ["a", "b"])
     assert [tuple(row)[:2] for row in read.rows.orderBy("source_row_number").collect()] == [("1", "x"), ("2", "y")]
     assert names == ["records"]
+
+
+@pytest.mark.parametrize("encoding", ["utf-16", "cp1252"])
+def test_decoded_lines_are_kept_once(spark, tmp_path, monkeypatch, encoding):
+    path = tmp_path / "food_inspections_2020.csv"
+    path.write_bytes('a\n"é\r\nü"\r\n\n\u0178\n'.encode(encoding))
+    batch = locate_batch(spark, str(path), start_year=2020, end_year=2020)
+    names = _stored_names(monkeypatch, decoding)
+    read = csv_batches.read_batches(spark, [batch], ["a"], encoding=encoding)
+    assert [row.a for row in read.rows.orderBy("source_row_number").collect()] == ["é\r\nü", "\u0178"]
+    assert "decoded_lines" not in names
+
+
+def test_lines_decoded_together_are_those_decoded_alone():
+    charset = find_encoding("utf-16-le")
+    pieces = [text.encode("utf-16-le") for text in ("a", "", "b\rc\r", "é")]
+    made = decoding._Made()
+    for piece in pieces:
+        made.line("f", 0, piece, charset.python, False)
+    assert decoding._many(("f", 0), decoding._whole_lines(pieces, charset)).equals(made.take())
+    assert decoding._whole_lines([b"a", b"b"], charset) is None  # cuts inside of code units
+    assert decoding._whole_lines([b"\x00\xd8"], charset) is None
