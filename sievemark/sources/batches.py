@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -154,15 +155,13 @@ def line_facts(
     lines = read.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
         F.unhex(F.sha2(F.concat(F.lit("0:"), F.col("value")), 256)).alias("hash"),
         *_line_kinds(delimiter),
     )
     # 32 bytes a line: the tree needs the number of a line, which only a whole scan tells.
-    lines = stored(lines, "line_hashes")
-    blocks = lines.groupBy("file_name", "block").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.min("id").alias("first"),
+    runs = stored(_line_runs(lines), "line_hashes")
+    blocks = runs.groupBy("file_name", "block").agg(
+        F.sum("lines").alias("lines"),
         F.bool_and("valid").alias("valid"),
         F.bool_and("ascii").alias("ascii"),
         F.bool_and("simple").alias("simple"),
@@ -170,17 +169,18 @@ def line_facts(
     # One row per input split: at most (bytes read / split size) rows in all.
     before = "sum(lines) OVER (PARTITION BY file_name ORDER BY block) - lines"
     blocks = stored(blocks.withColumn("before", F.expr(before)), "line_blocks")
-    numbered = lines.join(blocks.select("file_name", "block", "first", "before"), ["file_name", "block"])
-    leaves = numbered.select(
-        "file_name", (F.col("id") - F.col("first") + F.col("before")).alias("number"), "hash"
-    )
     files = blocks.groupBy("file_name").agg(
         F.sum("lines").alias("lines"),
         *[F.bool_and(of).alias(name) for name, of in _FILE_KINDS.items()],
     )
-    roots = hash_tree(
-        leaves.join(files.select("file_name", "lines"), "file_name"), files.agg(F.max("lines").alias("n")).first().n or 0
+    starts = blocks.select("file_name", "block", "before").join(
+        files.select("file_name", F.col("lines").alias("total")), "file_name"
+    )
+    numbered = runs.join(F.broadcast(starts), ["file_name", "block"]).select(
+        "file_name", (F.col("before") + F.col("at")).alias("first"), "lines", "total", "hashes"
     )
+    most = files.agg(F.max("lines").alias("n")).first().n or 0
+    roots = hash_tree(lowest_nodes(numbered), -(-most // FAN))
     return files.join(roots, "file_name").select(
         "file_name",
         F.concat_ws("-", F.col("lines").cast("string"), F.lower(F.hex("hash"))).alias("digest"),
@@ -190,18 +190,77 @@ def line_facts(
     )
 
 
-def hash_tree(leaves: DataFrame, most: int) -> DataFrame:
-    """(file_name, hash): the root of the tree over each file's (number, hash) of ``lines``, numbers from 0.
+def _line_runs(lines: DataFrame) -> DataFrame:
+    """Up to ``FAN`` consecutive lines of a split a row: ``at`` is the number in its split of the first.
+
+    ``hashes`` holds those of the lines one after the other, so that later steps move few rows.
+    """
+    most = FAN
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, seen = None, 0
+        for part in parts:
+            if not part.num_rows:
+                continue
+            names, hashes = part.column("file_name"), part.column("hash")
+            blocks, codes = part.column("block").to_numpy(), names.dictionary_encode().indices.to_numpy()
+            kinds = [part.column(of).to_numpy(zero_copy_only=False) for of in _FILE_KINDS.values()]
+            changed = np.flatnonzero((codes[1:] != codes[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+            bounds, rows = [0, *changed.tolist(), part.num_rows], []
+            for start, stop in zip(bounds, bounds[1:]):
+                if split != (names[start].as_py(), int(blocks[start])):
+                    split, seen = (names[start].as_py(), int(blocks[start])), 0
+                for at in range(start, stop, most):
+                    end = min(at + most, stop)
+                    joined = b"".join(hashes.slice(at, end - at).to_pylist())
+                    rows.append((*split, seen, end - at, *[bool(kind[at:end].all()) for kind in kinds], joined))
+                    seen += end - at
+            kinds_of = [pa.bool_()] * len(kinds)
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *kinds_of, pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(zip(*rows), types)],
+                ["file_name", "block", "at", "lines", *_FILE_KINDS.values(), "hashes"],
+            )
+
+    kinds = ", ".join(f"{of} boolean" for of in _FILE_KINDS.values())
+    return lines.select("file_name", "block", "hash", *_FILE_KINDS.values()).mapInArrow(
+        run, f"file_name string, block bigint, at bigint, lines bigint, {kinds}, hashes binary"
+    )
+
+
+def lowest_nodes(runs: DataFrame) -> DataFrame:
+    """(file_name, number, hash, lines) of the nodes above each file's ``total`` lines, of which ``lines`` are the nodes.
+
+    ``runs`` has the ``hashes`` of ``lines`` lines from number ``first`` on, ``FAN`` at most. A run lies in one node or two.
+    """
+    parts = runs.withColumn("number", F.expr(f"explode(sequence(first DIV {FAN}, (first + lines - 1) DIV {FAN}))"))
+    skipped, until = f"greatest(number * {FAN} - first, 0L)", f"least((number + 1) * {FAN} - first, lines)"
+    part = f"substring(hashes, cast({skipped} AS int) * 32 + 1, cast({until} - {skipped} AS int) * 32)"
+    cut = parts.select(
+        "file_name", "number", "total", F.expr(f"named_struct('first', first + {skipped}, 'part', {part})").alias("part")
+    )
+    texts = F.transform(F.array_sort(F.collect_list("part")), lambda part: F.lower(F.hex(part["part"])))
+    return cut.groupBy("file_name", "number").agg(
+        _node(texts).alias("hash"), F.ceil(F.first("total") / FAN).alias("lines")
+    )
+
+
+def _node(texts: Column) -> Column:
+    """A node's hash from those of its children, written in hexadecimal."""
+    return F.unhex(F.sha2(F.concat(F.lit("1:"), F.array_join(texts, "")), 256))
+
+
+def hash_tree(nodes: DataFrame, most: int) -> DataFrame:
+    """(file_name, hash): the root of the tree over each file's (number, hash) of ``lines`` lowest nodes, numbers from 0.
 
     A node is the SHA-256 of ``FAN`` consecutive children, written in hexadecimal after a mark that no leaf has.
-    ``most`` is the number of leaves of the largest file. Each level is one aggregation of bounded groups;
+    ``most`` is the number of lowest nodes of the largest file. Each level is one aggregation of bounded groups;
     the root of a file that is done stays as it is.
     """
-    level = leaves.withColumn("done", F.lit(False))
-    while True:
+    level = nodes.withColumn("done", F.col("lines") == 1)
+    while most > 1:
         children = F.array_sort(F.collect_list(F.struct("number", "hash")))
-        texts = F.transform(children, lambda child: F.lower(F.hex(child["hash"])))
-        node = F.unhex(F.sha2(F.concat(F.lit("1:"), F.array_join(texts, "")), 256))
+        node = _node(F.transform(children, lambda child: F.lower(F.hex(child["hash"]))))
         level = (
             level.groupBy("file_name", F.expr(f"number DIV {FAN}").alias("node"))
             .agg(
@@ -212,8 +271,7 @@ def hash_tree(leaves: DataFrame, most: int) -> DataFrame:
             .withColumnRenamed("node", "number")
         )
         most = -(-most // FAN)
-        if most <= 1:
-            return level.select("file_name", "hash")
+    return level.select("file_name", "hash")
 
 
 def pair_quotes(text: Column) -> Column:

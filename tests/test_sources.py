@@ -474,3 +474,19 @@ def test_lines_decoded_together_are_those_decoded_alone():
     assert decoding._many(("f", 0), decoding._whole_lines(pieces, charset)).equals(made.take())
     assert decoding._whole_lines([b"a", b"b"], charset) is None  # cuts inside of code units
     assert decoding._whole_lines([b"\x00\xd8"], charset) is None
+
+
+def test_hashes_of_lines_are_kept_in_runs(spark, tmp_path, monkeypatch):
+    kept = {}
+
+    def spy(df, name, store=batches_module.stored):
+        kept[name] = store(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(batches_module, "stored", spy)
+    contents = {2001: b"a,b,c\n" + b"1,2,3\n" * 5000, 2002: b"one line"}
+    folder = write(tmp_path, **{f"y{year}": content for year, content in contents.items()})
+    found = {r.batch_year: r.checksum for r in inspect_batches(spark, discover(spark, folder)).collect()}
+    assert found == {year: tree_by_hand(content, 1024) for year, content in contents.items()}
+    # 5,001 lines come to 5 rows, and one line to one.
+    assert sorted(row.lines for row in kept["line_hashes"].select("lines").collect()) == [1, 905, 1024, 1024, 1024, 1024]
