@@ -42,8 +42,9 @@ def _write(
     header: Column | None = None,
     encode: Callable[[Column], Column] = lambda text: text,
     line_feed: str = "\n",
+    folder: str | None = None,
 ) -> str:
-    """A folder with one file per batch year, records in the order of their numbers.
+    """A folder with one file per batch year, records in the order of their numbers; a new one if none is given.
 
     ``encode`` gives the bytes of a line, and ``line_feed`` those of its end, as characters up to 127. All
     but the order and the writing is done before rows go to the one task that writes their file.
@@ -63,7 +64,7 @@ def _write(
         .partitionBy(BATCH)
         .text(parts)
     )
-    folder = scratch_path(spark, "incoming")
+    folder = folder or scratch_path(spark, "incoming")
     # One folder per year.
     for entry in storage.entries(spark, parts):
         if not entry.is_file:
@@ -278,7 +279,7 @@ WHERE batch_year = 1997 AND source_row_number = 10 GROUP BY encoding, batch_year
 def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports of two runs; between them the file of 1998 loses its last records."""
     lines = _lines(raw_orders(spark, sf_dir))
-    first = _write(lines)
+    folder = _write(lines)
     root = scratch_path(spark, "outputs")
     settings = Settings(
         curated=f"{root}/curated", quarantine=f"{root}/quarantine", state=f"{root}/state",
@@ -289,13 +290,15 @@ def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         "raw", "accepted", "rejected", "quarantine_issues", "curated_rows", "quarantine_rows",
     ]
 
-    def report(folder: str, number: int) -> list[tuple]:
+    def report(number: int) -> list[tuple]:
         found = run_all(spark, folder, CONTRACT, settings, roles=ROLES)
         return [(number, *row) for row in found.select(*wanted).collect()]  # one row per batch
 
-    rows_of_both = report(first, 1)
-    changed = _write(lines.where((F.col(BATCH) != 1998) | (F.col(ROW) % 10 != 0)))
-    rows_of_both += report(changed, 2)
+    rows_of_both = report(1)
+    # The other files stay as they are.
+    storage.remove_folder(spark, f"{folder}/food_inspections_1998.csv")
+    _write(lines.where((F.col(BATCH) == 1998) & (F.col(ROW) % 10 != 0)), folder=folder)
+    rows_of_both += report(2)
     return spark.createDataFrame(
         rows_of_both,
         "run int, batch_year smallint, status string, reason string, errors bigint, warnings bigint, "

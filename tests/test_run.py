@@ -237,3 +237,19 @@ def test_a_run_over_another_code_page(spark, tmp_path):
     names = {r.dba_name for r in spark.read.parquet(str(tmp_path / "curated")).collect()}
     assert names == {"Café € 1", "Two lines é"}
     assert run(spark, tmp_path, encoding="cp1252", hash_algorithm="blake2b")[2019].status == "skipped"
+
+
+def test_the_second_of_two_runs_gets_one_new_file(spark, monkeypatch):
+    from sievemark.catalog import files
+
+    written = []
+
+    def spy(lines, *rest, write=files._write, **named):
+        written.append(sorted(row.batch_year for row in lines.select("batch_year").distinct().collect()))
+        return write(lines, *rest, **named)
+
+    monkeypatch.setattr(files, "_write", spy)
+    rows = files.run_twice(spark, "/root/testdata/sf0.001").collect()
+    years = sorted({row.batch_year for row in rows})
+    assert written == [years, [1998]] and len(rows) == 2 * len(years) > 2
+    assert [row.batch_year for row in rows if row.run == 2 and row.status == "processed"] == [1998]
