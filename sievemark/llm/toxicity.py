@@ -6,7 +6,7 @@ each filter is kept (max pooling), and a linear layer turns these into a score.
 of letters and digits, A-Z in lower case.
 
 Only the labelled training rows are looked at for learning. Filters and embeddings are fitted on a sample of them: at most ``SAMPLE_DOCS`` documents and
-about ``SAMPLE_CHARS`` characters, picked by a hash of the id, whole texts. Embeddings start
+about ``SAMPLE_CHARS`` characters, picked by a hash of the id, whole texts. A task fits them, and only the model comes to the driver. Embeddings start
 with the smoothed log-odds of their bucket as first coordinate. A fifth of the sample is
 kept back. On all labelled training rows that were not fitted on, scores are calibrated to
 probabilities and, per language, the lowest threshold is chosen whose rejections are right in
@@ -22,6 +22,7 @@ threshold of all; columns with other names are kept and ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from typing import TYPE_CHECKING
@@ -356,13 +357,16 @@ def labelled(labels: DataFrame, may_learn: Column) -> DataFrame:
     )
 
 
-def training_sample(
+_SAMPLE_TYPES = "words binary, stems binary, toxic int, lang string, doc_id bigint"
+
+
+def sample_rows(
     docs: DataFrame,
     labels: DataFrame,
     may_learn: Column,
     sample_docs: int = SAMPLE_DOCS,
     sample_chars: int = SAMPLE_CHARS,
-) -> pd.DataFrame:
+) -> DataFrame:
     """Hashed words of a bounded number of labelled documents, picked by hash of the id."""
     one = labelled(labels, may_learn)
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
@@ -407,11 +411,32 @@ def training_sample(
         F.col("lang").cast("string").alias("lang"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
     )
-    found = typed.mapInArrow(
-        hashed, "words binary, stems binary, toxic int, lang string, doc_id bigint"
-    ).toArrow()
-    rows = found.to_pandas()
-    return rows.sort_values(["doc_id", "words"], kind="stable").reset_index(drop=True)
+    return typed.mapInArrow(hashed, _SAMPLE_TYPES)
+
+
+def _ordered(rows: pa.Table) -> pd.DataFrame:
+    return rows.to_pandas().sort_values(["doc_id", "words"], kind="stable").reset_index(drop=True)
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, **bounds: int) -> pd.DataFrame:
+    """The rows of ``sample_rows`` in the driver, in the order of training."""
+    return _ordered(sample_rows(docs, labels, may_learn, **bounds).toArrow())
+
+
+def fitted_model(rows: DataFrame) -> Model:
+    """``train`` on ``sample_rows``, in a task: the sample is bounded, but far larger than the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            sample = _ordered(pa.Table.from_batches(held))
+            held.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(sample))], pa.binary())], ["model"])
+
+    found = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    if not found:
+        return train(_ordered(rows.limit(0).toArrow()))
+    return pickle.loads(found[0].model)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -445,7 +470,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Columns of these names are replaced.
     """
     docs = docs.drop("held_out", "score", "predicted", "threshold", "rejected")
-    model = train(training_sample(docs, labels, ~is_held_out()))
+    model = fitted_model(sample_rows(docs, labels, ~is_held_out()))
     model = replace(calibrate(model, docs, labels, ~is_held_out()), fitted=None)
     threshold = F.lit(model.threshold)
     for name, value in sorted(model.thresholds.items()):

@@ -78,6 +78,22 @@ def test_thresholds_come_from_all_labelled_rows(spark):
     assert over and sum(over) / len(over) >= toxicity.PRECISION
 
 
+def test_the_sample_stays_in_tasks(spark, monkeypatch):
+    docs, labels = toxic_tables(spark, 400)
+    may_learn = ~toxicity.is_held_out()
+    here = toxicity.train(toxicity.training_sample(docs, labels, may_learn))
+    there = toxicity.fitted_model(toxicity.sample_rows(docs, labels, may_learn))
+    for name in ("words", "stems", "word_rows", "stem_rows", "out", "fitted"):
+        assert np.array_equal(getattr(here, name), getattr(there, name))
+    # Neither words nor texts come to the driver, only the model and counted scores.
+    monkeypatch.setattr(toxicity, "training_sample", None)
+    monkeypatch.setattr(type(docs), "toPandas", None)
+    seen, to_arrow = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: seen.append(self.columns) or to_arrow(self))
+    assert toxicity.judge(docs, labels).where("rejected").count() > 50
+    assert seen and not any({"words", "stems", "text"} & set(columns) for columns in seen)
+
+
 def test_scores_without_labels_and_of_empty_tables(spark):
     docs, labels = toxic_tables(spark, 30)
     assert {r.score for r in toxicity.judge(docs, labels.where("false")).collect()} == {0.0}
